@@ -8,7 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_SALT = "__salt"
+# Rows of a key and one or two short columns: some tens of megabytes.
+BROADCAST_ROWS = 250_000
 
 
 @dataclass(frozen=True)
@@ -55,44 +56,50 @@ def find_hot_keys(df: DataFrame, keys: dict[str, Column], share: float = 0.005)
     return HotKeys(values, frozenset(nulls), partitions)
 
 
+def small_enough(table: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a stored table of short rows may be broadcast; counted from its footers."""
+    return table.count() <= rows
+
+
 def lookup(
     facts: DataFrame,
     table: DataFrame,
     fact_key: Column,
     table_key: str,
-    hot_name: str = "",
+    name: str = "",
     hot: HotKeys = NO_HOT_KEYS,
     salt_by: Sequence[str] = (),
+    small: bool = False,
 ) -> DataFrame:
     """Left join to a table that holds each key once; a NULL key never matches.
 
-    No side is forced to be broadcast: Catalyst does so when the table's size is known to be
-    under its threshold, and shuffles otherwise. Hot fact keys (and NULLs, when they are
-    many) are then spread over ``hot.spread`` partitions by a hash of ``salt_by``; the table
-    repeats only the rows of those few keys, once per salt.
+    ``small`` marks a table whose size was checked: it is broadcast. Otherwise Catalyst
+    chooses by the size it knows, and if it shuffles, hot fact keys (and NULLs, when they
+    are many) are spread over ``hot.spread`` partitions by a hash of ``salt_by``, while the
+    table repeats the rows of those few keys once per salt.
     """
-    values = hot.of(hot_name)
     kept = [c for c in table.columns if c != table_key]
     right = table.select(F.col(table_key).alias("__key"), *kept)
     left = facts.withColumn("__fact_key", fact_key)
     match = F.col("__fact_key") == F.col("__key")
-    if values or hot_name in hot.nulls:
+    values = hot.of(name)
+    if small:
+        right = F.broadcast(right)
+    elif values or name in hot.nulls:
         spread = F.pmod(F.xxhash64(*salt_by), F.lit(hot.spread)).cast("int")
         is_hot = F.lit(False)
+        salts = F.array(F.lit(0))
         if values:
             is_hot = F.coalesce(F.col("__fact_key").isin(values), F.lit(False))
-            salts = F.when(
-                F.col("__key").isin(values), F.sequence(F.lit(0), F.lit(hot.spread - 1))
-            ).otherwise(F.array(F.lit(0)))
-            right = right.withColumn("__right_salt", F.explode(salts))
-        else:
-            right = right.withColumn("__right_salt", F.lit(0))
+            every_salt = F.sequence(F.lit(0), F.lit(hot.spread - 1))
+            salts = F.when(F.col("__key").isin(values), every_salt).otherwise(salts)
+        right = right.withColumn("__table_salt", F.explode(salts))
         left = left.withColumn(
-            _SALT, F.when(is_hot | F.col("__fact_key").isNull(), spread).otherwise(F.lit(0))
+            "__salt", F.when(is_hot | F.col("__fact_key").isNull(), spread).otherwise(F.lit(0))
         )
-        match = match & (F.col(_SALT) == F.col("__right_salt"))
+        match = match & (F.col("__salt") == F.col("__table_salt"))
     joined = left.join(right, match, "left")
-    return joined.drop("__fact_key", "__key", _SALT, "__right_salt")
+    return joined.drop("__fact_key", "__key", "__salt", "__table_salt")
 
 
 def missing_parents(

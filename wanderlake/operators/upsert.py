@@ -9,10 +9,14 @@ rewrites every range. Running the same batch again gives the same table.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wanderlake.session import scratch_dir
+
 RANGE = "key_range"
 KEYS_PER_RANGE = 1_000_000
 
@@ -27,11 +31,9 @@ def read_keyed(spark: SparkSession, path: str) -> DataFrame | None:
     return None if stored is None else stored.drop(RANGE)
 
 
-def watermark(target: DataFrame | None, column: str, default: str):
-    """Largest value of ``column`` in the target as one driver-side value."""
+def watermark(target: DataFrame, column: str, default: str) -> datetime:
+    """Largest value of ``column`` in the target, or the default, as one driver-side value."""
     floor = F.lit(default).cast("timestamp_ntz")
-    if target is None:
-        return None
     return target.agg(F.coalesce(F.max(column), floor).alias("mark")).first()["mark"]
 
 
@@ -39,10 +41,17 @@ def merged(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """Target rows whose key is not updated, plus all updates, in the updates' columns.
 
     Columns new in the updates are NULL in kept rows; columns the updates no longer have
-    disappear. Rows with a NULL key never match, so they are kept and added.
+    disappear. Rows with a NULL key never match: they stay out of the join, which would
+    gather them in one task, and are kept as they are.
     """
-    kept = target.join(updates.select(key), key, "left_anti")
-    return kept.unionByName(updates, allowMissingColumns=True).select(*updates.columns)
+    keyed = target.filter(F.col(key).isNotNull())
+    kept = keyed.join(updates.select(key), key, "left_anti")
+    keyless = target.filter(F.col(key).isNull())
+    return (
+        kept.unionByName(keyless, allowMissingColumns=True)
+        .unionByName(updates, allowMissingColumns=True)
+        .select(*updates.columns)
+    )
 
 
 def upsert(
@@ -55,23 +64,37 @@ def upsert(
     """Replace rows with a matching key and insert the others.
 
     ``known_unique`` skips the duplicate check for batches already reduced to one row per
-    key; without it a repeated key fails before anything is written.
+    key; without it a repeated key fails before anything is written. The batch is computed
+    once, into the shared scratch folder; the merge then reads it as a table of known size.
     """
     spark = updates.sparkSession
-    if not known_unique:
-        _require_unique(updates, key)
     stored = _stored(spark, path)
     ranged = updates.withColumn(RANGE, F.floor(F.col(key) / keys_per_range).cast("bigint"))
+    if stored is not None or not known_unique:
+        staging = scratch_dir(spark, "upsert")
+        ranged.write.parquet(staging)
+        ranged = spark.read.parquet(staging)
+    if not known_unique:
+        _require_unique(ranged, key)
     if stored is None:
         _write(ranged, path, key, "errorifexists")
         return
     affected = stored
     if _same_columns(stored.drop(RANGE), updates):
-        touched = ranged.select(F.col(RANGE).alias("__touched")).distinct()
-        affected = stored.join(touched, F.col(RANGE).eqNullSafe(F.col("__touched")), "left_semi")
+        affected = stored.filter(_touched(ranged))
     _write(merged(affected, ranged, key), path, key, "overwrite")
 
 
+def _touched(ranged: DataFrame) -> Column:
+    """Static partition filter for the ranges of a batch.
+
+    The list is as short as the table has partitions, and being literal it prunes the scan.
+    """
+    ranges = [row[RANGE] for row in ranged.select(RANGE).distinct().collect()]
+    inside = F.col(RANGE).isin([r for r in ranges if r is not None])
+    return inside | F.col(RANGE).isNull() if None in ranges else inside
+
+
 def _same_columns(stored: DataFrame, updates: DataFrame) -> bool:
     def shape(df: DataFrame) -> dict:
         return {f.name: f.dataType for f in df.schema.fields}

@@ -18,7 +18,13 @@ from wanderlake.functions.text import mapped, surrogate_key
 from wanderlake.functions.times import age_in_years, is_weekend, weekday_number
 from wanderlake.operators.lookup import NO_HOT_KEYS, HotKeys, find_hot_keys, lookup
 
-POLICY_KEYS = ("customer", "destination", "broker", "date")
+# Dimension -> its natural key and surrogate key in the policy fact.
+POLICY_LOOKUPS = {
+    "customer": ("customer_id", "customer_sk"),
+    "destination": ("destination_country", "destination_sk"),
+    "broker": ("broker_id", "broker_sk"),
+}
+INHERITED = ("customer_sk", "destination_sk", "broker_sk", "date_sk", "destination_country")
 
 
 def dim_customers(customers: DataFrame, as_of: datetime) -> DataFrame:
@@ -84,78 +90,49 @@ def dim_date(spark: SparkSession, start: str = CALENDAR_START, end: str = CALEND
     )
 
 
-def policy_hot_keys(policies: DataFrame) -> HotKeys:
-    """Customers, destinations and brokers that hold an outsized share of the policies.
+def policy_hot_keys(policies: DataFrame, names: Collection[str] = tuple(POLICY_LOOKUPS)) -> HotKeys:
+    """Keys of the named dimensions that hold an outsized share of the policies.
 
-    Give it the table before it is deduplicated: that is a scan of three columns, and a key
-    that is hot after the deduplication is hot before it or harmless.
+    Give it the table before it is deduplicated: that is a scan of the key columns only.
     """
-    return find_hot_keys(
-        policies,
-        {
-            "customer": F.col("customer_id"),
-            "destination": F.upper(F.trim("destination_country")),
-            "broker": F.col("broker_id"),
-        },
-    )
+    keys = {
+        "customer": F.col("customer_id"),
+        "destination": F.upper(F.trim("destination_country")),
+        "broker": F.col("broker_id"),
+    }
+    return find_hot_keys(policies, {name: keys[name] for name in names})
 
 
 def fact_policies(
     policies: DataFrame,
-    customers: DataFrame | None,
-    destinations: DataFrame | None,
-    brokers: DataFrame | None,
-    dates: DataFrame | None,
+    customers: DataFrame,
+    destinations: DataFrame,
+    brokers: DataFrame,
+    dates: DataFrame,
     hot: HotKeys = NO_HOT_KEYS,
+    small: Collection[str] = (),
 ) -> DataFrame:
     """Policies with the keys of their dimensions; an unmatched policy keeps NULL keys.
 
-    A dimension given as None is not joined and its key is left out: every lookup keeps the
-    policies one to one, so reports that do not read a key need not pay for it.
+    ``small`` names the dimensions whose size was checked and that may be broadcast.
     """
+    dimensions = {"customer": customers, "destination": destinations, "broker": brokers}
     joined = policies
-    keys = []
-    if customers is not None:
-        joined = lookup(
-            joined,
-            customers.select("customer_id", "customer_sk"),
-            F.col("customer_id"),
-            "customer_id",
-            "customer",
-            hot,
-            ["policy_id"],
-        )
-        keys.append("customer_sk")
-    if destinations is not None:
-        joined = lookup(
-            joined,
-            destinations.select(F.col("destination_country").alias("name"), "destination_sk"),
-            F.upper("destination_country"),
-            "name",
-            "destination",
-            hot,
-            ["policy_id"],
-        )
-        keys.append("destination_sk")
-    if brokers is not None:
+    for name, (natural_key, surrogate) in POLICY_LOOKUPS.items():
+        wanted = F.upper(natural_key) if name == "destination" else F.col(natural_key)
+        table = dimensions[name].select(F.col(natural_key).alias("__natural"), surrogate)
         joined = lookup(
-            joined,
-            brokers.select("broker_id", "broker_sk"),
-            F.col("broker_id"),
-            "broker_id",
-            "broker",
-            hot,
-            ["policy_id"],
+            joined, table, wanted, "__natural", name, hot, ["policy_id"], name in small
         )
-        keys.append("broker_sk")
-    if dates is not None:
-        # The calendar has one row per day of a fixed span, so its size does not grow with data.
-        calendar = F.broadcast(dates.select("date_day", "date_sk"))
-        joined = joined.join(calendar, F.col("trip_start_date") == F.col("date_day"), "left")
-        keys.append("date_sk")
+    # The calendar has one row per day of a fixed span, so its size does not grow with data.
+    calendar = F.broadcast(dates.select("date_day", "date_sk"))
+    joined = joined.join(calendar, F.col("trip_start_date") == F.col("date_day"), "left")
     return joined.select(
         "policy_id",
-        *keys,
+        "customer_sk",
+        "destination_sk",
+        "broker_sk",
+        "date_sk",
         "customer_id",
         F.upper("destination_country").alias("destination_country"),
         "broker_id",
@@ -175,31 +152,17 @@ def claim_hot_keys(claims: DataFrame) -> HotKeys:
 
 
 def fact_claims(
-    claims: DataFrame,
-    policies: DataFrame,
-    hot: HotKeys = NO_HOT_KEYS,
-    inherited: Collection[str] = (
-        "customer_sk",
-        "destination_sk",
-        "broker_sk",
-        "date_sk",
-        "destination_country",
-    ),
+    claims: DataFrame, policies: DataFrame, hot: HotKeys = NO_HOT_KEYS, small: bool = False
 ) -> DataFrame:
     """Claims with the keys of their policy; NULL keys when the policy is not there (yet)."""
+    table = policies.select(F.col("policy_id").alias("__natural"), *INHERITED)
     joined = lookup(
-        claims,
-        policies.select(F.col("policy_id").alias("known_policy"), *inherited),
-        F.col("policy_id"),
-        "known_policy",
-        "policy",
-        hot,
-        ["claim_id"],
+        claims, table, F.col("policy_id"), "__natural", "policy", hot, ["claim_id"], small
     )
     return joined.select(
         "claim_id",
         "policy_id",
-        *inherited,
+        *INHERITED,
         "claim_type",
         "claim_amount",
         "claim_status",

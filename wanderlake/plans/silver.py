@@ -21,18 +21,23 @@ from wanderlake.functions.times import days_between, days_to_process, moment, ti
 from wanderlake.operators.latest import latest_per_key
 
 
-def _newest(raw: DataFrame, key: str, created_after: datetime | None) -> DataFrame:
-    """Latest row per key by creation time, unknown times first.
+def changed_since(raw: DataFrame, created_after: datetime | None) -> DataFrame:
+    """Rows that can decide which records are newer than the mark: newer or undated ones.
 
-    ``created_after`` drops rows that cannot win before the shuffle: a key whose winner is
-    newer than the mark has that winner among the rows that are newer or undated. The mark
-    is a literal, so the scan skips old row groups. Whether the winner itself is newer is
-    tested on the standardised time by the caller.
+    A key whose latest row is newer than the mark has that row among these, so older rows
+    need not reach the shuffle. The mark is a literal, so the scan skips old row groups.
+    Whether the latest row itself is newer is tested once it is known.
     """
-    if created_after is not None:
-        created = timestamp_of(raw, "created_at")
-        raw = raw.filter((created > moment(created_after)) | created.isNull())
-    return latest_per_key(raw, [key], ["created_at"], unknown_first=True)
+    if created_after is None:
+        return raw
+    created = timestamp_of(raw, "created_at")
+    return raw.filter((created > moment(created_after)) | created.isNull())
+
+
+def _newest(raw: DataFrame, key: str, created_after: datetime | None) -> DataFrame:
+    """Latest row per key by creation time, unknown times first."""
+    changed = changed_since(raw, created_after)
+    return latest_per_key(changed, [key], ["created_at"], unknown_first=True)
 
 
 def _after(df: DataFrame, created_after: datetime | None) -> DataFrame:

@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 
 from wanderlake.fixed_values import WATERMARK_DEFAULT
+from wanderlake.operators.lookup import NO_HOT_KEYS, small_enough
 from wanderlake.operators.upsert import read_keyed, upsert, watermark
 from wanderlake.plans import gold, silver
 
@@ -15,12 +16,14 @@ DIMENSIONS = ("dim_customers", "dim_destinations", "dim_brokers", "dim_date")
 FACTS = {"fact_policies": "policy_id", "fact_claims": "claim_id"}
 
 
+def read_gold_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    path = f"{root}/{name}"
+    return read_keyed(spark, path) if name in FACTS else spark.read.parquet(path)
+
+
 def read_gold(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The stored GOLD tables."""
-    tables = {name: spark.read.parquet(f"{root}/{name}") for name in DIMENSIONS}
-    for name in FACTS:
-        tables[name] = read_keyed(spark, f"{root}/{name}")
-    return tables
+    return {name: read_gold_table(spark, root, name) for name in (*DIMENSIONS, *FACTS)}
 
 
 def build_dimensions(bronze: Mapping[str, DataFrame], root: str, as_of: datetime) -> None:
@@ -36,25 +39,28 @@ def build_dimensions(bronze: Mapping[str, DataFrame], root: str, as_of: datetime
         table.write.mode("overwrite").parquet(f"{root}/{name}")
 
 
-def update_policies(
-    raw_policies: DataFrame, root: str, lookback: timedelta = timedelta(0)
-) -> None:
+def update_policies(raw_policies: DataFrame, root: str, lookback: timedelta = timedelta(0)) -> None:
     """Upsert the policies created after the newest one already in the fact.
 
-    ``lookback`` reads that much further back, for rows that arrived late.
+    ``lookback`` reads that much further back, for rows that arrived late. Dimensions are
+    broadcast where their row count allows it; only for the others are hot keys looked for.
     """
     spark = raw_policies.sparkSession
     path = f"{root}/fact_policies"
-    mark = watermark(read_keyed(spark, path), "created_at", WATERMARK_DEFAULT)
-    since = None if mark is None else mark - lookback
-    dimensions = {name: spark.read.parquet(f"{root}/{name}") for name in DIMENSIONS}
+    since = _since(read_keyed(spark, path), lookback)
+    tables = {name: spark.read.parquet(f"{root}/{name}") for name in DIMENSIONS}
+    by_name = {
+        "customer": tables["dim_customers"],
+        "destination": tables["dim_destinations"],
+        "broker": tables["dim_brokers"],
+    }
+    small = [name for name, table in by_name.items() if small_enough(table)]
+    large = [name for name in by_name if name not in small]
+    hot = NO_HOT_KEYS
+    if large:
+        hot = gold.policy_hot_keys(silver.changed_since(raw_policies, since), large)
     rows = gold.fact_policies(
-        silver.policies(raw_policies, since),
-        dimensions["dim_customers"],
-        dimensions["dim_destinations"],
-        dimensions["dim_brokers"],
-        dimensions["dim_date"],
-        gold.policy_hot_keys(raw_policies),
+        silver.policies(raw_policies, since), *by_name.values(), tables["dim_date"], hot, small
     )
     upsert(rows, path, "policy_id", known_unique=True)
 
@@ -66,16 +72,22 @@ def update_claims(raw_claims: DataFrame, root: str, lookback: timedelta = timede
     """
     spark = raw_claims.sparkSession
     path = f"{root}/fact_claims"
-    mark = watermark(read_keyed(spark, path), "created_at", WATERMARK_DEFAULT)
-    since = None if mark is None else mark - lookback
-    rows = gold.fact_claims(
-        silver.claims(raw_claims, since),
-        read_keyed(spark, f"{root}/fact_policies"),
-        gold.claim_hot_keys(raw_claims),
-    )
+    since = _since(read_keyed(spark, path), lookback)
+    policies = read_keyed(spark, f"{root}/fact_policies")
+    small = small_enough(policies)
+    hot = NO_HOT_KEYS
+    if not small:
+        hot = gold.claim_hot_keys(silver.changed_since(raw_claims, since))
+    rows = gold.fact_claims(silver.claims(raw_claims, since), policies, hot, small)
     upsert(rows, path, "claim_id", known_unique=True)
 
 
+def _since(stored: DataFrame | None, lookback: timedelta) -> datetime | None:
+    if stored is None:
+        return None
+    return watermark(stored, "created_at", WATERMARK_DEFAULT) - lookback
+
+
 def build_star(bronze: Mapping[str, DataFrame], root: str, as_of: datetime) -> None:
     """One GOLD run: dimensions in full, facts as far as they are new."""
     build_dimensions(bronze, root, as_of)

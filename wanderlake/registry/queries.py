@@ -42,14 +42,18 @@ def bronze_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     }
 
 
-def stored_star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """The stored GOLD tables for an input folder, built on first use in a session."""
+def star_root(spark: SparkSession, sf: str) -> str:
+    """Folder of the GOLD tables for an input folder, built on first use in a session."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _star_roots:
         root = scratch_dir(spark, "star")
         star.build_star(bronze_tables(spark, sf), root, AS_OF)
         _star_roots[key] = root
-    return star.read_gold(spark, _star_roots[key])
+    return _star_roots[key]
+
+
+def stored(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return star.read_gold_table(spark, star_root(spark, sf), name)
 
 
 def rounded(df: DataFrame, *names: str) -> DataFrame:
@@ -294,12 +298,11 @@ def fact_claims_incremental(spark, sf):
 
 
 def revenue_by_month(spark, sf):
-    return metrics.revenue_by_month(stored_star(spark, sf)["fact_policies"])
+    return metrics.revenue_by_month(stored(spark, sf, "fact_policies"))
 
 
 def premium_by_destination(spark, sf):
-    tables_ = stored_star(spark, sf)
-    return metrics.premium_by_destination(tables_["fact_policies"], tables_["dim_destinations"])
+    return metrics.premium_by_destination(stored(spark, sf, "fact_policies"), stored(spark, sf, "dim_destinations"))
 
 
 def revenue_kpis(spark, sf):
@@ -307,44 +310,43 @@ def revenue_kpis(spark, sf):
 
 
 def claim_kpis(spark, sf):
-    return metrics.claim_kpis(stored_star(spark, sf)["fact_claims"])
+    return metrics.claim_kpis(stored(spark, sf, "fact_claims"))
 
 
 def claims_by_type(spark, sf):
-    return metrics.claims_by_type(stored_star(spark, sf)["fact_claims"])
+    return metrics.claims_by_type(stored(spark, sf, "fact_claims"))
 
 
 def average_claim_by_destination(spark, sf):
-    tables_ = stored_star(spark, sf)
-    return metrics.average_claim_by_destination(tables_["fact_claims"], tables_["dim_destinations"])
+    return metrics.average_claim_by_destination(stored(spark, sf, "fact_claims"), stored(spark, sf, "dim_destinations"))
 
 
 def approval_by_type(spark, sf):
-    return metrics.approval_by_type(stored_star(spark, sf)["fact_claims"])
+    return metrics.approval_by_type(stored(spark, sf, "fact_claims"))
 
 
 def recent_claims(spark, sf):
-    return metrics.recent_claims(stored_star(spark, sf)["fact_claims"])
+    return metrics.recent_claims(stored(spark, sf, "fact_claims"))
 
 
 def broker_leaderboard(spark, sf):
-    return metrics.broker_leaderboard(stored_star(spark, sf)["dim_brokers"])
+    return metrics.broker_leaderboard(stored(spark, sf, "dim_brokers"))
 
 
 def broker_leaderboard_country(spark, sf):
-    return metrics.broker_leaderboard(stored_star(spark, sf)["dim_brokers"], country="NATION_7")
+    return metrics.broker_leaderboard(stored(spark, sf, "dim_brokers"), country="NATION_7")
 
 
 def top_brokers(spark, sf):
-    return metrics.top_brokers(stored_star(spark, sf)["dim_brokers"])
+    return metrics.top_brokers(stored(spark, sf, "dim_brokers"))
 
 
 def broker_points(spark, sf):
-    return metrics.broker_points(stored_star(spark, sf)["dim_brokers"])
+    return metrics.broker_points(stored(spark, sf, "dim_brokers"))
 
 
 def broker_countries(spark, sf):
-    return metrics.broker_countries(stored_star(spark, sf)["dim_brokers"])
+    return metrics.broker_countries(stored(spark, sf, "dim_brokers"))
 
 
 def flights_by_country(spark, sf):
@@ -365,20 +367,19 @@ def latest_flights(spark, sf):
 
 
 def ad_hoc_query(spark, sf):
-    tables_ = stored_star(spark, sf)
     text = """
         SELECT coverage_type, policy_status, count(*) AS policy_count,
                count(date_sk) AS dated_policies
         FROM {policies} GROUP BY coverage_type, policy_status
     """
-    return tables.run_query(spark, text, {"policies": tables_["fact_policies"]})
+    return tables.run_query(spark, text, {"policies": stored(spark, sf, "fact_policies")})
 
 
 # --- quality, reconciliation, monitoring ------------------------------------------------
 
 
 def quality_report(spark, sf):
-    return quality.gold_report(stored_star(spark, sf))
+    return quality.gold_report(star.read_gold(spark, star_root(spark, sf)))
 
 
 def source_constraints(spark, sf):
@@ -387,12 +388,11 @@ def source_constraints(spark, sf):
 
 
 def non_positive_claims(spark, sf):
-    return quality.non_positive_claims(stored_star(spark, sf)["fact_claims"])
+    return quality.non_positive_claims(stored(spark, sf, "fact_claims"))
 
 
 def orphan_claims(spark, sf):
-    tables_ = stored_star(spark, sf)
-    return missing_parents(tables_["fact_claims"], "policy_id", tables_["fact_policies"], "policy_id")
+    return missing_parents(stored(spark, sf, "fact_claims"), "policy_id", stored(spark, sf, "fact_policies"), "policy_id")
 
 
 def freshness_report(spark, sf):
@@ -415,12 +415,11 @@ def freshness_report(spark, sf):
 
 def reconciliation(spark, sf):
     raw = bronze_tables(spark, sf)
-    tables_ = stored_star(spark, sf)
     return reconcile.reconcile(
         {
-            "customers": (raw["raw_customers"], tables_["dim_customers"]),
-            "policies": (raw["raw_policies"], tables_["fact_policies"]),
-            "claims": (raw["raw_claims"], tables_["fact_claims"]),
+            "customers": (raw["raw_customers"], stored(spark, sf, "dim_customers")),
+            "policies": (raw["raw_policies"], stored(spark, sf, "fact_policies")),
+            "claims": (raw["raw_claims"], stored(spark, sf, "fact_claims")),
         }
     )
 
