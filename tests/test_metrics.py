@@ -1,0 +1,102 @@
+from __future__ import annotations
+
+from datetime import date, datetime
+from decimal import Decimal
+
+from tests.conftest import plan_of
+from wanderlake.plans import gold, metrics
+
+NOW = datetime(2025, 5, 1)
+
+
+def policies(spark, rows):
+    return spark.createDataFrame(
+        rows, "destination_sk string, premium_amount decimal(10,2), trip_start_date date"
+    )
+
+
+def test_revenue(spark):
+    facts = policies(
+        spark,
+        [("s", Decimal("10.00"), date(2025, 1, 31)), ("s", Decimal("5.50"), date(2025, 1, 1)),
+         ("s", None, date(2024, 2, 1)), (None, Decimal("1.00"), None)],
+    )
+    by_month = metrics.revenue_by_month(facts)
+    assert [tuple(r) for r in by_month.collect()] == [
+        (None, Decimal("1.00"), 1), (date(2024, 2, 1), None, 1), (date(2025, 1, 1), Decimal("15.50"), 2),
+    ]
+    # This year's revenue over the policies of all years.
+    assert tuple(metrics.revenue_kpis(by_month, NOW).first()) == (15.5, 4, 15.5 / 4)
+    assert tuple(metrics.revenue_kpis(metrics.revenue_by_month(facts.limit(0)), NOW).first()) == (0.0, 0, 0.0)
+
+
+def test_destination_reports(spark):
+    labels = spark.createDataFrame([("s", "SPAIN"), ("n", None)], "destination_sk string, destination_country string")
+    facts = policies(spark, [("s", Decimal("1.00"), None), ("s", Decimal("2.00"), None), (None, Decimal("9.00"), None)])
+    assert [tuple(r) for r in metrics.premium_by_destination(facts, labels).collect()] == [
+        (None, Decimal("9.00")), ("SPAIN", Decimal("3.00")),
+    ]
+    claims = spark.createDataFrame(
+        [("s", Decimal("1.00")), ("s", Decimal("1.00")), ("s", Decimal("2.00")), ("s", None), ("n", None)],
+        "destination_sk string, claim_amount decimal(12,2)",
+    )
+    assert [tuple(r) for r in metrics.average_claim_by_destination(claims, labels).collect()] == [
+        (None, None), ("SPAIN", Decimal("1.333333")),
+    ]
+
+
+def test_claim_reports(spark):
+    ddl = ("claim_id bigint, claim_date date, destination_country string, claim_type string, "
+           "claim_amount decimal(12,2), claim_status string, is_approved boolean")
+    rows = [(i, date(2024, 1, 1 + i % 3), "X", "medical" if i % 2 else "delay", Decimal("1.00"),
+             ("approved", "rejected", "pending")[i % 3], i % 3 == 0) for i in range(30)]
+    claims = spark.createDataFrame(rows, ddl)
+    assert tuple(metrics.claim_kpis(claims).first()) == (30, 10, 33.33)
+    assert metrics.claim_kpis(claims.limit(0)).first()["approval_rate"] is None
+    assert [tuple(r) for r in metrics.claims_by_type(claims).collect()] == [("delay", 15), ("medical", 15)]
+    assert [tuple(r) for r in metrics.approval_by_type(claims).collect()] == [
+        ("delay", "approved", 5), ("delay", "rejected", 5), ("medical", "approved", 5), ("medical", "rejected", 5),
+    ]
+    recent = metrics.recent_claims(claims)
+    assert [r["claim_date"].day for r in recent.collect()] == [3] * 10 + [2] * 10
+    assert "TakeOrderedAndProject" in plan_of(recent)
+
+
+def test_broker_reports(spark):
+    ddl = ("broker_id bigint, broker_name string, broker_company string, country string, "
+           "policies_sold_today bigint, total_premium_value decimal(12,2), commission_rate double, "
+           "commission_percentage decimal(5,2), commission_earned decimal(12,2), report_date date")
+    rows = [(i, f"b{i}", "c", ("UK", "FR", None)[i % 3], i, Decimal(1), 0.1, Decimal(10), Decimal(i // 2), date(2024, 1, 1))
+            for i in range(40)]
+    brokers = spark.createDataFrame(rows, ddl)
+    assert [r["broker_id"] for r in metrics.broker_leaderboard(brokers).take(3)] == [38, 39, 36]
+    assert metrics.broker_leaderboard(brokers, "UK").count() == 14
+    top = [r["broker_id"] for r in metrics.top_brokers(brokers).collect()]
+    assert len(top) == 15 and top[-1] == 38 and top[0] == 24
+    assert [r["country"] for r in metrics.broker_countries(brokers).collect()] == ["FR", "UK"]
+    assert metrics.broker_points(brokers, "FR").count() == 13
+
+
+def test_flight_reports(spark):
+    flights = spark.createDataFrame(
+        [("UK", 1.0, 2.0, True), ("UK", 3.0, None, False), ("FR", None, None, None)],
+        "origin_country string, altitude double, velocity double, on_ground boolean",
+    )
+    by_country = metrics.flights_by_country(flights)
+    assert [tuple(r) for r in by_country.collect()] == [("UK", 2, 2.0, 2.0, 1), ("FR", 1, None, None, 0)]
+    assert metrics.total_flights(by_country).first()["total_flights"] == 3
+    assert [tuple(r) for r in metrics.top_countries(by_country, 1).collect()] == [("UK", 2)]
+
+
+def test_dates(spark):
+    days = {r["date_day"]: r for r in gold.dim_date(spark).collect()}
+    assert len(days) == 1096 and min(days) == date(2023, 1, 1) and max(days) == date(2025, 12, 31)
+    assert (days[date(2023, 1, 1)]["day_of_week"], days[date(2023, 1, 1)]["is_weekend"]) == (0, True)
+    assert days[date(2023, 1, 2)]["is_weekend"] is False
+    assert days[date(2024, 2, 29)]["quarter"] == 1
+
+
+def test_destinations_keep_one_unknown(spark):
+    df = spark.createDataFrame([("Spain",), ("SPAIN",), (None,), (None,), ("Narnia",)], "destination_country string")
+    rows = {r["destination_country"]: r["continent"] for r in gold.dim_destinations(df).collect()}
+    assert rows == {"SPAIN": "Europe", None: "Other", "NARNIA": "Other"}
