@@ -4,6 +4,8 @@ import random
 from datetime import date, datetime
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from tests.conftest import plan_of
 from wanderlake.plans import bronze, silver
 
@@ -162,3 +164,45 @@ def test_flights_without_callsign_go(spark):
     raw = spark.createDataFrame([flight("a", 1, call="  "), flight("b", 1, call=" X "), flight("c", 1, call=None)], FLIGHTS)
     rows = silver.flights(bronze.clean_flights(raw, NOW)).collect()
     assert [(r["icao24"], r["callsign"], r["on_ground"]) for r in rows] == [("b", "X", True)]
+
+
+def test_refresh_computes_only_days_with_new_rows(spark, folder):
+    landed = datetime(2024, 1, 2, 1)
+
+    def at(icao, day, second, arrived):
+        row = list(flight(icao, second))
+        row[9] = None if day is None else datetime(2024, 1, day, 0, 0, second)
+        row[10] = arrived
+        return tuple(row)
+
+    first = [at("a", 1, 1, landed), at("b", 2, 1, landed), at("c", None, 1, landed)]
+    run1, run2 = datetime(2024, 1, 2, 6), datetime(2024, 1, 3, 6)
+    bronze.refresh_flights(spark.createDataFrame(first, FLIGHTS), f"{folder}/f", f"{folder}/s", run1)
+    grown = [*first, at("a", 2, 2, datetime(2024, 1, 2, 7)), at("c", None, 2, datetime(2024, 1, 2, 8))]
+    raw = spark.createDataFrame(grown, FLIGHTS)
+    bronze.refresh_flights(raw, f"{folder}/f", f"{folder}/s", run2)
+    stored = bronze.read_clean_flights(spark, f"{folder}/f", raw)
+    whole = bronze.clean_flights(raw, run2)
+    assert sorted(map(repr, stored.drop("ingested_at").collect())) == sorted(map(repr, whole.drop("ingested_at").collect()))
+    stamps = {(r["icao24"], r["event_timestamp"] and r["event_timestamp"].day): r["ingested_at"] for r in stored.collect()}
+    assert stamps == {("a", 1): run1, ("b", 2): run2, ("a", 2): run2, ("c", None): run2}
+    stats = bronze.read_flight_stats(spark, f"{folder}/s")
+    assert sorted(map(repr, stats.collect())) == sorted(map(repr, bronze.flight_daily_stats(whole).collect()))
+
+
+def test_refresh_drops_a_day_that_lost_its_last_row(spark, folder):
+    first = flight("a", 1)
+    later = flight("a", 2, lat=None)  # newer, in the same bucket, without a position
+    bronze.refresh_flights(spark.createDataFrame([first], FLIGHTS), f"{folder}/f", f"{folder}/s", NOW)
+    raw = spark.createDataFrame([first, later], FLIGHTS)
+    assert bronze.read_clean_flights(spark, f"{folder}/f", raw).count() == 1
+    bronze.refresh_flights(raw, f"{folder}/f", f"{folder}/s", datetime(2025, 1, 2))
+    assert bronze.read_clean_flights(spark, f"{folder}/f", raw).count() == 0
+    assert bronze.read_flight_stats(spark, f"{folder}/s").count() == 0
+
+
+def test_refresh_reads_only_the_touched_days(spark, folder):
+    spark.createDataFrame([flight("a", 1)], FLIGHTS).write.parquet(f"{folder}/raw")
+    condition = bronze._on_days([date(2024, 1, 1), None])
+    plan = plan_of(spark.read.parquet(f"{folder}/raw").filter(condition))
+    assert "PushedFilters: [Or(And(GreaterThanOrEqual(event_timestamp" in plan

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.test_ingest import brokers as broker_rows
 from wanderlake import schemas
-from wanderlake.plans import daily, gold, silver, star
+from wanderlake.plans import bronze, daily, gold, silver, star
 from wanderlake.sources import broker_files
 
 NOW = datetime(2024, 6, 1, 12)
@@ -69,6 +69,13 @@ def test_facts_incrementally(spark, folder):
     assert sorted(r["policy_id"] for r in star.read_gold_table(spark, folder, "fact_policies").collect()) == [1, 2, 50, 51, 77]
 
 
+def test_a_fact_may_be_empty(spark, folder):
+    star.build_star(bronze_of(spark, policies(spark, []), claims(spark, [])), folder, NOW)
+    assert star.read_gold_table(spark, folder, "fact_claims").isEmpty()
+    star.build_star(bronze_of(spark, policies(spark, [1]), claims(spark, [(1, 1)])), folder, NOW)
+    assert star.read_gold_table(spark, folder, "fact_claims").first()["customer_sk"] is not None
+
+
 def test_trip_after_the_calendar_has_no_date_key(spark):
     rows = policies(spark, [1]).withColumn("trip_start_date", F.lit(date(2026, 1, 1)))
     standard = silver.policies(rows)
@@ -94,7 +101,7 @@ def test_daily_run(spark, folder):
     assert set(states.values()) == {"success"} and len(states) == 7
     assert star.read_gold_table(spark, f"{folder}/lake/gold", "fact_claims").count() == 20
     assert spark.read.json(f"{folder}/lake/reports/reconciliation").count() == 3
-    assert spark.read.parquet(f"{folder}/lake/bronze/flight_daily_stats").count() == 0
+    assert bronze.read_flight_stats(spark, f"{folder}/lake/bronze/flight_daily_stats").count() == 0
 
 
 def test_failed_checks_do_not_stop_reconciliation(spark, folder):

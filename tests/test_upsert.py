@@ -10,12 +10,12 @@ from tests.conftest import plan_of
 from wanderlake.operators.upsert import (
     RANGE,
     DuplicateKeys,
-    _stored,
     _touched,
     read_keyed,
     upsert,
     watermark,
 )
+from wanderlake.sources.tables import stored_table
 
 DDL = "id bigint, v string, created_at timestamp_ntz"
 T1, T2 = datetime(2024, 1, 1), datetime(2024, 1, 2)
@@ -59,7 +59,7 @@ def test_only_touched_ranges_are_written_and_read(spark, folder):
         frame(spark, [(5, "a", T1), (15, "A", T2), (17, "n", T2), (25, "a", T1)])
     )
     batch = spark.createDataFrame([(1,), (None,)], f"{RANGE} bigint")
-    plan = plan_of(_stored(spark, path).filter(_touched(batch)))
+    plan = plan_of(stored_table(spark, path).filter(_touched(batch)))
     assert "PartitionFilters: [(" in plan and RANGE in plan.split("PartitionFilters")[1]
 
 

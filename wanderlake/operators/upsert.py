@@ -11,14 +11,15 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wanderlake.session import scratch_dir
+from wanderlake.sources.tables import stored_table
 
 RANGE = "key_range"
 KEYS_PER_RANGE = 1_000_000
+FILES_PER_RANGE = 4
 
 
 class DuplicateKeys(ValueError):
@@ -27,7 +28,7 @@ class DuplicateKeys(ValueError):
 
 def read_keyed(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path`` without its layout column, or None before its first load."""
-    stored = _stored(spark, path)
+    stored = stored_table(spark, path)
     return None if stored is None else stored.drop(RANGE)
 
 
@@ -68,7 +69,7 @@ def upsert(
     once, into the shared scratch folder; the merge then reads it as a table of known size.
     """
     spark = updates.sparkSession
-    stored = _stored(spark, path)
+    stored = stored_table(spark, path)
     ranged = updates.withColumn(RANGE, F.floor(F.col(key) / keys_per_range).cast("bigint"))
     if stored is not None or not known_unique:
         staging = scratch_dir(spark, "upsert")
@@ -77,12 +78,12 @@ def upsert(
     if not known_unique:
         _require_unique(ranged, key)
     if stored is None:
-        _write(ranged, path, key, "errorifexists")
+        _write(ranged, path, key)
         return
     affected = stored
     if _same_columns(stored.drop(RANGE), updates):
         affected = stored.filter(_touched(ranged))
-    _write(merged(affected, ranged, key), path, key, "overwrite")
+    _write(merged(affected, ranged, key), path, key)
 
 
 def _touched(ranged: DataFrame) -> Column:
@@ -102,28 +103,20 @@ def _same_columns(stored: DataFrame, updates: DataFrame) -> bool:
     return shape(stored) == shape(updates)
 
 
-def _write(rows: DataFrame, path: str, key: str, mode: str) -> None:
-    # A range holds at most keys_per_range rows, so one task per range stays bounded; rows
-    # without a key have no such bound and are spread by their content.
-    keyless = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*rows.columns), F.lit(64)))
+def _write(rows: DataFrame, path: str, key: str) -> None:
+    # A range holds at most keys_per_range rows, so a slice of it is a bounded task and one
+    # file; rows without a key have no such bound and are spread by their content.
+    number = F.coalesce(F.col(key).cast("bigint"), F.xxhash64(*rows.columns))
+    slices = F.when(F.col(key).isNull(), F.lit(64)).otherwise(F.lit(FILES_PER_RANGE))
     (
-        rows.repartition(F.col(RANGE), keyless)
-        .write.mode(mode)
+        rows.repartition(F.col(RANGE), F.pmod(number, slices))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(RANGE)
         .parquet(path)
     )
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
 def _require_unique(updates: DataFrame, key: str) -> None:
     repeated = (
         updates.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").limit(1)

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import datetime
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wanderlake.fixed_values import CLEANING_TRUE_TEXT, DEDUP_SECONDS
@@ -13,6 +13,10 @@ from wanderlake.functions.numbers import decimal_or_null
 from wanderlake.functions.text import is_true_text, trim_strings
 from wanderlake.functions.times import bucket_number, moment
 from wanderlake.operators.latest import latest_per_key
+from wanderlake.sources.tables import stored_table
+
+DAY = "event_day"
+FILES_PER_DAY = 8
 
 
 def clean_flights(
@@ -59,6 +63,95 @@ def flight_daily_stats(clean: DataFrame) -> DataFrame:
     )
 
 
+def refresh_flights(
+    raw: DataFrame,
+    flights_path: str,
+    stats_path: str,
+    as_of: datetime,
+    overlap: timedelta = timedelta(hours=1),
+) -> None:
+    """Bring the stored clean flights and their statistics up to date, day by day.
+
+    A bucket never crosses midnight and the statistics are per day, so only days with rows
+    that landed since the last run are computed again; their partitions are swapped in at
+    commit. ``overlap`` covers rows that became visible late; a repeated day gives the same
+    rows. The first run, or one over deleted tables, covers all days.
+    """
+    spark = raw.sparkSession
+    days = _landed_days(raw, stored_table(spark, flights_path), overlap)
+    whole = _by_day(clean_flights(raw, as_of))
+    if days is not None:
+        part = _by_day(clean_flights(raw.filter(_on_days(days)), as_of))
+        _swap_days(part, flights_path, "dynamic")
+        stored = spark.read.schema(whole.schema).parquet(flights_path)
+        refreshed = stored.filter(F.col("ingested_at") == moment(as_of))
+        if set(days) <= set(_days_of(refreshed)):
+            _swap_days(_stats_by_day(refreshed), stats_path, "dynamic")
+            return
+        # A day lost its last row; only a full rebuild takes its partition away.
+    _swap_days(whole, flights_path, "static")
+    stored = spark.read.schema(whole.schema).parquet(flights_path)
+    _swap_days(_stats_by_day(stored), stats_path, "static")
+
+
+def read_clean_flights(spark: SparkSession, path: str, raw: DataFrame) -> DataFrame:
+    """The stored clean flights with the columns of the raw ones."""
+    columns = clean_flights(raw).schema
+    return spark.read.schema(columns).parquet(path).select(*columns.names)
+
+
+def read_flight_stats(spark: SparkSession, path: str) -> DataFrame:
+    """The stored flight statistics, their day as an ordinary column."""
+    columns = (
+        f"{DAY} date, origin_country string, flight_count bigint, avg_altitude double, "
+        "avg_velocity double, pct_on_ground double"
+    )
+    stored = spark.read.schema(columns).parquet(path).withColumnRenamed(DAY, "flight_day")
+    return stored.select(
+        "flight_day", "origin_country", "flight_count", "avg_altitude", "avg_velocity", "pct_on_ground"
+    )
+
+
+def _landed_days(raw: DataFrame, stored: DataFrame | None, overlap: timedelta) -> list | None:
+    """Event days (None for an unknown day) of the rows landed since the last run, or None for all."""
+    last = None if stored is None else stored.agg(F.max("ingested_at").alias("last")).first()["last"]
+    if last is None:
+        return None
+    landed = raw.filter(F.col("ingested_at") >= moment(last - overlap))
+    return _days_of(landed.select(F.to_date("event_timestamp").alias(DAY)))
+
+
+def _days_of(df: DataFrame) -> list:
+    return [row[DAY] for row in df.select(DAY).distinct().collect()]
+
+
+def _on_days(days: list) -> Column:
+    """Event-time filter: one range per day, so it reaches the scan."""
+    event = F.col("event_timestamp")
+    match = F.lit(False)
+    for day in days:
+        if day is None:
+            match = match | event.isNull()
+        else:
+            start = datetime(day.year, day.month, day.day)
+            match = match | ((event >= moment(start)) & (event < moment(start + timedelta(days=1))))
+    return match
+
+
+def _by_day(clean: DataFrame) -> DataFrame:
+    """Rows gathered by day, each day in a few files."""
+    slices = F.pmod(F.xxhash64("icao24", "event_timestamp"), F.lit(FILES_PER_DAY))
+    return clean.withColumn(DAY, F.to_date("event_timestamp")).repartition(DAY, slices)
+
+
+def _stats_by_day(clean: DataFrame) -> DataFrame:
+    return flight_daily_stats(clean).withColumnRenamed("flight_day", DAY)
+
+
+def _swap_days(df: DataFrame, path: str, mode: str) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(DAY).parquet(path)
+
+
 def flight_daily_report(stats: DataFrame) -> DataFrame:
     return stats.orderBy("flight_day", "origin_country")
 

@@ -7,18 +7,22 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wanderlake import schemas
 from wanderlake.fixed_values import WATERMARK_DEFAULT
 from wanderlake.operators.lookup import NO_HOT_KEYS, small_enough
 from wanderlake.operators.upsert import read_keyed, upsert, watermark
 from wanderlake.plans import gold, silver
 
 DIMENSIONS = ("dim_customers", "dim_destinations", "dim_brokers", "dim_date")
-FACTS = {"fact_policies": "policy_id", "fact_claims": "claim_id"}
+FACTS = {"fact_policies": schemas.FACT_POLICIES, "fact_claims": schemas.FACT_CLAIMS}
 
 
 def read_gold_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """One stored table; a fact may still be empty, so its columns are given."""
     path = f"{root}/{name}"
-    return read_keyed(spark, path) if name in FACTS else spark.read.parquet(path)
+    if name in FACTS:
+        return spark.read.schema(schemas.ddl(FACTS[name])).parquet(path).select(*FACTS[name])
+    return spark.read.parquet(path)
 
 
 def read_gold(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -73,7 +77,7 @@ def update_claims(raw_claims: DataFrame, root: str, lookback: timedelta = timede
     spark = raw_claims.sparkSession
     path = f"{root}/fact_claims"
     since = _since(read_keyed(spark, path), lookback)
-    policies = read_keyed(spark, f"{root}/fact_policies")
+    policies = read_gold_table(spark, root, "fact_policies")
     small = small_enough(policies)
     hot = NO_HOT_KEYS
     if not small:

@@ -67,6 +67,42 @@ RAW_BROKER_COMMISSIONS = {
     "report_date": "date",
 }
 
+FACT_POLICIES = {
+    "policy_id": "bigint",
+    "customer_sk": "string",
+    "destination_sk": "string",
+    "broker_sk": "string",
+    "date_sk": "string",
+    "customer_id": "bigint",
+    "destination_country": "string",
+    "broker_id": "bigint",
+    "trip_start_date": "date",
+    "trip_end_date": "date",
+    "premium_amount": "decimal(10,2)",
+    "coverage_type": "string",
+    "trip_duration_days": "int",
+    "policy_status": "string",
+    "created_at": "timestamp_ntz",
+}
+
+FACT_CLAIMS = {
+    "claim_id": "bigint",
+    "policy_id": "bigint",
+    "customer_sk": "string",
+    "destination_sk": "string",
+    "broker_sk": "string",
+    "date_sk": "string",
+    "destination_country": "string",
+    "claim_type": "string",
+    "claim_amount": "decimal(12,2)",
+    "claim_status": "string",
+    "is_approved": "boolean",
+    "days_to_process": "int",
+    "claim_date": "date",
+    "processed_at": "timestamp_ntz",
+    "created_at": "timestamp_ntz",
+}
+
 # Flight message on the wire: field -> column type once decoded.
 FLIGHT_MESSAGE_FIELDS = {
     "icao24": "string",

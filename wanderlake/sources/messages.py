@@ -35,12 +35,15 @@ def decode_flights(messages: DataFrame, ingested_at: Column | None = None) -> Da
     parsed = F.from_json(
         text, f"{as_text}, `__broken` string", {"columnNameOfCorruptRecord": "__broken"}
     )
-    decoded = messages.select(
-        text.alias("raw_value"),
-        parsed.alias("__json"),
-        # Wrapped in brackets the text must be an array of exactly one value: this finds
-        # anything that follows the object, which from_json alone would ignore.
-        F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))).alias("__values"),
+    # Wrapped in brackets the text must be an array of exactly one value: this finds anything
+    # that follows the object, which from_json alone would ignore.
+    values = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
+    # Exploding a one-element array keeps a later filter from being pushed below the parser,
+    # where it would parse every message once per field it tests.
+    decoded = (
+        messages.select(text.alias("raw_value"), F.array(F.struct(parsed, values)).alias("__once"))
+        .select("raw_value", F.explode_outer("__once").alias("__once"))
+        .select("raw_value", F.col("__once.col1").alias("__json"), F.col("__once.col2").alias("__values"))
     )
     fits = F.lit(True)
     columns = []
@@ -78,7 +81,8 @@ def rejected_messages(decoded: DataFrame) -> DataFrame:
 def flight_states(responses: DataFrame) -> DataFrame:
     """State vectors of API responses; empty vectors and those without an aircraft go."""
     vectors = F.from_json("value", "states array<array<string>>").getField("states")
-    exploded = responses.select(F.explode(vectors).alias("state"))
+    # An outer explode parses once; a plain one would first filter on the parsed array's size.
+    exploded = responses.select(F.explode_outer(vectors).alias("state"))
     return exploded.filter(F.coalesce(F.get("state", F.lit(0)), F.lit("")) != "")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +34,16 @@ def write_table(
         writer.option("dbtable", name).save()
 
 
+def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The parquet table at ``path``, or None when no row was stored there yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def create_if_missing(spark: SparkSession, path: str, schema: str) -> None:
     """Give a table its fixed schema before its first load; an existing table is untouched."""
     spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
