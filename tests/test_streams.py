@@ -3,13 +3,15 @@ from __future__ import annotations
 import json
 from datetime import datetime, timedelta
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from wanderlake import schemas
 from wanderlake.plans import bronze
 from wanderlake.sources import messages
 from wanderlake.sources.tables import create_if_missing
-from wanderlake.streaming import flights, policies
+from wanderlake.streaming import flights, policies, topics
 
 T0 = datetime(2024, 1, 1)
 FLIGHT_DDL = schemas.ddl({**schemas.RAW_FLIGHTS, "on_ground": "string"})
@@ -119,3 +121,8 @@ def test_purchases_are_streamed_once(spark, folder):
     flights.start_sink(events, f"{folder}/t", f"{folder}/c").awaitTermination()
     keys = sorted(r["key"] for r in spark.read.schema(events.schema).parquet(f"{folder}/t").collect())
     assert keys == ["1", "2", "3"]
+
+
+def test_topics_need_their_connector(spark):
+    with pytest.raises(AnalysisException, match="kafka"):
+        topics.read_topic(spark, topics.FLIGHT_TOPIC, {"kafka.bootstrap.servers": "nowhere:1"}, 100)

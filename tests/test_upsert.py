@@ -102,3 +102,15 @@ def test_large_batch_against_brute_force(spark, folder):
     upsert(second, path, "id", keys_per_range=500)
     table = {i: "old" for i in range(5_000)} | {i: "new" for i in range(4_000, 9_000, 3)}
     assert {r["id"]: r["v"] for r in read_keyed(spark, path).collect()} == table
+
+
+def test_one_crowded_range_is_split_over_tasks(spark, folder):
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200kb")
+    try:
+        rows = spark.range(0, 60_000, 1, 8).select("id", F.sha2(F.col("id").cast("string"), 512).alias("v"))
+        upsert(rows, f"{folder}/t", "id", known_unique=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert len(list(Path(f"{folder}/t/{RANGE}=0").glob("*.parquet"))) > 4
+    assert read_keyed(spark, f"{folder}/t").count() == 60_000

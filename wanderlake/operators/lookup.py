@@ -107,13 +107,13 @@ def missing_parents(
 ) -> DataFrame:
     """Non-null child keys without a parent, with their row counts.
 
-    Counting per key first means a key shared by many rows crosses the shuffle once per
-    input task and joins as a single row.
+    Both sides are reduced to one row per key first, so a key shared by many rows crosses
+    the shuffle once per input task and joins as a single row.
     """
     counted = (
         children.filter(F.col(child_key).isNotNull())
         .groupBy(child_key)
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
-    known = parents.select(F.col(parent_key).alias("__parent"))
+    known = parents.select(F.col(parent_key).alias("__parent")).distinct()
     return counted.join(known, F.col(child_key) == F.col("__parent"), "left_anti")

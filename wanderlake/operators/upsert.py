@@ -19,7 +19,6 @@ from wanderlake.sources.tables import stored_table
 
 RANGE = "key_range"
 KEYS_PER_RANGE = 1_000_000
-FILES_PER_RANGE = 4
 
 
 class DuplicateKeys(ValueError):
@@ -78,12 +77,12 @@ def upsert(
     if not known_unique:
         _require_unique(ranged, key)
     if stored is None:
-        _write(ranged, path, key)
+        _write(ranged, path)
         return
     affected = stored
     if _same_columns(stored.drop(RANGE), updates):
         affected = stored.filter(_touched(ranged))
-    _write(merged(affected, ranged, key), path, key)
+    _write(merged(affected, ranged, key), path)
 
 
 def _touched(ranged: DataFrame) -> Column:
@@ -103,13 +102,11 @@ def _same_columns(stored: DataFrame, updates: DataFrame) -> bool:
     return shape(stored) == shape(updates)
 
 
-def _write(rows: DataFrame, path: str, key: str) -> None:
-    # A range holds at most keys_per_range rows, so a slice of it is a bounded task and one
-    # file; rows without a key have no such bound and are spread by their content.
-    number = F.coalesce(F.col(key).cast("bigint"), F.xxhash64(*rows.columns))
-    slices = F.when(F.col(key).isNull(), F.lit(64)).otherwise(F.lit(FILES_PER_RANGE))
+def _write(rows: DataFrame, path: str) -> None:
+    # Rebalancing gathers a range in few files, joins small ranges in one task, and splits
+    # whatever is larger than the advisory size, such as many rows without a key.
     (
-        rows.repartition(F.col(RANGE), F.pmod(number, slices))
+        rows.hint("rebalance", RANGE)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(RANGE)

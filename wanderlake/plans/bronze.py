@@ -16,7 +16,6 @@ from wanderlake.operators.latest import latest_per_key
 from wanderlake.sources.tables import stored_table
 
 DAY = "event_day"
-FILES_PER_DAY = 8
 
 
 def clean_flights(
@@ -139,9 +138,8 @@ def _on_days(days: list) -> Column:
 
 
 def _by_day(clean: DataFrame) -> DataFrame:
-    """Rows gathered by day, each day in a few files."""
-    slices = F.pmod(F.xxhash64("icao24", "event_timestamp"), F.lit(FILES_PER_DAY))
-    return clean.withColumn(DAY, F.to_date("event_timestamp")).repartition(DAY, slices)
+    """Rows gathered by day; a day larger than the advisory size is split over tasks."""
+    return clean.withColumn(DAY, F.to_date("event_timestamp")).hint("rebalance", DAY)
 
 
 def _stats_by_day(clean: DataFrame) -> DataFrame:

@@ -136,10 +136,10 @@ FLIGHT_COLUMNS = [
 ]
 
 
-def _clean_flights(seconds: int) -> str:
+def _clean_flights(seconds: int, source: str = "raw_flights") -> str:
     rest = [c for c in FLIGHT_COLUMNS if c not in ("icao24", "event_timestamp")]
     latest = _latest(
-        "raw_flights",
+        source,
         f"icao24, CAST(floor(epoch(event_timestamp) / {seconds}) AS BIGINT)",
         ["event_timestamp"],
         rest,
@@ -147,7 +147,7 @@ def _clean_flights(seconds: int) -> str:
     )
     return f"""
 SELECT icao24, callsign, origin_country, longitude, latitude, altitude, velocity, heading,
-       coalesce(lower(on_ground) IN ('true', '1', 'yes'), FALSE) AS on_ground,
+       coalesce(lower(CAST(on_ground AS VARCHAR)) IN ('true', '1', 'yes'), FALSE) AS on_ground,
        event_timestamp, {LANDING_AS_OF} AS ingested_at
 FROM ({latest}) WHERE latitude IS NOT NULL AND longitude IS NOT NULL
 """
@@ -163,13 +163,15 @@ FROM ({_latest("raw_policies", "policy_number", ["created_at"],
                ["policy_id", *[c for c in POLICY_REST if c != "policy_number"]], False)})
 """
 
-DAILY_STATS = """
+def _daily_stats(source: str) -> str:
+    return f"""
 SELECT CAST(event_timestamp AS DATE) AS flight_day, origin_country, count(*) AS flight_count,
        round(avg(altitude), 9) AS avg_altitude, round(avg(velocity), 9) AS avg_velocity,
        round(avg(CAST(on_ground AS INTEGER)) * 100, 9) AS pct_on_ground
-FROM clean_flights GROUP BY ALL
+FROM {source} GROUP BY ALL
 """
 
+
 STG_CUSTOMERS = f"""
 SELECT customer_id, trim(first_name) AS first_name, trim(last_name) AS last_name,
        lower(trim(email)) AS email, date_of_birth, trim(country_of_residence) AS country_of_residence,
@@ -292,6 +294,21 @@ def _twice(table: str, key: str) -> str:
     )
 
 
+WHOLE_MESSAGE = "event_id % 100 <> 0 AND event_id % 101 <> 0 AND event_id % 107 <> 0"
+
+
+def _short(column: str) -> str:
+    return f"CASE WHEN event_id % 103 <> 0 THEN {column} END AS {column.split('.')[-1]}"
+
+
+ACCEPTED = f"""
+SELECT icao24, {_short("callsign")}, {_short("origin_country")}, {_short("longitude")},
+       {_short("latitude")}, {_short("altitude")}, {_short("velocity")}, {_short("heading")},
+       CASE WHEN event_id % 103 <> 0 THEN on_ground = 'TRUE' END AS on_ground,
+       event_timestamp, {LANDING_AS_OF} AS ingested_at
+FROM raw_flights WHERE {WHOLE_MESSAGE}
+"""
+
 # name -> (SQL, names it reads)
 VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
     "raw_customers": (RAW_CUSTOMERS, ()),
@@ -302,7 +319,10 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
     "clean_flights": (_clean_flights(30), ("raw_flights",)),
     "clean_flights_1h": (_clean_flights(3600), ("raw_flights",)),
     "clean_policies": (CLEAN_POLICIES, ("raw_policies",)),
-    "daily_stats": (DAILY_STATS, ("clean_flights",)),
+    "daily_stats": (_daily_stats("clean_flights"), ("clean_flights",)),
+    "landed_flights": (ACCEPTED, ("raw_flights",)),
+    "landed_clean": (_clean_flights(30, "landed_flights"), ("landed_flights",)),
+    "landed_stats": (_daily_stats("landed_clean"), ("landed_clean",)),
     "stg_customers": (STG_CUSTOMERS, ("raw_customers",)),
     "stg_policies": (_stg_policies("raw_policies"), ("raw_policies",)),
     "stg_claims": (_stg_claims("raw_claims"), ("raw_claims",)),
@@ -497,22 +517,6 @@ FROM (SELECT *, {percent} AS match_percentage FROM ({counts}))
 """
 
 
-MESSAGE_TIME = "strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%f')"
-WHOLE_MESSAGE = "event_id % 100 <> 0 AND event_id % 101 <> 0 AND event_id % 107 <> 0"
-
-
-def _short(column: str) -> str:
-    return f"CASE WHEN event_id % 103 <> 0 THEN {column} END AS {column.split('.')[-1]}"
-
-
-ACCEPTED = f"""
-SELECT icao24, {_short("callsign")}, {_short("origin_country")}, {_short("longitude")},
-       {_short("latitude")}, {_short("altitude")}, {_short("velocity")}, {_short("heading")},
-       CASE WHEN event_id % 103 <> 0 THEN on_ground = 'TRUE' END AS on_ground,
-       event_timestamp, {LANDING_AS_OF} AS ingested_at
-FROM raw_flights WHERE {WHOLE_MESSAGE}
-"""
-
 REJECTED = """
 SELECT CASE WHEN event_id % 100 = 0 THEN '{"icao24": "' || icao24
             WHEN event_id % 101 = 0 THEN '[1]'
@@ -797,6 +801,8 @@ ORACLE: dict[str, str] = {
         f"SELECT o_orderkey, CASE o_orderkey % 5 WHEN 1 THEN date_trunc('day', {ORDER_TIME}) "
         f"WHEN 2 THEN NULL ELSE {ORDER_TIME} END AS parsed FROM orders"
     ),
+    "daily_run_policies": _all("fact_policies"),
+    "daily_run_flight_stats": _all("landed_stats"),
     "stream_flight_ingest": _with(ACCEPTED, "raw_flights"),
     "stream_flight_rejects": _with(REJECTED, "raw_flights"),
     "stream_flight_dedup": _with(

@@ -31,6 +31,7 @@ CUT = datetime(2026, 1, 1)  # first and second run of incremental jobs
 STREAM_DELAY = "1 hour"
 
 _star_roots: dict[tuple[str, str], str] = {}
+_daily_roots: dict[tuple[str, str], str] = {}
 
 
 def bronze_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -558,31 +559,48 @@ def stream_policy_events(spark, sf):
     )
 
 
+def daily_root(spark: SparkSession, sf: str) -> str:
+    """Folder of one whole daily run over an input folder, made on first use in a session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _daily_roots:
+        root = scratch_dir(spark, "daily")
+        raw = bronze_tables(spark, sf)
+        newest = raw["raw_broker_commissions"].filter(F.col("report_date") == F.lit("2024-01-02").cast("date"))
+        broker_files.write_drop(newest, f"{root}/drops", "2024-01-02")
+        landing = f"{root}/landing"
+        flight_stream.start_ingest(
+            fixtures.flight_message_stream(spark, sf), landing, f"{root}/landing-mark"
+        ).awaitTermination()
+        sources = {
+            "customers": raw["raw_customers"],
+            "policies": raw["raw_policies"],
+            "claims": raw["raw_claims"],
+        }
+        daily.run_daily(sources, f"{root}/drops", landing, f"{root}/lake", EVENTS_AS_OF)
+        _daily_roots[key] = root
+    return _daily_roots[key]
+
+
 def daily_run(spark, sf):
-    """The whole daily run over fresh folders; one row per step.
+    """The states of a daily run, one row per step.
 
     The inputs hold rows that break declared checks, so the quality step must report it and
     reconciliation must still run.
     """
-    root = scratch_dir(spark, "daily")
-    raw = bronze_tables(spark, sf)
-    broker_files.write_drop(
-        raw["raw_broker_commissions"].filter(F.col("report_date") == F.lit("2024-01-02").cast("date")),
-        f"{root}/drops",
-        "2024-01-02",
-    )
-    landing = f"{root}/landing"
-    flight_stream.start_ingest(
-        fixtures.flight_message_stream(spark, sf), landing, f"{root}/landing-mark"
-    ).awaitTermination()
-    sources = {
-        "customers": raw["raw_customers"],
-        "policies": raw["raw_policies"],
-        "claims": raw["raw_claims"],
-    }
-    status = daily.run_daily(sources, f"{root}/drops", landing, f"{root}/lake", EVENTS_AS_OF)
-    return status.select("step", "state")
+    reports = f"{daily_root(spark, sf)}/lake/reports/status_*"
+    return spark.read.schema(monitor.STATUS_SCHEMA).json(reports).select("step", "state")
+
 
+def daily_run_policies(spark, sf):
+    """The policy fact as the daily run stored it."""
+    return star.read_gold_table(spark, f"{daily_root(spark, sf)}/lake/gold", "fact_policies")
+
+
+def daily_run_flight_stats(spark, sf):
+    """The flight statistics of the daily run, from landed messages."""
+    path = f"{daily_root(spark, sf)}/lake/bronze/flight_daily_stats"
+    stats = bronze.read_flight_stats(spark, path)
+    return rounded(stats, "avg_altitude", "avg_velocity", "pct_on_ground")
 
 
 QUERIES: dict[str, Query] = {
@@ -605,5 +623,6 @@ QUERIES: dict[str, Query] = {
         partition_lag, stream_lag, landing_freshness, calendar_parts, commissions,
         parsed_timestamps, stream_flight_ingest, stream_flight_rejects, stream_flight_dedup,
         stream_flight_states, stream_policy_events, daily_run,
+        daily_run_policies, daily_run_flight_stats,
     )
 }

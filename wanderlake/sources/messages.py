@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -137,15 +136,3 @@ def _plain(field: T.StructField) -> Column:
     if isinstance(field.dataType, T.DecimalType):
         return column.cast("double")
     return column
-
-
-def kafka_messages(options: Mapping[str, str], spark, topic: str) -> DataFrame:
-    """Stream of a topic from its earliest offset (needs the Kafka package on the cluster)."""
-    return (
-        spark.readStream.format("kafka")
-        .options(**options)
-        .option("subscribe", topic)
-        .option("startingOffsets", "earliest")
-        .load()
-        .select("key", "value")
-    )

@@ -53,7 +53,8 @@ def landed_rejects(spark: SparkSession, table_path: str) -> DataFrame:
 def deduplicate(flights: DataFrame, width: str = "30 seconds", delay: str = "10 minutes") -> DataFrame:
     """Streaming form of the flight cleaning: latest event per aircraft and time bucket.
 
-    The position test again follows the choice of the latest event.
+    The position test again follows the choice of the latest event. An event without a time
+    belongs to no window; the batch job covers those.
     """
     latest = latest_per_window(flights, ["icao24"], "event_timestamp", width, delay)
     return latest.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).withColumn(
