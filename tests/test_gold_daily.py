@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.test_ingest import brokers as broker_rows
@@ -123,3 +124,45 @@ def test_a_failed_step_blocks_the_next(spark, folder):
     status = daily.run_daily(sources, f"{folder}/no-drops", f"{folder}/landing", f"{folder}/lake", NOW)
     states = {r["step"]: r["state"] for r in status.collect()}
     assert states["load_broker_file"] == "failed" and states["build_gold"] == "upstream_failed"
+
+
+def test_join_plans_by_size_give_the_same_facts(spark, folder, monkeypatch):
+    """Small tables, few facts and large on both sides: three plans, one result."""
+    day1, day2 = NOW - timedelta(days=1), NOW
+    first = bronze_of(spark, policies(spark, range(30), day1), claims(spark, [(i, i % 7) for i in range(30)], day1))
+    second = bronze_of(
+        spark,
+        first["raw_policies"].union(policies(spark, range(20, 50), day2, "uk")),
+        first["raw_claims"].union(claims(spark, [(i, i) for i in range(25, 60)], day2)),
+    )
+
+    def result(name, rule):
+        monkeypatch.setattr(star, "small_enough", rule)
+        for run_input in (first, second):
+            star.build_star(run_input, f"{folder}/{name}", NOW)
+        return [
+            sorted(map(repr, star.read_gold_table(spark, f"{folder}/{name}", t).collect()))
+            for t in ("fact_policies", "fact_claims")
+        ]
+
+    def only_batches(table):
+        is_fact = "customer_sk" in table.columns
+        return not is_fact and ("claim_type" in table.columns or "coverage_type" in table.columns)
+
+    small = result("small", lambda table: True)
+    assert result("few", only_batches) == small
+    assert result("large", lambda table: False) == small
+
+
+def test_a_run_cut_short_is_repeated(spark, folder, monkeypatch):
+    day1, day2 = NOW - timedelta(days=1), NOW
+    first = bronze_of(spark, policies(spark, [1], day1), claims(spark, [(1, 1)], day1))
+    star.build_star(first, folder, NOW)
+    grown = first["raw_policies"].union(policies(spark, [2, 3], day2))
+    with monkeypatch.context() as patch:
+        patch.setattr(star, "save_state", lambda *_: (_ for _ in ()).throw(RuntimeError("lost driver")))
+        with pytest.raises(RuntimeError):
+            star.update_policies(grown, folder)
+    late = grown.union(policies(spark, [4], day2))
+    star.update_policies(late, folder)
+    assert sorted(r["policy_id"] for r in star.read_gold_table(spark, folder, "fact_policies").collect()) == [1, 2, 3, 4]

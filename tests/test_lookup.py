@@ -85,3 +85,12 @@ def test_missing_parents(spark):
     parents = spark.createDataFrame([(1,), (None,)], "id bigint")
     rows = missing_parents(children, "fk", parents, "id").collect()
     assert sorted(map(tuple, rows)) == [(2, 2), (3, 1)]
+
+
+def test_few_facts_leave_the_large_table_where_it_is(spark, no_broadcast):
+    facts, table = skewed(spark, 600), dimension(spark)
+    joined = lookup(facts, table, F.col("k"), "key", few_facts=True)
+    plain = lookup(facts, table, F.col("k"), "key")
+    assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
+    plan = plan_of(joined)
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan

@@ -10,7 +10,7 @@ from tests.conftest import plan_of
 from wanderlake.operators.upsert import (
     RANGE,
     DuplicateKeys,
-    _touched,
+    in_ranges,
     read_keyed,
     upsert,
     watermark,
@@ -59,7 +59,7 @@ def test_only_touched_ranges_are_written_and_read(spark, folder):
         frame(spark, [(5, "a", T1), (15, "A", T2), (17, "n", T2), (25, "a", T1)])
     )
     batch = spark.createDataFrame([(1,), (None,)], f"{RANGE} bigint")
-    plan = plan_of(stored_table(spark, path).filter(_touched(batch)))
+    plan = plan_of(stored_table(spark, path).filter(in_ranges(batch)))
     assert "PartitionFilters: [(" in plan and RANGE in plan.split("PartitionFilters")[1]
 
 

@@ -70,13 +70,16 @@ def lookup(
     hot: HotKeys = NO_HOT_KEYS,
     salt_by: Sequence[str] = (),
     small: bool = False,
+    few_facts: bool = False,
 ) -> DataFrame:
     """Left join to a table that holds each key once; a NULL key never matches.
 
-    ``small`` marks a table whose size was checked: it is broadcast. Otherwise Catalyst
-    chooses by the size it knows, and if it shuffles, hot fact keys (and NULLs, when they
-    are many) are spread over ``hot.spread`` partitions by a hash of ``salt_by``, while the
-    table repeats the rows of those few keys once per salt.
+    Checked sizes choose the plan. A ``small`` table is broadcast. For ``few_facts`` the
+    table is first cut down to the facts' keys without moving it, which leaves at most one
+    row per fact to broadcast. Otherwise Catalyst chooses by the size it knows, and if it
+    shuffles, hot fact keys (and NULLs, when they are many) are spread over ``hot.spread``
+    partitions by a hash of ``salt_by``, while the table repeats the rows of those few keys
+    once per salt.
     """
     kept = [c for c in table.columns if c != table_key]
     right = table.select(F.col(table_key).alias("__key"), *kept)
@@ -85,6 +88,10 @@ def lookup(
     values = hot.of(name)
     if small:
         right = F.broadcast(right)
+    elif few_facts:
+        wanted = left.select(F.col("__fact_key").alias("__wanted")).distinct()
+        right = right.join(F.broadcast(wanted), F.col("__key") == F.col("__wanted"), "left_semi")
+        right = F.broadcast(right)
     elif values or name in hot.nulls:
         spread = F.pmod(F.xxhash64(*salt_by), F.lit(hot.spread)).cast("int")
         is_hot = F.lit(False)

@@ -19,6 +19,7 @@ from wanderlake.sources.tables import stored_table
 
 RANGE = "key_range"
 KEYS_PER_RANGE = 1_000_000
+PRUNE_UP_TO = 10_000
 
 
 class DuplicateKeys(ValueError):
@@ -69,7 +70,7 @@ def upsert(
     """
     spark = updates.sparkSession
     stored = stored_table(spark, path)
-    ranged = updates.withColumn(RANGE, F.floor(F.col(key) / keys_per_range).cast("bigint"))
+    ranged = updates.withColumn(RANGE, range_of(F.col(key), keys_per_range))
     if stored is not None or not known_unique:
         staging = scratch_dir(spark, "upsert")
         ranged.write.parquet(staging)
@@ -81,18 +82,24 @@ def upsert(
         return
     affected = stored
     if _same_columns(stored.drop(RANGE), updates):
-        affected = stored.filter(_touched(ranged))
+        affected = stored.filter(in_ranges(ranged.select(RANGE)))
     _write(merged(affected, ranged, key), path)
 
 
-def _touched(ranged: DataFrame) -> Column:
-    """Static partition filter for the ranges of a batch.
+def in_ranges(ranges: DataFrame) -> Column:
+    """Static partition filter for the listed ranges; being literal, it prunes the scan.
 
-    The list is as short as the table has partitions, and being literal it prunes the scan.
+    A list too long to be worth it selects the whole table, which is only slower.
     """
-    ranges = [row[RANGE] for row in ranged.select(RANGE).distinct().collect()]
-    inside = F.col(RANGE).isin([r for r in ranges if r is not None])
-    return inside | F.col(RANGE).isNull() if None in ranges else inside
+    touched = [row[0] for row in ranges.distinct().limit(PRUNE_UP_TO + 1).collect()]
+    if len(touched) > PRUNE_UP_TO:
+        return F.lit(True)
+    inside = F.col(RANGE).isin([r for r in touched if r is not None])
+    return inside | F.col(RANGE).isNull() if None in touched else inside
+
+
+def range_of(key: Column, keys_per_range: int = KEYS_PER_RANGE) -> Column:
+    return F.floor(key / keys_per_range).cast("bigint")
 
 
 def _same_columns(stored: DataFrame, updates: DataFrame) -> bool:

@@ -111,10 +111,12 @@ def fact_policies(
     dates: DataFrame,
     hot: HotKeys = NO_HOT_KEYS,
     small: Collection[str] = (),
+    few: bool = False,
 ) -> DataFrame:
     """Policies with the keys of their dimensions; an unmatched policy keeps NULL keys.
 
-    ``small`` names the dimensions whose size was checked and that may be broadcast.
+    ``small`` names the dimensions that were counted and may be broadcast; ``few`` tells
+    that the policies themselves were counted and are no more than that.
     """
     dimensions = {"customer": customers, "destination": destinations, "broker": brokers}
     joined = policies
@@ -122,7 +124,7 @@ def fact_policies(
         wanted = F.upper(natural_key) if name == "destination" else F.col(natural_key)
         table = dimensions[name].select(F.col(natural_key).alias("__natural"), surrogate)
         joined = lookup(
-            joined, table, wanted, "__natural", name, hot, ["policy_id"], name in small
+            joined, table, wanted, "__natural", name, hot, ["policy_id"], name in small, few
         )
     # The calendar has one row per day of a fixed span, so its size does not grow with data.
     calendar = F.broadcast(dates.select("date_day", "date_sk"))
@@ -152,12 +154,16 @@ def claim_hot_keys(claims: DataFrame) -> HotKeys:
 
 
 def fact_claims(
-    claims: DataFrame, policies: DataFrame, hot: HotKeys = NO_HOT_KEYS, small: bool = False
+    claims: DataFrame,
+    policies: DataFrame,
+    hot: HotKeys = NO_HOT_KEYS,
+    small: bool = False,
+    few: bool = False,
 ) -> DataFrame:
     """Claims with the keys of their policy; NULL keys when the policy is not there (yet)."""
     table = policies.select(F.col("policy_id").alias("__natural"), *INHERITED)
     joined = lookup(
-        claims, table, F.col("policy_id"), "__natural", "policy", hot, ["claim_id"], small
+        claims, table, F.col("policy_id"), "__natural", "policy", hot, ["claim_id"], small, few
     )
     return joined.select(
         "claim_id",

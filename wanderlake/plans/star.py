@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wanderlake import schemas
 from wanderlake.fixed_values import WATERMARK_DEFAULT
 from wanderlake.operators.lookup import NO_HOT_KEYS, small_enough
-from wanderlake.operators.upsert import read_keyed, upsert, watermark
+from wanderlake.operators.upsert import RANGE, in_ranges, range_of, read_keyed, upsert, watermark
 from wanderlake.plans import gold, silver
+from wanderlake.session import scratch_dir
+from wanderlake.sources.extract import load_state, save_state
 
 DIMENSIONS = ("dim_customers", "dim_destinations", "dim_brokers", "dim_date")
+POLICY_COLUMNS = schemas.ddl(schemas.FACT_POLICIES)
 FACTS = {"fact_policies": schemas.FACT_POLICIES, "fact_claims": schemas.FACT_CLAIMS}
 
 
@@ -46,12 +50,9 @@ def build_dimensions(bronze: Mapping[str, DataFrame], root: str, as_of: datetime
 def update_policies(raw_policies: DataFrame, root: str, lookback: timedelta = timedelta(0)) -> None:
     """Upsert the policies created after the newest one already in the fact.
 
-    ``lookback`` reads that much further back, for rows that arrived late. Dimensions are
-    broadcast where their row count allows it; only for the others are hot keys looked for.
+    ``lookback`` reads that much further back, for rows that arrived late.
     """
     spark = raw_policies.sparkSession
-    path = f"{root}/fact_policies"
-    since = _since(read_keyed(spark, path), lookback)
     tables = {name: spark.read.parquet(f"{root}/{name}") for name in DIMENSIONS}
     by_name = {
         "customer": tables["dim_customers"],
@@ -60,13 +61,12 @@ def update_policies(raw_policies: DataFrame, root: str, lookback: timedelta = ti
     }
     small = [name for name, table in by_name.items() if small_enough(table)]
     large = [name for name in by_name if name not in small]
-    hot = NO_HOT_KEYS
-    if large:
-        hot = gold.policy_hot_keys(silver.changed_since(raw_policies, since), large)
-    rows = gold.fact_policies(
-        silver.policies(raw_policies, since), *by_name.values(), tables["dim_date"], hot, small
-    )
-    upsert(rows, path, "policy_id", known_unique=True)
+
+    def resolve(batch: DataFrame, few: bool, keys: DataFrame) -> DataFrame:
+        hot = gold.policy_hot_keys(keys, large) if large and not few else NO_HOT_KEYS
+        return gold.fact_policies(batch, *by_name.values(), tables["dim_date"], hot, small, few)
+
+    _update(raw_policies, silver.policies, resolve, root, "fact_policies", "policy_id", lookback)
 
 
 def update_claims(raw_claims: DataFrame, root: str, lookback: timedelta = timedelta(0)) -> None:
@@ -75,21 +75,62 @@ def update_claims(raw_claims: DataFrame, root: str, lookback: timedelta = timede
     A claim that comes before its policy keeps NULL keys until the claim itself is sent again.
     """
     spark = raw_claims.sparkSession
-    path = f"{root}/fact_claims"
-    since = _since(read_keyed(spark, path), lookback)
     policies = read_gold_table(spark, root, "fact_policies")
     small = small_enough(policies)
-    hot = NO_HOT_KEYS
-    if not small:
-        hot = gold.claim_hot_keys(silver.changed_since(raw_claims, since))
-    rows = gold.fact_claims(silver.claims(raw_claims, since), policies, hot, small)
-    upsert(rows, path, "claim_id", known_unique=True)
-
 
-def _since(stored: DataFrame | None, lookback: timedelta) -> datetime | None:
+    def resolve(batch: DataFrame, few: bool, keys: DataFrame) -> DataFrame:
+        parents = policies
+        if few and not small:
+            # Only the ranges of the batch's policies are scanned.
+            stored = spark.read.schema(f"{POLICY_COLUMNS}, {RANGE} bigint").parquet(f"{root}/fact_policies")
+            parents = stored.filter(in_ranges(batch.select(range_of(F.col("policy_id")))))
+        hot = NO_HOT_KEYS if small or few else gold.claim_hot_keys(keys)
+        return gold.fact_claims(batch, parents, hot, small, few)
+
+    _update(raw_claims, silver.claims, resolve, root, "fact_claims", "claim_id", lookback)
+
+
+def _update(
+    raw: DataFrame,
+    standardise: Callable[[DataFrame, datetime | None], DataFrame],
+    resolve: Callable[[DataFrame, bool, DataFrame], DataFrame],
+    root: str,
+    name: str,
+    key: str,
+    lookback: timedelta,
+) -> None:
+    """Bring one fact up to date.
+
+    An incremental batch is stored once: its size then chooses the joins, and the joins, the
+    sketch and the new mark read it instead of repeating the deduplication. A first load is
+    as large as the fact and goes straight through; its keys are looked at in BRONZE. The
+    mark is noted after the upsert, so a run that was cut short is repeated in full.
+    """
+    spark = raw.sparkSession
+    path, marks = f"{root}/{name}", f"{root}/marks"
+    since = _newest(spark, path, marks, name)
+    if since is None:
+        upsert(resolve(standardise(raw, None), False, raw), path, key, known_unique=True)
+        mark = watermark(read_gold_table(spark, root, name), "created_at", WATERMARK_DEFAULT)
+    else:
+        staging = scratch_dir(spark, name)
+        standardise(raw, since - lookback).write.parquet(staging)
+        batch = spark.read.parquet(staging)
+        upsert(resolve(batch, small_enough(batch), batch), path, key, known_unique=True)
+        mark = max(since, watermark(batch, "created_at", WATERMARK_DEFAULT))
+    save_state(spark, marks, {name: mark})
+
+
+def _newest(spark: SparkSession, path: str, marks: str, name: str) -> datetime | None:
+    """Creation time of the fact's newest row; None before its first rows.
+
+    Normally it was noted by the last run; without a note the fact is asked.
+    """
+    stored = read_keyed(spark, path)
     if stored is None:
         return None
-    return watermark(stored, "created_at", WATERMARK_DEFAULT) - lookback
+    noted = load_state(spark, marks).get(name)
+    return noted or watermark(stored, "created_at", WATERMARK_DEFAULT)
 
 
 def build_star(bronze: Mapping[str, DataFrame], root: str, as_of: datetime) -> None:
