@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import contextlib
+import io
 import sys
 from pathlib import Path
 
@@ -29,4 +31,8 @@ def folder(tmp_path):
 
 
 def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The physical plan as explain prints it."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain()
+    return out.getvalue()

@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import hashlib
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from tests.conftest import plan_of
 from wanderlake.fixed_values import (
     CLEANING_TRUE_TEXT,
     CONTINENT_BY_DESTINATION,
@@ -71,8 +72,7 @@ def test_timestamp_text_does_not_depend_on_the_zone(spark):
 
 def test_timestamp_of_leaves_timestamps_alone(spark):
     df = spark.createDataFrame([(datetime(2024, 1, 1), "x")], "a timestamp_ntz, b string")
-    plan = df.select(times.timestamp_of(df, "a").alias("a"))._jdf.queryExecution().optimizedPlan().toString()
-    assert "cast" not in plan.lower()
+    assert "cast" not in plan_of(df.select(times.timestamp_of(df, "a").alias("a")))
 
 
 def test_age(spark):
@@ -127,3 +127,19 @@ def test_surrogate_key(spark):
     pair = text.surrogate_key(F.col("a"), F.col("b"))
     wanted = hashlib.md5(f"x-{SURROGATE_NULL}".encode()).hexdigest()
     assert values(spark, [("x", None)], "a string, b string", pair) == [wanted]
+
+
+def test_wall_clock_rules_do_not_depend_on_the_zone(spark):
+    skipped_hour = datetime(2024, 3, 10, 2, 30, 15, 120_000)  # not a time in New York
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(skipped_hour,)], "x timestamp_ntz")
+        start, text_, now = df.select(
+            times.bucket_start(F.col("x"), 30), times.iso_text(F.col("x")), times.utc_now()
+        ).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert start == datetime(2024, 3, 10, 2, 30)
+    assert text_ == skipped_hour.isoformat()
+    assert abs((datetime.now(timezone.utc).replace(tzinfo=None) - now).total_seconds()) < 120

@@ -126,3 +126,14 @@ def test_purchases_are_streamed_once(spark, folder):
 def test_topics_need_their_connector(spark):
     with pytest.raises(AnalysisException, match="kafka"):
         topics.read_topic(spark, topics.FLIGHT_TOPIC, {"kafka.bootstrap.servers": "nowhere:1"}, 100)
+
+
+def test_message_files_in_bounded_batches(spark, folder):
+    for icao in ("a", "b", "c"):
+        df = spark.createDataFrame([(icao, message(icao))], "key string, value string")
+        topics.write_message_files(df.coalesce(1), f"{folder}/in")
+    source = topics.read_message_files(spark, f"{folder}/in", max_files_per_batch=1)
+    query = flights.start_ingest(source, f"{folder}/t", f"{folder}/c")
+    query.awaitTermination()
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [1, 1, 1]
+    assert sorted(r["icao24"] for r in flights.landed_flights(spark, f"{folder}/t").collect()) == ["a", "b", "c"]

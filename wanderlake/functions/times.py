@@ -14,11 +14,27 @@ EPOCH_MILLIS_BELOW = 31_536_000_000_000
 EPOCH_MICROS_BELOW = 31_536_000_000_000_000
 
 
+def _epoch() -> Column:
+    return F.lit("1970-01-01").cast("timestamp_ntz")
+
+
 def moment(as_of: datetime) -> Column:
     """A fixed zone-less point in time."""
     return F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def utc_now() -> Column:
+    """The query's start as zone-less UTC, whatever the session's zone."""
+    now = F.current_timestamp().cast("timestamp_ntz")
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), now)
+
+
+def iso_text(ts: Column) -> Column:
+    """ISO 8601 text of a zone-less time; six digits of fraction when there is one."""
+    text = F.replace(ts.cast("string"), F.lit(" "), F.lit("T"))
+    return F.when(text.contains("."), F.rpad(text, 26, "0")).otherwise(text)
+
+
 def parse_timestamp_text(value: Column) -> Column:
     """Zone-less timestamp from text; a zone suffix is dropped, bad text gives NULL."""
     number = value.try_cast("bigint")
@@ -32,7 +48,7 @@ def parse_timestamp_text(value: Column) -> Column:
     seconds = (micros.cast("decimal(24,6)") / 1_000_000).cast("decimal(18,6)")
     since_epoch = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
     return F.when(
-        value.rlike(r"^\s*-?\d+\s*$"), F.lit("1970-01-01").cast("timestamp_ntz") + since_epoch
+        value.rlike(r"^\s*-?\d+\s*$"), _epoch() + since_epoch
     ).otherwise(value.try_cast("timestamp_ntz"))
 
 
@@ -47,13 +63,19 @@ def timestamp_of(df: DataFrame, name: str) -> Column:
     return F.col(name).try_cast("timestamp_ntz")
 
 
+def seconds_between(start: Column, end: Column) -> Column:
+    """Whole seconds between zone-less times; the session's zone plays no part."""
+    return (end - start).cast("interval second").cast("bigint")
+
+
 def bucket_number(ts: Column, seconds: int) -> Column:
-    """Number of the epoch bucket a timestamp falls in, cut toward zero; NULL stays NULL."""
-    return F.call_function("div", F.unix_timestamp(ts), F.lit(seconds).cast("bigint"))
+    """Number of the epoch bucket a wall-clock time falls in, cut toward zero; NULL stays NULL."""
+    return F.call_function("div", seconds_between(_epoch(), ts), F.lit(seconds).cast("bigint"))
 
 
 def bucket_start(ts: Column, seconds: int) -> Column:
-    return F.timestamp_seconds(bucket_number(ts, seconds) * seconds).cast("timestamp_ntz")
+    offset = (bucket_number(ts, seconds) * seconds).cast("decimal(18,6)")
+    return _epoch() + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), offset)
 
 
 def days_between(start: Column, end: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from wanderlake.fixed_values import CLEANING_TRUE_TEXT, DEDUP_SECONDS
 from wanderlake.functions.numbers import decimal_or_null
 from wanderlake.functions.text import is_true_text, trim_strings
-from wanderlake.functions.times import bucket_number, moment
+from wanderlake.functions.times import bucket_number, moment, utc_now
 from wanderlake.operators.latest import latest_per_key
 from wanderlake.sources.tables import stored_table
 
@@ -31,7 +31,7 @@ def clean_flights(
         ["icao24", bucket_number(F.col("event_timestamp"), seconds)],
         ["event_timestamp"],
     )
-    stamp = F.current_timestamp().cast("timestamp_ntz") if as_of is None else moment(as_of)
+    stamp = utc_now() if as_of is None else moment(as_of)
     return latest.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).withColumns(
         {
             "on_ground": is_true_text(F.col("on_ground"), CLEANING_TRUE_TEXT, ignore_case=True),

@@ -17,7 +17,7 @@ from wanderlake.fixed_values import (
     POLICY_STATUSES,
     WARN_HOURS,
 )
-from wanderlake.functions.times import moment
+from wanderlake.functions.times import moment, seconds_between
 from wanderlake.operators.lookup import missing_parents
 
 REPORT_COLUMNS = ("table_name", "check_name", "column_name", "failures", "status")
@@ -229,7 +229,7 @@ def freshness(
     for name, (df, loaded_at) in sources.items():
         newest = df.agg(F.max(F.col(loaded_at).cast("timestamp_ntz")).alias("max_loaded_at"))
         parts.append(newest.select(F.lit(name).alias("source_name"), "max_loaded_at"))
-    age = F.timestamp_diff("SECOND", F.col("max_loaded_at"), moment(as_of))
+    age = seconds_between(F.col("max_loaded_at"), moment(as_of))
     return _union(parts).select(
         "source_name",
         "max_loaded_at",

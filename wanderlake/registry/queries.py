@@ -492,7 +492,7 @@ def parsed_timestamps(spark, sf):
         F.when(key % 5 == 0, F.concat(F.date_format(moment_, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+05:30")))
         .when(key % 5 == 1, F.date_format(moment_, "yyyy-MM-dd"))
         .when(key % 5 == 2, F.concat(F.lit("on "), plain))
-        .when(key % 5 == 3, F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), moment_).cast("string"))
+        .when(key % 5 == 3, times.seconds_between(times.moment(datetime(1970, 1, 1)), moment_).cast("string"))
         .otherwise(plain)
     )
     orders = fixtures.read(spark, sf, "orders").select("o_orderkey", text.alias("text"))

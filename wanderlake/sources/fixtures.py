@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wanderlake.functions.times import iso_text
+
 SHIFT_DAYS = 10_227  # 28 years: 1995 becomes 2023
 
 COUNTRIES = (
@@ -232,7 +234,7 @@ def _stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def _messages(events: DataFrame) -> DataFrame:
     rows = events.select("event_id", *_flight_columns())
     key = F.col("event_id")
-    stamp = F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp")
+    stamp = iso_text(F.col("event_timestamp")).alias("timestamp")
     telemetry = ["longitude", "latitude", "altitude", "velocity", "heading"]
     ground = (F.col("on_ground") == "TRUE").alias("on_ground")
     whole = F.to_json(

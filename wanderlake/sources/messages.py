@@ -10,16 +10,10 @@ from pyspark.sql import types as T
 
 from wanderlake.fixed_values import POLICY_EVENT_TYPE
 from wanderlake.functions.text import ALL_WHITE_SPACE
-from wanderlake.functions.times import moment
+from wanderlake.functions.times import iso_text, moment, utc_now
 from wanderlake.schemas import FLIGHT_MESSAGE_FIELDS, STATE_VECTOR_POSITIONS
 
 KEEP_NULLS = {"ignoreNullFields": "false"}
-ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-
-
-def iso_text(ts: Column) -> Column:
-    """ISO 8601 text; a fraction is written only when there is one."""
-    return F.regexp_replace(F.date_format(ts, ISO_MICROS), r"\.000000$", "")
 
 
 def decode_flights(messages: DataFrame, ingested_at: Column | None = None) -> DataFrame:
@@ -61,9 +55,7 @@ def decode_flights(messages: DataFrame, ingested_at: Column | None = None) -> Da
     )
     return decoded.select(
         *columns,
-        (F.current_timestamp() if ingested_at is None else ingested_at)
-        .cast("timestamp_ntz")
-        .alias("ingested_at"),
+        (utc_now() if ingested_at is None else ingested_at).alias("ingested_at"),
         F.coalesce(whole & fits, F.lit(False)).alias("accepted"),
         "raw_value",
     )
@@ -97,7 +89,7 @@ def normalise_states(states: DataFrame, as_of: datetime | None = None) -> DataFr
         F.size("state") > STATE_VECTOR_POSITIONS["callsign"],
         F.btrim(F.coalesce(at("callsign"), F.lit("")), F.lit(ALL_WHITE_SPACE)),
     )
-    now = F.current_timestamp().cast("timestamp_ntz") if as_of is None else moment(as_of)
+    now = utc_now() if as_of is None else moment(as_of)
     return states.select(
         at("icao24").alias("icao24"),
         callsign.alias("callsign"),
@@ -118,7 +110,7 @@ def keyed_json(records: DataFrame, key: str) -> DataFrame:
 
 def policy_records(policies: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Policies as event records: ISO dates and times, plain numbers, event time and type."""
-    now = F.current_timestamp().cast("timestamp_ntz") if as_of is None else moment(as_of)
+    now = utc_now() if as_of is None else moment(as_of)
     fields = [_plain(f).alias(f.name) for f in policies.schema.fields]
     return policies.select(
         *fields,

@@ -12,6 +12,7 @@ from wanderlake.functions.times import hours_before
 from wanderlake.operators.ranking import top_rows
 from wanderlake.sources.messages import keyed_json, policy_records
 from wanderlake.sources.tables import create_if_missing
+from wanderlake.streaming.topics import write_message_files
 
 SENT_SCHEMA = "policy_id bigint"
 
@@ -55,7 +56,7 @@ def publish_due(policies: DataFrame, as_of: datetime, topic_path: str, sent_path
     spark = policies.sparkSession
     create_if_missing(spark, sent_path, SENT_SCHEMA)
     due, again = due_policies(recent_policies(policies, as_of), spark.read.parquet(sent_path))
-    policy_messages(due, as_of).write.mode("append").json(topic_path)
+    write_message_files(policy_messages(due, as_of), topic_path)
     due.select("policy_id").write.mode("overwrite" if again else "append").parquet(sent_path)
 
 

@@ -1,4 +1,4 @@
-"""Message topics on Kafka; the connector package must be on the cluster's classpath."""
+"""Message topics: Kafka where its package is installed, else folders of message files."""
 
 from __future__ import annotations
 
@@ -45,3 +45,18 @@ def start_topic(
         .option("checkpointLocation", checkpoint)
         .start()
     )
+
+
+def read_message_files(
+    spark: SparkSession, path: str, max_files_per_batch: int | None = None
+) -> DataFrame:
+    """(key, value) stream of the message files in a folder, oldest first."""
+    reader = spark.readStream.schema("key string, value string")
+    if max_files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+    return reader.json(path)
+
+
+def write_message_files(messages: DataFrame, path: str) -> None:
+    """Add a batch of (key, value) messages to a folder, one JSON line each."""
+    messages.select("key", "value").write.mode("append").json(path)
