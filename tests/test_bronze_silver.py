@@ -177,28 +177,43 @@ def test_refresh_computes_only_days_with_new_rows(spark, folder):
 
     first = [at("a", 1, 1, landed), at("b", 2, 1, landed), at("c", None, 1, landed)]
     run1, run2 = datetime(2024, 1, 2, 6), datetime(2024, 1, 3, 6)
-    bronze.refresh_flights(spark.createDataFrame(first, FLIGHTS), f"{folder}/f", f"{folder}/s", run1)
+    bronze.refresh_flights(spark.createDataFrame(first, FLIGHTS), folder, run1)
     grown = [*first, at("a", 2, 2, datetime(2024, 1, 2, 7)), at("c", None, 2, datetime(2024, 1, 2, 8))]
     raw = spark.createDataFrame(grown, FLIGHTS)
-    bronze.refresh_flights(raw, f"{folder}/f", f"{folder}/s", run2)
-    stored = bronze.read_clean_flights(spark, f"{folder}/f", raw)
+    bronze.refresh_flights(raw, folder, run2)
+    stored = bronze.read_clean_flights(raw, folder)
     whole = bronze.clean_flights(raw, run2)
     assert sorted(map(repr, stored.drop("ingested_at").collect())) == sorted(map(repr, whole.drop("ingested_at").collect()))
     stamps = {(r["icao24"], r["event_timestamp"] and r["event_timestamp"].day): r["ingested_at"] for r in stored.collect()}
     assert stamps == {("a", 1): run1, ("b", 2): run2, ("a", 2): run2, ("c", None): run2}
-    stats = bronze.read_flight_stats(spark, f"{folder}/s")
+    stats = bronze.read_flight_stats(spark, folder)
     assert sorted(map(repr, stats.collect())) == sorted(map(repr, bronze.flight_daily_stats(whole).collect()))
 
 
+def test_refresh_repeats_a_run_that_was_cut_short(spark, folder, monkeypatch):
+    raw = spark.createDataFrame([flight("a", 1)], FLIGHTS)
+    bronze.refresh_flights(raw, folder, NOW)
+    grown = raw.union(spark.createDataFrame([flight("b", 1)], FLIGHTS))
+    with monkeypatch.context() as patch:
+        patch.setattr(bronze, "_stats_by_day", lambda *_: (_ for _ in ()).throw(RuntimeError("lost driver")))
+        try:
+            bronze.refresh_flights(grown, folder, datetime(2025, 1, 1, 1))
+        except RuntimeError:
+            pass
+    assert bronze.read_flight_stats(spark, folder).first()["flight_count"] == 1
+    bronze.refresh_flights(grown, folder, datetime(2025, 1, 9))
+    assert bronze.read_flight_stats(spark, folder).first()["flight_count"] == 2
+
+
 def test_refresh_drops_a_day_that_lost_its_last_row(spark, folder):
     first = flight("a", 1)
     later = flight("a", 2, lat=None)  # newer, in the same bucket, without a position
-    bronze.refresh_flights(spark.createDataFrame([first], FLIGHTS), f"{folder}/f", f"{folder}/s", NOW)
+    bronze.refresh_flights(spark.createDataFrame([first], FLIGHTS), folder, NOW)
     raw = spark.createDataFrame([first, later], FLIGHTS)
-    assert bronze.read_clean_flights(spark, f"{folder}/f", raw).count() == 1
-    bronze.refresh_flights(raw, f"{folder}/f", f"{folder}/s", datetime(2025, 1, 2))
-    assert bronze.read_clean_flights(spark, f"{folder}/f", raw).count() == 0
-    assert bronze.read_flight_stats(spark, f"{folder}/s").count() == 0
+    assert bronze.read_clean_flights(raw, folder).count() == 1
+    bronze.refresh_flights(raw, folder, datetime(2025, 1, 2))
+    assert bronze.read_clean_flights(raw, folder).count() == 0
+    assert bronze.read_flight_stats(spark, folder).count() == 0
 
 
 def test_refresh_reads_only_the_touched_days(spark, folder):

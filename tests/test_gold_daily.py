@@ -102,7 +102,7 @@ def test_daily_run(spark, folder):
     assert set(states.values()) == {"success"} and len(states) == 7
     assert star.read_gold_table(spark, f"{folder}/lake/gold", "fact_claims").count() == 20
     assert spark.read.json(f"{folder}/lake/reports/reconciliation").count() == 3
-    assert bronze.read_flight_stats(spark, f"{folder}/lake/bronze/flight_daily_stats").count() == 0
+    assert bronze.read_flight_stats(spark, f"{folder}/lake/bronze").count() == 0
 
 
 def test_failed_checks_do_not_stop_reconciliation(spark, folder):

@@ -13,9 +13,12 @@ from wanderlake.functions.numbers import decimal_or_null
 from wanderlake.functions.text import is_true_text, trim_strings
 from wanderlake.functions.times import bucket_number, moment, utc_now
 from wanderlake.operators.latest import latest_per_key
-from wanderlake.sources.tables import stored_table
+from wanderlake.sources.extract import load_state, save_state
 
 DAY = "event_day"
+DAYS_AT_ONCE = 366
+CLEAN_FLIGHTS = "flights_clean"
+FLIGHT_STATS = "flight_daily_stats"
 
 
 def clean_flights(
@@ -63,61 +66,68 @@ def flight_daily_stats(clean: DataFrame) -> DataFrame:
 
 
 def refresh_flights(
-    raw: DataFrame,
-    flights_path: str,
-    stats_path: str,
-    as_of: datetime,
-    overlap: timedelta = timedelta(hours=1),
+    raw: DataFrame, root: str, as_of: datetime, overlap: timedelta = timedelta(hours=1)
 ) -> None:
     """Bring the stored clean flights and their statistics up to date, day by day.
 
     A bucket never crosses midnight and the statistics are per day, so only days with rows
-    that landed since the last run are computed again; their partitions are swapped in at
-    commit. ``overlap`` covers rows that became visible late; a repeated day gives the same
-    rows. The first run, or one over deleted tables, covers all days.
+    that landed since the last finished run are computed again; their partitions are swapped
+    in at commit. ``overlap`` covers rows that became visible late; a repeated day gives the
+    same rows. The first run covers all days. A run is noted once both tables are written,
+    so one that was cut short is repeated.
     """
     spark = raw.sparkSession
-    days = _landed_days(raw, stored_table(spark, flights_path), overlap)
+    flights_path, stats_path = f"{root}/{CLEAN_FLIGHTS}", f"{root}/{FLIGHT_STATS}"
     whole = _by_day(clean_flights(raw, as_of))
+    days = _landed_days(raw, root, overlap)
+    done = False
     if days is not None:
         part = _by_day(clean_flights(raw.filter(_on_days(days)), as_of))
         _swap_days(part, flights_path, "dynamic")
         stored = spark.read.schema(whole.schema).parquet(flights_path)
         refreshed = stored.filter(F.col("ingested_at") == moment(as_of))
-        if set(days) <= set(_days_of(refreshed)):
+        # A day that lost its last row keeps its partition; only a full rebuild removes it.
+        done = set(days) <= set(_days_of(refreshed))
+        if done:
             _swap_days(_stats_by_day(refreshed), stats_path, "dynamic")
-            return
-        # A day lost its last row; only a full rebuild takes its partition away.
-    _swap_days(whole, flights_path, "static")
-    stored = spark.read.schema(whole.schema).parquet(flights_path)
-    _swap_days(_stats_by_day(stored), stats_path, "static")
+    if not done:
+        _swap_days(whole, flights_path, "static")
+        stored = spark.read.schema(whole.schema).parquet(flights_path)
+        _swap_days(_stats_by_day(stored), stats_path, "static")
+    save_state(spark, f"{root}/flight_marks", {CLEAN_FLIGHTS: as_of})
 
 
-def read_clean_flights(spark: SparkSession, path: str, raw: DataFrame) -> DataFrame:
+def read_clean_flights(raw: DataFrame, root: str) -> DataFrame:
     """The stored clean flights with the columns of the raw ones."""
     columns = clean_flights(raw).schema
-    return spark.read.schema(columns).parquet(path).select(*columns.names)
+    stored = raw.sparkSession.read.schema(columns).parquet(f"{root}/{CLEAN_FLIGHTS}")
+    return stored.select(*columns.names)
 
 
-def read_flight_stats(spark: SparkSession, path: str) -> DataFrame:
+def read_flight_stats(spark: SparkSession, root: str) -> DataFrame:
     """The stored flight statistics, their day as an ordinary column."""
     columns = (
         f"{DAY} date, origin_country string, flight_count bigint, avg_altitude double, "
         "avg_velocity double, pct_on_ground double"
     )
-    stored = spark.read.schema(columns).parquet(path).withColumnRenamed(DAY, "flight_day")
+    stored = spark.read.schema(columns).parquet(f"{root}/{FLIGHT_STATS}")
+    stored = stored.withColumnRenamed(DAY, "flight_day")
     return stored.select(
         "flight_day", "origin_country", "flight_count", "avg_altitude", "avg_velocity", "pct_on_ground"
     )
 
 
-def _landed_days(raw: DataFrame, stored: DataFrame | None, overlap: timedelta) -> list | None:
-    """Event days (None for an unknown day) of the rows landed since the last run, or None for all."""
-    last = None if stored is None else stored.agg(F.max("ingested_at").alias("last")).first()["last"]
+def _landed_days(raw: DataFrame, root: str, overlap: timedelta) -> list | None:
+    """Event days (None for an unknown day) of the rows landed since the last run.
+
+    None stands for all days: before the first run, or when too many days are touched.
+    """
+    last = load_state(raw.sparkSession, f"{root}/flight_marks").get(CLEAN_FLIGHTS)
     if last is None:
         return None
     landed = raw.filter(F.col("ingested_at") >= moment(last - overlap))
-    return _days_of(landed.select(F.to_date("event_timestamp").alias(DAY)))
+    days = _days_of(landed.select(F.to_date("event_timestamp").alias(DAY)))
+    return days if len(days) <= DAYS_AT_ONCE else None
 
 
 def _days_of(df: DataFrame) -> list:

@@ -88,13 +88,12 @@ def _clean(spark: SparkSession, landing: str, root: str, as_of: datetime) -> str
     create_if_missing(spark, landing, schemas.ddl(schemas.RAW_FLIGHTS))
     raw_flights = landed_flights(spark, landing)
     raw_policies = read_bronze(spark, root)["raw_policies"]
-    flights_path, policies_path = f"{root}/bronze/flights_clean", f"{root}/bronze/policies_clean"
-    stats_path = f"{root}/bronze/flight_daily_stats"
-    bronze.refresh_flights(raw_flights, flights_path, stats_path, as_of)
+    policies_path = f"{root}/bronze/policies_clean"
+    bronze.refresh_flights(raw_flights, f"{root}/bronze", as_of)
     write_table(bronze.clean_policies(raw_policies), policies_path)
     report = bronze.removal_report(
         {
-            "RAW_FLIGHTS": (raw_flights, bronze.read_clean_flights(spark, flights_path, raw_flights)),
+            "RAW_FLIGHTS": (raw_flights, bronze.read_clean_flights(raw_flights, f"{root}/bronze")),
             "RAW_POLICIES": (raw_policies, spark.read.parquet(policies_path)),
         }
     )

@@ -598,8 +598,7 @@ def daily_run_policies(spark, sf):
 
 def daily_run_flight_stats(spark, sf):
     """The flight statistics of the daily run, from landed messages."""
-    path = f"{daily_root(spark, sf)}/lake/bronze/flight_daily_stats"
-    stats = bronze.read_flight_stats(spark, path)
+    stats = bronze.read_flight_stats(spark, f"{daily_root(spark, sf)}/lake/bronze")
     return rounded(stats, "avg_altitude", "avg_velocity", "pct_on_ground")
 
 
