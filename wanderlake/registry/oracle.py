@@ -428,7 +428,7 @@ def _related(table: str, view: str, column: str, parents: str, parent: str) -> s
     )
 
 
-def _quality() -> str:
+def _quality_checks() -> str:
     parts = []
     for table, key in (
         ("dim_customers", "customer_sk"), ("dim_destinations", "destination_sk"),
@@ -444,7 +444,7 @@ def _quality() -> str:
         _check("fact_claims", "expression_is_true", "claim_amount",
                "SELECT count(*) FROM fact_claims WHERE NOT (claim_amount > 0)")
     )
-    return _with(" UNION ALL ".join(parts), "fact_policies", "fact_claims")
+    return " UNION ALL ".join(parts)
 
 
 def _constraints() -> str:
@@ -517,6 +517,27 @@ FROM (SELECT *, {percent} AS match_percentage FROM ({counts}))
 """
 
 
+GATE = (
+    f"SELECT (SELECT count(*) FROM raw_policies WHERE created_at >= {EVENTS_AS_OF} - INTERVAL 24 HOUR) AS policies_count, "
+    f"(SELECT count(*) FROM raw_claims WHERE created_at >= {EVENTS_AS_OF} - INTERVAL 24 HOUR) AS claims_count"
+)
+
+
+def _daily_states() -> str:
+    """States of a run whose only possible troubles are its gate, its checks and its counts."""
+    done = ("extract_sources", "load_broker_file", "clean_bronze", "build_gold")
+    parts = [
+        "SELECT 'check_source_activity' AS step, CASE WHEN policies_count + claims_count > 0 "
+        f"THEN 'success' ELSE 'skipped' END AS state FROM ({GATE})",
+        *[f"SELECT '{step}', 'success'" for step in done],
+        "SELECT 'check_quality', CASE WHEN sum(failures) = 0 THEN 'success' ELSE 'failed' END "
+        f"FROM ({_quality_checks()})",
+        "SELECT 'reconcile', CASE WHEN bool_and(passed) THEN 'success' ELSE 'failed' END "
+        f"FROM ({_reconciliation()})",
+    ]
+    return " UNION ALL ".join(parts)
+
+
 REJECTED = """
 SELECT CASE WHEN event_id % 100 = 0 THEN '{"icao24": "' || icao24
             WHEN event_id % 101 = 0 THEN '[1]'
@@ -751,7 +772,7 @@ ORACLE: dict[str, str] = {
         "SELECT coverage_type, policy_status, count(*) AS policy_count, "
         "count(date_sk) AS dated_policies FROM fact_policies GROUP BY 1, 2", "fact_policies",
     ),
-    "quality_report": _quality(),
+    "quality_report": _with(_quality_checks(), "fact_policies", "fact_claims"),
     "source_constraints": _constraints(),
     "non_positive_claims": _with(
         "SELECT claim_id, claim_amount FROM fact_claims WHERE claim_amount <= 0", "fact_claims"
@@ -770,9 +791,7 @@ ORACLE: dict[str, str] = {
         "dim_customers", "fact_policies", "fact_claims",
     ),
     "freshness_gate": _with(
-        "SELECT *, policies_count > 0 OR claims_count > 0 AS should_run FROM (SELECT "
-        f"(SELECT count(*) FROM raw_policies WHERE created_at >= {EVENTS_AS_OF} - INTERVAL 24 HOUR) AS policies_count, "
-        f"(SELECT count(*) FROM raw_claims WHERE created_at >= {EVENTS_AS_OF} - INTERVAL 24 HOUR) AS claims_count)",
+        f"SELECT *, policies_count > 0 OR claims_count > 0 AS should_run FROM ({GATE})",
         "raw_policies", "raw_claims",
     ),
     "partition_lag": LAG.strip(),
@@ -801,6 +820,13 @@ ORACLE: dict[str, str] = {
         f"SELECT o_orderkey, CASE o_orderkey % 5 WHEN 1 THEN date_trunc('day', {ORDER_TIME}) "
         f"WHEN 2 THEN NULL ELSE {ORDER_TIME} END AS parsed FROM orders"
     ),
+    "daily_run": _with(_daily_states(), "raw_customers", "fact_policies", "fact_claims"),
+    "daily_run_summary": _with(
+        "SELECT count(*) FILTER (state = 'failed') AS failed_steps, "
+        "count(*) FILTER (state = 'upstream_failed') AS upstream_failed_steps, "
+        "count(*) FILTER (state IN ('failed', 'upstream_failed')) = 0 AS succeeded "
+        f"FROM ({_daily_states()})", "raw_customers", "fact_policies", "fact_claims",
+    ),
     "daily_run_policies": _all("fact_policies"),
     "daily_run_flight_stats": _all("landed_stats"),
     "stream_flight_ingest": _with(ACCEPTED, "raw_flights"),

@@ -591,6 +591,11 @@ def daily_run(spark, sf):
     return spark.read.schema(monitor.STATUS_SCHEMA).json(reports).select("step", "state")
 
 
+def daily_run_summary(spark, sf):
+    """How many steps of the daily run failed or were blocked."""
+    return monitor.status_summary(daily_run(spark, sf))
+
+
 def daily_run_policies(spark, sf):
     """The policy fact as the daily run stored it."""
     return star.read_gold_table(spark, f"{daily_root(spark, sf)}/lake/gold", "fact_policies")
@@ -622,6 +627,6 @@ QUERIES: dict[str, Query] = {
         partition_lag, stream_lag, landing_freshness, calendar_parts, commissions,
         parsed_timestamps, stream_flight_ingest, stream_flight_rejects, stream_flight_dedup,
         stream_flight_states, stream_policy_events, daily_run,
-        daily_run_policies, daily_run_flight_stats,
+        daily_run_summary, daily_run_policies, daily_run_flight_stats,
     )
 }
