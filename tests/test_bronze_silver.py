@@ -4,8 +4,6 @@ import random
 from datetime import date, datetime
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
 from tests.conftest import plan_of
 from wanderlake.plans import bronze, silver
 

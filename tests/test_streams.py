@@ -124,8 +124,12 @@ def test_purchases_are_streamed_once(spark, folder):
 
 
 def test_topics_need_their_connector(spark):
+    options = {"kafka.bootstrap.servers": "nowhere:1"}
     with pytest.raises(AnalysisException, match="kafka"):
-        topics.read_topic(spark, topics.FLIGHT_TOPIC, {"kafka.bootstrap.servers": "nowhere:1"}, 100)
+        topics.read_topic(spark, topics.FLIGHT_TOPIC, options, 100)
+    batch = spark.createDataFrame([("k", "v")], "key string, value string")
+    with pytest.raises(AnalysisException, match="kafka"):
+        topics.write_topic(batch, topics.POLICY_TOPIC, options)
 
 
 def test_message_files_in_bounded_batches(spark, folder):
