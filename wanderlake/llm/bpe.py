@@ -179,4 +179,4 @@ def encode_decode(df: DataFrame, vocabulary: str, pattern: str, text: str = "tex
 
     kind = T.ArrayType(T.IntegerType()) if ids_as_array else T.BinaryType()
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", kind), T.StructField("decoded", T.BinaryType())]
-    return scored(df.drop(*(f.name for f in fields)), text, fields, scorer)
+    return scored(df, text, fields, scorer)

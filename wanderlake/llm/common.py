@@ -24,8 +24,7 @@ FOLDS = 5
 _PACKAGE = Path(__file__).resolve().parents[1]
 _shipped: set[str] = set()
 
-Texts = list[str | None]
-Scorer = Callable[[Texts], list[Iterable]]
+Scorer = Callable[..., list[Iterable]]
 
 
 def ship(spark: SparkSession) -> None:
@@ -58,21 +57,27 @@ def is_held_out(doc_id: str | Column = "doc_id") -> Column:
     return F.crc32(as_text.cast("binary")) % FOLDS == 0
 
 
-def scored(df: DataFrame, text: str, fields: list[T.StructField], scorer: Callable[[], Scorer]) -> DataFrame:
-    """Append ``fields``, computed from the text column batch by batch.
+def scored(df: DataFrame, inputs: str | list[str], fields: list[T.StructField], scorer: Callable[[], Scorer]) -> DataFrame:
+    """Append ``fields``, computed from the input columns batch by batch.
 
-    ``scorer()`` is called once in each task and returns a function from a list of texts to
-    one list of values for each field. Every row goes through in one pass, without a shuffle.
+    ``scorer()`` is called once in each task and returns a function from one list of values for
+    each input column to one list of values for each field. Every row goes through in one
+    pass, without a shuffle. Columns with the fields' names are replaced.
     """
     ship(df.sparkSession)
+    inputs = [inputs] if isinstance(inputs, str) else inputs
+    kept = [c for c in df.columns if c not in {f.name for f in fields} or c in inputs]
+    if set(kept) & {f.name for f in fields}:
+        raise ValueError("an input column has the name of an added one; rename it first")
+    df = df.select(*(F.col(f"`{c}`") for c in kept))
     schema = T.StructType(df.schema.fields + fields)
-    place, names = df.columns.index(text), schema.names
+    places, names, types = [kept.index(c) for c in inputs], schema.names, [_arrow_type(f.dataType) for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score, types = scorer(), [_arrow_type(f.dataType) for f in fields]
+        score = scorer()
         for batch in batches:
             for part in _pieces(batch):
-                values = score(part.column(place).to_pylist())
+                values = score(*(part.column(i).to_pylist() for i in places))
                 added = [v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(values, types, strict=True)]
                 yield pa.RecordBatch.from_arrays(part.columns + added, names=names)
 

@@ -313,4 +313,4 @@ def identify(df: DataFrame, models: Models, text: str = "text", rejection: Rejec
 
         return lambda texts: list(zip(*map(one, texts), strict=True)) or [[]] * 4
 
-    return scored(df.drop(*(f.name for f in fields)), text, fields, scorer)
+    return scored(df, text, fields, scorer)

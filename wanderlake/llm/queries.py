@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wanderlake.llm import bpe, langid, url_filter
+from wanderlake.llm import bpe, langid, quality, toxicity, url_filter
 from wanderlake.llm.common import is_held_out
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -34,4 +34,22 @@ def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "strict_terms", "soft_terms")
 
 
-QUERIES = {"op2_bpe": op2_bpe, "op5_language": op5_language, "op7_urls": op7_urls}
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality.assess(docs, quality.references(docs)).drop("text", "lang")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    marked = toxicity.score(docs, model)
+    return marked.select(
+        "doc_id",
+        is_held_out().alias("held_out"),
+        F.col("toxic_score").alias("score"),
+        (F.col("toxic_score") >= 0.5).cast("int").alias("predicted"),
+        F.size("toxic_spans").alias("n_offending"),
+    )
+
+
+QUERIES = {q.__name__: q for q in (op2_bpe, op5_language, op7_urls, op8_quality, op9_toxicity)}

@@ -126,4 +126,4 @@ def judge_urls(
         judge = UrlJudge(rules, strict, soft, soft_needed).judge
         return lambda urls: list(zip(*map(judge, urls), strict=True)) or [[]] * len(names)
 
-    return scored(df.drop(*names), url, fields, scorer)
+    return scored(df, url, fields, scorer)
