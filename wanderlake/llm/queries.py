@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wanderlake.llm import bpe, langid, quality, toxicity, url_filter
+from wanderlake.llm import bpe, langid, near_dedup, quality, toxicity, url_filter
 from wanderlake.llm.common import is_held_out
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -16,6 +16,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dedup.near_duplicates(docs, settings=near_dedup.Settings(shingle=3, percent=85))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode_decode(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
@@ -52,4 +57,4 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op2_bpe, op5_language, op7_urls, op8_quality, op9_toxicity)}
+QUERIES = {q.__name__: q for q in (op1_near_dedup, op2_bpe, op5_language, op7_urls, op8_quality, op9_toxicity)}
