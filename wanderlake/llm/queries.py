@@ -6,9 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wanderlake.llm import bpe, langid, near_dedup, quality, toxicity, url_filter
+from wanderlake.llm import bpe, langid, mixing, near_dedup, quality, sharding, toxicity, url_filter
 from wanderlake.llm.common import is_held_out
+from wanderlake.session import scratch_dir
 
+SHARDS = 24
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -27,6 +29,11 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"), mixing.word_count("text"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     models = langid.train(docs.filter(~is_held_out()))
@@ -34,6 +41,25 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", is_held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), "cross_entropy", "lang_rejected")
 
 
+def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The old layout has one shard for each hash of the source; its bytes are levelled over 24 shards."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    old = F.pmod(F.crc32(F.coalesce("source", F.lit("")).cast("binary")), F.lit(SHARDS)).cast("int")
+    assigned = sharding.reshard(docs, old, SHARDS).drop("source")
+    folder = scratch_dir(spark, "shards")
+    sharding.write_shards(assigned, folder, only_rewritten=False)
+    rows = sharding.read_shards(spark, folder, ["doc_id", "text"])
+    return rows.select(
+        "doc_id",
+        sharding.text_bytes().alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        F.col("shard").cast("int"),
+        F.col("slot").cast("long"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"))
     return judged.select("page_id", "host", "path", "rule", "verdict", "strict_terms", "soft_terms")
@@ -57,4 +83,4 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op1_near_dedup, op2_bpe, op5_language, op7_urls, op8_quality, op9_toxicity)}
+QUERIES = {q.__name__: q for q in (op1_near_dedup, op2_bpe, op4_mix, op5_language, op6_shards, op7_urls, op8_quality, op9_toxicity)}
