@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wanderlake.llm import bpe, langid, mixing, near_dedup, quality, sharding, toxicity, url_filter
+from wanderlake.llm import bpe, langid, mixing, near_dedup, quality, sharding, toxicity, url_filter, warc
 from wanderlake.llm.common import is_held_out
 from wanderlake.session import scratch_dir
 
@@ -83,4 +83,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op1_near_dedup, op2_bpe, op4_mix, op5_language, op6_shards, op7_urls, op8_quality, op9_toxicity)}
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, "warc")
+    files = warc.write_archives(_table(spark, sf_dir, "pages").select("page_id", "url", "html"), folder)
+    return warc.read_archives(spark, files, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+QUERIES = {q.__name__: q for q in (op1_near_dedup, op2_bpe, op4_mix, op5_language, op6_shards, op7_urls, op8_quality, op9_toxicity, op10_warc)}
