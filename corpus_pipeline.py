@@ -1,14 +1,64 @@
-"""From raw documents to token ids: language, toxicity, near copies, mix, tokens."""
+"""From raw documents to token ids: language, toxicity, near copies, mix, tokens.
+
+Every stage takes the documents that the one before kept and, but for the last, returns them
+with the columns they came with.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wanderlake.llm import bpe, langid, mixing, near_dedup, toxicity
+from wanderlake.llm.common import is_held_out, written
+from wanderlake.llm.queries import VOCABULARY
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents whose language model rejects them; models learn from these documents."""
+    named = langid.identify(docs, langid.train(docs.filter(~is_held_out())))
+    return named.filter(~F.col("lang_rejected")).select(docs.columns)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that are more likely toxic than not, by the labels of the folder."""
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model).filter(F.col("toxic_score") < 0.5).select(docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near copies: the one of smallest id, once."""
+    groups = near_dedup.near_duplicates(docs)
+    kept = groups.filter("kept").select(F.col("doc_id").alias("_wl_id")).distinct()
+    chosen = docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_wl_id")), "left_semi")
+    # Rows without an id are linked with nothing and all stay; repeated rows of an id are one document.
+    return chosen.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).union(chosen.filter("doc_id IS NULL")).select(docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: every document as often as it is taken."""
+    return mixing.repeated(mixing.mix(docs, mixing.word_count("text")), docs.columns)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document of the mix, and whether they decode to its text."""
+    coded = bpe.encode_decode(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, ids_as_array=True)
+    same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
+    return coded.select("doc_id", "source", "n_tokens", "token_ids", same.alias("round_trip"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language", identify_language),
+    ("toxicity", drop_toxic),
+    ("near_copies", drop_near_copies),
+    ("mix", mix_sources),
+    ("tokens", tokenize),
+]
 
 #: Models, seeded choices and byte-pair merges are beyond SQL.
 ORACLE_SQL = None
@@ -17,6 +67,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder; each one's rows are stored and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = written(spark, stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

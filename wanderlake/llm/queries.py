@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wanderlake.llm import bpe, langid, mixing, near_dedup, quality, sharding, toxicity, url_filter, warc
+from wanderlake.llm import ann, bpe, langid, mixing, near_dedup, quality, sharding, toxicity, url_filter, warc
 from wanderlake.llm.common import is_held_out
 from wanderlake.session import scratch_dir
 
@@ -29,6 +29,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"), mixing.word_count("text"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -89,4 +93,4 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, files, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {q.__name__: q for q in (op1_near_dedup, op2_bpe, op4_mix, op5_language, op6_shards, op7_urls, op8_quality, op9_toxicity, op10_warc)}
+QUERIES = {q.__name__: q for q in (op1_near_dedup, op2_bpe, op3_nearest, op4_mix, op5_language, op6_shards, op7_urls, op8_quality, op9_toxicity, op10_warc)}
