@@ -1,0 +1,137 @@
+from __future__ import annotations
+
+import random
+from collections import defaultdict
+from itertools import combinations
+from math import comb
+
+import numpy as np
+import pandas as pd
+import pytest
+
+from tests.llm.conftest import DOCS, doc
+from wanderlake.llm import near_dedup
+from wanderlake.llm.components import connected
+
+SETTINGS = near_dedup.Settings(shingle=3, percent=85)
+
+
+def shingles(text, size=3):
+    words = (text or "").encode().lower().split()
+    return frozenset(tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))) if words else frozenset()
+
+
+def brute_force(rows, percent=85, size=3):
+    """Component of each row's text: the smallest id over all links of full sets."""
+    parent = {}
+
+    def root(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    sets = defaultdict(list)
+    for key, text in rows:
+        if key is not None and shingles(text, size):
+            sets[shingles(text, size)].append(key)
+    for a, b in combinations(sets, 2):
+        if 100 * len(a & b) >= percent * len(a | b):
+            parent[root(a)] = root(b)
+    least = {}
+    for s, keys in sets.items():
+        least[root(s)] = min([least.get(root(s), 1 << 60), *keys])
+    return lambda key, text: None if key is None else least[root(shingles(text, size))] if shingles(text, size) else key
+
+
+def edited(words, rng, n):
+    out = list(words)
+    for _ in range(n):
+        out[rng.randrange(len(out))] = f"w{rng.randrange(10**6)}"
+    return " ".join(out)
+
+
+@pytest.fixture(scope="module")
+def copies():
+    rng, rows = random.Random(4), []
+    for group, size in enumerate([60, 12, 5, 3, 2, 2]):
+        words = [f"g{group}x{rng.randrange(10**6)}" for _ in range(90)]
+        rows += [" ".join(words)] + [edited(words, rng, rng.choice([0, 1, 1, 2, 3, 4])) for _ in range(size)]
+    passage = " ".join(f"p{i}" for i in range(25))
+    rows += [" ".join(f"u{rng.randrange(10**6)}" for _ in range(60)) + " " + passage for _ in range(40)]
+    rng.shuffle(rows)
+    return list(enumerate(rows, 100))
+
+
+@pytest.mark.parametrize("block", [1024, 7])
+def test_components_equal_brute_force(spark, copies, block):
+    df = spark.createDataFrame([doc(k, t) for k, t in copies], DOCS)
+    settings = near_dedup.Settings(shingle=3, percent=85, block=block)
+    expected = brute_force(copies)
+    for r in near_dedup.near_duplicates(df, settings=settings).collect():
+        text = dict(copies)[r["doc_id"]]
+        assert r["component_id"] == expected(r["doc_id"], text)
+        assert r["kept"] == (r["doc_id"] == r["component_id"]) and r["n_shingles"] == len(shingles(text))
+
+
+def test_five_word_shingles_by_default(spark, copies):
+    df = spark.createDataFrame([doc(k, t) for k, t in copies], DOCS)
+    expected = brute_force(copies, 80, 5)
+    assert {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(df).collect()} == {k: expected(k, t) for k, t in copies}
+
+
+def test_edges(spark, edge_docs, no_docs):
+    rows = [(r["doc_id"], r["text"]) for r in edge_docs.collect()]
+    expected = brute_force(rows)
+    out = near_dedup.near_duplicates(edge_docs, settings=SETTINGS).collect()
+    assert sorted((str(r["doc_id"]), str(r["component_id"])) for r in out) == sorted((str(k), str(expected(k, t))) for k, t in rows)
+    by_id = {r["doc_id"]: r for r in out}
+    assert by_id[1]["n_shingles"] == by_id[2]["n_shingles"] == by_id[3]["n_shingles"] == 0
+    assert by_id[5]["component_id"] == 4 and by_id[4]["n_shingles"] == 1
+    assert by_id[None]["component_id"] is None and by_id[None]["kept"]
+    assert near_dedup.near_duplicates(no_docs, settings=SETTINGS).count() == 0
+
+
+def test_one_block_finds_all_links_between_components():
+    rng = random.Random(8)
+    words = [f"a{i}" for i in range(60)]
+    texts = [edited(words, rng, rng.choice([1, 2, 6])) for _ in range(40)]
+    signer, hashes = near_dedup.Signer(SETTINGS), near_dedup._WordHashes()
+    sets = [near_dedup.shingle_set(near_dedup.words_of(t), 3, hashes) for t in texts]
+    frame = pd.DataFrame({"rep": range(40), "component": range(40), "n_shingles": [len(s) for s in sets], "signature": [signer.sign(s).tobytes() for s in sets], "grams": [s.tobytes() for s in sets], "side": 0})
+    checks, parent = near_dedup.least_matches(SETTINGS), list(range(40))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for band in range(SETTINGS.bands):
+        key = [s[band * 20 : band * 20 + 20] for s in frame["signature"]]
+        for _, bucket in frame.groupby(key):
+            for a, b in near_dedup.links_in_block(bucket.assign(band=band), SETTINGS, checks):
+                assert near_dedup.similar(sets[a], sets[b], 85)
+                parent[root(a)] = root(b)
+    expected = brute_force(list(enumerate(texts)))
+    same = {(i, j) for i in range(40) for j in range(40) if root(i) == root(j)}
+    assert same == {(i, j) for i in range(40) for j in range(40) if expected(i, texts[i]) == expected(j, texts[j])}
+
+
+def test_pruning_bound_is_the_posterior():
+    for n, least in near_dedup.least_matches(SETTINGS):
+        tail = lambda m: sum(comb(n + 1, k) * 0.85**k * 0.15 ** (n + 1 - k) for k in range(m + 1))
+        assert tail(least) >= SETTINGS.miss > tail(least - 1)
+
+
+def test_similar_is_exact():
+    a, b = np.arange(100, dtype=np.uint64), np.arange(8, 108, dtype=np.uint64)
+    assert near_dedup.similar(a, b, 85) and not near_dedup.similar(a, b + np.uint64(1), 85)
+    assert not near_dedup.similar(a[:0], b, 85)
+
+
+def test_connected(spark):
+    chain = [(i, i + 1) for i in range(0, 60)] + [(100, 105), (105, 103), (7, 7)]
+    edges = spark.createDataFrame(chain, "a long, b long")
+    found = {r["node"]: r["component"] for r in connected(edges).collect()}
+    assert found == {**{i: 0 for i in range(61)}, 100: 100, 103: 100, 105: 100}
+    assert connected(edges.limit(0)).count() == 0

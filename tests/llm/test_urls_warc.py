@@ -1,0 +1,107 @@
+from __future__ import annotations
+
+import hashlib
+import io
+from base64 import b32encode
+
+import pytest
+
+from wanderlake.llm import url_filter, warc
+from wanderlake.session import scratch_dir
+
+URLS = {
+    None: ("", "", None, "allow"),
+    "": ("", "", None, "allow"),
+    "no scheme/porn": ("", "", None, "block"),
+    "http://a.Example.ORG/es/x?y#z": ("a.example.org", "/es/x", "example.org/es/", "block"),
+    "http://example.org/en/123": ("example.org", "/en/123", "example.org/en/1", "allow"),
+    "http://notexample.org/es/": ("notexample.org", "/es/", "org/", "allow"),
+    "http://x.org": ("x.org", "", None, "allow"),
+    "https://m.a.com/de/casino": ("m.a.com", "/de/casino", "com/de/", "block"),
+    "https://casino.com/fr/": ("casino.com", "/fr/", "com/fr/", "allow"),
+    "https://occasino.net/": ("occasino.net", "/", None, "allow"),
+    "https://my-Casino.net/": ("my-casino.net", "/", None, "block"),
+    "https://free.net/free": ("free.net", "/free", None, "allow"),
+    "https://free-bets.net/": ("free-bets.net", "/", None, "block"),
+    "x://h?a://b/porn1": ("h", "", None, "allow"),
+    "x://h#/p?q": ("h", "", None, "allow"),
+}
+
+
+def test_urls(spark):
+    df = spark.createDataFrame([(i, u, "x") for i, u in enumerate(URLS)] + [(99, "", "x")], "page_id long, url string, host string")
+    rows = url_filter.judge_urls(df).collect()
+    assert len(rows) == len(URLS) + 1
+    for r in rows:
+        assert (r["host"], r["path"], r["rule"], r["verdict"]) == URLS[r["url"]], r["url"]
+    assert url_filter.judge_urls(df.limit(0)).count() == 0
+
+
+PAGES = [
+    (1, "http://a/", "<p>same</p>", "x"),
+    (5, "http://b/ c\r\nd", "<p>same</p>", "x"),
+    (3, None, "<p>same</p>", "x"),
+    (4, "http://é/", None, "x"),
+    (2, "http://e/", "", "x"),
+    (6, "http://f/", "ä\u2028" * 300_000, "x"),
+    (7, "http://g/", "only", "x"),
+    (7, "http://g/", "only", "x"),
+    (None, "http://h/", "only", "x"),
+    (None, "http://i/", "nobody", "x"),
+]
+
+
+def expected(least: int):
+    largest = {}
+    for key, _, html, _ in PAGES:
+        body = (html or "").encode()
+        if len(body) >= least:
+            largest[body] = max([k for k in (largest.get(body), key) if k is not None], default=None)
+    out = []
+    for key, _, html, _ in PAGES:
+        body = (html or "").encode()
+        first = largest.get(body)
+        revisit = first is not None and key != first
+        out.append((key, len(body), b32encode(hashlib.sha1(body).digest()).decode(), "revisit" if revisit else "response", first if revisit else None))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("least", [0, 10])
+def test_archives_give_back_what_was_written(spark, least):
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string, payload_bytes string")
+    folder = scratch_dir(spark, "warc-test")
+    files = warc.write_archives(pages, folder, least)
+    rows = warc.read_archives(spark, files, folder)
+    found = [(r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in rows.collect()]
+    assert sorted(found, key=str) == expected(least)
+    assert files.groupBy().sum("records").first()[0] == len(PAGES)
+    long = rows.filter("page_id = 6").first()
+    assert bytes(long["payload"]).decode() == PAGES[5][2]
+
+
+def test_no_pages(spark):
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    folder = scratch_dir(spark, "warc-test")
+    files = warc.write_archives(pages, folder)
+    assert files.count() == 0 and warc.read_archives(spark, files, folder).count() == 0
+
+
+def test_file_starts_with_its_dictionary_and_has_a_frame_for_each_record():
+    records = [warc.build_record(i, f"http://x/{i}", b"<html>the same head and foot %d</html>" % i * 20, "D", None, False, "2025-01-01T00:00:00Z") for i in range(200)]
+    out = io.BytesIO()
+    writer = warc.ArchiveWriter(out, records)
+    writer.add(records[0])
+    data = out.getvalue()
+    assert data[:4] == (0x184D2A5D).to_bytes(4, "little") and int.from_bytes(data[4:8], "little") > 0
+    assert list(warc.read_archive(io.BytesIO(data))) == [*records, records[0]]
+    plain = io.BytesIO()
+    assert len(data) == writer.bytes and data.count(b"\x28\xb5\x2f\xfd") >= 201
+    short = warc.ArchiveWriter(plain, records[:2])
+    assert list(warc.read_archive(io.BytesIO(plain.getvalue()))) == records[:2] and short.records == 2
+
+
+def test_a_cut_file_is_an_error():
+    out = io.BytesIO()
+    warc.ArchiveWriter(out, [b"WARC/1.1\r\nContent-Length: 0\r\n\r\n" * 50] * 20)
+    with pytest.raises(Exception):
+        list(warc.read_archive(io.BytesIO(out.getvalue()[:-4])))

@@ -53,7 +53,8 @@ def is_held_out(doc_id: str | Column = "doc_id") -> Column:
 
     The remainder of crc32(doc_id as text) by five; a null id counts as the text "".
     """
-    as_text = F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit("")).cast("string")
+    doc_id = F.col(doc_id) if isinstance(doc_id, str) else doc_id
+    as_text = F.coalesce(doc_id.cast("string"), F.lit(""))
     return F.crc32(as_text.cast("binary")) % FOLDS == 0
 
 

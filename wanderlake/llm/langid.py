@@ -188,7 +188,9 @@ def build_models(counts: list[tuple[str, np.ndarray, np.ndarray]], order: int =
                 own.append((g, n.astype(float)))
             else:  # how many different characters stand before the gram
                 own.append(np.unique(_tail(np.unique(_tail(g, k + 1)), k), return_counts=True))
-        every = np.unique(np.concatenate([g for g, _ in own])) if own else np.empty(0, np.uint64)
+        # Padding alone is the context of first characters, though it is no gram itself.
+        padding = np.array([(1 << 16 * k) - 1], np.uint64)
+        every = np.unique(np.concatenate([padding, *(g for g, _ in own)]))
         slots, first = np.unique(_slot(every, bits), return_index=True)
         shown = every[first]  # stands for its slot where a language has no such gram
         gain = np.zeros((len(slots), len(languages)), np.float32)
@@ -217,8 +219,8 @@ def build_models(counts: list[tuple[str, np.ndarray, np.ndarray]], order: int =
 
 
 def _nearest(keys: np.ndarray, slots: np.ndarray) -> np.ndarray:
-    """Places of slots in sorted keys. A context of padding alone has no entry and takes a neighbour's."""
-    return np.minimum(np.searchsorted(keys, slots), max(len(keys) - 1, 0))
+    """Places of slots in sorted keys that hold all of them but those of texts' first characters' tails."""
+    return np.minimum(np.searchsorted(keys, slots), len(keys) - 1)
 
 
 def has_letter(text: str | None) -> bool:

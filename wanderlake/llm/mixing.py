@@ -33,21 +33,25 @@ def word_count(text: str | Column) -> Column:
 
 
 def fill(lengths: list[int], counts: list[int], budget: int) -> list[int]:
-    """How many of each length to take, so that their sum comes closest to ``budget`` from below.
+    """How many of each length to take, so that their sum comes closest to ``budget``.
 
     Bounded knapsack: bit b of a mask says that the sum b can be reached. Counts are split in
-    powers of two; the masks before each item tell on the way back whether it was used.
+    powers of two; the masks before each item tell on the way back whether it was used. Sums
+    over twice the budget are farther than none; of two equally close ones the smaller is taken.
     """
-    mask, full, items, before = 1, (1 << budget + 1) - 1, [], []
+    mask, full, items, before = 1, (1 << 2 * budget + 1) - 1, [], []
     for i, (length, count) in enumerate(zip(lengths, counts, strict=True)):
-        count, step = min(count, budget // length), 1
+        count, step = min(count, 2 * budget // length), 1
         while count > 0 and not mask >> budget & 1:
             k = min(step, count)
             before.append(mask)
             items.append((i, k))
             mask |= (mask << length * k) & full
             count, step = count - k, step * 2
-    taken, left = [0] * len(lengths), mask.bit_length() - 1
+    under = (mask & (1 << budget + 1) - 1).bit_length() - 1
+    over = mask >> budget
+    above = budget + (over & -over).bit_length() - 1 if over else 3 * budget + 1
+    taken, left = [0] * len(lengths), under if budget - under <= above - budget else above
     for (i, k), old in zip(reversed(items), reversed(before), strict=True):
         if not old >> left & 1:
             taken[i] += k
@@ -76,7 +80,7 @@ def plan_source(lengths: np.ndarray, counts: np.ndarray, target: float) -> tuple
                 extra[i] += 1
                 left -= int(lengths[i])
                 moved = True
-    able = np.flatnonzero((lengths > 0) & (lengths <= left) & (extra < counts))
+    able = np.flatnonzero((lengths > 0) & (lengths <= 2 * left) & (extra < counts))
     if left <= DP_BUDGET and len(able):
         extra[able] += fill(lengths[able].tolist(), (counts - extra)[able].tolist(), left)
     return int(copies), extra
