@@ -6,16 +6,15 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import plan_of
+from wanderlake.operators import upsert as module
 from wanderlake.operators.upsert import (
     RANGE,
     DuplicateKeys,
-    in_ranges,
     read_keyed,
+    read_manifest,
     upsert,
     watermark,
 )
-from wanderlake.sources.tables import stored_table
 
 DDL = "id bigint, v string, created_at timestamp_ntz"
 T1, T2 = datetime(2024, 1, 1), datetime(2024, 1, 2)
@@ -47,20 +46,76 @@ def test_watermark_default(spark, folder):
     assert watermark(read_keyed(spark, f"{folder}/t"), "created_at", "1900-01-01") == datetime(1900, 1, 1)
 
 
+def folders_read(df):
+    return {Path(f).parent.name for f in df.inputFiles()}
+
+
 def test_only_touched_ranges_are_written_and_read(spark, folder):
     path = f"{folder}/t"
     upsert(frame(spark, [(i, "a", T1) for i in (5, 15, 25)]), path, "id", keys_per_range=10)
-    before = {p: p.stat().st_mtime_ns for p in Path(path).rglob("*.parquet")}
+    before = read_manifest(spark, path)[1]
     upsert(frame(spark, [(17, "n", T2), (15, "A", T2)]), path, "id", keys_per_range=10)
-    after = {p: p.stat().st_mtime_ns for p in Path(path).rglob("*.parquet")}
-    same = {p.parent.name for p in before if after.get(p) == before[p]}
-    assert same == {f"{RANGE}=0", f"{RANGE}=2"}
+    after = read_manifest(spark, path)[1]
+    assert {r for r in after if after[r] == before.get(r)} == {0, 2} and set(after) == {0, 1, 2}
     assert rows_of(read_keyed(spark, path)) == rows_of(
         frame(spark, [(5, "a", T1), (15, "A", T2), (17, "n", T2), (25, "a", T1)])
     )
-    batch = spark.createDataFrame([(1,), (None,)], f"{RANGE} bigint")
-    plan = plan_of(stored_table(spark, path).filter(in_ranges(batch)))
-    assert "PartitionFilters: [(" in plan and RANGE in plan.split("PartitionFilters")[1]
+    ranges = spark.createDataFrame([(1,), (None,), (77,), (1,)], "r bigint")
+    assert folders_read(read_keyed(spark, path, ranges)) == {f"{RANGE}=1"}
+    assert read_keyed(spark, path, ranges.filter("r = 77")) is None
+
+
+def test_many_ranges_are_pruned_without_a_limit(spark, folder):
+    path = f"{folder}/t"
+    rows = spark.range(400).select("id", F.lit("a").alias("v"), F.lit(T1).cast("timestamp_ntz").alias("created_at"))
+    upsert(rows, path, "id", keys_per_range=1)
+    upsert(rows.filter("id % 2 = 0").withColumn("v", F.lit("b")), path, "id", keys_per_range=1)
+    even = read_keyed(spark, path, spark.range(0, 10**6, 2))
+    assert len(folders_read(even)) == 200 and {r["v"] for r in even.collect()} == {"b"}
+    assert read_keyed(spark, path).filter("v = 'a'").count() == 200
+
+
+class Cut(RuntimeError):
+    pass
+
+
+def fail(*_):
+    raise Cut
+
+
+@pytest.mark.parametrize("step", ["_write", "publish"])
+def test_a_first_load_cut_short_is_not_seen(spark, folder, monkeypatch, step):
+    path, rows = f"{folder}/t", frame(spark, [(1, "a", T1), (25, "b", T1)])
+    with monkeypatch.context() as patch:
+        patch.setattr(module, step, fail)
+        with pytest.raises(Cut):
+            upsert(rows, path, "id", keys_per_range=10)
+    assert read_keyed(spark, path) is None
+    upsert(rows, path, "id", keys_per_range=10)
+    assert read_keyed(spark, path).count() == 2
+
+
+def test_a_later_run_cut_short_leaves_the_table(spark, folder, monkeypatch):
+    path = f"{folder}/t"
+    upsert(frame(spark, [(1, "a", T1), (2, "b", T1), (25, "c", T1)]), path, "id", keys_per_range=10)
+    batch = frame(spark, [(2, "B", T2), (26, "d", T2)])
+
+    def half(rows, target):
+        """One of the ranges arrives, then the driver is gone."""
+        write(rows.filter(F.col(RANGE) == 0), target)
+        raise Cut
+
+    write = module._write
+    for step, failing in (("_write", half), ("publish", fail)):
+        with monkeypatch.context() as patch:
+            patch.setattr(module, step, failing)
+            with pytest.raises(Cut):
+                upsert(batch, path, "id", keys_per_range=10)
+        assert {(r["id"], r["v"]) for r in read_keyed(spark, path).collect()} == {(1, "a"), (2, "b"), (25, "c")}
+    upsert(batch, path, "id", keys_per_range=10)
+    assert {(r["id"], r["v"]) for r in read_keyed(spark, path).collect()} == {(1, "a"), (2, "B"), (25, "c"), (26, "d")}
+    # What the broken runs left is gone; the version before stays for its readers.
+    assert len(list(Path(path, "data").iterdir())) == 2
 
 
 def test_null_keys_never_match(spark, folder):
@@ -112,5 +167,5 @@ def test_one_crowded_range_is_split_over_tasks(spark, folder):
         upsert(rows, f"{folder}/t", "id", known_unique=True)
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
-    assert len(list(Path(f"{folder}/t/{RANGE}=0").glob("*.parquet"))) > 4
+    assert len(list(Path(f"{folder}/t/data").glob(f"*/{RANGE}=0/*.parquet"))) > 4
     assert read_keyed(spark, f"{folder}/t").count() == 60_000

@@ -1,35 +1,76 @@
 """Keyed incremental upsert into a parquet table.
 
 The table is partitioned by ranges of its integer key. A batch rewrites only the ranges it
-touches: Spark stages the new partitions and swaps them in when the job commits, so a lost
-executor leaves the table as it was, and the rest of the table is neither read nor written.
+touches, into a folder of its own version; a manifest then names the folder of every range
+and is the last, single file written. Readers follow the newest manifest, so a run that was
+cut short anywhere leaves the table as it was, and its half-written folders are never read.
+Folders that neither the newest nor the previous manifest names are deleted. One writer at a
+time is assumed.
+
 Serial keys grow with time, so a daily batch lands in few ranges. A change of columns
 rewrites every range. Running the same batch again gives the same table.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wanderlake.session import scratch_dir
+from wanderlake.session import children, remove, scratch_dir
 from wanderlake.sources.tables import stored_table
 
 RANGE = "key_range"
+VERSION = "version"
+NUMBER = "manifest"
 KEYS_PER_RANGE = 1_000_000
-PRUNE_UP_TO = 10_000
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+Manifest = dict[int | None, str]
 
 
 class DuplicateKeys(ValueError):
     """An update batch holds a key more than once."""
 
 
-def read_keyed(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path`` without its layout column, or None before its first load."""
-    stored = stored_table(spark, path)
-    return None if stored is None else stored.drop(RANGE)
+def read_manifest(spark: SparkSession, path: str) -> tuple[int, Manifest]:
+    """Number of the newest manifest and the version of each range; 0 before the first load.
+
+    It has one entry for each range of the table, whatever the number of rows.
+    """
+    listed = stored_table(spark, f"{path}/manifests")
+    if listed is None:
+        return 0, {}
+    number = listed.agg(F.max(NUMBER)).first()[0]
+    rows = listed.filter(F.col(NUMBER) == number).select(RANGE, VERSION).collect()
+    return number, {r[RANGE]: r[VERSION] for r in rows if r[VERSION] is not None}
+
+
+def read_keyed(spark: SparkSession, path: str, ranges: DataFrame | None = None) -> DataFrame | None:
+    """The table at ``path`` without its layout columns, or None before its first rows.
+
+    With ``ranges`` (one column of range numbers) only their folders are listed and read, and
+    None says that the table has none of them. They are matched with the manifest in Spark, so
+    no more than its entries come to the driver, however many numbers a batch names.
+    """
+    _, entries = read_manifest(spark, path)
+    if ranges is not None and entries:
+        known = spark.createDataFrame([(r,) for r in entries], f"{RANGE} bigint")
+        wanted = ranges.toDF("__wanted").distinct()
+        found = known.join(wanted, F.col(RANGE).eqNullSafe(F.col("__wanted")), "left_semi").collect()
+        entries = {r[RANGE]: entries[r[RANGE]] for r in found}
+    return _read(spark, path, entries)
+
+
+def _read(spark: SparkSession, path: str, entries: Manifest) -> DataFrame | None:
+    if not entries:
+        return None
+    data = f"{path}/data"
+    folders = [f"{data}/{VERSION}={v}/{RANGE}={_NULL_FOLDER if r is None else r}" for r, v in entries.items()]
+    return spark.read.option("basePath", data).parquet(*folders).drop(VERSION, RANGE)
 
 
 def watermark(target: DataFrame, column: str, default: str) -> datetime:
@@ -66,36 +107,58 @@ def upsert(
 
     ``known_unique`` skips the duplicate check for batches already reduced to one row per
     key; without it a repeated key fails before anything is written. The batch is computed
-    once, into the shared scratch folder; the merge then reads it as a table of known size.
+    once, into the shared scratch folder, and deleted there after the commit; the merge reads
+    it as a table of known size.
     """
     spark = updates.sparkSession
-    stored = stored_table(spark, path)
+    number, entries = read_manifest(spark, path)
     ranged = updates.withColumn(RANGE, range_of(F.col(key), keys_per_range))
-    if stored is not None or not known_unique:
+    staging = None
+    if entries or not known_unique:
         staging = scratch_dir(spark, "upsert")
         ranged.write.parquet(staging)
         ranged = spark.read.parquet(staging)
     if not known_unique:
         _require_unique(ranged, key)
-    if stored is None:
-        _write(ranged, path)
-        return
-    affected = stored
-    if _same_columns(stored.drop(RANGE), updates):
-        affected = stored.filter(in_ranges(ranged.select(RANGE)))
-    _write(merged(affected, ranged, key), path)
-
-
-def in_ranges(ranges: DataFrame) -> Column:
-    """Static partition filter for the listed ranges; being literal, it prunes the scan.
-
-    A list too long to be worth it selects the whole table, which is only slower.
-    """
-    touched = [row[0] for row in ranges.distinct().limit(PRUNE_UP_TO + 1).collect()]
-    if len(touched) > PRUNE_UP_TO:
-        return F.lit(True)
-    inside = F.col(RANGE).isin([r for r in touched if r is not None])
-    return inside | F.col(RANGE).isNull() if None in touched else inside
+    rows, kept = ranged, entries
+    if entries:
+        affected = entries
+        if _same_columns(_read(spark, path, entries), updates):
+            # Ranges of the batch are no more than the table has afterwards.
+            touched = {r[RANGE] for r in ranged.select(RANGE).distinct().collect()}
+            affected = {r: v for r, v in entries.items() if r in touched}
+        kept = {r: v for r, v in entries.items() if r not in affected}
+        stored = _read(spark, path, affected)
+        if stored is not None:
+            target = stored.withColumn(RANGE, range_of(F.col(key), keys_per_range))
+            rows = merged(target, ranged, key)
+    version = f"v{uuid.uuid4().hex}"
+    _write(rows, f"{path}/data/{VERSION}={version}")
+    written = stored_table(spark, f"{path}/data/{VERSION}={version}")
+    new = [] if written is None else [r[RANGE] for r in written.select(F.col(RANGE).cast("bigint")).distinct().collect()]
+    publish(spark, path, number + 1, {**kept, **dict.fromkeys(new, version)})
+    _forget(spark, path, number, {version, *entries.values()})
+    if staging:
+        remove(spark, staging)
+
+
+def publish(spark: SparkSession, path: str, number: int, entries: Manifest) -> None:
+    """Write a manifest: one file, which appears whole or not at all."""
+    # The first row stands for the manifest itself, so one without ranges can be seen as well.
+    rows = [(None, None), *entries.items()]
+    listed = spark.createDataFrame(rows, f"{RANGE} bigint, {VERSION} string").coalesce(1)
+    listed.write.mode("overwrite").parquet(f"{path}/manifests/{NUMBER}={number}")
+
+
+def _forget(spark: SparkSession, path: str, previous: int, versions: Iterable[str]) -> None:
+    """Delete what neither the newest manifest nor the one before it names."""
+    named = {f"{VERSION}={v}" for v in versions}
+    for name in children(spark, f"{path}/data"):
+        if name.startswith(f"{VERSION}=") and name not in named:
+            remove(spark, f"{path}/data/{name}")
+    for name in children(spark, f"{path}/manifests"):
+        if name.startswith(f"{NUMBER}=") and int(name.split("=")[1]) < previous:
+            remove(spark, f"{path}/manifests/{name}")
 
 
 def range_of(key: Column, keys_per_range: int = KEYS_PER_RANGE) -> Column:
@@ -114,9 +177,7 @@ def _write(rows: DataFrame, path: str) -> None:
     # whatever is larger than the advisory size, such as many rows without a key.
     (
         rows.hint("rebalance", RANGE)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(RANGE)
+        .write.partitionBy(RANGE)
         .parquet(path)
     )
 

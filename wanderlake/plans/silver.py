@@ -40,7 +40,8 @@ def _newest(raw: DataFrame, key: str, created_after: datetime | None) -> DataFra
     return latest_per_key(changed, [key], ["created_at"], unknown_first=True)
 
 
-def _after(df: DataFrame, created_after: datetime | None) -> DataFrame:
+def after(df: DataFrame, created_after: datetime | None) -> DataFrame:
+    """Standardised rows created after a mark; all of them without one."""
     if created_after is None:
         return df
     return df.filter(F.col("created_at") > moment(created_after))
@@ -72,7 +73,7 @@ def policies(raw: DataFrame, created_after: datetime | None = None) -> DataFrame
     latest = _newest(raw, "policy_id", created_after)
     status = tidy_lower(F.col("status"))
     kept = latest.filter(~((status == "cancelled") & F.col("premium_amount").isNull()))
-    return _after(
+    return after(
         kept.select(
             "policy_id",
             "customer_id",
@@ -97,7 +98,7 @@ def claims(raw: DataFrame, created_after: datetime | None = None) -> DataFrame:
     latest = _newest(raw, "claim_id", created_after)
     status = tidy_lower(F.col("status"))
     processed = timestamp_of(raw, "processed_at")
-    return _after(
+    return after(
         latest.select(
             "claim_id",
             "policy_id",

@@ -11,22 +11,28 @@ from pyspark.sql import functions as F
 from wanderlake import schemas
 from wanderlake.fixed_values import WATERMARK_DEFAULT
 from wanderlake.operators.lookup import NO_HOT_KEYS, small_enough
-from wanderlake.operators.upsert import RANGE, in_ranges, range_of, read_keyed, upsert, watermark
+from wanderlake.operators.upsert import range_of, read_keyed, upsert, watermark
 from wanderlake.plans import gold, silver
-from wanderlake.session import scratch_dir
+from wanderlake.session import remove, scratch_dir
 from wanderlake.sources.extract import load_state, save_state
 
 DIMENSIONS = ("dim_customers", "dim_destinations", "dim_brokers", "dim_date")
-POLICY_COLUMNS = schemas.ddl(schemas.FACT_POLICIES)
 FACTS = {"fact_policies": schemas.FACT_POLICIES, "fact_claims": schemas.FACT_CLAIMS}
 
 
 def read_gold_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One stored table; a fact may still be empty, so its columns are given."""
+    """One stored table; a fact may still be empty, and may have more columns than at first."""
     path = f"{root}/{name}"
-    if name in FACTS:
-        return spark.read.schema(schemas.ddl(FACTS[name])).parquet(path).select(*FACTS[name])
-    return spark.read.parquet(path)
+    if name not in FACTS:
+        return spark.read.parquet(path)
+    return _fact(spark, path, name)
+
+
+def _fact(spark: SparkSession, path: str, name: str, ranges: DataFrame | None = None) -> DataFrame:
+    stored = read_keyed(spark, path, ranges)
+    if stored is None:
+        return spark.createDataFrame([], schemas.ddl(FACTS[name]))
+    return stored.select(*FACTS[name], *(c for c in stored.columns if c not in FACTS[name]))
 
 
 def read_gold(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -34,12 +40,15 @@ def read_gold(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {name: read_gold_table(spark, root, name) for name in (*DIMENSIONS, *FACTS)}
 
 
-def build_dimensions(bronze: Mapping[str, DataFrame], root: str, as_of: datetime) -> None:
-    """Rebuild every dimension from BRONZE."""
+def build_dimensions(
+    bronze: Mapping[str, DataFrame], root: str, as_of: datetime, policies: DataFrame | None = None
+) -> None:
+    """Rebuild every dimension from BRONZE; ``policies`` are the SILVER ones, if already there."""
+    policies = silver.policies(bronze["raw_policies"]) if policies is None else policies
     spark = bronze["raw_customers"].sparkSession
     tables = {
         "dim_customers": gold.dim_customers(silver.customers(bronze["raw_customers"]), as_of),
-        "dim_destinations": gold.dim_destinations(silver.policies(bronze["raw_policies"])),
+        "dim_destinations": gold.dim_destinations(policies),
         "dim_brokers": gold.dim_brokers(silver.brokers(bronze["raw_broker_commissions"])),
         "dim_date": gold.dim_date(spark),
     }
@@ -47,10 +56,17 @@ def build_dimensions(bronze: Mapping[str, DataFrame], root: str, as_of: datetime
         table.write.mode("overwrite").parquet(f"{root}/{name}")
 
 
-def update_policies(raw_policies: DataFrame, root: str, lookback: timedelta = timedelta(0)) -> None:
+def update_policies(
+    raw_policies: DataFrame,
+    root: str,
+    lookback: timedelta = timedelta(0),
+    policies: DataFrame | None = None,
+) -> None:
     """Upsert the policies created after the newest one already in the fact.
 
-    ``lookback`` reads that much further back, for rows that arrived late.
+    ``lookback`` reads that much further back, for rows that arrived late. ``policies`` are the
+    stored SILVER policies of this run, if there are any; they are filtered instead of being
+    made again.
     """
     spark = raw_policies.sparkSession
     tables = {name: spark.read.parquet(f"{root}/{name}") for name in DIMENSIONS}
@@ -66,7 +82,10 @@ def update_policies(raw_policies: DataFrame, root: str, lookback: timedelta = ti
         hot = gold.policy_hot_keys(keys, large) if large and not few else NO_HOT_KEYS
         return gold.fact_policies(batch, *by_name.values(), tables["dim_date"], hot, small, few)
 
-    _update(raw_policies, silver.policies, resolve, root, "fact_policies", "policy_id", lookback)
+    def standardise(raw: DataFrame, since: datetime | None) -> DataFrame:
+        return silver.policies(raw, since) if policies is None else silver.after(policies, since)
+
+    _update(raw_policies, standardise, resolve, root, "fact_policies", "policy_id", lookback)
 
 
 def update_claims(raw_claims: DataFrame, root: str, lookback: timedelta = timedelta(0)) -> None:
@@ -82,8 +101,8 @@ def update_claims(raw_claims: DataFrame, root: str, lookback: timedelta = timede
         parents = policies
         if few and not small:
             # Only the ranges of the batch's policies are scanned.
-            stored = spark.read.schema(f"{POLICY_COLUMNS}, {RANGE} bigint").parquet(f"{root}/fact_policies")
-            parents = stored.filter(in_ranges(batch.select(range_of(F.col("policy_id")))))
+            wanted = batch.select(range_of(F.col("policy_id")))
+            parents = _fact(spark, f"{root}/fact_policies", "fact_policies", wanted)
         hot = NO_HOT_KEYS if small or few else gold.claim_hot_keys(keys)
         return gold.fact_claims(batch, parents, hot, small, few)
 
@@ -118,13 +137,15 @@ def _update(
         batch = spark.read.parquet(staging)
         upsert(resolve(batch, small_enough(batch), batch), path, key, known_unique=True)
         mark = max(since, watermark(batch, "created_at", WATERMARK_DEFAULT))
+        remove(spark, staging)
     save_state(spark, marks, {name: mark})
 
 
 def _newest(spark: SparkSession, path: str, marks: str, name: str) -> datetime | None:
     """Creation time of the fact's newest row; None before its first rows.
 
-    Normally it was noted by the last run; without a note the fact is asked.
+    Normally it was noted by the last run. Without a note the fact is asked: it appears whole
+    or not at all, so the run that wrote it had only its note left to write.
     """
     stored = read_keyed(spark, path)
     if stored is None:
@@ -134,7 +155,15 @@ def _newest(spark: SparkSession, path: str, marks: str, name: str) -> datetime |
 
 
 def build_star(bronze: Mapping[str, DataFrame], root: str, as_of: datetime) -> None:
-    """One GOLD run: dimensions in full, facts as far as they are new."""
-    build_dimensions(bronze, root, as_of)
-    update_policies(bronze["raw_policies"], root)
+    """One GOLD run: dimensions in full, facts as far as they are new.
+
+    SILVER policies are stored once; the destinations and the fact both read them.
+    """
+    spark = bronze["raw_policies"].sparkSession
+    staging = scratch_dir(spark, "silver-policies")
+    silver.policies(bronze["raw_policies"]).write.parquet(staging)
+    policies = spark.read.parquet(staging)
+    build_dimensions(bronze, root, as_of, policies)
+    update_policies(bronze["raw_policies"], root, policies=policies)
     update_claims(bronze["raw_claims"], root)
+    remove(spark, staging)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from wanderlake.functions import numbers, times
 from wanderlake.functions.text import trim_strings
 from wanderlake.operators.lookup import missing_parents
+from wanderlake.operators.lookup import NO_HOT_KEYS, small_enough
 from wanderlake.operators.upsert import read_keyed
 from wanderlake.plans import bronze, daily, gold, metrics, monitor, quality, reconcile, silver, star
 from wanderlake.session import scratch_dir
@@ -250,23 +251,27 @@ def dim_date(spark, sf):
 
 
 def fact_policies(spark, sf):
+    """Joins planned as a GOLD run plans them: stored dimensions, broadcast if counted as small."""
     raw = fixtures.raw_policies(spark, sf)
-    policies = silver.policies(raw)
+    dimensions = {
+        "customer": stored(spark, sf, "dim_customers"),
+        "destination": stored(spark, sf, "dim_destinations"),
+        "broker": stored(spark, sf, "dim_brokers"),
+    }
+    small = [name for name, table in dimensions.items() if small_enough(table)]
+    large = [name for name in dimensions if name not in small]
+    hot = gold.policy_hot_keys(raw, large) if large else NO_HOT_KEYS
     return gold.fact_policies(
-        policies,
-        dim_customers(spark, sf),
-        gold.dim_destinations(policies),
-        dim_brokers(spark, sf),
-        gold.dim_date(spark),
-        gold.policy_hot_keys(raw),
+        silver.policies(raw), *dimensions.values(), stored(spark, sf, "dim_date"), hot, small
     )
 
 
 def fact_claims(spark, sf):
     raw = fixtures.raw_claims(spark, sf)
-    return gold.fact_claims(
-        silver.claims(raw), fact_policies(spark, sf), gold.claim_hot_keys(raw)
-    )
+    parents = stored(spark, sf, "fact_policies")
+    small = small_enough(parents)
+    hot = NO_HOT_KEYS if small else gold.claim_hot_keys(raw)
+    return gold.fact_claims(silver.claims(raw), parents, hot, small)
 
 
 def fact_policies_incremental(spark, sf):
