@@ -36,6 +36,10 @@ _P1, _P2, _P3, _P4 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4E
 _HALF = np.uint64(32)
 
 
+# Ids of candidates (some tens of bytes each) that may be broadcast to the scan of the texts.
+BROADCAST_IDS = 2_000_000
+
+
 @dataclass(frozen=True)
 class Settings:
     """``percent`` is the least similarity; ``miss`` the chance at which a pair is pruned."""
@@ -156,7 +160,7 @@ def signatures(docs: DataFrame, text: str, doc_id: str, settings: Settings) -> D
 
 
 def _sets(docs: DataFrame, text: str, doc_id: str, ids: DataFrame, settings: Settings) -> DataFrame:
-    """``rep, grams`` of the representatives in ``ids`` (``rep, set_key``), from their texts."""
+    """``rep, grams`` of the representatives in ``ids`` (stored, ``rep, set_key``), from their texts."""
 
     def run(batches):
         hashes = _WordHashes()
@@ -165,10 +169,13 @@ def _sets(docs: DataFrame, text: str, doc_id: str, ids: DataFrame, settings: Set
             keys = [xxhash.xxh3_128_digest(g) for g in grams]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(grams, pa.binary())], names=["rep", "set_key", "grams"])
 
-    texts = docs.select(F.col(doc_id).alias("rep"), F.col(text).alias("text")).join(ids.select("rep").distinct(), "rep", "left_semi")
+    # Counted from file footers: within the bound the texts stay where they are, beyond it they
+    # are shuffled to the ids.
+    few = F.broadcast if ids.count() <= BROADCAST_IDS else lambda side: side
+    texts = docs.select(F.col(doc_id).alias("rep"), F.col(text).alias("text")).join(few(ids.select("rep").distinct()), "rep", "left_semi")
     kind = texts.schema["rep"].dataType.simpleString()
-    made = texts.mapInArrow(run, f"rep {kind}, set_key binary, grams binary").dropDuplicates(["rep", "set_key"])
-    return made.join(ids.select("rep", "set_key").distinct(), ["rep", "set_key"], "left_semi").drop("set_key")
+    made = texts.mapInArrow(run, f"rep {kind}, set_key binary, grams binary").join(few(ids), ["rep", "set_key"], "left_semi")
+    return made.dropDuplicates(["rep", "set_key"]).drop("set_key")
 
 
 def _pruned(pairs: DataFrame, signed: DataFrame, settings: Settings) -> DataFrame:
@@ -274,7 +281,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     pairs = pairs.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
     shown = reps.select("rep", "signature")
     survivors = written(spark, _pruned(pairs, shown, settings), "survivors")
-    sets = written(spark, _sets(docs, text, doc_id, members.select("rep", "set_key"), settings), "sets")
+    candidates = written(spark, members.select("rep", "set_key").distinct(), "candidates")
+    sets = written(spark, _sets(docs, text, doc_id, candidates, settings), "sets")
     placed = written(spark, connected(_verified(survivors, sets, settings)), "components")
 
     # Buckets with members in different components, of which some pair was not compared yet.
