@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import random
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from tests.conftest import plan_of
 from wanderlake.plans import bronze, silver
 
@@ -216,6 +218,28 @@ def test_refresh_drops_a_day_that_lost_its_last_row(spark, folder):
 
 def test_refresh_reads_only_the_touched_days(spark, folder):
     spark.createDataFrame([flight("a", 1)], FLIGHTS).write.parquet(f"{folder}/raw")
-    condition = bronze._on_days([date(2024, 1, 1), None])
-    plan = plan_of(spark.read.parquet(f"{folder}/raw").filter(condition))
-    assert "PushedFilters: [Or(And(GreaterThanOrEqual(event_timestamp" in plan
+    days = spark.createDataFrame([(date(2024, 1, 1),), (None,)], f"{bronze.DAY} date")
+    raw = spark.read.parquet(f"{folder}/raw").withColumn("event_day", F.to_date("event_timestamp"))
+    raw.write.partitionBy("event_day").parquet(f"{folder}/by_day")
+    plan = plan_of(bronze._on_days(spark.read.parquet(f"{folder}/by_day"), F.col("event_day"), days))
+    assert "PartitionFilters: [(isnull(event_day" in plan and "2024-01-01" in plan
+
+
+def test_refresh_of_many_days_keeps_the_stamps_of_others(spark, folder):
+    """More than a year of days in one batch, one of them without a position, none rebuilt in passing."""
+    def on(day, arrived, lat=1.0, icao="a"):
+        row = list(flight(icao, 1, lat=lat))
+        row[9], row[10] = datetime(2020, 1, 1, 0, 0, 1) + timedelta(days=day), arrived
+        return tuple(row)
+
+    run1, run2 = datetime(2024, 1, 2), datetime(2024, 1, 5)
+    first = [on(d, datetime(2024, 1, 1)) for d in range(3)]
+    raw = spark.createDataFrame(first, FLIGHTS)
+    bronze.refresh_flights(raw, folder, run1)
+    later = [on(d, datetime(2024, 1, 4)) for d in range(2, 372)] + [on(400, datetime(2024, 1, 4), None)]
+    raw = raw.union(spark.createDataFrame(later, FLIGHTS))
+    bronze.refresh_flights(raw, folder, run2)
+    stored = bronze.read_clean_flights(raw, folder)
+    assert stored.count() == 372 and bronze.read_flight_stats(spark, folder).count() == 372
+    old = stored.filter(F.col("ingested_at") == F.lit(run1)).select("event_timestamp").collect()
+    assert sorted(r["event_timestamp"].day for r in old) == [1, 2]

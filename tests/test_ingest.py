@@ -107,3 +107,22 @@ def test_a_drop_may_be_one_plain_file(spark, folder):
         out.write(f"{header}\n7,n,c,UK,3,10.00,0.1,1.00,2024-02-01\n")
     drop = broker_files.newest_drop(spark, folder)
     assert broker_files.read_drop(spark, drop).first()["broker_id"] == 7
+
+
+def test_drop_columns_are_found_by_name(spark, folder):
+    rows = brokers(spark, "n", date(2024, 1, 1))
+    plain = broker_files.read_drop(spark, broker_files.write_drop(rows, f"{folder}/a", "2024-01-01"))
+    turned = list(schemas.RAW_BROKER_COMMISSIONS)[::-1]
+    path = broker_files.write_drop(rows, f"{folder}/b", "2024-01-01", turned)
+    assert broker_files.read_drop(spark, path).collect() == plain.collect()
+    assert plain.dtypes == list(schemas.RAW_BROKER_COMMISSIONS.items())
+    path = broker_files.write_drop(rows, f"{folder}/c", "2024-01-01", turned[1:])
+    with pytest.raises(ValueError, match=turned[0]):
+        broker_files.read_drop(spark, path)
+
+
+def test_columns_of_later_loads_are_read(spark, folder):
+    tables.append_load(source(spark, [1]), f"{folder}/t", "a")
+    tables.append_load(source(spark, [2]).withColumn("newcol", F.lit("x")), f"{folder}/t", "b")
+    rows = {r["NEWCOL"] for r in tables.read_loads(spark, f"{folder}/t").collect()}
+    assert rows == {None, "x"}

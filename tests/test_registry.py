@@ -7,9 +7,15 @@ import pytest
 
 import __spark_entry__ as registry
 from tools.compare import digest
+from wanderlake.registry.oracle import ORACLE
+from wanderlake.registry.queries import QUERIES
 
 FOLDER = Path("/root/testdata/sf0.001")
-QUERIES, ORACLE = registry.queries(), registry.oracle_sql()
+
+
+def test_every_query_and_its_sql_are_handed_over():
+    assert QUERIES.items() <= registry.queries().items()
+    assert ORACLE.items() <= registry.oracle_sql().items()
 
 
 @pytest.fixture(scope="module")

@@ -7,7 +7,9 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from tests.conftest import plan_of
 from wanderlake import schemas
+from wanderlake.functions.times import moment
 from wanderlake.plans import bronze
 from wanderlake.sources import messages
 from wanderlake.sources.tables import create_if_missing
@@ -141,3 +143,18 @@ def test_message_files_in_bounded_batches(spark, folder):
     query.awaitTermination()
     assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [1, 1, 1]
     assert sorted(r["icao24"] for r in flights.landed_flights(spark, f"{folder}/t").collect()) == ["a", "b", "c"]
+
+
+def test_landed_days_are_pruned_and_archived(spark, folder):
+    batches = [("a", datetime(2024, 1, 1, 5)), ("b", datetime(2024, 1, 2, 5)), ("c", datetime(2024, 1, 3, 5))]
+    for icao, arrived in batches:
+        topics.write_message_files(spark.createDataFrame([(icao, message(icao))], "key string, value string"), f"{folder}/in")
+        source = topics.read_message_files(spark, f"{folder}/in")
+        flights.start_ingest(source, f"{folder}/t", f"{folder}/c", moment(arrived), keep="30d").awaitTermination()
+    recent = flights.landed_flights(spark, f"{folder}/t", datetime(2024, 1, 2, 4))
+    assert sorted(r["icao24"] for r in recent.collect()) == ["b", "c"]
+    partitions = plan_of(recent).split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert f"isnotnull({flights.LANDED_DAY}" in partitions and ">=" in partitions
+    for _ in range(2):
+        flights.compact_days(spark, f"{folder}/t", datetime(2024, 1, 3), f"{folder}/archive")
+        assert sorted(r["icao24"] for r in flights.landed_flights(spark, f"{folder}/archive").collect()) == ["a", "b"]

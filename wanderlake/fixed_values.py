@@ -78,15 +78,3 @@ EXTRACT_TARGETS = {
     "policies": "raw_policies",
     "claims": "raw_claims",
 }
-
-# Tables of the BRONZE row-count report.
-BRONZE_TABLES = (
-    "RAW_CUSTOMERS",
-    "RAW_POLICIES",
-    "RAW_CLAIMS",
-    "RAW_BROKER_COMMISSIONS",
-    "RAW_FLIGHTS",
-    "BRONZE_FLIGHTS_CLEAN",
-    "BRONZE_POLICIES_CLEAN",
-    "FLIGHT_DAILY_STATS",
-)

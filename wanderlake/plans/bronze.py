@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,10 +13,11 @@ from wanderlake.functions.numbers import decimal_or_null
 from wanderlake.functions.text import is_true_text, trim_strings
 from wanderlake.functions.times import bucket_number, moment, utc_now
 from wanderlake.operators.latest import latest_per_key
+from wanderlake.session import remove, scratch_dir
 from wanderlake.sources.extract import load_state, save_state
 
 DAY = "event_day"
-DAYS_AT_ONCE = 366
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 CLEAN_FLIGHTS = "flights_clean"
 FLIGHT_STATS = "flight_daily_stats"
 
@@ -66,35 +67,54 @@ def flight_daily_stats(clean: DataFrame) -> DataFrame:
 
 
 def refresh_flights(
-    raw: DataFrame, root: str, as_of: datetime, overlap: timedelta = timedelta(hours=1)
+    raw: DataFrame,
+    root: str,
+    as_of: datetime,
+    overlap: timedelta = timedelta(hours=1),
+    landed_since: Callable[[datetime], DataFrame] | None = None,
 ) -> None:
     """Bring the stored clean flights and their statistics up to date, day by day.
 
     A bucket never crosses midnight and the statistics are per day, so only days with rows
-    that landed since the last finished run are computed again; their partitions are swapped
-    in at commit. ``overlap`` covers rows that became visible late; a repeated day gives the
-    same rows. The first run covers all days. A run is noted once both tables are written,
-    so one that was cut short is repeated.
+    that landed since the last finished run are computed again, however many they are; their
+    partitions are swapped in at commit, and those of days left without a row are deleted.
+    All other days keep their rows and stamps. ``overlap`` covers rows that became visible
+    late; a repeated day gives the same rows. The first run covers all days. A run is noted
+    once both tables are written, so one that was cut short is repeated.
+
+    ``landed_since`` reads the rows landed since a time, where the landing table can prune
+    for it; without it ``raw`` is filtered. Times are UTC, as the landing stamps are.
     """
     spark = raw.sparkSession
     flights_path, stats_path = f"{root}/{CLEAN_FLIGHTS}", f"{root}/{FLIGHT_STATS}"
+    marks = f"{root}/flight_marks"
+    last = load_state(spark, marks).get(CLEAN_FLIGHTS)
     whole = _by_day(clean_flights(raw, as_of))
-    days = _landed_days(raw, root, overlap)
-    done = False
-    if days is not None:
-        part = _by_day(clean_flights(raw.filter(_on_days(days)), as_of))
-        _swap_days(part, flights_path, "dynamic")
-        stored = spark.read.schema(whole.schema).parquet(flights_path)
-        refreshed = stored.filter(F.col("ingested_at") == moment(as_of))
-        # A day that lost its last row keeps its partition; only a full rebuild removes it.
-        done = set(days) <= set(_days_of(refreshed))
-        if done:
-            _swap_days(_stats_by_day(refreshed), stats_path, "dynamic")
-    if not done:
+    if last is None:
         _swap_days(whole, flights_path, "static")
         stored = spark.read.schema(whole.schema).parquet(flights_path)
         _swap_days(_stats_by_day(stored), stats_path, "static")
-    save_state(spark, f"{root}/flight_marks", {CLEAN_FLIGHTS: as_of})
+    else:
+        since = last - overlap
+        landed = landed_since(since) if landed_since else raw
+        landed = landed.filter(F.col("ingested_at") >= moment(since))
+        staging = scratch_dir(spark, "flight-days")
+        landed.select(F.to_date("event_timestamp").alias(DAY)).distinct().write.parquet(staging)
+        days = spark.read.parquet(staging)
+        part = _by_day(clean_flights(_on_days(raw, F.to_date("event_timestamp"), days), as_of))
+        _swap_days(part, flights_path, "dynamic")
+        stored = _on_days(spark.read.schema(whole.schema).parquet(flights_path), F.col(DAY), days)
+        # A touched partition with another stamp was not swapped: its day has no row any more.
+        stale = stored.filter(~F.col("ingested_at").eqNullSafe(moment(as_of))).select(DAY).distinct()
+        for row in stale.collect():  # no more than the table has partitions
+            name = f"{DAY}={NO_DAY if row[DAY] is None else row[DAY]}"
+            remove(spark, f"{flights_path}/{name}")
+            remove(spark, f"{stats_path}/{name}")
+        spark.catalog.refreshByPath(flights_path)
+        stored = _on_days(spark.read.schema(whole.schema).parquet(flights_path), F.col(DAY), days)
+        _swap_days(_stats_by_day(stored), stats_path, "dynamic")
+        remove(spark, staging)
+    save_state(spark, marks, {CLEAN_FLIGHTS: as_of})
 
 
 def read_clean_flights(raw: DataFrame, root: str) -> DataFrame:
@@ -117,34 +137,18 @@ def read_flight_stats(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _landed_days(raw: DataFrame, root: str, overlap: timedelta) -> list | None:
-    """Event days (None for an unknown day) of the rows landed since the last run.
+def _on_days(df: DataFrame, day: Column, days: DataFrame) -> DataFrame:
+    """Rows of the listed days (an unknown day counts as one).
 
-    None stands for all days: before the first run, or when too many days are touched.
+    The lowest and highest day come to the driver as literal bounds, which prune partitions and
+    row groups; the exact days are matched by a join, so no list of them is collected.
     """
-    last = load_state(raw.sparkSession, f"{root}/flight_marks").get(CLEAN_FLIGHTS)
-    if last is None:
-        return None
-    landed = raw.filter(F.col("ingested_at") >= moment(last - overlap))
-    days = _days_of(landed.select(F.to_date("event_timestamp").alias(DAY)))
-    return days if len(days) <= DAYS_AT_ONCE else None
-
-
-def _days_of(df: DataFrame) -> list:
-    return [row[DAY] for row in df.select(DAY).distinct().collect()]
-
-
-def _on_days(days: list) -> Column:
-    """Event-time filter: one range per day, so it reaches the scan."""
-    event = F.col("event_timestamp")
-    match = F.lit(False)
-    for day in days:
-        if day is None:
-            match = match | event.isNull()
-        else:
-            start = datetime(day.year, day.month, day.day)
-            match = match | ((event >= moment(start)) & (event < moment(start + timedelta(days=1))))
-    return match
+    bounds = days.agg(F.min(DAY).alias("low"), F.max(DAY).alias("high")).first()
+    inside = day.isNull()
+    if bounds["low"] is not None:
+        inside = inside | day.between(F.lit(bounds["low"]), F.lit(bounds["high"]))
+    wanted = days.select(F.col(DAY).alias("__day"))
+    return df.filter(inside).join(wanted, day.eqNullSafe(F.col("__day")), "left_semi")
 
 
 def _by_day(clean: DataFrame) -> DataFrame:

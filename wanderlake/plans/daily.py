@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -89,7 +90,9 @@ def _clean(spark: SparkSession, landing: str, root: str, as_of: datetime) -> str
     raw_flights = landed_flights(spark, landing)
     raw_policies = read_bronze(spark, root)["raw_policies"]
     policies_path = f"{root}/bronze/policies_clean"
-    bronze.refresh_flights(raw_flights, f"{root}/bronze", as_of)
+    bronze.refresh_flights(
+        raw_flights, f"{root}/bronze", as_of, landed_since=partial(landed_flights, spark, landing)
+    )
     write_table(bronze.clean_policies(raw_policies), policies_path)
     report = bronze.removal_report(
         {

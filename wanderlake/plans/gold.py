@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wanderlake import schemas
 from wanderlake.fixed_values import (
     CALENDAR_END,
     CALENDAR_START,
@@ -103,6 +104,9 @@ def policy_hot_keys(policies: DataFrame, names: Collection[str] = tuple(POLICY_L
     return find_hot_keys(policies, {name: keys[name] for name in names})
 
 
+SILVER_POLICIES = frozenset(schemas.POLICIES) | {"policy_status", "trip_duration_days"}
+
+
 def fact_policies(
     policies: DataFrame,
     customers: DataFrame,
@@ -115,6 +119,8 @@ def fact_policies(
 ) -> DataFrame:
     """Policies with the keys of their dimensions; an unmatched policy keeps NULL keys.
 
+    Columns that SILVER did not always have come last.
+
     ``small`` names the dimensions that were counted and may be broadcast; ``few`` tells
     that the policies themselves were counted and are no more than that.
     """
@@ -145,6 +151,7 @@ def fact_policies(
         "trip_duration_days",
         "policy_status",
         "created_at",
+        *(c for c in policies.columns if c not in SILVER_POLICIES),
     )
 
 

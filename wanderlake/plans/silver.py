@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wanderlake import schemas
 from wanderlake.fixed_values import ISO_CODE_BY_COUNTRY, STANDARD_TRUE_TEXT, UNKNOWN_ISO_CODE
 from wanderlake.functions.numbers import decimal_or_null, percentage, whole_number
 from wanderlake.functions.text import (
@@ -69,6 +70,7 @@ def policies(raw: DataFrame, created_after: datetime | None = None) -> DataFrame
 
     The test sees the raw premium: text that is no number counts as a premium. With an
     unknown status and no premium it is neither true nor false, and the row goes too.
+    Columns that the source has got since pass through as they are.
     """
     latest = _newest(raw, "policy_id", created_after)
     status = tidy_lower(F.col("status"))
@@ -89,6 +91,7 @@ def policies(raw: DataFrame, created_after: datetime | None = None) -> DataFrame
             days_between(F.col("trip_start_date"), F.col("trip_end_date")).alias(
                 "trip_duration_days"
             ),
+            *(c for c in raw.columns if c not in schemas.POLICIES),
         ),
         created_after,
     )

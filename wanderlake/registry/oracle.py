@@ -2,28 +2,56 @@
 
 from __future__ import annotations
 
-from wanderlake.fixed_values import (
-    CONTINENT_BY_DESTINATION,
-    ISO_CODE_BY_COUNTRY,
-    SURROGATE_NULL,
-    UNKNOWN_CONTINENT,
-    UNKNOWN_ISO_CODE,
-)
+from wanderlake.fixed_values import SURROGATE_NULL
 from wanderlake.sources.fixtures import CLAIM_TYPES, COUNTRIES, DESTINATIONS
 
 AS_OF = "TIMESTAMP '2025-06-30 12:00:00'"
 EVENTS_AS_OF = "TIMESTAMP '2029-07-30 00:30:00'"
 LANDING_AS_OF = "TIMESTAMP '2024-01-30 23:59:00'"
 CUT = "TIMESTAMP '2026-01-01 00:00:00'"
+PUBLISHED = f"created_at >= {EVENTS_AS_OF} - INTERVAL 8760 HOUR"
+PUBLISHED_FIRST = "created_at <= TIMESTAMP '2029-01-30 00:00:00'"
 
 
 def _items(values) -> str:
     return "[" + ", ".join("NULL" if v is None else f"'{v}'" for v in values) + "]"
 
 
-def _case(subject: str, table: dict[str, str], default: str) -> str:
-    arms = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in table.items())
-    return f"CASE {subject} {arms} ELSE '{default}' END"
+# Fixed values, written out here as well, so that a wrong one in the library shows.
+ISO_CODE = """CASE {}
+    WHEN 'UNITED KINGDOM' THEN 'GB'
+    WHEN 'UNITED STATES' THEN 'US'
+    WHEN 'FRANCE' THEN 'FR'
+    WHEN 'GERMANY' THEN 'DE'
+    WHEN 'SPAIN' THEN 'ES'
+    WHEN 'ITALY' THEN 'IT'
+    WHEN 'AUSTRALIA' THEN 'AU'
+    WHEN 'CANADA' THEN 'CA'
+    WHEN 'INDIA' THEN 'IN'
+    WHEN 'JAPAN' THEN 'JP'
+    WHEN 'BRAZIL' THEN 'BR'
+    WHEN 'NETHERLANDS' THEN 'NL'
+    WHEN 'SWEDEN' THEN 'SE'
+    WHEN 'NORWAY' THEN 'NO'
+    WHEN 'UAE' THEN 'AE'
+    WHEN 'SINGAPORE' THEN 'SG'
+    WHEN 'SOUTH AFRICA' THEN 'ZA'
+    WHEN 'THAILAND' THEN 'TH'
+    WHEN 'MEXICO' THEN 'MX'
+    WHEN 'IRELAND' THEN 'IE'
+    ELSE 'UN' END"""
+CONTINENT = """CASE {}
+    WHEN 'THAILAND' THEN 'Asia'
+    WHEN 'SPAIN' THEN 'Europe'
+    WHEN 'USA' THEN 'North America'
+    WHEN 'JAPAN' THEN 'Asia'
+    WHEN 'AUSTRALIA' THEN 'Oceania'
+    WHEN 'UAE' THEN 'Middle East'
+    WHEN 'FRANCE' THEN 'Europe'
+    WHEN 'ITALY' THEN 'Europe'
+    WHEN 'MALDIVES' THEN 'Asia'
+    WHEN 'UK' THEN 'Europe'
+    ELSE 'Other' END"""
 
 
 def _key(expression: str) -> str:
@@ -175,7 +203,7 @@ FROM {source} GROUP BY ALL
 STG_CUSTOMERS = f"""
 SELECT customer_id, trim(first_name) AS first_name, trim(last_name) AS last_name,
        lower(trim(email)) AS email, date_of_birth, trim(country_of_residence) AS country_of_residence,
-       {_case("upper(trim(country_of_residence))", ISO_CODE_BY_COUNTRY, UNKNOWN_ISO_CODE)} AS country_iso_code,
+       {ISO_CODE.format("upper(trim(country_of_residence))")} AS country_iso_code,
        trim(phone) AS phone, created_at, trim(first_name) || ' ' || trim(last_name) AS full_name
 FROM ({_latest("raw_customers", "customer_id", ["created_at"], CUSTOMER_REST, True)})
 """
@@ -238,7 +266,7 @@ FROM stg_customers
 
 DIM_DESTINATIONS = f"""
 SELECT {_key("destination_country")} AS destination_sk, destination_country,
-       {_case("destination_country", CONTINENT_BY_DESTINATION, UNKNOWN_CONTINENT)} AS continent
+       {CONTINENT.format("destination_country")} AS continent
 FROM (SELECT DISTINCT upper(destination_country) AS destination_country FROM stg_policies)
 """
 
@@ -695,6 +723,23 @@ ORACLE: dict[str, str] = {
     "flight_state_messages": _with(STATE_MESSAGES, "raw_flights"),
     "recent_policies": _with(RECENT_POLICIES, "raw_policies"),
     "policy_events": _with(POLICY_EVENTS, "raw_policies"),
+    "published_policies": _with(
+        f"""SELECT CAST(policy_id AS VARCHAR) AS "key", count(*) AS messages FROM (
+            SELECT policy_id FROM raw_policies WHERE {PUBLISHED} AND {PUBLISHED_FIRST}
+            UNION ALL SELECT policy_id FROM raw_policies WHERE {PUBLISHED} AND policy_id NOT IN (
+                SELECT policy_id FROM raw_policies WHERE {PUBLISHED} AND {PUBLISHED_FIRST})
+            UNION ALL SELECT policy_id FROM raw_policies WHERE {PUBLISHED}) GROUP BY policy_id""", "raw_policies",
+    ),
+    "refreshed_flights": _with(
+        f"""SELECT * REPLACE (CASE WHEN CAST(event_timestamp AS DATE) IN (
+            SELECT CAST(event_timestamp AS DATE) FROM raw_flights WHERE ingested_at >= TIMESTAMP '2024-01-15 11:00:00')
+        THEN {LANDING_AS_OF} ELSE TIMESTAMP '2024-01-15 12:00:00' END AS ingested_at) FROM clean_flights""",
+        "clean_flights", "raw_flights",
+    ),
+    "fact_policies_new_column": _with(
+        f"SELECT *, CASE WHEN created_at > {CUT} THEN CASE WHEN policy_id % 2 = 0 THEN 'web' ELSE 'agent' END END "
+        "AS sales_channel FROM policies_twice", "policies_twice",
+    ),
     "stg_customers": _all("stg_customers"),
     "stg_policies": _all("stg_policies"),
     "stg_claims": _all("stg_claims"),
@@ -829,7 +874,10 @@ ORACLE: dict[str, str] = {
     ),
     "daily_run_policies": _all("fact_policies"),
     "daily_run_flight_stats": _all("landed_stats"),
+    "daily_run_quality": _with(_quality_checks(), "fact_policies", "fact_claims"),
+    "daily_run_flights": _with("SELECT * EXCLUDE (ingested_at) FROM landed_clean", "landed_clean"),
     "stream_flight_ingest": _with(ACCEPTED, "raw_flights"),
+    "stream_flight_restart": _with(ACCEPTED, "raw_flights"),
     "stream_flight_rejects": _with(REJECTED, "raw_flights"),
     "stream_flight_dedup": _with(
         "SELECT icao24, callsign, origin_country, longitude, latitude, altitude, velocity, heading, "

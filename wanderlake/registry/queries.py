@@ -7,21 +7,23 @@ jobs a deployment runs, once per session and input folder.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
+from itertools import pairwise
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wanderlake import schemas
 from wanderlake.functions import numbers, times
 from wanderlake.functions.text import trim_strings
-from wanderlake.operators.lookup import missing_parents
-from wanderlake.operators.lookup import NO_HOT_KEYS, small_enough
+from wanderlake.operators.lookup import NO_HOT_KEYS, missing_parents, small_enough
 from wanderlake.operators.upsert import read_keyed
 from wanderlake.plans import bronze, daily, gold, metrics, monitor, quality, reconcile, silver, star
 from wanderlake.session import scratch_dir
 from wanderlake.sources import broker_files, extract, fixtures, messages, tables
 from wanderlake.streaming import flights as flight_stream
 from wanderlake.streaming import policies as policy_stream
+from wanderlake.streaming import topics
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +31,9 @@ AS_OF = datetime(2025, 6, 30, 12)  # reports and ages
 EVENTS_AS_OF = datetime(2029, 7, 30, 0, 30)  # shortly before the newest policies
 LANDING_AS_OF = datetime(2024, 1, 30, 23, 59)  # shortly after the newest flights
 CUT = datetime(2026, 1, 1)  # first and second run of incremental jobs
+PUBLISHED_CUT = datetime(2029, 1, 30)
+LANDED_CUT = datetime(2024, 1, 15, 12)
+PURCHASE_FILES = (datetime(1990, 1, 1), datetime(2025, 1, 1), datetime(2027, 6, 1), datetime(2099, 1, 1))
 STREAM_DELAY = "1 hour"
 
 _star_roots: dict[tuple[str, str], str] = {}
@@ -154,12 +159,12 @@ def appended_customers(spark, sf):
 
 
 def newest_broker_drop(spark, sf):
-    """Two daily drops are written; the newer one is found and loaded."""
+    """Two daily drops are written; the newer one, with its columns turned, is found and loaded."""
     root = scratch_dir(spark, "drops")
     raw = fixtures.raw_brokers(spark, sf)
-    for day in ("2024-01-01", "2024-01-02"):
+    for day, step in (("2024-01-01", 1), ("2024-01-02", -1)):
         one_day = raw.filter(F.col("report_date") == F.lit(day).cast("date"))
-        broker_files.write_drop(one_day, f"{root}/in", day)
+        broker_files.write_drop(one_day, f"{root}/in", day, list(schemas.RAW_BROKER_COMMISSIONS)[::step])
     broker_files.load_newest_drop(spark, f"{root}/in", f"{root}/bronze")
     return daily.lower_names(tables.read_loads(spark, f"{root}/bronze"))
 
@@ -196,6 +201,30 @@ def policy_events(spark, sf):
     return policy_stream.policy_messages(due, EVENTS_AS_OF)
 
 
+def published_policies(spark, sf):
+    """Three publishing runs over a year of policies: how often each one was sent.
+
+    The first sees a part, the second the rest; by the third all were sent, so all are due again.
+    """
+    root, hours = scratch_dir(spark, "published"), 24 * 365
+    raw = fixtures.raw_policies(spark, sf)
+    early = raw.filter(F.col("created_at") <= times.moment(PUBLISHED_CUT))
+    for policies in (early, raw, raw):
+        policy_stream.publish_due(policies, EVENTS_AS_OF, f"{root}/topic", f"{root}/sent", hours)
+    sent = spark.read.schema("key string, value string").json(f"{root}/topic")
+    return sent.groupBy("key").agg(F.count(F.lit(1)).alias("messages"))
+
+
+def refreshed_flights(spark, sf):
+    """Clean flights after two landings: days of the second have its stamp, the others the first's."""
+    root = scratch_dir(spark, "refreshed")
+    raw = fixtures.raw_flights(spark, sf)
+    first = raw.filter(F.col("ingested_at") <= times.moment(LANDED_CUT))
+    bronze.refresh_flights(first, root, LANDED_CUT)
+    bronze.refresh_flights(raw, root, LANDING_AS_OF)
+    return bronze.read_clean_flights(raw, root)
+
+
 # --- SILVER ---------------------------------------------------------------------------
 
 
@@ -284,6 +313,24 @@ def fact_policies_incremental(spark, sf):
     return read_keyed(spark, f"{root}/fact_policies")
 
 
+def fact_policies_new_column(spark, sf):
+    """The second load brings a column that the first did not have; it reaches the fact."""
+    root = scratch_dir(spark, "new-column")
+    raw = bronze_tables(spark, sf)
+    policies = raw["raw_policies"]
+    channel = F.when(F.col("policy_id") % 2 == 0, "web").otherwise("agent")
+    loads = (
+        policies.filter(F.col("created_at") <= times.moment(CUT)),
+        policies.filter(F.col("created_at") > times.moment(CUT)).withColumn("sales_channel", channel),
+    )
+    star.build_dimensions(raw, root, AS_OF)
+    for number, load in enumerate(loads):
+        tables.append_load(load, f"{root}/raw_policies", str(number))
+        stored_loads = daily.lower_names(tables.read_loads(spark, f"{root}/raw_policies"))
+        star.update_policies(stored_loads, root)
+    return star.read_gold_table(spark, root, "fact_policies")
+
+
 def fact_claims_incremental(spark, sf):
     """Claims that came before their policy keep NULL keys."""
     root = scratch_dir(spark, "incremental-claims")
@@ -523,6 +570,19 @@ def stream_flight_ingest(spark, sf):
     return flight_stream.landed_flights(spark, path)
 
 
+def stream_flight_restart(spark, sf):
+    """Messages in bounded micro-batches; the stream ends, more files come, and it starts again."""
+    root = scratch_dir(spark, "restart")
+    sent, stamp = fixtures.flight_messages(spark, sf), times.moment(LANDING_AS_OF)
+    part = F.pmod(F.xxhash64("key", "value"), F.lit(4))
+    for parts in ((0, 1), (2, 3)):
+        for number in parts:
+            topics.write_message_files(sent.filter(part == number).coalesce(1), f"{root}/in")
+        source = topics.read_message_files(spark, f"{root}/in", max_files_per_batch=1)
+        flight_stream.start_ingest(source, f"{root}/table", f"{root}/mark", stamp).awaitTermination()
+    return flight_stream.landed_flights(spark, f"{root}/table")
+
+
 def stream_flight_rejects(spark, sf):
     source = fixtures.flight_message_stream(spark, sf)
     path = _drained(
@@ -549,7 +609,16 @@ def stream_flight_states(spark, sf):
 
 
 def stream_policy_events(spark, sf):
-    events = policy_stream.purchase_stream(fixtures.raw_policy_stream(spark, sf))
+    """Purchases arrive in three files, with repeats inside a file and across two of them."""
+    root = scratch_dir(spark, "purchase-files")
+    created, raw = F.col("created_at"), fixtures.first_policies(spark, sf)
+    for low, high in pairwise(PURCHASE_FILES):
+        new = raw.filter((created > times.moment(low)) & (created <= times.moment(high)))
+        again = raw.filter((created > times.moment(low - timedelta(minutes=30))) & (created <= times.moment(low)))
+        rows = new.union(new.filter("policy_id % 5 = 0")).union(again)
+        rows.coalesce(1).write.mode("append").parquet(f"{root}/in")
+    source = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    events = policy_stream.purchase_stream(source)
     path = _drained(
         spark, "purchases", lambda table, mark: flight_stream.start_sink(events, table, mark)
     )
@@ -570,8 +639,9 @@ def daily_root(spark: SparkSession, sf: str) -> str:
     if key not in _daily_roots:
         root = scratch_dir(spark, "daily")
         raw = bronze_tables(spark, sf)
-        newest = raw["raw_broker_commissions"].filter(F.col("report_date") == F.lit("2024-01-02").cast("date"))
-        broker_files.write_drop(newest, f"{root}/drops", "2024-01-02")
+        for day in ("2024-01-01", "2024-01-02"):
+            report = raw["raw_broker_commissions"].filter(F.col("report_date") == F.lit(day).cast("date"))
+            broker_files.write_drop(report, f"{root}/drops", day)
         landing = f"{root}/landing"
         flight_stream.start_ingest(
             fixtures.flight_message_stream(spark, sf), landing, f"{root}/landing-mark"
@@ -612,6 +682,20 @@ def daily_run_flight_stats(spark, sf):
     return rounded(stats, "avg_altitude", "avg_velocity", "pct_on_ground")
 
 
+def daily_run_quality(spark, sf):
+    """The quality report that the daily run stored."""
+    path = f"{daily_root(spark, sf)}/lake/reports/quality"
+    columns = quality_report(spark, sf).schema
+    return spark.read.schema(columns).json(path).select(*columns.names)
+
+
+def daily_run_flights(spark, sf):
+    """The clean flights of the daily run, from landed messages."""
+    root = daily_root(spark, sf)
+    landed = flight_stream.landed_flights(spark, f"{root}/landing")
+    return bronze.read_clean_flights(landed, f"{root}/lake/bronze").drop("ingested_at")
+
+
 QUERIES: dict[str, Query] = {
     function.__name__: function
     for function in (
@@ -619,7 +703,8 @@ QUERIES: dict[str, Query] = {
         flight_daily_report, cleaning_removed_rows, trimmed_claims, event_buckets,
         bronze_row_counts, incremental_extract, extract_run, appended_customers,
         newest_broker_drop, flight_messages_accepted, flight_messages_rejected, flight_states,
-        flight_state_messages, recent_policies, policy_events, stg_customers, stg_policies,
+        flight_state_messages, recent_policies, policy_events, published_policies,
+        refreshed_flights, fact_policies_new_column, stg_customers, stg_policies,
         stg_claims, stg_brokers, stg_flights, stg_flight_stats, dim_customers,
         dim_destinations, dim_brokers, dim_date, fact_policies, fact_claims,
         fact_policies_incremental, fact_claims_incremental, revenue_by_month,
@@ -630,8 +715,9 @@ QUERIES: dict[str, Query] = {
         quality_report, source_constraints, non_positive_claims, orphan_claims,
         freshness_report, reconciliation, reconciliation_verdict, freshness_gate,
         partition_lag, stream_lag, landing_freshness, calendar_parts, commissions,
-        parsed_timestamps, stream_flight_ingest, stream_flight_rejects, stream_flight_dedup,
+        parsed_timestamps, stream_flight_ingest, stream_flight_restart, stream_flight_rejects, stream_flight_dedup,
         stream_flight_states, stream_policy_events, daily_run,
-        daily_run_summary, daily_run_policies, daily_run_flight_stats,
+        daily_run_summary, daily_run_policies, daily_run_flight_stats, daily_run_quality,
+        daily_run_flights,
     )
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +16,13 @@ AS_WRITTEN = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": Fals
 DROP_NAME = r"broker_commissions_[^/]*\.csv"
 
 
-def write_drop(df: DataFrame, folder: str, report_date: str) -> str:
-    """Write the broker rows of one day as a dated CSV drop with a header."""
+def write_drop(df: DataFrame, folder: str, report_date: str, columns: Sequence[str] | None = None) -> str:
+    """Write the broker rows of one day as a dated CSV drop with a header.
+
+    ``columns`` gives their order where a receiver expects another one.
+    """
     path = f"{folder}/broker_commissions_{report_date.replace('-', '_')}.csv"
-    rows = df.select(*schemas.RAW_BROKER_COMMISSIONS)
+    rows = df.select(*(columns or schemas.RAW_BROKER_COMMISSIONS))
     rows.write.mode("overwrite").options(header=True, **AS_WRITTEN).csv(path)
     return path
 
@@ -47,8 +52,20 @@ def _listing(spark: SparkSession, pattern: str) -> DataFrame:
 
 
 def read_drop(spark: SparkSession, path: str) -> DataFrame:
-    schema = schemas.ddl(schemas.RAW_BROKER_COMMISSIONS)
-    return spark.read.schema(schema).options(header=True, **AS_WRITTEN).csv(path)
+    """Rows of a drop, columns found by their name in the header.
+
+    The order of the columns is free, and further ones are left out; a missing one raises.
+    Every part file of a drop has the header of the first. A value that does not fit its
+    column's type is NULL.
+    """
+    text = spark.read.options(header=True, inferSchema=False, **AS_WRITTEN).csv(path)
+    named = {c.strip().lower(): c for c in text.columns}
+    missing = [c for c in schemas.RAW_BROKER_COMMISSIONS if c not in named]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return text.select(
+        *(F.col(f"`{named[c]}`").try_cast(kind).alias(c) for c, kind in schemas.RAW_BROKER_COMMISSIONS.items())
+    )
 
 
 def load_newest_drop(spark: SparkSession, folder: str, bronze_path: str) -> tuple[str, int]:

@@ -72,10 +72,9 @@ def raw_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select(*_policy_columns())
 
 
-def raw_policy_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first version of every policy as a stream."""
-    orders = _stream(spark, sf_dir, "orders")
-    return orders.withColumn("v", F.lit(0)).select(*_policy_columns())
+def first_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first version of every policy."""
+    return read(spark, sf_dir, "orders").withColumn("v", F.lit(0)).select(*_policy_columns())
 
 
 def _policy_columns() -> list[Column]:

@@ -64,8 +64,8 @@ def append_load(df: DataFrame, path: str, load_id: str) -> int:
 
 
 def read_loads(spark: SparkSession, path: str) -> DataFrame:
-    """All loads of an append-only table (its columns are fixed by the first load)."""
-    return spark.read.parquet(path).drop(LOAD)
+    """All loads of an append-only table, with the columns of every load; NULL where one had none."""
+    return spark.read.option("mergeSchema", True).parquet(path).drop(LOAD)
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

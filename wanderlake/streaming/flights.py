@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,11 +11,13 @@ from pyspark.sql.streaming import StreamingQuery
 from wanderlake import schemas
 from wanderlake.fixed_values import CLEANING_TRUE_TEXT
 from wanderlake.functions.text import is_true_text
+from wanderlake.functions.times import moment, utc_now
 from wanderlake.operators.latest import latest_per_window
 from wanderlake.sources.messages import decode_flights, flight_states, keyed_json, normalise_states
 
 OUTCOME = "outcome"
-SINK_SCHEMA = schemas.ddl({**schemas.RAW_FLIGHTS, "raw_value": "string", OUTCOME: "string"})
+LANDED_DAY = "landed_day"
+SINK_SCHEMA = schemas.ddl({**schemas.RAW_FLIGHTS, "raw_value": "string", OUTCOME: "string", LANDED_DAY: "date"})
 
 
 def start_ingest(
@@ -22,27 +26,50 @@ def start_ingest(
     checkpoint: str,
     ingested_at: Column | None = None,
     every: str | None = None,
+    keep: str | None = None,
 ) -> StreamingQuery:
     """Land a stream of (key, value) messages in BRONZE.
 
     One pass decodes each message and writes it under ``outcome=accepted`` or
-    ``outcome=rejected``. The file sink's log makes every micro-batch visible exactly once,
+    ``outcome=rejected`` and the day it landed, so incremental readers list and read only the
+    days since their mark. The file sink's log makes every micro-batch visible exactly once,
     and only then is its offset committed; a restart resumes from the checkpoint. Without
     ``every`` the query drains what is there and ends.
+
+    ``keep`` (such as "30d") lets the sink's log forget older files, so that readers do not
+    load an entry for every file ever landed; move their days with ``compact_days`` before.
     """
-    decoded = decode_flights(messages, ingested_at)
+    stamp = utc_now() if ingested_at is None else ingested_at
+    decoded = decode_flights(messages, stamp)
     landed = decoded.select(
         *schemas.RAW_FLIGHTS,
+        F.to_date(stamp).alias(LANDED_DAY),
         F.when(~F.col("accepted"), F.col("raw_value")).alias("raw_value"),
         F.when(F.col("accepted"), "accepted").otherwise("rejected").alias(OUTCOME),
     )
-    return _start(landed.writeStream.partitionBy(OUTCOME), table_path, checkpoint, every)
+    writer = landed.writeStream.partitionBy(OUTCOME, LANDED_DAY)
+    if keep:
+        writer = writer.option("retention", keep)
+    return _start(writer, table_path, checkpoint, every)
 
 
-def landed_flights(spark: SparkSession, table_path: str) -> DataFrame:
-    """RAW_FLIGHTS as landed so far; rejects are pruned by partition."""
-    landed = spark.read.schema(SINK_SCHEMA).parquet(table_path)
-    return landed.filter(F.col(OUTCOME) == "accepted").select(*schemas.RAW_FLIGHTS)
+def landed_flights(spark: SparkSession, table_path: str, since: datetime | None = None) -> DataFrame:
+    """RAW_FLIGHTS as landed so far, or since a time; rejects and earlier days are pruned."""
+    landed = spark.read.schema(SINK_SCHEMA).parquet(table_path).filter(F.col(OUTCOME) == "accepted")
+    if since is not None:
+        landed = landed.filter((F.col(LANDED_DAY) >= F.lit(since.date())) & (F.col("ingested_at") >= moment(since)))
+    return landed.select(*schemas.RAW_FLIGHTS)
+
+
+def compact_days(spark: SparkSession, table_path: str, before: datetime, archive_path: str) -> None:
+    """Copy all landed days before a time into few large files of an archive with the same layout.
+
+    Each run replaces exactly the days it copies, so a repeated run gives the same archive.
+    """
+    landed = spark.read.schema(SINK_SCHEMA).parquet(table_path).filter(F.col(LANDED_DAY) < F.lit(before.date()))
+    rows = landed.hint("rebalance", OUTCOME, LANDED_DAY)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(OUTCOME, LANDED_DAY).parquet(archive_path)
 
 
 def landed_rejects(spark: SparkSession, table_path: str) -> DataFrame:
