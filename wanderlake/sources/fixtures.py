@@ -7,22 +7,25 @@ are a function of the row's key.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wanderlake.fixed_values import CONTINENT_BY_DESTINATION, ISO_CODE_BY_COUNTRY
 from wanderlake.functions.times import iso_text
 
 SHIFT_DAYS = 10_227  # 28 years: 1995 becomes 2023
 
-COUNTRIES = (
-    "United Kingdom", " United States", "france", "Germany ", "SPAIN", "Italy", "Australia",
-    "Canada", "India", "Japan", "Brazil", "Netherlands", "Sweden", "Norway", "uae", "Singapore",
-    "South Africa", "Thailand", "Mexico", "Ireland", "Atlantis", None,
-)
-DESTINATIONS = (
-    "Thailand", " spain", "USA", "Japan ", "australia", "UAE", "France", "ITALY", "Maldives",
-    "uk ", "Narnia",
-)
+
+def _as_entered(names: Iterable[str]) -> tuple[str, ...]:
+    """Names as people enter them: in turn as they are, blank before, in lower case, blank after."""
+    forms = (str.title, " {}".format, str.lower, "{} ".format)
+    return tuple(forms[i % len(forms)](name) for i, name in enumerate(names))
+
+
+COUNTRIES = (*_as_entered(ISO_CODE_BY_COUNTRY), "Atlantis", None)
+DESTINATIONS = (*_as_entered(CONTINENT_BY_DESTINATION), "Narnia")
 CLAIM_TYPES = (" medical", "CANCELLATION ", "baggage", "Delay")
 
 
