@@ -35,4 +35,50 @@ SELECT page_id, host, path, rule, strict_terms, soft_terms,
 FROM found
 """
 
-ORACLE = {"op7_urls": OP7}
+OP1 = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM documents),
+grams AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3
+        THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS gram
+    FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+sized AS (SELECT doc_id, gram, n FROM grams JOIN sizes USING (doc_id)),
+links AS (
+    SELECT a.doc_id AS x, b.doc_id AS y
+    FROM sized a JOIN sized b ON a.gram = b.gram AND a.doc_id < b.doc_id
+        AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(doc_id, other) AS (
+    SELECT x, x FROM edges UNION SELECT r.doc_id, e.y FROM reach r JOIN edges e ON e.x = r.other),
+least_id AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id,
+    coalesce(component_id, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least_id USING (doc_id)
+"""
+
+OP10 = """
+WITH pages_read AS (
+    SELECT page_id, coalesce(html, '') AS payload, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id
+    FROM pages),
+bits AS (
+    SELECT page_id, first_id, strlen(payload) AS payload_bytes, array_to_string(list_transform(range(1, 41), lambda i:
+        substr('0000000100100011010001010110011110001001101010111100110111101111',
+            4 * strpos('0123456789abcdef', substr(sha1(payload), i, 1)) - 3, 4)), '') AS b
+    FROM pages_read)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+    array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1
+        + 16 * CAST(substr(b, 5 * i + 1, 1) AS INT) + 8 * CAST(substr(b, 5 * i + 2, 1) AS INT)
+        + 4 * CAST(substr(b, 5 * i + 3, 1) AS INT) + 2 * CAST(substr(b, 5 * i + 4, 1) AS INT)
+        + CAST(substr(b, 5 * i + 5, 1) AS INT), 1)), '') AS payload_digest,
+    CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM bits
+"""
+
+ORACLE = {"op1_near_dedup": OP1, "op7_urls": OP7, "op10_warc": OP10}
