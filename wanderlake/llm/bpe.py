@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from wanderlake.llm.common import scored
 
 LEAF_BYTES = 24
-CACHED_PIECES = 700_000
+CACHED_PIECES = 400_000
 PIECES_AT_ONCE = 200_000
 WINDOW = 4
 

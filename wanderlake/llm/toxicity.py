@@ -118,23 +118,22 @@ def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), text: str = "tex
 
 def _screened(texts: list[str], y: np.ndarray, fit: Fit) -> list[str]:
     """Features that stand in clearly more of the toxic documents, the clearest first."""
-    seen = (Counter(), Counter())
-    known: dict[str, list[str]] = {}
+    toxic, clean = Counter(), Counter()
     for value, label in zip(texts, y, strict=True):
-        own = set()
-        for word in set(value.lower().split()):
-            if word not in known:
-                known[word] = features_of(word)
-            own.update(known[word])
-        seen[int(label)].update(own)
+        if label:
+            toxic.update({f for word in set(value.lower().split()) for f in features_of(word)})
+    toxic = Counter({f: n for f, n in toxic.items() if n >= fit.least_docs})
+    for value, label in zip(texts, y, strict=True):
+        if not label:
+            clean.update({f for word in set(value.lower().split()) for f in features_of(word) if f in toxic})
     n1, n0 = y.sum(), len(y) - y.sum()
 
     def z(name: str) -> float:
-        a, b = seen[1][name] + 0.5, seen[0][name] + 0.5
+        a, b = toxic[name] + 0.5, clean[name] + 0.5
         odds = math.log(a / (n1 + 1 - a)) - math.log(b / (n0 + 1 - b))
         return odds / math.sqrt(1 / a + 1 / b)
 
-    found = sorted((-z(f), f) for f, n in seen[1].items() if n >= fit.least_docs)
+    found = sorted((-z(f), f) for f in toxic)
     return [f for score, f in found[: fit.features] if -score >= fit.least_z]
 
 
