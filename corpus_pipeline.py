@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wanderlake.llm import bpe, langid, mixing, near_dedup, toxicity
-from wanderlake.llm.common import is_held_out, written
+from wanderlake.llm.common import is_held_out, staged
 from wanderlake.llm.queries import VOCABULARY
+from wanderlake.session import remove
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -65,8 +66,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a folder; each one's rows are stored and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents of a folder; each one's rows are stored and read again.
+
+    What a stage read is removed once its own rows are stored.
+    """
+    docs, folder = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = written(spark, stage(spark, docs, sf_dir), name)
+        before = folder
+        docs, folder = staged(spark, stage(spark, docs, sf_dir), name)
+        if before:
+            remove(spark, before)
     return STAGES[-1][1](spark, docs, sf_dir)

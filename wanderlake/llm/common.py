@@ -97,14 +97,20 @@ def _pieces(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]
         yield batch.slice(at, rows)
 
 
-def written(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
-    """The frame as stored in the cluster's shared folder: computed once, and read by all that follow.
+def staged(spark: SparkSession, df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """The frame as stored in the cluster's shared folder, and its folder there.
 
-    Unlike a cache it outlives executors, and the plan after it starts from files.
+    Computed once, and read by all that follow. Unlike a cache it outlives executors, and the
+    plan after it starts from files. Whoever knows the last reader removes the folder.
     """
     path = scratch_dir(spark, purpose)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def written(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
+    """``staged`` for what a lazy result still reads; the folder stays."""
+    return staged(spark, df, purpose)[0]
 
 
 def words_of(text: str | None) -> list[bytes]:

@@ -29,8 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wanderlake.llm.common import ship, words_of, written
+from wanderlake.llm.common import ship, staged, words_of, written
 from wanderlake.llm.components import connected
+from wanderlake.session import remove
 
 _P1, _P2, _P3, _P4 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63))
 _HALF = np.uint64(32)
@@ -264,7 +265,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     classes = usable.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
     first = F.struct("n_shingles", "signature")
     reps = usable.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first(first).alias("own")).select("set_key", "rep", "own.*")
-    reps = written(spark, reps, "representatives")
+    reps, reps_at = staged(spark, reps, "representatives")
 
     width = settings.rows * 4
     keys = F.transform(
@@ -274,15 +275,15 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     banded = reps.select("rep", "set_key", "n_shingles", F.explode(keys).alias("k")).select("rep", "set_key", "n_shingles", "k.*")
     order = F.xxhash64("rep", "key")
     buckets = banded.groupBy("key").agg(F.min_by("rep", order).alias("hub"), F.min_by("n_shingles", order).alias("hub_n"), F.count(F.lit(1)).alias("members"))
-    members = written(spark, banded.join(buckets.filter("members > 1"), "key"), "buckets")
+    members, members_at = staged(spark, banded.join(buckets.filter("members > 1"), "key"), "buckets")
 
     small, large = F.least("n_shingles", "hub_n"), F.greatest("n_shingles", "hub_n")
     pairs = members.filter((F.col("rep") != F.col("hub")) & (100 * small >= settings.percent * large))
     pairs = pairs.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
     shown = reps.select("rep", "signature")
-    survivors = written(spark, _pruned(pairs, shown, settings), "survivors")
-    candidates = written(spark, members.select("rep", "set_key").distinct(), "candidates")
-    sets = written(spark, _sets(docs, text, doc_id, candidates, settings), "sets")
+    survivors, survivors_at = staged(spark, _pruned(pairs, shown, settings), "survivors")
+    candidates, candidates_at = staged(spark, members.select("rep", "set_key").distinct(), "candidates")
+    sets, sets_at = staged(spark, _sets(docs, text, doc_id, candidates, settings), "sets")
     placed = written(spark, connected(_verified(survivors, sets, settings)), "components")
 
     # Buckets with members in different components, of which some pair was not compared yet.
@@ -303,6 +304,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         return pd.DataFrame(links_in_block(frame, settings, checks), columns=["a", "b"])
 
     more = connected(open_rows.groupBy("key", "i", "j").applyInPandas(compare, f"a {schema}, b {schema}"))
+    for folder in (reps_at, members_at, survivors_at, candidates_at, sets_at):
+        remove(spark, folder)
     joined = more.select(F.col("node").alias("component"), F.col("component").alias("joined"))
     final = placed.join(joined, "component", "left").select(F.col("node").alias("rep"), F.coalesce("joined", "component").alias("component_id"))
     alone = joined.join(placed.select(F.col("node").alias("component")), "component", "left_anti").select(F.col("component").alias("rep"), F.col("joined").alias("component_id"))
