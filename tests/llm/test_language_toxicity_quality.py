@@ -94,6 +94,29 @@ def test_slices_of_a_long_text_do_not_change_its_score(two_languages, monkeypatc
     assert models.cross_entropies(text)[0] == pytest.approx(whole[0])
 
 
+def test_driver_sees_no_counts_of_ngrams(two_languages, monkeypatch):
+    """Kneser-Ney is grouped and joined in Spark: the driver reads finished entries and rows a language only."""
+    read = []
+    arrow, collect = type(two_languages).toArrow, type(two_languages).collect
+    monkeypatch.setattr(type(two_languages), "toArrow", lambda df: (read.append(df.columns), arrow(df))[1])
+    monkeypatch.setattr(type(two_languages), "collect", lambda df: (lambda rows: (read.append(len(rows)), rows)[1])(collect(df)))
+    langid.train(two_languages)
+    assert [c for c in read if isinstance(c, list)] == [["lang", "gram", "gain", "back"]] * 4
+    assert all(n <= 2 for n in read if isinstance(n, int))
+
+
+def test_unlearned_ngrams_are_never_taken_for_learned_ones(spark):
+    """However many n-grams are known, and wherever their hashes fall."""
+    rng = np.random.default_rng(3)
+    texts = ["".join(map(chr, rng.integers(0x4E00, 0x9000, 500))) for _ in range(600)]
+    models = langid.train(spark.createDataFrame([(t, "zh") for t in texts], "text string, lang string"))
+    learned = np.unique(np.concatenate([langid._windows(c, 4) for t in texts for c in langid._slices(t, 4)]))
+    unseen = np.setdiff1d(rng.integers(0, 1 << 62, 200_000).astype(np.uint64), learned)
+    assert not models._find(4, unseen)[0].any()
+    found, at = models._find(4, learned)
+    assert found.all() and (models.keys[3][at] == learned).all()
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     rows, marks = [], []

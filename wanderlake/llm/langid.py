@@ -1,18 +1,19 @@
 """Language identification with interpolated Kneser-Ney character models.
 
 One model for each language, learned from the n-grams of all training texts. Spark counts:
-every task turns its texts into arrays of code points, hashes all windows of ``order``
+every task turns its texts into arrays of code points, packs all windows of ``order``
 characters at once and sends one row for each language and different n-gram. Lower orders
 follow from the highest one, as Kneser-Ney counts how many different characters stand before
-an n-gram. The models of all languages share sorted arrays of n-gram hashes, one array for
-each order, with a log-probability and a back-off weight for every language beside each hash.
+an n-gram; their counts, context totals, back-off weights and interpolated probabilities are
+tables that Spark groups and joins order by order. The models of all languages share sorted
+arrays of packed n-grams, one array for each order, with a log-probability and a back-off
+weight for every language beside each n-gram.
 
 A text gets the language of lowest cross-entropy, in bits a character. It is rejected when
 even that is higher than calibrated: the mean and spread of the training texts' own
 cross-entropies, with more room for short texts.
 
-Size of what is broadcast: hashes have ``hash_bits`` bits, so there are at most
-2 ** hash_bits entries an order; alphabets keep real numbers far below.
+A packed n-gram is the whole n-gram, so an unseen one is never taken for another.
 """
 
 from __future__ import annotations
@@ -25,10 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wanderlake.llm.common import scored, ship
+from wanderlake.llm.common import scored, ship, staged
+from wanderlake.session import remove
 
 ORDER = 4  # the largest that one 64-bit number holds
-HASH_BITS = 22
 UNDETERMINED = "und"
 SLICE = 500_000
 DISCOUNT = 0.75
@@ -67,6 +68,7 @@ def _tail(packed: np.ndarray, k: int) -> np.ndarray:
 
 
 def _slot(packed: np.ndarray, bits: int) -> np.ndarray:
+    """Where to look for packed runs in a table of 2 ** bits places; different runs may share one."""
     mixed = packed * _ODD
     mixed ^= mixed >> np.uint64(29)
     mixed = mixed * np.uint64(0xBF58476D1CE4E5B9)
@@ -118,9 +120,9 @@ def count_ngrams(training: DataFrame, text: str, lang: str, order: int = ORDER)
 
 @dataclass
 class Models:
-    """Sorted hash arrays of all languages.
+    """Sorted arrays of the packed n-grams of all languages.
 
-    ``keys[k]`` holds the slots of order k + 1 in rising order; ``gains[k]`` and ``backs[k]``
+    ``keys[k]`` holds the n-grams of order k + 1 in rising order; ``gains[k]`` and ``backs[k]``
     have a row for each key and a column for each language: log2 of the interpolated
     probability, and log2 of the weight that the next higher order gives to this one's gram
     as context. ``floor`` is log2 of the chance of an unknown character.
@@ -128,13 +130,12 @@ class Models:
 
     languages: list[str]
     order: int
-    bits: int
     keys: list[np.ndarray]
     gains: list[np.ndarray]
     backs: list[np.ndarray]
     floor: float
     limits: np.ndarray | None = None  # for each language: mean and spread of its texts' cross-entropy
-    _place: np.ndarray | None = None  # of every slot of the highest order; made where it is used
+    _place: tuple | None = None  # finds n-grams of the highest order; made where it is used
 
     def log_probabilities(self, codes: np.ndarray) -> np.ndarray:
         """Sum of log2 probabilities of codes[order - 1:], one value a language."""
@@ -153,15 +154,27 @@ class Models:
         return total
 
     def _find(self, k: int, packed: np.ndarray):
-        slots, keys = _slot(packed, self.bits), self.keys[k - 1]
-        if k == self.order:
-            if self._place is None:
-                self._place = np.full(1 << self.bits, -1, np.int32)
-                self._place[keys] = np.arange(len(keys))
-            at = self._place[slots]
-            return at >= 0, at
-        at = np.minimum(np.searchsorted(keys, slots), len(keys) - 1)
-        return keys[at] == slots, at
+        """Which of the n-grams are keys of order k, and their places."""
+        keys = self.keys[k - 1]
+        if k < self.order:
+            return _among(keys, packed)
+        if self._place is None:
+            bits = min(max(2 * len(keys), 2).bit_length(), 24)
+            slots = _slot(keys, bits)
+            by_slot = np.argsort(slots, kind="stable").astype(np.int32)
+            starts = np.searchsorted(slots[by_slot], np.arange((1 << bits) + 1)).astype(np.int32)
+            self._place = bits, by_slot, starts
+        bits, by_slot, starts = self._place
+        found, places = np.zeros(len(packed), bool), np.zeros(len(packed), np.int64)
+        slots = _slot(packed, bits)
+        at, end, open_ = starts[slots], starts[slots + 1], np.arange(len(packed))
+        while len(open_ := open_[at[open_] < end[open_]]):
+            place = by_slot[at[open_]]
+            same = keys[place] == packed[open_]
+            found[open_[same]], places[open_[same]] = True, place[same]
+            open_ = open_[~same]
+            at[open_] += 1
+        return found, places
 
     def cross_entropies(self, text: str) -> tuple[np.ndarray, int]:
         """Bits a character of each language, and the number of characters."""
@@ -172,64 +185,113 @@ class Models:
         return total / max(n, 1), n
 
 
-def build_models(counts: list[tuple[str, np.ndarray, np.ndarray]], order: int = ORDER, bits: int = HASH_BITS) -> Models:
-    """Interpolated Kneser-Ney with one discount, from each language's packed grams and counts.
+def _among(keys: np.ndarray, packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the n-grams are among the sorted keys, and their places."""
+    at = np.minimum(np.searchsorted(keys, packed), len(keys) - 1)
+    return keys[at] == packed, at
 
-    Grams that share a slot (hash collisions) share its entry, and their counts are added.
+
+@dataclass
+class Tables:
+    """Interpolated Kneser-Ney with one discount, as stored tables.
+
+    ``orders[k]`` has ``lang, gram, gain, back`` for the n-grams and contexts of order k + 1 of
+    each language: log2 of the interpolated probability (null for padding alone, which is the
+    context of first characters but no n-gram), and log2 of the weight that the next order gives
+    to the gram as context (null where it is none). ``spares`` is log2 of the chance, for each
+    language, of a character that only other languages have.
     """
-    languages = [name for name, _, _ in counts]
-    grams = [g.astype(np.uint64) for _, g, _ in counts]
-    alphabet = len(np.unique(np.concatenate([_tail(g, 1) for g in grams]))) + 1 if grams else 1
-    keys, gains, backs = [], [], []
+
+    languages: list[str]
+    order: int
+    alphabet: int
+    spares: list[float]
+    orders: list[DataFrame]
+    folders: list[str]
+
+
+def kneser_ney(counts: DataFrame, order: int = ORDER) -> Tables:
+    """Models from ``lang, gram, n``, order by order as tables.
+
+    A task's largest group is the n-grams that continue a context or share a tail: at most one
+    for each character. One row a language and one number come to the driver.
+    """
+    spark = counts.sparkSession
+    held, folders = [], []
+
+    def store(df: DataFrame, purpose: str, into: list[str]) -> DataFrame:
+        df, folder = staged(spark, df, purpose)
+        into.append(folder)
+        return df
+
+    own = {order: store(counts, "grams", held)}
+    for k in range(order - 1, 0, -1):  # how many different characters stand before the gram
+        tail = F.col("gram").bitwiseAND(F.lit((1 << 16 * k) - 1)).alias("gram")
+        own[k] = store(own[k + 1].groupBy("lang", tail).agg(F.count(F.lit(1)).alias("n")), "grams", held)
+    totals = own[1].groupBy("lang").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
+    alphabet = own[1].select("gram").distinct().count() + 1
+    rows = sorted(totals.collect(), key=lambda r: r["lang"])
+    # Order 1 is interpolated with equal chances for the alphabet.
+    even = DISCOUNT * F.col("kinds") / F.col("total") / F.lit(alphabet)
+    spares = [float(np.log2(DISCOUNT * r["kinds"] / r["total"] / alphabet)) for r in rows]
+    p = F.greatest(F.col("n") - F.lit(DISCOUNT), F.lit(0.0)) / F.col("total")
+    orders: list[DataFrame] = []
     for k in range(1, order + 1):
-        own = []
-        for g, (_, _, n) in zip(grams, counts, strict=True):
-            if k == order:
-                own.append((g, n.astype(float)))
-            else:  # how many different characters stand before the gram
-                own.append(np.unique(_tail(np.unique(_tail(g, k + 1)), k), return_counts=True))
-        # Padding alone is the context of first characters, though it is no gram itself.
-        padding = np.array([(1 << 16 * k) - 1], np.uint64)
-        every = np.unique(np.concatenate([padding, *(g for g, _ in own)]))
-        slots, first = np.unique(_slot(every, bits), return_index=True)
-        shown = every[first]  # stands for its slot where a language has no such gram
-        gain = np.zeros((len(slots), len(languages)), np.float32)
-        if k > 1:
-            context = _nearest(keys[-1], _slot(shown >> np.uint64(16), bits))
-            lower = _nearest(keys[-1], _slot(_tail(shown, k - 1), bits))
-            back = np.zeros((len(keys[-1]), len(languages)), np.float32)
-        for i, (g, n) in enumerate(own):
-            count = np.bincount(np.searchsorted(slots, _slot(g, bits)), n, len(slots))
-            if k == 1:  # interpolated with equal chances for the alphabet
-                spare = DISCOUNT * (count > 0).sum() / count.sum() / alphabet
-                p = np.maximum(count - DISCOUNT, 0) / count.sum() + spare
-            else:
-                total = np.bincount(context, count, len(keys[-1]))
-                kinds = np.bincount(context, count > 0, len(keys[-1]))
-                weight = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
-                back[:, i] = np.log2(weight)
-                below = np.exp2(gains[-1][lower, i].astype(float))
-                p = np.maximum(count - DISCOUNT, 0) / np.maximum(total[context], 1) + weight[context] * below
-            gain[:, i] = np.log2(np.clip(p, 1e-12, 1))
-        if k > 1:
-            backs.append(back)
-        keys.append(slots)
-        gains.append(gain)
-    return Models(languages, order, bits, keys, gains, backs, float(-np.log2(alphabet)))
-
-
-def _nearest(keys: np.ndarray, slots: np.ndarray) -> np.ndarray:
-    """Places of slots in sorted keys that hold all of them but those of texts' first characters' tails."""
-    return np.minimum(np.searchsorted(keys, slots), len(keys) - 1)
+        if k == 1:
+            known = own[1].join(F.broadcast(totals), "lang").select("lang", "gram", (p + even).alias("p"))
+        else:
+            last = orders[-1]
+            context = last.filter("total IS NOT NULL").select("lang", F.col("gram").alias("context"), "total", "back")
+            below = last.filter("gain IS NOT NULL").select("lang", F.col("gram").alias("tail"), "gain")
+            cut = own[k].withColumn("context", F.shiftrightunsigned("gram", 16)).withColumn("tail", F.col("gram").bitwiseAND(F.lit((1 << 16 * (k - 1)) - 1)))
+            known = cut.join(context, ["lang", "context"]).join(below, ["lang", "tail"])
+            known = known.select("lang", "gram", (p + F.pow(F.lit(2.0), F.col("back") + F.col("gain"))).alias("p"))
+        gain = F.log2(F.least(F.greatest("p", F.lit(1e-12)), F.lit(1.0))).alias("gain")
+        if k < order:
+            contexts = own[k + 1].groupBy("lang", F.shiftrightunsigned("gram", 16).alias("gram"))
+            contexts = contexts.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
+            back = F.log2(F.lit(DISCOUNT) * F.col("kinds") / F.col("total")).alias("back")
+            table = known.join(contexts, ["lang", "gram"], "full").select("lang", "gram", gain, back, "total")
+        else:
+            table = known.select("lang", "gram", gain, F.lit(None).cast("double").alias("back"), F.lit(None).cast("long").alias("total"))
+        orders.append(store(table, "models", folders))
+    for folder in held:
+        remove(spark, folder)
+    return Tables([r["lang"] for r in rows], order, alphabet, spares, orders, folders)
+
+
+def _dense(tables: Tables) -> Models:
+    """The tables as arrays. A language without a gram has its context's weight times the lower order's chance."""
+    keys, gains, backs = [], [], []
+    place = {name: i for i, name in enumerate(tables.languages)}
+    for k, stored in enumerate(tables.orders, 1):
+        table = stored.select("lang", "gram", "gain", "back").toArrow().combine_chunks()
+        names = pa.concat_arrays(table.column("lang").cast(pa.string()).chunks or [pa.array([], pa.string())]).dictionary_encode()
+        lang = np.array([place[n] for n in names.dictionary.to_pylist()], np.int64)[names.indices.to_numpy()]
+        gram = table.column("gram").to_numpy().view(np.uint64)
+        own, at = np.unique(gram, return_inverse=True)
+        if k == 1:
+            gain = np.tile(np.float32(tables.spares), (len(own), 1))
+        else:
+            is_context, context = _among(keys[-1], own >> np.uint64(16))
+            has_tail, tail = _among(keys[-1], _tail(own, k - 1))
+            gain = np.where(is_context[:, None], backs[-1][context], 0) + np.where(has_tail[:, None], gains[-1][tail], 0)
+        back = np.zeros_like(gain)
+        for to, column in ((gain, "gain"), (back, "back")):
+            values = table.column(column).to_numpy(zero_copy_only=False)
+            there = ~np.isnan(values)
+            to[at[there], lang[there]] = values[there]
+        keys.append(own)
+        gains.append(gain.astype(np.float32))
+        backs.append(back.astype(np.float32))
+    return Models(tables.languages, tables.order, keys, gains, backs, float(-np.log2(tables.alphabet)))
 
 
 def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
-def train(
-    training: DataFrame, text: str = "text", lang: str = "lang", order: int = ORDER, bits: int = HASH_BITS, calibration_rows: int = 2000
-) -> Models:
+def train(training: DataFrame, text: str = "text", lang: str = "lang", order: int = ORDER, calibration_rows: int = 2000) -> Models:
     """Models of all languages named in ``training``, learned from every text with a language.
 
     Calibration of the rejection reads about ``calibration_rows`` texts of each language, those
@@ -237,9 +299,10 @@ def train(
     any row there are no languages, and every text is undetermined.
     """
     known = training.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
-    table = count_ngrams(known, "text", "lang", order).toArrow()
-    names, grams, n = (table.column(c).to_numpy() for c in ("lang", "gram", "n"))
-    models = build_models([(name, grams[names == name].view(np.uint64), n[names == name]) for name in sorted(set(names))], order, bits)
+    tables = kneser_ney(count_ngrams(known, "text", "lang", order), order)
+    models = _dense(tables)
+    for folder in tables.folders:
+        remove(training.sparkSession, folder)
     models.limits = _calibrated(known, models, calibration_rows)
     return models
 
