@@ -117,6 +117,22 @@ def test_unlearned_ngrams_are_never_taken_for_learned_ones(spark):
     assert found.all() and (models.keys[3][at] == learned).all()
 
 
+def test_models_beyond_the_broadcast_bound_score_the_same(spark, two_languages, edge_docs, monkeypatch):
+    rows = edge_docs.union(spark.createDataFrame([doc(500, "zzz qqq the 漢字 😀 12"), doc(501, prose(7, 50, "de"))], DOCS))
+    added = ("doc_id", "text", "size", "lang_pred", "lang_rejected", "lang_score", "cross_entropy")
+
+    def found(models):
+        return sorted(langid.identify(rows, models).select(*added).collect(), key=lambda r: (str(r[0]), str(r[1])))
+
+    small = langid.train(two_languages)
+    monkeypatch.setattr(langid, "MOST_CELLS", 100)
+    large = langid.train(two_languages)
+    assert isinstance(large, langid.Tables)
+    assert large.limits == pytest.approx(small.limits, rel=1e-5)
+    for a, b in zip(found(small), found(large), strict=True):
+        assert a[:5] == b[:5] and [x or 0 for x in a[5:]] == pytest.approx([x or 0 for x in b[5:]], rel=1e-5)
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     rows, marks = [], []

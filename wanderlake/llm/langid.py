@@ -13,11 +13,15 @@ A text gets the language of lowest cross-entropy, in bits a character. It is rej
 even that is higher than calibrated: the mean and spread of the training texts' own
 cross-entropies, with more room for short texts.
 
-A packed n-gram is the whole n-gram, so an unseen one is never taken for another.
+A packed n-gram is the whole n-gram, so an unseen one is never taken for another. Arrays of at
+most ``MOST_CELLS`` n-grams times languages are broadcast. Larger models stay tables: the
+different n-grams of the texts to score get their log-probabilities by joins with them, and
+every text sums those of its own n-grams. Both ways give the same numbers.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,13 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wanderlake.llm.common import scored, ship, staged
+from wanderlake.llm.common import scored, ship, staged, written
+from wanderlake.operators.lookup import find_hot_keys, lookup
 from wanderlake.session import remove
 
 ORDER = 4  # the largest that one 64-bit number holds
 UNDETERMINED = "und"
 SLICE = 500_000
 DISCOUNT = 0.75
+MOST_CELLS = 1 << 23  # n-grams of all orders times languages: about 100 MB at four languages
 
 _PAD = 0xFFFF  # stands before a text
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -208,6 +214,11 @@ class Tables:
     spares: list[float]
     orders: list[DataFrame]
     folders: list[str]
+    limits: np.ndarray | None = None  # as in Models
+
+    def cells(self) -> int:
+        """Size of the arrays that the tables would fill."""
+        return sum(t.select("gram").distinct().count() for t in self.orders) * len(self.languages)
 
 
 def kneser_ney(counts: DataFrame, order: int = ORDER) -> Tables:
@@ -287,45 +298,127 @@ def _dense(tables: Tables) -> Models:
     return Models(tables.languages, tables.order, keys, gains, backs, float(-np.log2(tables.alphabet)))
 
 
+def _ngram_chances(grams: DataFrame, tables: Tables) -> DataFrame:
+    """``gram, bits``: minus log2 of the probability in every language, for n-grams of the highest order.
+
+    From single characters upward: an n-gram's own entry, or else its context's weight times the
+    chance of its tail. Every key stands for at most one n-gram a character.
+    """
+    spark, order = grams.sparkSession, tables.order
+    asked = {order: written(spark, grams.select("gram").distinct(), "asked")}
+    for k in range(order - 1, 0, -1):
+        tails = asked[k + 1].select(F.col("gram").bitwiseAND(F.lit((1 << 16 * k) - 1)).alias("gram")).distinct()
+        asked[k] = written(spark, tails, "asked")
+
+    def entries(k: int, column: str, key: str) -> DataFrame:
+        rows = tables.orders[k - 1].filter(F.col(column).isNotNull())
+        return rows.groupBy(F.col("gram").alias(key)).agg(F.map_from_entries(F.collect_list(F.struct("lang", column))).alias(column))
+
+    names = list(enumerate(tables.languages))
+    floor = F.lit(float(-np.log2(tables.alphabet)))
+    chances = None
+    for k in range(1, order + 1):
+        rows = asked[k].join(entries(k, "gain", "gram"), "gram", "left")
+        if k == 1:
+            logs = [F.when(F.col("gain").isNull(), floor).otherwise(F.coalesce(F.col("gain")[name], F.lit(tables.spares[i]))) for i, name in names]
+        else:
+            rows = rows.withColumn("context", F.shiftrightunsigned("gram", 16)).withColumn("tail", F.col("gram").bitwiseAND(F.lit((1 << 16 * (k - 1)) - 1)))
+            rows = rows.join(entries(k - 1, "back", "context"), "context", "left").join(chances.withColumnsRenamed({"gram": "tail", "logs": "below"}), "tail")
+            logs = [F.coalesce(F.col("gain")[name], F.coalesce(F.col("back")[name], F.lit(0.0)) + F.col("below")[i]) for i, name in names]
+        chances = written(spark, rows.select("gram", F.array(*logs).alias("logs")), "chances")
+    return chances.select("gram", F.transform("logs", lambda x: -x).alias("bits"))
+
+
+def _joined(df: DataFrame, tables: Tables, text: str) -> DataFrame:
+    """Add ``_wl_bits``, bits a character of each language, and ``_wl_n``, the characters, by joins.
+
+    Both are null for a text without characters.
+    """
+    spark, order = df.sparkSession, tables.order
+    numbered = written(spark, df.withColumn("_wl_row", F.monotonically_increasing_id()), "numbered")
+
+    def count(batches):
+        for batch in batches:
+            for row, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                for codes in _slices(value.as_py(), order):
+                    found, n = np.unique(_windows(codes, order), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array([row] * len(found), pa.int64()), pa.array(found.view(np.int64)), pa.array(n, pa.int64())], names=["row", "gram", "n"])
+
+    ship(spark)
+    texts = numbered.filter(F.col(f"`{text}`").isNotNull()).select("_wl_row", F.col(f"`{text}`"))
+    grams = written(spark, texts.mapInArrow(count, "row long, gram long, n long"), "text-grams")
+    chances = _ngram_chances(grams, tables)
+    # A common n-gram stands in very many texts; its rows are spread.
+    found = lookup(grams, chances, F.col("gram"), "gram", "gram", find_hot_keys(grams, {"gram": F.col("gram")}), ("row",))
+    sums = [(F.sum(F.col("n") * F.col("bits")[i]) / F.sum("n")) for i in range(len(tables.languages))]
+    sums = found.groupBy("row").agg(F.array(*sums).alias("_wl_bits"), F.sum("n").alias("_wl_n"))
+    return numbered.join(sums, F.col("_wl_row") == F.col("row"), "left").drop("row", "_wl_row")
+
+
 def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
-def train(training: DataFrame, text: str = "text", lang: str = "lang", order: int = ORDER, calibration_rows: int = 2000) -> Models:
+def train(training: DataFrame, text: str = "text", lang: str = "lang", order: int = ORDER, calibration_rows: int = 2000) -> Models | Tables:
     """Models of all languages named in ``training``, learned from every text with a language.
 
+    Arrays up to ``MOST_CELLS``; larger models stay in their tables.
+
     Calibration of the rejection reads about ``calibration_rows`` texts of each language, those
     with the smallest hash of the text. Rows without text or language teach nothing; without
     any row there are no languages, and every text is undetermined.
     """
     known = training.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
     tables = kneser_ney(count_ngrams(known, "text", "lang", order), order)
-    models = _dense(tables)
-    for folder in tables.folders:
-        remove(training.sparkSession, folder)
+    models: Models | Tables = tables
+    if tables.cells() <= MOST_CELLS:
+        models = _dense(tables)
+        for folder in tables.folders:
+            remove(training.sparkSession, folder)
     models.limits = _calibrated(known, models, calibration_rows)
     return models
 
 
-def _calibrated(known: DataFrame, models: Models, rows: int) -> np.ndarray:
+def _with_bits(df: DataFrame, models: Models | Tables, text: str, fields: list[T.StructField], judge: Callable) -> DataFrame:
+    """Append ``fields``: what ``judge`` makes of a text, its bits a character of each language and its length.
+
+    ``judge`` gets a function for the last two, so that they are made only where they are read.
+    """
+    if isinstance(models, Tables):
+        df = _joined(df, models, text)
+
+        def scorer():
+            def one(value, bits, n):
+                return judge(value, lambda: (np.array(bits), n))
+
+            return lambda *columns: list(zip(*map(one, *columns), strict=True)) or [[]] * len(fields)
+
+        return scored(df, [text, "_wl_bits", "_wl_n"], fields, scorer).drop("_wl_bits", "_wl_n")
+    shared = df.sparkSession.sparkContext.broadcast(models)
+
+    def scorer():
+        m = shared.value
+        return lambda texts: list(zip(*(judge(t, lambda t=t: m.cross_entropies(t)) for t in texts), strict=True)) or [[]] * len(fields)
+
+    return scored(df, text, fields, scorer)
+
+
+def _calibrated(known: DataFrame, models: Models | Tables, rows: int) -> np.ndarray:
     """Mean and spread of each language's cross-entropy over some of its own texts."""
     limits = np.tile([0.0, np.inf], (len(models.languages), 1))
     sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     if not sizes:
         return limits
-    shared = known.sparkSession.sparkContext.broadcast(models)
     # A bound on a uniform hash keeps about ``rows`` texts of each language and sorts none.
     shares = F.create_map(*[F.lit(x) for name, n in sizes.items() for x in (name, min(1.0, rows / n))])
     chosen = known.filter(F.xxhash64("text") / F.lit(2.0**64) + 0.5 <= shares[F.col("lang")])
 
-    def measure(batches):
-        own = {name: i for i, name in enumerate(shared.value.languages)}
-        for batch in batches:
-            kept = [(t, n) for t, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if has_letter(t)]
-            bits = [float(shared.value.cross_entropies(t)[0][own[n]]) for t, n in kept]
-            yield pa.RecordBatch.from_arrays([pa.array([n for _, n in kept], pa.string()), pa.array(bits, pa.float64())], names=["lang", "bits"])
+    def judge(value, measure):
+        return (measure()[0].tolist() if has_letter(value) else None,)
 
-    stats = chosen.mapInArrow(measure, "lang string, bits double").groupBy("lang").agg(F.avg("bits").alias("mean"), F.stddev_pop("bits").alias("spread"))
+    measured = _with_bits(chosen, models, "text", [T.StructField("bits", T.ArrayType(T.DoubleType()))], judge)
+    own = F.element_at("bits", F.array_position(F.array(*map(F.lit, models.languages)), F.col("lang")).cast("int"))
+    stats = measured.filter("bits IS NOT NULL").groupBy("lang").agg(F.avg(own).alias("mean"), F.stddev_pop(own).alias("spread"))
     for r in stats.collect():
         limits[models.languages.index(r["lang"])] = r["mean"], r["spread"]
     return limits
@@ -344,7 +437,7 @@ class Rejection:
     room: float = 12.0
 
 
-def identify(df: DataFrame, models: Models, text: str = "text", rejection: Rejection = Rejection()) -> DataFrame:
+def identify(df: DataFrame, models: Models | Tables, text: str = "text", rejection: Rejection = Rejection()) -> DataFrame:
     """Add ``lang_pred``, ``lang_score``, ``cross_entropy`` and ``lang_rejected``.
 
     ``lang_pred`` is the language of lowest cross-entropy, ``und`` if the text is null or has
@@ -355,7 +448,6 @@ def identify(df: DataFrame, models: Models, text: str = "text", rejection: Rejec
     repeated rows and an empty table come out as they went in. Columns of these names are
     replaced.
     """
-    shared = df.sparkSession.sparkContext.broadcast(models)
     fields = [
         T.StructField("lang_pred", T.StringType()),
         T.StructField("lang_score", T.DoubleType()),
@@ -363,19 +455,16 @@ def identify(df: DataFrame, models: Models, text: str = "text", rejection: Rejec
         T.StructField("lang_rejected", T.BooleanType()),
     ]
 
-    def scorer():
-        m = shared.value
+    languages, limits = models.languages, models.limits
 
-        def one(value):
-            if not m.languages or not has_letter(value):
-                return UNDETERMINED, 0.0, None, True
-            bits, n = m.cross_entropies(value)
-            best = int(np.argmin(bits))
-            share = 1 / np.exp2(-(bits - bits[best]) * min(n, 50)).sum()
-            mean, spread = m.limits[best]
-            limit = mean + max(rejection.spreads * spread, rejection.least) + rejection.room / np.sqrt(n)
-            return m.languages[best], float(share), float(bits[best]), bool(bits[best] > limit)
+    def judge(value, measure):
+        if not languages or not has_letter(value):
+            return UNDETERMINED, 0.0, None, True
+        bits, n = measure()
+        best = int(np.argmin(bits))
+        share = 1 / np.exp2(-(bits - bits[best]) * min(n, 50)).sum()
+        mean, spread = limits[best]
+        limit = mean + max(rejection.spreads * spread, rejection.least) + rejection.room / np.sqrt(n)
+        return languages[best], float(share), float(bits[best]), bool(bits[best] > limit)
 
-        return lambda texts: list(zip(*map(one, texts), strict=True)) or [[]] * 4
-
-    return scored(df, text, fields, scorer)
+    return _with_bits(df, models, text, fields, judge)
