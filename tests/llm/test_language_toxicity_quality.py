@@ -133,6 +133,16 @@ def test_models_beyond_the_broadcast_bound_score_the_same(spark, two_languages,
         assert a[:5] == b[:5] and [x or 0 for x in a[5:]] == pytest.approx([x or 0 for x in b[5:]], rel=1e-5)
 
 
+def test_rejection_is_calibrated_on_all_texts(spark):
+    """Copies of few texts, and ones far more than others: every row counts."""
+    texts = {"en": [prose(i, 40) for i in range(4)], "de": [prose(i, 40, "de") for i in range(3)]}
+    rows = [(t, lang) for lang, own in texts.items() for t in own for _ in range(3000 if t is own[0] else 150)]
+    models = langid.train(spark.createDataFrame(rows, "text string, lang string"))
+    for i, lang in enumerate(models.languages):
+        bits = np.array([models.cross_entropies(t)[0][i] for t in texts[lang] for _ in range(3000 if t is texts[lang][0] else 150)])
+        assert models.limits[i] == pytest.approx([bits.mean(), bits.std()], rel=1e-6)
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     rows, marks = [], []

@@ -359,14 +359,13 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
-def train(training: DataFrame, text: str = "text", lang: str = "lang", order: int = ORDER, calibration_rows: int = 2000) -> Models | Tables:
+def train(training: DataFrame, text: str = "text", lang: str = "lang", order: int = ORDER) -> Models | Tables:
     """Models of all languages named in ``training``, learned from every text with a language.
 
     Arrays up to ``MOST_CELLS``; larger models stay in their tables.
 
-    Calibration of the rejection reads about ``calibration_rows`` texts of each language, those
-    with the smallest hash of the text. Rows without text or language teach nothing; without
-    any row there are no languages, and every text is undetermined.
+    Calibration of the rejection reads every text again. Rows without text or language teach
+    nothing; without any row there are no languages, and every text is undetermined.
     """
     known = training.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
     tables = kneser_ney(count_ngrams(known, "text", "lang", order), order)
@@ -375,7 +374,7 @@ def train(training: DataFrame, text: str = "text", lang: str = "lang", order: in
         models = _dense(tables)
         for folder in tables.folders:
             remove(training.sparkSession, folder)
-    models.limits = _calibrated(known, models, calibration_rows)
+    models.limits = _calibrated(known, models)
     return models
 
 
@@ -403,20 +402,19 @@ def _with_bits(df: DataFrame, models: Models | Tables, text: str, fields: list[T
     return scored(df, text, fields, scorer)
 
 
-def _calibrated(known: DataFrame, models: Models | Tables, rows: int) -> np.ndarray:
-    """Mean and spread of each language's cross-entropy over some of its own texts."""
+def _calibrated(known: DataFrame, models: Models | Tables) -> np.ndarray:
+    """Mean and spread of each language's cross-entropy over all its own texts that have a letter.
+
+    Tasks average before the shuffle, so a language sends one row for each task.
+    """
     limits = np.tile([0.0, np.inf], (len(models.languages), 1))
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
-    if not sizes:
+    if not models.languages:
         return limits
-    # A bound on a uniform hash keeps about ``rows`` texts of each language and sorts none.
-    shares = F.create_map(*[F.lit(x) for name, n in sizes.items() for x in (name, min(1.0, rows / n))])
-    chosen = known.filter(F.xxhash64("text") / F.lit(2.0**64) + 0.5 <= shares[F.col("lang")])
 
     def judge(value, measure):
         return (measure()[0].tolist() if has_letter(value) else None,)
 
-    measured = _with_bits(chosen, models, "text", [T.StructField("bits", T.ArrayType(T.DoubleType()))], judge)
+    measured = _with_bits(known, models, "text", [T.StructField("bits", T.ArrayType(T.DoubleType()))], judge)
     own = F.element_at("bits", F.array_position(F.array(*map(F.lit, models.languages)), F.col("lang")).cast("int"))
     stats = measured.filter("bits IS NOT NULL").groupBy("lang").agg(F.avg(own).alias("mean"), F.stddev_pop(own).alias("spread"))
     for r in stats.collect():
