@@ -80,6 +80,27 @@ def test_knapsack_comes_closest(items, budget):
     assert sum(a * b for a, b in zip(lengths, taken)) == min(sums, key=lambda s: (abs(s - budget), s))
 
 
+@pytest.mark.parametrize("lengths, target, taken", [
+    ([100_000], 60_000, 100_000),
+    ([100_000], 40_000, 0),
+    ([100_000], 190_000, 200_000),
+    ([45_000, 50_000, 60_000], 95_000, 95_000),
+    ([700_000, 900_000, 1_000_000], 1_601_000, 1_600_000),
+])
+def test_long_documents_come_as_close_as_short_ones(lengths, target, taken):
+    for scale in (1, 10, 1000):
+        sizes, counts = np.array(lengths) // scale, np.ones(len(lengths), np.int64)
+        copies, extra = mixing.plan_source(sizes, counts, target / scale)
+        assert (sizes * (copies + extra)).sum() == taken // scale
+
+
+def test_masks_of_very_long_documents_stay_bounded(monkeypatch):
+    monkeypatch.setattr(mixing, "MASK_BITS", 1 << 12)
+    sizes = np.array([300_000, 410_000, 520_000])
+    copies, extra = mixing.plan_source(sizes, np.ones(3, np.int64), 715_000)
+    assert copies == 0 and (sizes * extra).sum() == 710_000
+
+
 def water_filled(sizes: dict) -> dict:
     """Targets by repeated resharing."""
     order = sorted(sizes, key=lambda s: (s is None, s))

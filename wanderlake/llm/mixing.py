@@ -4,7 +4,10 @@ Every source gets a target of words. It is met with whole documents: as many ful
 the source as fit, then a subset for the rest. The subset is chosen by length alone: documents
 are counted by exact length, each length gives its proportional share, and the budget that
 rounding leaves is filled by bounded-knapsack dynamic programming over the lengths still
-unused. Which documents of a length are taken follows a seeded hash.
+unused. A remainder beyond what that fills meets the shortest unused document, if overshooting is
+nearer. Where the target is still missed, the whole remainder after the proportional shares is
+filled again (exactly while its masks have ``MASK_BITS``, else in units of several words), and
+the nearer choice counts. Which documents of a length are taken follows a seeded hash.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from wanderlake.llm.common import ship, written
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
 DP_BUDGET = 20_000
+MASK_BITS = 1 << 28
 ROWS_OF_A_BUCKET = 5_000
 
 
@@ -71,6 +75,7 @@ def plan_source(lengths: np.ndarray, counts: np.ndarray, target: float) -> tuple
     share = counts * rest / size
     extra = np.where(lengths > 0, np.floor(share), 0).astype(np.int64)
     left = int(rest - (lengths * extra).sum())
+    floor, gap = extra.copy(), left
     order = np.lexsort((lengths, extra - share))  # the largest fraction first
     moved = True
     while left > DP_BUDGET and moved:
@@ -83,9 +88,26 @@ def plan_source(lengths: np.ndarray, counts: np.ndarray, target: float) -> tuple
     able = np.flatnonzero((lengths > 0) & (lengths <= 2 * left) & (extra < counts))
     if left <= DP_BUDGET and len(able):
         extra[able] += fill(lengths[able].tolist(), (counts - extra)[able].tolist(), left)
+    off = abs(int(rest - (lengths * extra).sum()))
+    if off:
+        again = floor + refill(lengths, counts - floor, gap)
+        if abs(int(rest - (lengths * again).sum())) < off:
+            extra = again
     return int(copies), extra
 
 
+def refill(lengths: np.ndarray, unused: np.ndarray, gap: int) -> np.ndarray:
+    """``fill`` over all unused documents, in units of as many words as keep the masks bounded."""
+    taken = np.zeros(len(lengths), np.int64)
+    able = np.flatnonzero((lengths > 0) & (lengths <= 2 * gap) & (unused > 0))
+    if len(able):
+        items = sum(int(min(n, 2 * gap // size)).bit_length() for n, size in zip(unused[able], lengths[able], strict=True))
+        unit = ceil(2 * gap * items / MASK_BITS)
+        units = np.maximum(np.rint(lengths[able] / unit), 1).astype(np.int64)
+        taken[able] = fill(units.tolist(), unused[able].tolist(), round(gap / unit))
+    return taken
+
+
 def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """``source, source_size, target`` from ``source, source_size``.
 
