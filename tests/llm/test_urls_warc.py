@@ -14,7 +14,7 @@ URLS = {
     "": ("", "", None, "allow"),
     "no scheme/porn": ("", "", None, "block"),
     "http://a.Example.ORG/es/x?y#z": ("a.example.org", "/es/x", "example.org/es/", "block"),
-    "http://example.org/en/123": ("example.org", "/en/123", "example.org/en/1", "allow"),
+    "http://example.org/en/123": ("example.org", "/en/123", "example.org/en/1", "block"),
     "http://notexample.org/es/": ("notexample.org", "/es/", "org/", "allow"),
     "http://x.org": ("x.org", "", None, "allow"),
     "https://m.a.com/de/casino": ("m.a.com", "/de/casino", "com/de/", "block"),
@@ -37,6 +37,28 @@ def test_urls(spark):
     assert url_filter.judge_urls(df.limit(0)).count() == 0
 
 
+def test_the_rules_are_those_agreed_on():
+    assert [(r.verdict, r.name) for r in url_filter.RULES] == [
+        ("allow", "org/"),
+        ("block", "example.org/es/"),
+        ("block", "example.org/en/1"),
+        ("allow", "com/fr/"),
+        ("block", "com/de/"),
+    ]
+
+
+def test_vocabulary_of_a_table_and_weights(spark):
+    table = spark.createDataFrame([("Bad", 100), ("bad", 20), ("meh", 60), ("odd", 40), ("low", 30), (" ", 5), (None, 7), ("x", None)], "term string, weight int")
+    terms = url_filter.vocabulary_of(table)
+    assert terms == {"bad": 100, "meh": 60, "odd": 40, "low": 30}
+    urls = {"http://a.net/bad": "block", "http://a.net/meh": "allow", "http://meh.net/odd": "block", "http://meh.net/low/meh": "allow", "http://low.net/odd/meh": "block"}
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    assert {r["url"]: r["verdict"] for r in url_filter.judge_urls(df, terms=terms).collect()} == urls
+    assert {r["verdict"] for r in url_filter.judge_urls(df, terms={}).collect()} == {"allow"}
+    with pytest.raises(ValueError):
+        url_filter.vocabulary_of(table, most=2)
+
+
 PAGES = [
     (1, "http://a/", "<p>same</p>", "x"),
     (5, "http://b/ c\r\nd", "<p>same</p>", "x"),

@@ -2,21 +2,35 @@
 
 from __future__ import annotations
 
-from wanderlake.llm.url_filter import RULES, SOFT_NEEDED, SOFT_TERMS, STRICT_TERMS
-
-
-def _alone(term: str) -> str:
-    return f"regexp_matches(u, '(^|[^a-z0-9]){term}($|[^a-z0-9])')::INT"
-
-
-def _fits(rule) -> str:
-    return f"((host = '{rule.host}' OR ends_with(host, '.{rule.host}')) AND starts_with(path, '{rule.path}'))"
-
-
-_LONGEST_FIRST = sorted(RULES, key=lambda r: -len(r.name))
-
-OP7 = f"""
-WITH lowered AS (
+# Rules and terms stand here in full, so that the comparison does not share them with the code.
+OP7 = """
+WITH terms(term, weight) AS (VALUES
+        ('adult', 100), ('casino', 100), ('casinos', 100), ('kasino', 100), ('escort', 100), ('escorts', 100),
+        ('hentai', 100), ('malware', 100), ('phishing', 100), ('porn', 100), ('porno', 100), ('pornos', 100),
+        ('pornografia', 100), ('pornographie', 100), ('viagra', 100), ('cialis', 100), ('warez', 100), ('xxx', 100),
+        ('camgirls', 100), ('hardcore', 60), ('erotic', 60), ('erotik', 60), ('erotica', 60), ('erotique', 60),
+        ('nude', 60), ('nudes', 60), ('naked', 60), ('nackt', 60), ('desnuda', 60), ('nue', 40),
+        ('sex', 80), ('sexe', 80), ('sexo', 80), ('sexy', 60), ('milf', 80), ('fetish', 60),
+        ('fetisch', 60), ('strip', 40), ('stripper', 60), ('cams', 50), ('webcam', 40), ('livecam', 60),
+        ('dating', 50), ('flirt', 50), ('singles', 40), ('hookup', 60), ('swinger', 80), ('bet', 50),
+        ('bets', 60), ('betting', 60), ('wetten', 50), ('apuestas', 60), ('paris', 10), ('poker', 60),
+        ('slots', 60), ('slot', 40), ('roulette', 60), ('ruleta', 60), ('blackjack', 60), ('bingo', 50),
+        ('jackpot', 60), ('lotto', 50), ('lottery', 50), ('loterie', 50), ('loteria', 50), ('gambling', 80),
+        ('bonus', 40), ('bonos', 40), ('win', 40), ('winner', 40), ('gewinn', 40), ('ganar', 40),
+        ('gagner', 40), ('prize', 40), ('free', 40), ('gratis', 40), ('gratuit', 40), ('kostenlos', 40),
+        ('cheap', 40), ('billig', 40), ('barato', 40), ('deals', 40), ('discount', 40), ('rabatt', 40),
+        ('promo', 30), ('coupon', 30), ('loan', 50), ('loans', 50), ('kredit', 50), ('payday', 60),
+        ('forex', 60), ('bitcoin', 40), ('crypto', 40), ('invest', 30), ('pills', 60), ('pillen', 60),
+        ('pharmacy', 50), ('rx', 40), ('steroids', 80), ('weightloss', 60), ('crack', 60), ('cracked', 60),
+        ('keygen', 80), ('serial', 40), ('nulled', 80), ('torrent', 60), ('torrents', 60), ('pirate', 50),
+        ('hack', 50), ('hacked', 60), ('hacks', 60), ('cheats', 50), ('exploit', 60), ('spyware', 80),
+        ('trojan', 80), ('botnet', 80), ('spam', 50), ('ads', 40), ('adserver', 60), ('banner', 30),
+        ('popup', 50), ('track', 30), ('tracker', 40), ('clickbait', 60), ('linkfarm', 80), ('farm', 30),
+        ('replica', 60), ('fake', 50)),
+rules(verdict, host, path) AS (VALUES
+        ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+        ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+lowered AS (
     SELECT page_id, url, coalesce(translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS u,
         CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
     FROM pages),
@@ -24,15 +38,20 @@ parts AS (
     SELECT page_id, u, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
     FROM lowered),
-found AS (
-    SELECT *, CASE {' '.join(f"WHEN {_fits(r)} THEN '{r.name}'" for r in _LONGEST_FIRST)} END AS rule,
-        CASE {' '.join(f"WHEN {_fits(r)} THEN '{r.verdict}'" for r in _LONGEST_FIRST)} END AS ruled,
-        ({' + '.join(map(_alone, STRICT_TERMS))})::INT AS strict_terms,
-        ({' + '.join(map(_alone, SOFT_TERMS))})::INT AS soft_terms
-    FROM parts)
-SELECT page_id, host, path, rule, strict_terms, soft_terms,
-    coalesce(ruled, CASE WHEN strict_terms > 0 OR soft_terms >= {SOFT_NEEDED} THEN 'block' ELSE 'allow' END) AS verdict
-FROM found
+urls AS (SELECT DISTINCT u FROM parts),
+hits AS (
+    SELECT u, count(*) FILTER (weight >= 100) AS strict_terms, count(*) FILTER (weight < 100) AS soft_terms,
+        coalesce(sum(weight) FILTER (weight < 100), 0) AS soft_weight
+    FROM urls JOIN terms ON contains(u, term) AND regexp_matches(u, '(^|[^a-z0-9])' || term || '($|[^a-z0-9])')
+    GROUP BY u),
+ruled AS (
+    SELECT p.page_id, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(r.verdict, length(r.host || r.path)) AS verdict
+    FROM parts p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+    GROUP BY p.page_id)
+SELECT page_id, host, path, rule, coalesce(strict_terms, 0)::INT AS strict_terms, coalesce(soft_terms, 0)::INT AS soft_terms,
+    coalesce(soft_weight, 0)::INT AS soft_weight,
+    coalesce(verdict, CASE WHEN strict_terms > 0 OR (soft_terms >= 2 AND soft_weight >= 100) THEN 'block' ELSE 'allow' END) AS verdict
+FROM parts LEFT JOIN hits USING (u) LEFT JOIN ruled USING (page_id)
 """
 
 OP1 = r"""

@@ -66,7 +66,7 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"))
-    return judged.select("page_id", "host", "path", "rule", "verdict", "strict_terms", "soft_terms")
+    return judged.select("page_id", "host", "path", "rule", "verdict", "strict_terms", "soft_terms", "soft_weight")
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,27 +1,28 @@
 """URL filter: host and path rules first, then a weighted vocabulary.
 
-The vocabulary has strict and soft terms. One Aho-Corasick automaton finds all of them in one
-pass over the url; a hit counts when no ASCII letter or digit stands directly before or after
-it. One strict term rejects, and so do ``soft_needed`` different soft terms.
+The vocabulary is a file or table of terms with whole-number weights; a term of weight
+``LIMIT`` or more is strict, all others are soft. One Aho-Corasick automaton finds all of them
+in one pass over the url; a hit counts when no ASCII letter or digit stands directly before or
+after it. One strict term rejects, and so do several different soft terms whose weights
+together reach the limit.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from pathlib import Path
 
 import ahocorasick
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wanderlake.llm.common import scored
 
-STRICT_TERMS = ("adult", "casino", "escorts", "hentai", "malware", "phishing", "porn", "viagra", "warez", "xxx")
-SOFT_TERMS = (
-    "ads", "bet", "bets", "betting", "bonus", "cams", "cheap", "crack", "dating", "deals", "farm", "free", "hot", "jackpot",
-    "keygen", "loan", "nude", "pills", "poker", "sexy", "slots", "spam", "torrent", "track", "win",
-)
-SOFT_NEEDED = 2
+VOCABULARY = Path(__file__).with_name("url_terms.tsv")
+LIMIT = 100
+SEVERAL = 2
 
 
 @dataclass(frozen=True)
@@ -40,7 +41,7 @@ class Rule:
 RULES = (
     Rule("allow", "org", "/"),
     Rule("block", "example.org", "/es/"),
-    Rule("allow", "example.org", "/en/1"),
+    Rule("block", "example.org", "/en/1"),
     Rule("allow", "com", "/fr/"),
     Rule("block", "com", "/de/"),
 )
@@ -60,20 +61,37 @@ def split_url(url: str | None) -> tuple[str, str]:
     return rest[:end].translate(_LOWER), after[:stop]
 
 
+def read_vocabulary(path: str | Path = VOCABULARY) -> dict[str, int]:
+    """Terms and weights of a file of the driver: one term a line, a tab, its weight."""
+    lines = Path(path).read_text("utf-8").splitlines()
+    return {term: int(weight) for term, weight in (line.split("\t") for line in lines if line.strip())}
+
+
+def vocabulary_of(table: DataFrame, most: int = 1_000_000) -> dict[str, int]:
+    """Terms and weights of a table ``term, weight``: the largest weight of a term, no blank ones.
+
+    The automaton is made in every task, so a table of more than ``most`` terms raises.
+    """
+    rows = table.filter((F.trim("term") != "") & F.col("weight").isNotNull()).groupBy(F.lower(F.trim("term")).alias("term"))
+    rows = rows.agg(F.max("weight").cast("int").alias("weight")).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"the vocabulary has more than {most} terms")
+    return {r["term"]: r["weight"] for r in rows}
+
+
 class UrlJudge:
     """Rules by host suffix and the vocabulary's automaton."""
 
-    def __init__(self, rules: Sequence[Rule], strict: Sequence[str], soft: Sequence[str], soft_needed: int):
+    def __init__(self, rules: Sequence[Rule], terms: Mapping[str, int], limit: int = LIMIT):
         self.by_host: dict[str, list[Rule]] = {}
         for rule in sorted(rules, key=lambda r: -len(r.name)):
             self.by_host.setdefault(rule.host, []).append(rule)
-        self.soft_needed = soft_needed
+        self.limit = limit
         self.terms = ahocorasick.Automaton()
-        for term in soft:
-            self.terms.add_word(term, (term, False))
-        for term in strict:
-            self.terms.add_word(term, (term, True))
-        self.terms.make_automaton()
+        for term, weight in terms.items():
+            self.terms.add_word(term, (term, weight))
+        if terms:
+            self.terms.make_automaton()
 
     def rule_for(self, host: str, path: str) -> Rule | None:
         """The longest rule that fits; every suffix of the host at a dot is looked up once."""
@@ -86,44 +104,42 @@ class UrlJudge:
             at = dot + 1 if dot >= 0 else -1
         return best
 
-    def hits(self, url: str | None) -> tuple[int, int]:
-        """Different strict and soft terms that stand alone in the url."""
-        text = (url or "").translate(_LOWER)
-        strict, soft = set(), set()
-        for end, (term, hard) in self.terms.iter(text):
+    def hits(self, url: str | None) -> dict[str, int]:
+        """Different terms that stand alone in the url, with their weights."""
+        text, found = (url or "").translate(_LOWER), {}
+        for end, (term, weight) in self.terms.iter(text) if len(self.terms) else ():
             start = end + 1 - len(term)
             if text[start - 1 : start] not in _WORD and text[end + 1 : end + 2] not in _WORD:
-                (strict if hard else soft).add(term)
-        return len(strict), len(soft)
+                found[term] = weight
+        return found
 
-    def judge(self, url: str | None) -> tuple[str, str, str | None, str, int, int]:
+    def judge(self, url: str | None) -> tuple[str, str, str | None, str, int, int, int]:
         host, path = split_url(url)
-        rule, (strict, soft) = self.rule_for(host, path), self.hits(url)
-        by_terms = "block" if strict or soft >= self.soft_needed else "allow"
-        return host, path, rule and rule.name, rule.verdict if rule else by_terms, strict, soft
+        rule, found = self.rule_for(host, path), self.hits(url)
+        soft = [w for w in found.values() if w < self.limit]
+        strict = len(found) - len(soft)
+        rejected = strict > 0 or (len(soft) >= SEVERAL and sum(soft) >= self.limit)
+        by_terms = "block" if rejected else "allow"
+        return host, path, rule and rule.name, rule.verdict if rule else by_terms, strict, len(soft), sum(soft)
 
 
-def judge_urls(
-    df: DataFrame,
-    url: str = "url",
-    rules: Sequence[Rule] = RULES,
-    strict: Sequence[str] = STRICT_TERMS,
-    soft: Sequence[str] = SOFT_TERMS,
-    soft_needed: int = SOFT_NEEDED,
-) -> DataFrame:
-    """Add ``host``, ``path``, ``rule``, ``verdict``, ``strict_terms`` and ``soft_terms``.
+def judge_urls(df: DataFrame, url: str = "url", rules: Sequence[Rule] = RULES, terms: Mapping[str, int] | None = None, limit: int = LIMIT) -> DataFrame:
+    """Add ``host``, ``path``, ``rule``, ``verdict``, ``strict_terms``, ``soft_terms`` and ``soft_weight``.
 
     ``verdict`` is that of the longest fitting rule, else the vocabulary's: ``block`` with a
-    strict term or ``soft_needed`` different soft terms, else ``allow``. A null url has an
-    empty host and path, no terms, and is allowed. Each row is judged alone: repeated rows
-    stay, an empty table stays empty. Columns of the added names are replaced.
+    strict term, or with several different soft terms whose weights reach ``limit``, else
+    ``allow``. ``terms`` maps lower-case terms to weights (``read_vocabulary`` or
+    ``vocabulary_of``; the package's own file if none are given). A null url has an empty host
+    and path, no terms, and is allowed. Each row is judged alone: repeated rows stay, an empty
+    table stays empty. Columns of the added names are replaced.
     """
-    names = ("host", "path", "rule", "verdict", "strict_terms", "soft_terms")
-    kinds = (T.StringType(),) * 4 + (T.IntegerType(),) * 2
+    names = ("host", "path", "rule", "verdict", "strict_terms", "soft_terms", "soft_weight")
+    kinds = (T.StringType(),) * 4 + (T.IntegerType(),) * 3
     fields = [T.StructField(n, k) for n, k in zip(names, kinds, strict=True)]
+    terms = read_vocabulary() if terms is None else dict(terms)
 
     def scorer():
-        judge = UrlJudge(rules, strict, soft, soft_needed).judge
+        judge = UrlJudge(rules, terms, limit).judge
         return lambda urls: list(zip(*map(judge, urls), strict=True)) or [[]] * len(names)
 
     return scored(df, url, fields, scorer)
