@@ -20,6 +20,8 @@ def spark():
         spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
+        # Plans are read by tests; their text is not to be cut once expression ids get long.
+        spark__sql__maxMetadataStringLength="2000",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

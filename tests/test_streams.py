@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 from datetime import datetime, timedelta
+from functools import partial
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -158,3 +159,29 @@ def test_landed_days_are_pruned_and_archived(spark, folder):
     for _ in range(2):
         flights.compact_days(spark, f"{folder}/t", datetime(2024, 1, 3), f"{folder}/archive")
         assert sorted(r["icao24"] for r in flights.landed_flights(spark, f"{folder}/archive").collect()) == ["a", "b"]
+        both = flights.landed_flights(spark, f"{folder}/t", archive_path=f"{folder}/archive")
+        assert sorted(r["icao24"] for r in both.collect()) == ["a", "b", "c"]
+
+
+def test_a_late_event_after_retention_keeps_its_day(spark, folder):
+    live, archive, root = f"{folder}/t", f"{folder}/archive", f"{folder}/root"
+    first, late = datetime(2024, 1, 1, 5), datetime(2024, 2, 20, 5)
+
+    def land(icao, at, table):
+        value = json.dumps({**json.loads(message(icao)), "latitude": 1.5, "longitude": 2.5})
+        topics.write_message_files(spark.createDataFrame([(icao, value)], "key string, value string"), f"{table}-in")
+        flights.start_ingest(topics.read_message_files(spark, f"{table}-in"), table, f"{table}-c", moment(at)).awaitTermination()
+
+    land("a", first, live)
+    land("b", first, live)
+    bronze.refresh_flights(flights.landed_flights(spark, live), root, first)
+    flights.compact_days(spark, live, datetime(2024, 1, 2), archive)
+    # The live table has forgotten its old files; only the late event stands in it.
+    land("c", late, f"{live}2")
+    raw = flights.landed_flights(spark, f"{live}2", archive_path=archive)
+    since = partial(flights.landed_flights, spark, f"{live}2", archive_path=archive)
+    bronze.refresh_flights(raw, root, late, landed_since=since)
+    assert sorted(r["icao24"] for r in bronze.read_clean_flights(raw, root).collect()) == ["a", "b", "c"]
+    # A second copy of the days does not lose what the live table has forgotten.
+    flights.compact_days(spark, f"{live}2", datetime(2024, 3, 1), archive)
+    assert sorted(r["icao24"] for r in flights.landed_flights(spark, archive).collect()) == ["a", "b", "c"]

@@ -26,18 +26,20 @@ def run_daily(
     landing: str,
     root: str,
     as_of: datetime,
+    landing_archive: str | None = None,
 ) -> DataFrame:
     """Run every step and return their states; the same rows are stored under ``root``.
 
     A failed step blocks the steps after it, and an idle source skips them; reconciliation
-    and the status report run in any case.
+    and the status report run in any case. ``landing_archive`` has the landed days that
+    ``compact_days`` copied, where the landing table forgets old files.
     """
     spark = next(iter(sources.values())).sparkSession
     steps: list[tuple[str, Callable[[], str], bool]] = [
         ("check_source_activity", lambda: _gate(sources, as_of), False),
         ("extract_sources", lambda: _extract(sources, root, as_of), False),
         ("load_broker_file", lambda: _load_brokers(spark, drop_folder, root), False),
-        ("clean_bronze", lambda: _clean(spark, landing, root, as_of), False),
+        ("clean_bronze", lambda: _clean(spark, landing, root, as_of, landing_archive), False),
         ("build_gold", lambda: _gold(spark, root, as_of), False),
         ("check_quality", lambda: _quality(spark, root), False),
         ("reconcile", lambda: _reconcile(spark, sources, root), True),
@@ -84,14 +86,14 @@ def _load_brokers(spark: SparkSession, drop_folder: str, root: str) -> str:
     return f"{drop.rsplit('/', 1)[-1]} rows={loaded}"
 
 
-def _clean(spark: SparkSession, landing: str, root: str, as_of: datetime) -> str:
+def _clean(spark: SparkSession, landing: str, root: str, as_of: datetime, archive: str | None = None) -> str:
     """Clean flights and policies, then the flight statistics from the stored clean flights."""
     create_if_missing(spark, landing, schemas.ddl(schemas.RAW_FLIGHTS))
-    raw_flights = landed_flights(spark, landing)
+    raw_flights = landed_flights(spark, landing, archive_path=archive)
     raw_policies = read_bronze(spark, root)["raw_policies"]
     policies_path = f"{root}/bronze/policies_clean"
     bronze.refresh_flights(
-        raw_flights, f"{root}/bronze", as_of, landed_since=partial(landed_flights, spark, landing)
+        raw_flights, f"{root}/bronze", as_of, landed_since=partial(landed_flights, spark, landing, archive_path=archive)
     )
     write_table(bronze.clean_policies(raw_policies), policies_path)
     report = bronze.removal_report(

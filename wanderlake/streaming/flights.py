@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from wanderlake.fixed_values import CLEANING_TRUE_TEXT
 from wanderlake.functions.text import is_true_text
 from wanderlake.functions.times import moment, utc_now
 from wanderlake.operators.latest import latest_per_window
+from wanderlake.session import children
 from wanderlake.sources.messages import decode_flights, flight_states, keyed_json, normalise_states
 
 OUTCOME = "outcome"
@@ -37,7 +38,8 @@ def start_ingest(
     ``every`` the query drains what is there and ends.
 
     ``keep`` (such as "30d") lets the sink's log forget older files, so that readers do not
-    load an entry for every file ever landed; move their days with ``compact_days`` before.
+    load an entry for every file ever landed; copy their days with ``compact_days`` before, and
+    give the archive to the readers.
     """
     stamp = utc_now() if ingested_at is None else ingested_at
     decoded = decode_flights(messages, stamp)
@@ -53,28 +55,52 @@ def start_ingest(
     return _start(writer, table_path, checkpoint, every)
 
 
-def landed_flights(spark: SparkSession, table_path: str, since: datetime | None = None) -> DataFrame:
+def landed(spark: SparkSession, table_path: str, archive_path: str | None = None) -> DataFrame:
+    """All landed messages; with an archive, every landed day comes from exactly one of both.
+
+    A day that was archived is read from the archive, whether the live table still knows all,
+    some or none of its files. The archived days are known from the folder listing alone.
+    """
+    live = spark.read.schema(SINK_SCHEMA).parquet(table_path)
+    days = archived_days(spark, archive_path) if archive_path else []
+    if not days:
+        return live
+    archived = spark.read.schema(SINK_SCHEMA).parquet(archive_path)
+    return live.filter(~F.col(LANDED_DAY).isin(days)).unionByName(archived)
+
+
+def archived_days(spark: SparkSession, archive_path: str) -> list[date]:
+    """Landed days that ``compact_days`` has copied."""
+    names = {n for outcome in children(spark, archive_path) for n in children(spark, f"{archive_path}/{outcome}")}
+    return sorted(date.fromisoformat(n.split("=")[1]) for n in names if n.startswith(f"{LANDED_DAY}="))
+
+
+def landed_flights(
+    spark: SparkSession, table_path: str, since: datetime | None = None, archive_path: str | None = None
+) -> DataFrame:
     """RAW_FLIGHTS as landed so far, or since a time; rejects and earlier days are pruned."""
-    landed = spark.read.schema(SINK_SCHEMA).parquet(table_path).filter(F.col(OUTCOME) == "accepted")
+    rows = landed(spark, table_path, archive_path).filter(F.col(OUTCOME) == "accepted")
     if since is not None:
-        landed = landed.filter((F.col(LANDED_DAY) >= F.lit(since.date())) & (F.col("ingested_at") >= moment(since)))
-    return landed.select(*schemas.RAW_FLIGHTS)
+        rows = rows.filter((F.col(LANDED_DAY) >= F.lit(since.date())) & (F.col("ingested_at") >= moment(since)))
+    return rows.select(*schemas.RAW_FLIGHTS)
 
 
 def compact_days(spark: SparkSession, table_path: str, before: datetime, archive_path: str) -> None:
-    """Copy all landed days before a time into few large files of an archive with the same layout.
+    """Copy the landed days before a time into few large files of an archive with the same layout.
 
-    Each run replaces exactly the days it copies, so a repeated run gives the same archive.
+    A day is copied once: later the live table may have forgotten some of its files. Days that
+    are over get no more rows, and a run that was cut short has copied none.
     """
-    landed = spark.read.schema(SINK_SCHEMA).parquet(table_path).filter(F.col(LANDED_DAY) < F.lit(before.date()))
-    rows = landed.hint("rebalance", OUTCOME, LANDED_DAY)
+    done = archived_days(spark, archive_path)
+    rows = spark.read.schema(SINK_SCHEMA).parquet(table_path).filter(F.col(LANDED_DAY) < F.lit(before.date()))
+    rows = rows.filter(~F.col(LANDED_DAY).isin(done)).hint("rebalance", OUTCOME, LANDED_DAY)
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(OUTCOME, LANDED_DAY).parquet(archive_path)
 
 
-def landed_rejects(spark: SparkSession, table_path: str) -> DataFrame:
-    landed = spark.read.schema(SINK_SCHEMA).parquet(table_path)
-    return landed.filter(F.col(OUTCOME) == "rejected").select("raw_value")
+def landed_rejects(spark: SparkSession, table_path: str, archive_path: str | None = None) -> DataFrame:
+    rows = landed(spark, table_path, archive_path)
+    return rows.filter(F.col(OUTCOME) == "rejected").select("raw_value")
 
 
 def deduplicate(flights: DataFrame, width: str = "30 seconds", delay: str = "10 minutes") -> DataFrame:
