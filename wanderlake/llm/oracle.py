@@ -100,4 +100,67 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
 FROM bits
 """
 
-ORACLE = {"op1_near_dedup": OP1, "op7_urls": OP7, "op10_warc": OP10}
+_ROUND = """
+near{i} AS MATERIALIZED (
+    SELECT rid, arg_min(c, d::HUGEINT * 8 + c) AS c
+    FROM (SELECT v.rid, m.c, list_sum(list_transform(range(1, 65), lambda i: (v.v[i] - m.v[i]) * (v.v[i] - m.v[i])))::BIGINT AS d
+        FROM whole v, centre{i} m) GROUP BY rid),
+sums{i} AS MATERIALIZED (
+    SELECT c, i, sum(x)::HUGEINT AS s, count(*)::HUGEINT AS n
+    FROM (SELECT c, unnest(v) AS x, unnest(range(1, 65)) AS i FROM whole JOIN near{i} USING (rid)) GROUP BY c, i),
+centre{j} AS MATERIALIZED (
+    SELECT c, coalesce(moved.v, centre{i}.v) AS v
+    FROM centre{i} LEFT JOIN (
+        SELECT c, list((CASE WHEN s < 0 THEN -((n - 1 - s) // n) ELSE s // n END)::BIGINT ORDER BY i) AS v FROM sums{i} GROUP BY c) moved USING (c)),"""
+
+OP11 = f"""
+WITH whole AS MATERIALIZED (
+    SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+centre0 AS MATERIALIZED (
+    SELECT (row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1)::INT AS c, v
+    FROM whole QUALIFY c < 8),
+{"".join(_ROUND.format(i=i, j=i + 1) for i in range(10))}
+last AS MATERIALIZED (
+    SELECT v.vec_id, arg_min(v.c, d::HUGEINT * 8 + v.c) AS cluster, min(d) AS distance
+    FROM (SELECT v.rid, v.vec_id, m.c, list_sum(list_transform(range(1, 65), lambda i: (v.v[i] - m.v[i]) * (v.v[i] - m.v[i])))::BIGINT AS d
+        FROM whole v, centre10 m) v GROUP BY v.rid, v.vec_id)
+SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+    (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(centre10.v, ',')) AS centroid_sha256
+FROM last JOIN centre10 ON cluster = c
+"""
+
+OP12 = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents),
+words AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+grams AS (
+    SELECT lang, k AS len, array_to_string(w[i:i + k - 1], ' ') AS phrase
+    FROM starts, range(1, 6) lengths(k) WHERE i + k - 1 <= len(w)),
+counts AS MATERIALIZED (SELECT lang, len, phrase, count(*)::HUGEINT AS f FROM grams GROUP BY lang, len, phrase),
+totals AS (SELECT lang, sum(f)::HUGEINT AS n FROM counts WHERE len = 1 GROUP BY lang),
+candidates AS MATERIALIZED (SELECT lang, len, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE len >= 2 AND f >= 100),
+cuts AS (
+    SELECT c.lang, c.len, c.phrase, c.a, k, x.f AS l, y.f AS r, n, (1000 * c.a * n) // (x.f * y.f) AS score
+    FROM (SELECT *, unnest(range(1, len)) AS k FROM candidates) c
+    JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+    JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ')
+    JOIN totals t ON t.lang = c.lang),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+    SELECT DISTINCT lang, part, a FROM (
+        SELECT c.lang, c.a, array_to_string(w[i:i + k - 1], ' ') AS part
+        FROM candidates c, range(2, 5) sizes(k), range(1, 5) places(i) WHERE k < c.len AND i + k - 1 <= c.len)),
+kept AS (
+    SELECT * FROM lowest p WHERE NOT EXISTS (
+        SELECT 1 FROM inside q WHERE q.lang = p.lang AND q.part = p.phrase AND 100 * q.a >= 100 * p.a))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+    a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM kept QUALIFY rank <= 2000
+"""
+
+ORACLE = {"op1_near_dedup": OP1, "op7_urls": OP7, "op10_warc": OP10, "op11_centroids": OP11, "op12_collocations": OP12}

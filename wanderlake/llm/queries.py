@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wanderlake.llm import ann, bpe, langid, mixing, near_dedup, quality, sharding, toxicity, url_filter, warc
+from wanderlake.llm import ann, bpe, centroids, collocations, langid, mixing, near_dedup, quality, sharding, toxicity, url_filter, warc
 from wanderlake.llm.common import is_held_out
 from wanderlake.session import scratch_dir
 
@@ -93,4 +93,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, files, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {q.__name__: q for q in (op1_near_dedup, op2_bpe, op3_nearest, op4_mix, op5_language, op6_shards, op7_urls, op8_quality, op9_toxicity, op10_warc)}
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+QUERIES = {q.__name__: q for q in (op1_near_dedup, op2_bpe, op3_nearest, op4_mix, op5_language, op6_shards, op7_urls, op8_quality, op9_toxicity, op10_warc, op11_centroids, op12_collocations)}
