@@ -1,0 +1,200 @@
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tests.llm.conftest import prose
+from wanderlake.llm import centroids, collocations
+
+VECTORS = "vec_id long, embedding array<float>, cluster string, distance string"
+
+
+def brute_clusters(rows, k=8, rounds=10, seed=3):
+    """Direct k-means in Python integers."""
+    kept = []
+    for key, x in rows:
+        if x is not None and len(x) == 64 and all(c is not None and np.isfinite(np.float32(c)) for c in x):
+            kept.append((key, [int(np.floor(1024 * float(np.float32(c)))) for c in x]))
+    named = sorted(kept, key=lambda r: (r[0] is None, hashlib.sha256(f"{seed}:{r[0]}".encode()).hexdigest() if r[0] is not None else "", r[1]))
+    centres = [v for _, v in named[:k]]
+
+    def near(v):
+        return min(range(len(centres)), key=lambda j: (sum((a - b) ** 2 for a, b in zip(v, centres[j])), j))
+
+    for _ in range(rounds):
+        own = [near(v) for _, v in kept]
+        for j in range(len(centres)):
+            mine = [v for (_, v), o in zip(kept, own) if o == j]
+            if mine:
+                centres[j] = [sum(c) // len(mine) for c in zip(*mine)]
+    own = [near(v) for _, v in kept]
+    far = [sum((a - b) ** 2 for a, b in zip(v, centres[o])) for (_, v), o in zip(kept, own)]
+    names = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centres]
+    return sorted(((key, o, d, sum(x for x, p in zip(far, own) if p == o), sum(far), names[o]) for (key, _), o, d in zip(kept, own, far)), key=str)
+
+
+def clustered(spark, rows, **settings):
+    df = spark.createDataFrame([(k, x, "x", "y") for k, x in rows], VECTORS)
+    out = centroids.cluster(df, settings=centroids.Settings(**settings))
+    return sorted((tuple(r) for r in out.collect()), key=str)
+
+
+def test_clusters_against_brute_force(spark):
+    rng = np.random.default_rng(2)
+    middles = rng.normal(0, 0.4, (5, 64))
+    rows = [(i, (middles[i % 5] + rng.normal(0, 0.2, 64)).tolist()) for i in range(160)]
+    odd = [None, [], [0.0] * 63, [0.0] * 65, [None] + [0.0] * 63, [float("nan")] + [0.0] * 63, [float("inf")] + [0.0] * 63]
+    rows += [(1000 + i, x) for i, x in enumerate(odd)] + [(7, rows[7][1]), (None, rows[3][1]), (2000, [0.0] * 64), (2001, [0.0] * 64)]
+    assert clustered(spark, rows) == brute_clusters(rows)
+
+
+def test_few_equal_and_no_vectors(spark):
+    line = [(i, [float(i // 4)] * 64) for i in range(12)]
+    assert clustered(spark, line) == brute_clusters(line)
+    same = [(i, [0.25] * 64) for i in range(20)]
+    assert clustered(spark, same) == brute_clusters(same)
+    two = [(1, [0.5] * 64), (2, [-0.5] * 64)]
+    assert clustered(spark, two) == brute_clusters(two)
+    assert clustered(spark, []) == clustered(spark, [(1, None)]) == []
+
+
+def test_too_large_components_are_left_out(spark):
+    rows = [(1, [131_071.0] * 64), (2, [-131_071.0] * 64), (3, [131_072.0] + [0.0] * 63)]
+    out = clustered(spark, rows, clusters=1, rounds=0)
+    assert sorted(r[0] for r in out) == [1, 2] and max(r[2] for r in out) == 64 * (2 * 131_071 * 1024) ** 2
+
+
+def test_bounds_hold_the_true_distance():
+    rng = np.random.default_rng(9)
+    for spread in (5, 1_000, 5_000_000):
+        vectors = rng.normal(0, spread, (400, 64)).astype(np.int64)
+        simplex = centroids.Simplex(vectors[:20], 12)
+        assert len(simplex.pivots) >= 10
+        exact = centroids.squared(vectors, vectors[:8])
+        apexes, centres = simplex.apexes(vectors), simplex.apexes(vectors[:8])
+        low = np.square(apexes[:, None] - centres).sum(axis=2)
+        mirrored = centres * np.r_[np.ones(centres.shape[1] - 1), -1]
+        high = np.square(apexes[:, None] - mirrored).sum(axis=2)
+        room = 1e-6 * np.square(spread) * 64 + 1
+        assert (low <= exact + room).all() and (exact <= high + room).all()
+        assert centroids.candidates_of(apexes, centres, simplex).sum() < 3 * len(vectors)
+        assert (centroids.nearest(vectors, apexes, vectors[:8], centres, simplex) == exact.argmin(axis=1)).all()
+
+
+# --- phrases --------------------------------------------------------------------------
+
+
+def lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def brute_phrases(rows, longest=5):
+    counts, total = Counter(), Counter()
+    for lang, text in rows:
+        pieces = [""]
+        for c in lower(text or ""):
+            if c in ".,;:!?\n\x0b\x0c\r":
+                pieces.append("")
+            else:
+                pieces[-1] += " " if c == "\t" else c
+        for piece in pieces:
+            words = [w for w in piece.split(" ") if w]
+            total[lang or "und"] += len(words)
+            for n in range(1, longest + 1):
+                counts.update((lang or "und", tuple(words[i : i + n])) for i in range(len(words) - n + 1))
+    return counts, total
+
+
+def brute_collocations(rows, least, top, longest=5):
+    counts, total = brute_phrases(rows, longest)
+    candidates = {k: n for k, n in counts.items() if len(k[1]) > 1 and n >= least}
+    out = {}
+    for (lang, words), a in candidates.items():
+        covered = any(
+            other == lang and len(longer) > len(words) and n >= a and any(longer[i : i + len(words)] == words for i in range(len(longer) - len(words) + 1))
+            for (other, longer), n in candidates.items()
+        )
+        if not covered:
+            cuts = [(1000 * a * total[lang] // (counts[lang, words[:k]] * counts[lang, words[k:]]), k) for k in range(1, len(words))]
+            score, k = min(cuts)
+            out.setdefault(lang, []).append((-score, -a, " ".join(words).encode(), counts[lang, words[:k]], counts[lang, words[k:]]))
+    return sorted(
+        (lang, i + 1, p.decode(), -a, lft, rgt, total[lang], -s) for lang, found in out.items() for i, (s, a, p, lft, rgt) in enumerate(sorted(found)[:top])
+    )
+
+
+def mined(spark, rows, least, top, **settings):
+    df = spark.createDataFrame([(lang, text, "x", 1) for lang, text in rows], "lang string, text string, phrase string, n int")
+    out = collocations.collocations(df, top=top, settings=collocations.Settings(least=least, **settings))
+    return sorted(tuple(r) for r in out.collect())
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rng = random.Random(4)
+    fixed = ["new york city hall is", "the Quick brown", "straße zur größe", "a b a b a b"]
+    rows = []
+    for i in range(120):
+        words = prose(i, 60).split()
+        for _ in range(3):
+            at = rng.randrange(len(words))
+            words[at:at] = rng.choice(fixed).split()
+        rows.append((rng.choice(["en", "de", None, "und"]), " ".join(words).replace(" of", "\tof").replace(" in", ".\x0bin")))
+    return rows + [("en", None), ("en", ""), (None, " \t. ,\n"), ("fr", "one two one two"), rows[0], rows[0], ("en", "a b " * 3_000), ("de", " x \U0001f600 y. " * 40)]
+
+
+def test_phrases_against_brute_force(spark, texts):
+    expected = brute_collocations(texts, least=12, top=40)
+    assert len(expected) > 40
+    assert mined(spark, texts, least=12, top=40) == expected
+
+
+def test_other_shards_lengths_and_crowded_slots(spark, texts):
+    """Few slots are shared by many phrases: more is counted, the result is the same."""
+    expected = brute_collocations(texts, least=9, top=2000, longest=3)
+    assert mined(spark, texts, least=9, top=2000, longest=3, shards=3, slot_bits=16) == expected
+
+
+def test_every_count_is_exact(spark, texts, monkeypatch):
+    monkeypatch.setattr(collocations, "FLUSH_WORDS", 500)
+    df = spark.createDataFrame(texts, "lang string, text string")
+    found = {(r["lang"], r["phrase"]): r["n"] for r in collocations.count_phrases(df, settings=collocations.Settings(least=12)).collect()}
+    counts, total = brute_phrases(texts)
+    assert found == {(lang, " ".join(w)): n for (lang, w), n in counts.items() if n >= 12} | {(lang, ""): n for lang, n in total.items() if n}
+
+
+def scan(rows, flush, slice_, monkeypatch):
+    monkeypatch.setattr(collocations, "SLICE", slice_)
+    settings = collocations.Settings(least=1, slot_bits=16)
+    # Every slot has been reached, so all phrases are counted in step 0.
+    ready = [np.zeros(1 << 16, np.uint8) for _ in range(5)]
+    scanner, out = collocations.Scanner(settings, 0, ready, ready[0]), Counter()
+
+    def take():
+        for batch in scanner.flush():
+            for r in batch.to_pylist():
+                out[r["lang"], r["phrase"]] += r["n"]
+
+    for lang, text in rows:
+        for words in collocations.tokens(text):
+            scanner.add(lang, words)
+            if scanner.held >= flush:
+                take()
+    take()
+    return out
+
+
+@pytest.mark.parametrize("flush, slice_", [(10**6, 10**6), (7, 11), (1, 1), (50, 23)])
+def test_texts_cut_anywhere_give_the_same_counts(monkeypatch, flush, slice_):
+    rows = [("en", "One two. three four five six seven, eight\tnine " * 4), ("de", "eins zwei drei vier fünf sechs sieben acht"), ("en", "six seven")]
+    counts, total = brute_phrases(rows)
+    found = scan(rows, flush, slice_, monkeypatch)
+    assert found == Counter({(lang, " ".join(w)): n for (lang, w), n in counts.items()} | {(lang, ""): n for lang, n in total.items()})
+
+
+def test_no_documents(spark):
+    assert mined(spark, [], 2, 10) == [] and mined(spark, [("en", None), (None, "")], 2, 10) == []

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wanderlake.llm import ann, bpe, centroids, collocations, langid, mixing, near_dedup, quality, sharding, toxicity, url_filter, warc
+from wanderlake.llm import ann, bpe, centroids, collocations, langid, mixing, near_dedup, pii, quality, sharding, toxicity, url_filter, warc
 from wanderlake.llm.common import is_held_out
 from wanderlake.session import scratch_dir
 
@@ -101,4 +101,19 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents").select("lang", "text"))
 
 
-QUERIES = {q.__name__: q for q in (op1_near_dedup, op2_bpe, op3_nearest, op4_mix, op5_language, op6_shards, op7_urls, op8_quality, op9_toxicity, op10_warc, op11_centroids, op12_collocations)}
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    field = pii.train(pii.labelled_examples())
+    found = pii.find_personal_data(_table(spark, sf_dir, "documents").select("doc_id", "text"), field)
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    base = F.filter("pii_spans", lambda s: s["base"])
+    def number(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = map(number, pii.KINDS)
+    return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("pii_spans")).alias("spans"))
+
+
+QUERIES = {q.__name__: q for q in (op1_near_dedup, op2_bpe, op3_nearest, op4_mix, op5_language, op6_shards, op7_urls, op8_quality, op9_toxicity, op10_warc, op11_centroids, op12_collocations, op13_pii)}
