@@ -59,3 +59,16 @@ def test_rows(spark, edge_docs, no_docs):
         assert r["n_tokens"] == len(r["token_ids"]) and bytes(r["decoded"]) == (r["text"] or "").encode()
         assert r["size"] == "x"
     assert bpe.encode_decode(no_docs, PATH, public_tokenizers.PATTERN).count() == 0
+
+
+def test_batches_are_cut_by_rows_and_by_bytes():
+    import pyarrow as pa
+
+    from wanderlake.llm.common import _pieces
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * (i * 100) for i in range(100)])], names=["text"])
+    for rows, size in ((7, 1 << 30), (1000, 20_000), (1, 1), (1000, 1 << 30)):
+        parts = list(_pieces(batch, rows, size))
+        assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
+        assert all(p.num_rows == 1 or (p.num_rows <= rows and p.nbytes <= size) for p in parts)
+    assert list(_pieces(batch.slice(0, 0))) == []

@@ -91,10 +91,14 @@ def _arrow_type(kind: T.DataType) -> pa.DataType:
     return to_arrow_type(kind)
 
 
-def _pieces(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """Smaller batches, so that the Python objects of one of them stay small."""
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
+def _pieces(batch: pa.RecordBatch, rows: int = 1000, size: int = 32 << 20) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, in rows and in bytes, so that the Python objects of one of them stay small."""
+    if batch.num_rows > rows or (batch.num_rows > 1 and batch.nbytes > size):
+        half = batch.num_rows // 2
+        yield from _pieces(batch.slice(0, half), rows, size)
+        yield from _pieces(batch.slice(half), rows, size)
+    elif batch.num_rows:
+        yield batch
 
 
 def staged(spark: SparkSession, df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
