@@ -159,8 +159,7 @@ def test_other_shards_lengths_and_crowded_slots(spark, texts):
     assert mined(spark, texts, least=9, top=2000, longest=3, shards=3, slot_bits=16) == expected
 
 
-def test_every_count_is_exact(spark, texts, monkeypatch):
-    monkeypatch.setattr(collocations, "FLUSH_WORDS", 500)
+def test_every_count_is_exact(spark, texts):
     df = spark.createDataFrame(texts, "lang string, text string")
     found = {(r["lang"], r["phrase"]): r["n"] for r in collocations.count_phrases(df, settings=collocations.Settings(least=12)).collect()}
     counts, total = brute_phrases(texts)
@@ -172,7 +171,7 @@ def scan(rows, flush, slice_, monkeypatch):
     settings = collocations.Settings(least=1, slot_bits=16)
     # Every slot has been reached, so all phrases are counted in step 0.
     ready = [np.zeros(1 << 16, np.uint8) for _ in range(5)]
-    scanner, out = collocations.Scanner(settings, 0, ready, ready[0]), Counter()
+    scanner, out = collocations.Scanner(settings, 0, ready, np.stack([ready[0]] * 2)), Counter()
 
     def take():
         for batch in scanner.flush():
@@ -196,5 +195,39 @@ def test_texts_cut_anywhere_give_the_same_counts(monkeypatch, flush, slice_):
     assert found == Counter({(lang, " ".join(w)): n for (lang, w), n in counts.items()} | {(lang, ""): n for lang, n in total.items()})
 
 
+@pytest.mark.parametrize("flush, slice_, row_words", [(10**6, 10**6, 10**6), (7, 11, 2), (1, 1, 1), (60, 23, 5)])
+def test_rewritten_texts_keep_every_phrase_that_can_be_frequent(monkeypatch, texts, flush, slice_, row_words):
+    monkeypatch.setattr(collocations, "SLICE", slice_)
+    monkeypatch.setattr(collocations, "ROW_WORDS", row_words)
+    rows = [(lang or "und", text) for lang, text in texts[:40] + texts[-3:] if text]
+    counts, _ = brute_phrases(rows)
+    frequent = {w for w, n in counts.items() if n >= 12}
+    settings = collocations.Settings(least=12, slot_bits=20)
+    probe = collocations.Scanner(settings, 4, [np.zeros(1 << 20, np.uint8)] * 5, np.zeros((2, 1 << 20), np.uint8))
+    reached = [np.full(1 << 20, 255, np.uint8) for _ in range(5)]
+    for lang, (word,) in (w for w in frequent if len(w[1]) == 1):
+        seed = np.uint64(collocations.xxhash.xxh3_64_intdigest(lang.encode()))
+        hashed = collocations._mix(np.array([collocations.xxhash.xxh3_64_intdigest(word.encode())], np.uint64) + seed)
+        reached[0][probe._slot(hashed)] = 4
+    scanner, out = collocations.Scanner(settings, 4, reached, np.zeros((2, 1 << 20), np.uint8), final=1), []
+
+    def take(batches):
+        out.extend((r["lang"], r["text"]) for b in batches for r in b.to_pylist() if r["len"] == -2)
+
+    for lang, text in rows:
+        for words in collocations.tokens(text):
+            scanner.add(lang, words)
+            if scanner.held >= flush:
+                take(scanner.flush())
+    take(scanner.flush())
+    take(scanner.rest())
+    again, total = brute_phrases(out)
+
+    def longer(found):
+        return {w: n for w, n in found.items() if len(w[1]) > 1 and all((w[0], (x,)) in frequent for x in w[1])}
+
+    assert longer(again) == longer(counts) and sum(total.values()) <= sum(n for w, n in counts.items() if len(w[1]) == 1)
+
+
 def test_no_documents(spark):
     assert mined(spark, [], 2, 10) == [] and mined(spark, [("en", None), (None, "")], 2, 10) == []
