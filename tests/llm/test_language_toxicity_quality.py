@@ -110,7 +110,7 @@ def test_unlearned_ngrams_are_never_taken_for_learned_ones(spark):
     rng = np.random.default_rng(3)
     texts = ["".join(map(chr, rng.integers(0x4E00, 0x9000, 500))) for _ in range(600)]
     models = langid.train(spark.createDataFrame([(t, "zh") for t in texts], "text string, lang string"))
-    learned = np.unique(np.concatenate([langid._windows(c, 4) for t in texts for c in langid._slices(t, 4)]))
+    learned = np.unique(np.concatenate([langid._windows(c, 4) for t in texts for c in langid._slices(t, 4, {})]))
     unseen = np.setdiff1d(rng.integers(0, 1 << 62, 200_000).astype(np.uint64), learned)
     assert not models._find(4, unseen)[0].any()
     found, at = models._find(4, learned)
@@ -191,6 +191,78 @@ def test_toxicity_edges(spark, edge_docs, no_docs, labelled):
     assert {r["toxic_score"] for r in toxicity.score(edge_docs, none).collect()} == {0.0}
 
 
+def test_characters_beyond_the_first_plane_are_told_apart(spark):
+    adlam, chakma = "\U0001e900\U0001e901\U0001e902 " * 8, "\U00011103\U00011104\U00011105 " * 8
+    private = "\ue001\ue002 " * 12
+    rows = [doc(i, t, name) for i, (t, name) in enumerate([(adlam, "ff"), (chakma, "ccp"), (private, "qaa")] * 20)]
+    models = langid.train(spark.createDataFrame(rows, DOCS))
+    assert len(set(models.rare.values())) == 8
+    found = langid.identify(spark.createDataFrame(rows, DOCS), models).collect()
+    assert all(r["lang_pred"] == r["lang"] for r in found if r["lang"] != "qaa")
+    assert langid._codes("\U0001f600\uf8ff", models.rare).tolist() == [0xF8FF, 0xF8FF]
+
+
+def harmless(n: int, seed: int = 5) -> str:
+    return ". ".join(prose(seed * 100_000 + i, 8).replace(".", "") for i in range(n)) + "."
+
+
+def test_long_clean_texts_stay_clean_and_one_toxic_sentence_is_found(spark, labelled):
+    model = toxicity.train(*labelled)
+    clean = harmless(10_000)
+    toxic = clean.replace(". ", ". he is a vilewordung and of. ", 1)
+    one_line = " ".join(clean.replace(".", "").split()[:20_000])
+    again = (prose(77, 8).replace(".", "") + ". ") * 20_000
+    first, second, third, fourth = (model.document(t) for t in (clean, toxic, one_line, again))
+    assert first[0] < 0.5 and third[0] < 0.5 and fourth[0] < 0.5 and not first[1]
+    assert second[0] >= 0.5 and len(second[1]) == 1 and "vilewordung" in toxic[second[1][0][0] : second[1][0][1]]
+    # The score of clean sentences does not grow with their number.
+    assert model.document(harmless(5_000))[0] == pytest.approx(first[0], abs=0.1)
+
+
+def test_long_labelled_texts_are_fitted(spark):
+    long_clean, long_bad = harmless(3_000, 6), harmless(3_000, 7) + " a nastything here."
+    rows = [doc(i, long_bad if i % 2 else long_clean) for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    model = toxicity.train(spark.createDataFrame(rows, DOCS), labels)
+    assert model.document(long_bad)[0] >= 0.5 > model.document(long_clean)[0]
+
+
+def test_fit_against_a_direct_likelihood(spark, labelled):
+    """Screening and the fitted weights, recomputed from the texts."""
+    docs, labels = labelled
+    fit = toxicity.Fit(steps=600)
+    model = toxicity.train(docs, labels, fit)
+    marks = {r["doc_id"]: r["toxic"] for r in labels.filter(~is_held_out()).collect()}
+    texts = [(r["text"], marks[r["doc_id"]]) for r in docs.filter("text IS NOT NULL").collect() if marks.get(r["doc_id"]) in (0, 1)]
+    stands = {0: Counter(), 1: Counter()}
+    for text, y in texts:
+        stands[y].update({f for w in set(text.lower().split()) for f in toxicity.features_of(w)})
+    n = Counter(y for _, y in texts)
+
+    def z(f):
+        a, b = stands[1][f] + 0.5, stands[0][f] + 0.5
+        return (math.log(a / (n[1] + 1 - a)) - math.log(b / (n[0] + 1 - b))) / math.sqrt(1 / a + 1 / b)
+
+    assert set(model.weights) == {f for f, c in stands[1].items() if c >= fit.least_docs and z(f) >= fit.least_z}
+    share = n[1] / len(texts)
+    scale = {1: share * len(texts) / n[1], 0: (1 - share) * len(texts) / n[0]}
+
+    def loss(weights, bias):
+        total = 0.0
+        for text, y in texts:
+            q = 0.0
+            for _, _, sentence in toxicity.sentences(text):
+                logit = bias + sum(weights.get(f, 0.0) for w in set(sentence.lower().split()) for f in toxicity.features_of(w))
+                q += math.log1p(math.exp(min(logit, 50)))
+            total += scale[y] * (q if y == 0 else -math.log(-math.expm1(-q)))
+        return total / len(texts) + fit.ridge * sum(w * w for w in weights.values()) / 2 / max(len(weights), 1)
+
+    best = loss(model.weights, model.bias)
+    for shift in (-0.5, 0.5):
+        assert loss(model.weights, model.bias + shift) >= best - 1e-4
+        assert loss({f: w + shift for f, w in model.weights.items()}, model.bias) >= best - 1e-4
+
+
 def naive_quality(text: str | None):
     import re
 

@@ -13,14 +13,16 @@ A text gets the language of lowest cross-entropy, in bits a character. It is rej
 even that is higher than calibrated: the mean and spread of the training texts' own
 cross-entropies, with more room for short texts.
 
-A packed n-gram is the whole n-gram, so an unseen one is never taken for another. Arrays of at
+A packed n-gram is the whole n-gram, so an unseen one is never taken for another; characters
+that need more than 16 bits are numbered by ``rare_characters``. Arrays of at
 most ``MOST_CELLS`` n-grams times languages are broadcast. Larger models stay tables: the
 different n-grams of the texts to score get their log-probabilities by joins with them, and
-every text sums those of its own n-grams. Both ways give the same numbers.
+every text sums those of its own n-grams. Both ways give the same numbers, in double precision.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -38,9 +40,11 @@ ORDER = 4  # the largest that one 64-bit number holds
 UNDETERMINED = "und"
 SLICE = 500_000
 DISCOUNT = 0.75
-MOST_CELLS = 1 << 23  # n-grams of all orders times languages: about 100 MB at four languages
+MOST_CELLS = 1 << 22  # n-grams of all orders times languages: about 80 MB at four languages
 
 _PAD = 0xFFFF  # stands before a text
+_FIRST_RARE, _OTHER = 0xE000, 0xF8FF  # the private codes
+_RARE = re.compile("[\ue000-\uf8ff\uffff\U00010000-\U0010ffff]")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -49,16 +53,38 @@ def normal_form(text: str) -> str:
     return " ".join(text.lower().split())
 
 
-def _codes(text: str) -> np.ndarray:
-    """Code points in 16 bits: digits as one, those beyond the first plane folded into 2,048 classes."""
+def _codes(text: str, rare: dict[int, int]) -> np.ndarray:
+    """Codes of 16 bits: digits as one, characters beyond the first plane and private ones as ``rare`` has them."""
     codes = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64)
     codes[(codes >= 48) & (codes <= 57)] = 48
-    high = codes >= _PAD
-    if high.any():
-        codes[high] = 0xE000 + codes[high] % 0x800
+    odd = np.flatnonzero((codes >= _PAD) | ((codes >= _FIRST_RARE) & (codes <= _OTHER)))
+    if len(odd):
+        found, place = np.unique(codes[odd], return_inverse=True)
+        codes[odd] = np.array([rare.get(c, _OTHER) for c in found.tolist()], np.uint64)[place]
     return codes
 
 
+def rare_characters(training: DataFrame, text: str) -> dict[int, int]:
+    """Codes of their own for the characters of the training texts that have none in 16 bits.
+
+    The most frequent ones get the private codes, one each; should there be more than 6,399,
+    the rest share one, as do all characters that the training texts do not have.
+    """
+
+    def run(batches):
+        known: dict[str, int] = {}
+        for batch in batches:
+            for value in batch.column(0):
+                for c in _RARE.findall(normal_form(value.as_py())):
+                    known[c] = known.get(c, 0) + 1
+        yield pa.RecordBatch.from_arrays([pa.array([ord(c) for c in known], pa.int32()), pa.array(list(known.values()), pa.int64())], names=["code", "n"])
+
+    ship(training.sparkSession)
+    counts = training.filter(F.col(text).isNotNull()).select(text).mapInArrow(run, "code int, n long")
+    counts = counts.groupBy("code").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "code").limit(_OTHER - _FIRST_RARE)
+    return {r["code"]: _FIRST_RARE + i for i, r in enumerate(counts.collect())}
+
+
 def _windows(codes: np.ndarray, order: int) -> np.ndarray:
     """Runs of ``order`` codes, each packed in one number, the last code lowest."""
     n = max(len(codes) - order + 1, 0)
@@ -81,17 +107,17 @@ def _slot(packed: np.ndarray, bits: int) -> np.ndarray:
     return (mixed >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _slices(text: str, order: int):
+def _slices(text: str, order: int, rare: dict[int, int]):
     """Codes in runs of bounded length, each with ``order - 1`` codes of what went before."""
     text = normal_form(text)
     before = np.full(order - 1, _PAD, np.uint64)
     for at in range(0, len(text), SLICE):
-        codes = np.concatenate([before, _codes(text[at : at + SLICE])])
+        codes = np.concatenate([before, _codes(text[at : at + SLICE], rare)])
         before = codes[len(codes) - order + 1 :]
         yield codes
 
 
-def count_ngrams(training: DataFrame, text: str, lang: str, order: int = ORDER) -> DataFrame:
+def count_ngrams(training: DataFrame, text: str, lang: str, order: int, rare: dict[int, int]) -> DataFrame:
     """``lang, gram, n``: how often each n-gram of the highest order stands in a language's texts.
 
     ``gram`` is the packed codes. Tasks count before the shuffle, so a language with a third of
@@ -110,7 +136,7 @@ def count_ngrams(training: DataFrame, text: str, lang: str, order: int = ORDER)
         waiting, held = {}, 0
         for batch in batches:
             for value, name in zip(batch.column(0), batch.column(1), strict=True):
-                for codes in _slices(value.as_py(), order):
+                for codes in _slices(value.as_py(), order, rare):
                     waiting.setdefault(name.as_py(), []).append(_windows(codes, order))
                     held += len(codes)
                 if held > 8 * SLICE:
@@ -140,6 +166,7 @@ class Models:
     gains: list[np.ndarray]
     backs: list[np.ndarray]
     floor: float
+    rare: dict[int, int]
     limits: np.ndarray | None = None  # for each language: mean and spread of its texts' cross-entropy
     _place: tuple | None = None  # finds n-grams of the highest order; made where it is used
 
@@ -185,7 +212,7 @@ class Models:
     def cross_entropies(self, text: str) -> tuple[np.ndarray, int]:
         """Bits a character of each language, and the number of characters."""
         total, n = np.zeros(len(self.languages)), 0
-        for codes in _slices(text, self.order):
+        for codes in _slices(text, self.order, self.rare):
             total -= self.log_probabilities(codes)
             n += len(codes) - self.order + 1
         return total / max(n, 1), n
@@ -214,6 +241,7 @@ class Tables:
     spares: list[float]
     orders: list[DataFrame]
     folders: list[str]
+    rare: dict[int, int]
     limits: np.ndarray | None = None  # as in Models
 
     def cells(self) -> int:
@@ -221,7 +249,7 @@ class Tables:
         return sum(t.select("gram").distinct().count() for t in self.orders) * len(self.languages)
 
 
-def kneser_ney(counts: DataFrame, order: int = ORDER) -> Tables:
+def kneser_ney(counts: DataFrame, order: int, rare: dict[int, int]) -> Tables:
     """Models from ``lang, gram, n``, order by order as tables.
 
     A task's largest group is the n-grams that continue a context or share a tail: at most one
@@ -268,21 +296,21 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> Tables:
         orders.append(store(table, "models", folders))
     for folder in held:
         remove(spark, folder)
-    return Tables([r["lang"] for r in rows], order, alphabet, spares, orders, folders)
+    return Tables([r["lang"] for r in rows], order, alphabet, spares, orders, folders, rare)
 
 
 def _dense(tables: Tables) -> Models:
     """The tables as arrays. A language without a gram has its context's weight times the lower order's chance."""
     keys, gains, backs = [], [], []
-    place = {name: i for i, name in enumerate(tables.languages)}
     for k, stored in enumerate(tables.orders, 1):
-        table = stored.select("lang", "gram", "gain", "back").toArrow().combine_chunks()
-        names = pa.concat_arrays(table.column("lang").cast(pa.string()).chunks or [pa.array([], pa.string())]).dictionary_encode()
-        lang = np.array([place[n] for n in names.dictionary.to_pylist()], np.int64)[names.indices.to_numpy()]
+        # One order at a time, with numbers in place of the languages' names.
+        number = F.array_position(F.array(F.lit(""), *map(F.lit, tables.languages)), F.col("lang")).cast("int") - 2
+        table = stored.select(number.alias("lang"), "gram", "gain", "back").toArrow().combine_chunks()
+        lang = table.column("lang").to_numpy().astype(np.int64)
         gram = table.column("gram").to_numpy().view(np.uint64)
         own, at = np.unique(gram, return_inverse=True)
         if k == 1:
-            gain = np.tile(np.float32(tables.spares), (len(own), 1))
+            gain = np.tile(np.float64(tables.spares), (len(own), 1))
         else:
             is_context, context = _among(keys[-1], own >> np.uint64(16))
             has_tail, tail = _among(keys[-1], _tail(own, k - 1))
@@ -293,9 +321,9 @@ def _dense(tables: Tables) -> Models:
             there = ~np.isnan(values)
             to[at[there], lang[there]] = values[there]
         keys.append(own)
-        gains.append(gain.astype(np.float32))
-        backs.append(back.astype(np.float32))
-    return Models(tables.languages, tables.order, keys, gains, backs, float(-np.log2(tables.alphabet)))
+        gains.append(gain)
+        backs.append(back)
+    return Models(tables.languages, tables.order, keys, gains, backs, float(-np.log2(tables.alphabet)), tables.rare)
 
 
 def _ngram_chances(grams: DataFrame, tables: Tables) -> DataFrame:
@@ -334,25 +362,25 @@ def _joined(df: DataFrame, tables: Tables, text: str) -> DataFrame:
 
     Both are null for a text without characters.
     """
-    spark, order = df.sparkSession, tables.order
+    spark, order, rare = df.sparkSession, tables.order, tables.rare
     numbered = written(spark, df.withColumn("_wl_row", F.monotonically_increasing_id()), "numbered")
 
     def count(batches):
         for batch in batches:
             for row, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                for codes in _slices(value.as_py(), order):
+                for codes in _slices(value.as_py(), order, rare):
                     found, n = np.unique(_windows(codes, order), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([row] * len(found), pa.int64()), pa.array(found.view(np.int64)), pa.array(n, pa.int64())], names=["row", "gram", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array([row] * len(found), pa.int64()), pa.array(found.view(np.int64)), pa.array(n, pa.int64())], names=["_wl_at", "gram", "n"])
 
     ship(spark)
     texts = numbered.filter(F.col(f"`{text}`").isNotNull()).select("_wl_row", F.col(f"`{text}`"))
-    grams = written(spark, texts.mapInArrow(count, "row long, gram long, n long"), "text-grams")
+    grams = written(spark, texts.mapInArrow(count, "_wl_at long, gram long, n long"), "text-grams")
     chances = _ngram_chances(grams, tables)
     # A common n-gram stands in very many texts; its rows are spread.
-    found = lookup(grams, chances, F.col("gram"), "gram", "gram", find_hot_keys(grams, {"gram": F.col("gram")}), ("row",))
+    found = lookup(grams, chances, F.col("gram"), "gram", "gram", find_hot_keys(grams, {"gram": F.col("gram")}), ("_wl_at",))
     sums = [(F.sum(F.col("n") * F.col("bits")[i]) / F.sum("n")) for i in range(len(tables.languages))]
-    sums = found.groupBy("row").agg(F.array(*sums).alias("_wl_bits"), F.sum("n").alias("_wl_n"))
-    return numbered.join(sums, F.col("_wl_row") == F.col("row"), "left").drop("row", "_wl_row")
+    sums = found.groupBy("_wl_at").agg(F.array(*sums).alias("_wl_bits"), F.sum("n").alias("_wl_n"))
+    return numbered.join(sums, F.col("_wl_row") == F.col("_wl_at"), "left").drop("_wl_at", "_wl_row")
 
 
 def has_letter(text: str | None) -> bool:
@@ -368,7 +396,8 @@ def train(training: DataFrame, text: str = "text", lang: str = "lang", order: in
     nothing; without any row there are no languages, and every text is undetermined.
     """
     known = training.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
-    tables = kneser_ney(count_ngrams(known, "text", "lang", order), order)
+    rare = rare_characters(known, "text")
+    tables = kneser_ney(count_ngrams(known, "text", "lang", order, rare), order, rare)
     models: Models | Tables = tables
     if tables.cells() <= MOST_CELLS:
         models = _dense(tables)

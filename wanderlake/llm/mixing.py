@@ -200,4 +200,4 @@ def mix(docs: DataFrame, size: Column, source: str = "source", doc_id: str = "do
 
 def repeated(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """The mix itself: every row of ``mix`` as often as it is taken, with the columns asked for."""
-    return mixed.withColumn("_wl_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies")))).select(*columns)
+    return mixed.withColumn("_wl_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies")))).select(*(F.col(f"`{c}`") for c in columns))

@@ -5,7 +5,15 @@ is the noisy-or of its sentences, 1 - prod(1 - p), so a single sentence suffices
 gradient of the document's label reaches the sentences that explain it. The same sentence
 scores then say where a document offends.
 
-A sentence is a bag of words; a word counts as itself and as its beginnings, so inflected and
+The small chances of harmless sentences must not add up with the length of a text. When texts
+are scored, different sentences above ``FLOOR`` combine by noisy-or, each counted once; of all
+others only the largest chance counts, as a leak that is the same for short and long texts.
+
+The labelled sample stays in Spark: tasks count in how many documents a feature stands, and
+turn the sample into numbers of the chosen features, sentence by sentence. Equal sentences of a
+document are one with a weight, so a long document is as welcome as a short one.
+
+A sentence has at most ``LONGEST`` words; a longer one is cut. It is a bag of words; a word counts as itself and as its beginnings, so inflected and
 compounded forms of a learned stem are recognised.
 """
 
@@ -14,27 +22,36 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wanderlake.llm.common import is_held_out, scored
+from wanderlake.llm.common import is_held_out, scored, ship, staged
+from wanderlake.session import remove
 
 SENTENCE = re.compile(r"[^.!?\n]+")
 BEGINNINGS = (3, 4, 5, 6)
+FLOOR = 0.1
+LONGEST = 50
 EDGES = "\"'`,;:()[]{}<>|*#$%&_-+=/\\~^…«»“”‘’„¿¡"
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("score", T.DoubleType())]))
 
 
 @dataclass(frozen=True)
 class Fit:
-    """Bounds of the training sample and of the model."""
+    """Bounds of the training sample and of the model.
+
+    At most ``docs_of_a_label`` documents of each label, of any length. A document with more
+    different sentences than ``sentences_of_a_doc`` is fitted by its most suspicious ones.
+    """
 
     docs_of_a_label: int = 3000
-    longest_text: int = 30_000
+    sentences_of_a_doc: int = 2000
     features: int = 4000
     least_docs: int = 4
     least_z: float = 3.5
@@ -43,6 +60,19 @@ class Fit:
     ridge: float = 1e-3
 
 
+_PART = re.compile(r"\S+(?:\s+\S+){0,%d}" % (LONGEST - 1))
+
+
+def sentences(text: str) -> Iterator[tuple[int, int, str]]:
+    """First character, end and text of every sentence."""
+    for found in SENTENCE.finditer(text):
+        if found.end() - found.start() < 2 * LONGEST:
+            yield *found.span(), found[0]
+        else:
+            for part in _PART.finditer(text, *found.span()):
+                yield *part.span(), part[0]
+
+
 def features_of(word: str) -> list[str]:
     """The word without punctuation around it, and its beginnings (marked by a bar)."""
     word = word.strip(EDGES)
@@ -66,16 +96,25 @@ class SentenceModel:
         return score
 
     def document(self, text: str | None, spans_from: float = 0.5) -> tuple[float, list[tuple[int, int, float]]]:
-        """Noisy-or of all sentences, and the sentences with a chance of ``spans_from`` or more."""
+        """Noisy-or of the suspicious sentences, and those with a chance of ``spans_from`` or more."""
         if not text or not self.weights:
             return 0.0, []
-        clean, spans, word = 0.0, [], self.word
-        for sentence in SENTENCE.finditer(text):
-            logit = self.bias + sum(map(word, set(sentence[0].lower().split())))
-            clean += _softplus(logit)
+        clean, leak, spans, seen, word = 0.0, 0.0, [], set(), self.word
+        for start, end, sentence in sentences(text):
+            words = frozenset(sentence.lower().split())
+            logit = self.bias + sum(map(word, words))
+            if logit < _FLOOR_LOGIT:
+                leak = max(leak, _softplus(logit))
+                continue
+            if words not in seen:
+                seen.add(words)
+                clean += _softplus(logit)
             if logit >= 0 and (p := 1 / (1 + math.exp(-logit))) >= spans_from:
-                spans.append((sentence.start(), sentence.end(), p))
-        return -math.expm1(-clean), spans
+                spans.append((start, end, p))
+        return -math.expm1(-clean - leak), spans
+
+
+_FLOOR_LOGIT = math.log(FLOOR / (1 - FLOOR))
 
 
 def _softplus(x: float) -> float:
@@ -83,18 +122,18 @@ def _softplus(x: float) -> float:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, fit: Fit, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """At most ``fit.docs_of_a_label`` texts of each label, those with the smallest hash of their id.
+    """``toxic, text``: at most ``fit.docs_of_a_label`` texts of each label, of the smallest hashes of their ids.
 
-    Only ids outside the held-out fold and texts up to ``fit.longest_text`` characters. An id
-    labelled both ways counts as toxic; of repeated documents the smallest text is taken.
-    The chosen ids are few by construction, so they are broadcast to the scan of the texts.
+    Only ids outside the held-out fold. An id labelled both ways counts as toxic; of repeated
+    documents the smallest text is taken. The chosen ids are few by construction, so they are
+    broadcast to the scan of the texts.
     """
     marks = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~is_held_out())
     marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64("doc_id"), F.col("doc_id")
     chosen = [marks.filter(F.col("toxic") == y).orderBy(*order).limit(fit.docs_of_a_label) for y in (0, 1)]
     chosen = chosen[0].union(chosen[1]).select(F.col("doc_id").alias("_wl_id"), "toxic")
-    texts = docs.select(F.col(doc_id).alias("_wl_id"), F.col(text).alias("text")).filter(F.length("text") <= fit.longest_text)
+    texts = docs.select(F.col(f"`{doc_id}`").alias("_wl_id"), F.col(f"`{text}`").alias("text")).filter("text IS NOT NULL")
     return texts.join(F.broadcast(chosen), "_wl_id").groupBy("_wl_id", "toxic").agg(F.min("text").alias("text"))
 
 
@@ -102,69 +141,109 @@ def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), text: str = "tex
     """A sentence model fitted to document labels on a bounded sample.
 
     The sample is spread over labels evenly; weights restore their true shares, so scores are
-    chances. Without texts of both labels nothing can be learned, and every score is 0.
+    chances. Without texts of both labels nothing can be learned, and every score is 0. The
+    driver gets at most ``fit.features`` features and whole numbers, no texts.
+    """
+    spark = docs.sparkSession
+    sample, folder = staged(spark, labelled_sample(docs, labels, fit, text, doc_id), "labelled")
+    counts = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    share = labels.filter(F.col("toxic").isin(0, 1) & ~is_held_out()).agg(F.avg(F.col("toxic").cast("double"))).first()[0]
+    model = SentenceModel({}, 0.0)
+    if counts.get(0) and counts.get(1):
+        share = min(max(share, 1e-3), 1 - 1e-3)
+        found = _screened(sample, counts[1], counts[0], fit)
+        bags = _bags(sample, found, fit)
+        y = bags["toxic"].to_numpy().astype(float)
+        weight = np.where(y == 1, share * len(y) / y.sum(), (1 - share) * len(y) / (len(y) - y.sum()))
+        model = _fitted(bags, y, weight, list(found), fit)
+    remove(spark, folder)
+    return model
+
+
+def _screened(sample: DataFrame, toxic: int, clean: int, fit: Fit) -> dict[str, float]:
+    """Features that stand in clearly more of the toxic documents, the clearest first, with their z values."""
+
+    def count(batches):
+        known = {}
+        for batch in batches:
+            for label, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                for name in {f for word in set(value.as_py().lower().split()) for f in features_of(word)}:
+                    known.setdefault(name, [0, 0])[label] += 1
+                if len(known) > 300_000:
+                    yield _rows(known)
+                    known = {}
+        yield _rows(known)
+
+    ship(sample.sparkSession)
+    rows = sample.select("toxic", "text").mapInArrow(count, "name string, clean long, toxic long")
+    rows = rows.groupBy("name").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).filter(F.col("toxic") >= fit.least_docs)
+    a, b = F.col("toxic") + 0.5, F.col("clean") + 0.5
+    odds = F.log(a / (toxic + 1 - a)) - F.log(b / (clean + 1 - b))
+    rows = rows.select("name", (odds / F.sqrt(1 / a + 1 / b)).alias("z")).filter(F.col("z") >= fit.least_z)
+    return {r["name"]: r["z"] for r in rows.orderBy(F.desc("z"), "name").limit(fit.features).collect()}
+
+
+def _rows(known: dict[str, list[int]]) -> pa.RecordBatch:
+    clean, toxic = zip(*known.values(), strict=True) if known else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(known, pa.string()), pa.array(clean, pa.int64()), pa.array(toxic, pa.int64())], names=["name", "clean", "toxic"])
+
+
+def _bags(sample: DataFrame, found: dict[str, float], fit: Fit) -> pa.Table:
+    """For every document ``toxic``, ``plain`` sentences without a feature, and the others' weights, sizes and features.
+
+    Rows are in the order of their ids' hashes, so a fit does not depend on partitions.
     """
-    rows = labelled_sample(docs, labels, fit, text, doc_id).select("toxic", "text", "_wl_id").collect()
-    rows.sort(key=lambda r: r["_wl_id"])
-    marks = labels.filter(F.col("toxic").isin(0, 1) & ~is_held_out()).agg(F.avg(F.col("toxic").cast("double"))).first()[0]
-    y = np.array([r["toxic"] for r in rows], float)
-    if not 0 < y.sum() < len(y):
-        return SentenceModel({}, 0.0)
-    share = min(max(marks, 1e-3), 1 - 1e-3)
-    weight = np.where(y == 1, share * len(y) / y.sum(), (1 - share) * len(y) / (len(y) - y.sum()))
-    names = _screened([r["text"] for r in rows], y, fit)
-    return _fitted([r["text"] for r in rows], y, weight, names, fit)
-
-
-def _screened(texts: list[str], y: np.ndarray, fit: Fit) -> list[str]:
-    """Features that stand in clearly more of the toxic documents, the clearest first."""
-    toxic, clean = Counter(), Counter()
-    for value, label in zip(texts, y, strict=True):
-        if label:
-            toxic.update({f for word in set(value.lower().split()) for f in features_of(word)})
-    toxic = Counter({f: n for f, n in toxic.items() if n >= fit.least_docs})
-    for value, label in zip(texts, y, strict=True):
-        if not label:
-            clean.update({f for word in set(value.lower().split()) for f in features_of(word) if f in toxic})
-    n1, n0 = y.sum(), len(y) - y.sum()
-
-    def z(name: str) -> float:
-        a, b = toxic[name] + 0.5, clean[name] + 0.5
-        odds = math.log(a / (n1 + 1 - a)) - math.log(b / (n0 + 1 - b))
-        return odds / math.sqrt(1 / a + 1 / b)
-
-    found = sorted((-z(f), f) for f in toxic)
-    return [f for score, f in found[: fit.features] if -score >= fit.least_z]
-
-
-def _fitted(texts: list[str], y: np.ndarray, weight: np.ndarray, names: list[str], fit: Fit) -> SentenceModel:
+    place, z = {name: i for i, name in enumerate(found)}, list(found.values())
+
+    def number(batches):
+        of_word: dict[str, list[int]] = {}
+        for batch in batches:
+            out = []
+            for value in batch.column(2):
+                bags: Counter = Counter()
+                for _, _, sentence in sentences(value.as_py()):
+                    ids = []
+                    for word in set(sentence.lower().split()):
+                        if word not in of_word:
+                            if len(of_word) >= 300_000:
+                                of_word.clear()
+                            of_word[word] = [place[f] for f in features_of(word) if f in place]
+                        ids += of_word[word]
+                    bags[tuple(sorted(ids))] += 1
+                plain = bags.pop((), 0)
+                kept = sorted(bags, key=lambda ids: (-sum(z[i] for i in ids), ids))[: fit.sentences_of_a_doc]
+                out.append((plain, [bags[b] for b in kept], [len(b) for b in kept], [i for b in kept for i in b]))
+            columns = list(zip(*out, strict=True)) or [[]] * 4
+            kinds = (pa.int64(), *[pa.list_(pa.int32())] * 3)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=["key", "toxic", "plain", "weights", "sizes", "ids"])
+
+    keyed = sample.select(F.xxhash64("_wl_id").alias("key"), F.col("toxic").cast("int"), "text")
+    numbered = keyed.mapInArrow(number, "key long, toxic int, plain long, weights array<int>, sizes array<int>, ids array<int>")
+    return numbered.orderBy("key", "plain").toArrow()
+
+
+def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list column one after another, and how many each row has."""
+    lists = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.list_(pa.int32()))
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.diff(lists.offsets.to_numpy())
+
+
+def _fitted(bags: pa.Table, y: np.ndarray, weight: np.ndarray, names: list[str], fit: Fit) -> SentenceModel:
     """Full-batch Adam on the noisy-or likelihood. Sentences without a feature share one score."""
-    place = {name: i for i, name in enumerate(names)}
-    of_word: dict[str, list[int]] = {}
-    plain, doc_of, sentence_of, feature_of = np.zeros(len(texts)), [], [], []
-    for d, value in enumerate(texts):
-        for sentence in SENTENCE.findall(value):
-            found = []
-            for word in set(sentence.lower().split()):
-                if word not in of_word:
-                    of_word[word] = [place[f] for f in features_of(word) if f in place]
-                found += of_word[word]
-            if found:
-                sentence_of += [len(doc_of)] * len(found)
-                feature_of += found
-                doc_of.append(d)
-            else:
-                plain[d] += 1
-    doc_of, sentence_of, feature_of = (np.array(x, np.int64) for x in (doc_of, sentence_of, feature_of))
+    plain = bags["plain"].to_numpy().astype(float)
+    times, per_doc = _flat(bags["weights"])
+    sizes, _ = _flat(bags["sizes"])
+    feature_of, _ = _flat(bags["ids"])
+    doc_of, sentence_of = np.repeat(np.arange(len(y)), per_doc), np.repeat(np.arange(len(sizes)), sizes)
     params = np.concatenate([np.full(len(names), 0.1), [-5.0]])
     first, second = np.zeros_like(params), np.zeros_like(params)
     for step in range(1, fit.steps + 1):
         w, bias = params[:-1], params[-1]
         logit = bias + np.bincount(sentence_of, w[feature_of], len(doc_of))
-        q = np.bincount(doc_of, np.logaddexp(0, logit), len(texts)) + plain * np.logaddexp(0, bias)
+        q = np.bincount(doc_of, times * np.logaddexp(0, logit), len(y)) + plain * np.logaddexp(0, bias)
         # Loss is q for a clean document and -log(1 - exp(-q)) for a toxic one.
         slope = weight * np.where(y == 1, -1 / np.expm1(np.clip(q, 1e-9, 50)), 1.0)
-        by_sentence = slope[doc_of] / (1 + np.exp(-logit))
+        by_sentence = slope[doc_of] * times / (1 + np.exp(-logit))
         grad = np.empty_like(params)
         grad[:-1] = np.bincount(feature_of, by_sentence[sentence_of], len(names)) / len(y) + fit.ridge * w / max(len(names), 1)
         grad[-1] = (by_sentence.sum() + (slope * plain).sum() / (1 + np.exp(-bias))) / len(y)
@@ -179,8 +258,9 @@ def score(df: DataFrame, model: SentenceModel, text: str = "text") -> DataFrame:
 
     A span is the first character and the end of a sentence in the text, with its own chance
     of 0.5 or more. Null and empty texts score 0 without spans. Whole texts are read, sentence
-    by sentence; equal texts score the same; an empty table stays empty. The model is
-    broadcast: at most ``Fit.features`` weights.
+    by sentence; harmless sentences do not add up, however many there are; equal texts score
+    the same; an empty table stays empty. The model is broadcast: at most ``Fit.features``
+    weights.
     """
     shared = df.sparkSession.sparkContext.broadcast((model.weights, model.bias))
 
