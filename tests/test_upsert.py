@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -112,7 +112,7 @@ def test_a_later_run_cut_short_leaves_the_table(spark, folder, monkeypatch):
             with pytest.raises(Cut):
                 upsert(batch, path, "id", keys_per_range=10)
         assert {(r["id"], r["v"]) for r in read_keyed(spark, path).collect()} == {(1, "a"), (2, "b"), (25, "c")}
-    upsert(batch, path, "id", keys_per_range=10)
+    upsert(batch, path, "id", keys_per_range=10, grace=timedelta(0))
     assert {(r["id"], r["v"]) for r in read_keyed(spark, path).collect()} == {(1, "a"), (2, "B"), (25, "c"), (26, "d")}
     # What the broken runs left is gone; the version before stays for its readers.
     assert len(list(Path(path, "data").iterdir())) == 2
@@ -169,3 +169,74 @@ def test_one_crowded_range_is_split_over_tasks(spark, folder):
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
     assert len(list(Path(f"{folder}/t/data").glob(f"*/{RANGE}=0/*.parquet"))) > 4
     assert read_keyed(spark, f"{folder}/t").count() == 60_000
+
+
+def interleaved(module_, monkeypatch, other):
+    """While the next upsert has written its ranges, and not yet its manifest, another writer commits."""
+    write = module_._write
+    waiting = [other]
+
+    def then(rows, target):
+        write(rows, target)
+        if waiting:
+            waiting.pop()()
+
+    monkeypatch.setattr(module_, "_write", then)
+
+
+@pytest.mark.parametrize("grace", [timedelta(0), timedelta(days=1)])
+def test_two_writers_on_different_ranges(spark, folder, monkeypatch, grace):
+    path = f"{folder}/t"
+    upsert(frame(spark, [(1, "a", T1), (15, "b", T1), (25, "c", T1)]), path, "id", keys_per_range=10)
+    second = frame(spark, [(16, "N", T2), (15, "B", T2)])
+    with monkeypatch.context() as patch:
+        interleaved(module, patch, lambda: upsert(second, path, "id", keys_per_range=10))
+        upsert(frame(spark, [(2, "n", T2), (99, "z", T2)]), path, "id", keys_per_range=10, grace=grace)
+    expected = [(1, "a", T1), (2, "n", T2), (15, "B", T2), (16, "N", T2), (25, "c", T1), (99, "z", T2)]
+    assert rows_of(read_keyed(spark, path)) == rows_of(frame(spark, expected))
+    assert read_manifest(spark, path)[0] == 3
+
+
+def test_two_writers_on_equal_ranges(spark, folder, monkeypatch):
+    path = f"{folder}/t"
+    upsert(frame(spark, [(1, "a", T1), (2, "b", T1)]), path, "id")
+    with monkeypatch.context() as patch:
+        interleaved(module, patch, lambda: upsert(frame(spark, [(2, "first", T2), (3, "c", T2)]), path, "id"))
+        upsert(frame(spark, [(1, "second", T2), (4, "d", T2)]), path, "id")
+    expected = [(1, "second", T2), (2, "first", T2), (3, "c", T2), (4, "d", T2)]
+    assert rows_of(read_keyed(spark, path)) == rows_of(frame(spark, expected))
+
+
+def test_two_first_loads(spark, folder, monkeypatch):
+    path = f"{folder}/t"
+    with monkeypatch.context() as patch:
+        interleaved(module, patch, lambda: upsert(frame(spark, [(2, "first", T1)]), path, "id"))
+        upsert(frame(spark, [(1, "second", T1)]), path, "id", known_unique=True)
+    assert rows_of(read_keyed(spark, path)) == rows_of(frame(spark, [(1, "second", T1), (2, "first", T1)]))
+
+
+def test_a_writer_that_adds_a_column_meanwhile(spark, folder, monkeypatch):
+    path = f"{folder}/t"
+    upsert(frame(spark, [(1, "a", T1), (15, "b", T1)]), path, "id", keys_per_range=10)
+    wider = frame(spark, [(15, "B", T2, 7)], f"{DDL}, extra int")
+    with monkeypatch.context() as patch:
+        interleaved(module, patch, lambda: upsert(wider, path, "id", keys_per_range=10))
+        upsert(frame(spark, [(1, "A", T2, 8)], f"{DDL}, extra int"), path, "id", keys_per_range=10)
+    expected = frame(spark, [(1, "A", T2, 8), (15, "B", T2, 7)], f"{DDL}, extra int")
+    assert rows_of(read_keyed(spark, path)) == rows_of(expected)
+
+
+def test_reading_a_manifest_runs_no_job(spark, folder):
+    path = f"{folder}/t"
+    upsert(frame(spark, [(1, "a", T1)]), path, "id")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("manifest", "reading")
+    assert read_manifest(spark, path)[0] == 1
+    assert len(tracker.getJobIdsForGroup("manifest")) == 0
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_taken_number_is_not_overwritten(spark, folder):
+    assert module.publish(spark, f"{folder}/t", 1, {0: "va"})
+    assert not module.publish(spark, f"{folder}/t", 1, {0: "vb"})
+    assert read_manifest(spark, f"{folder}/t") == (1, {0: "va"})

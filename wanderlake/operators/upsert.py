@@ -4,8 +4,12 @@ The table is partitioned by ranges of its integer key. A batch rewrites only the
 touches, into a folder of its own version; a manifest then names the folder of every range
 and is the last, single file written. Readers follow the newest manifest, so a run that was
 cut short anywhere leaves the table as it was, and its half-written folders are never read.
-Folders that neither the newest nor the previous manifest names are deleted. One writer at a
-time is assumed.
+
+Several writers may work on one table. A manifest is created only if there is none of its
+number; who comes second looks at what the first has changed. Where no range is touched by
+both, the second writer's ranges are added to the newer manifest; otherwise its batch is merged
+again. Folders that neither the newest nor the previous manifest names are deleted once they are
+older than a grace period, which has to be longer than any run.
 
 Serial keys grow with time, so a daily batch lands in few ranges. A change of columns
 rewrites every range. Running the same batch again gives the same table.
@@ -13,19 +17,23 @@ rewrites every range. Running the same batch again gives the same table.
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
-from collections.abc import Iterable
-from datetime import datetime
+from collections.abc import Callable, Iterable
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wanderlake.session import children, remove, scratch_dir
+from wanderlake.session import children, create_file, listing, read_bytes, remove, scratch_dir
 from wanderlake.sources.tables import stored_table
 
 RANGE = "key_range"
 VERSION = "version"
 NUMBER = "manifest"
+GRACE = timedelta(days=1)
+MOST_TRIES = 50
 KEYS_PER_RANGE = 1_000_000
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
@@ -36,17 +44,21 @@ class DuplicateKeys(ValueError):
     """An update batch holds a key more than once."""
 
 
+class TooManyConflicts(RuntimeError):
+    """Other writers changed the same ranges again and again."""
+
+
 def read_manifest(spark: SparkSession, path: str) -> tuple[int, Manifest]:
     """Number of the newest manifest and the version of each range; 0 before the first load.
 
-    It has one entry for each range of the table, whatever the number of rows.
+    It has one entry for each range of the table, whatever the number of rows. The newest one
+    is known from its name, so one small file is read and no job runs.
     """
-    listed = stored_table(spark, f"{path}/manifests")
-    if listed is None:
+    number = max((int(n.split("=")[1]) for n in children(spark, f"{path}/manifests") if n.startswith(f"{NUMBER}=")), default=0)
+    if not number:
         return 0, {}
-    number = listed.agg(F.max(NUMBER)).first()[0]
-    rows = listed.filter(F.col(NUMBER) == number).select(RANGE, VERSION).collect()
-    return number, {r[RANGE]: r[VERSION] for r in rows if r[VERSION] is not None}
+    entries = json.loads(read_bytes(spark, f"{path}/manifests/{NUMBER}={number}"))
+    return number, {entry[RANGE]: entry[VERSION] for entry in entries}
 
 
 def read_keyed(spark: SparkSession, path: str, ranges: DataFrame | None = None) -> DataFrame | None:
@@ -79,21 +91,22 @@ def watermark(target: DataFrame, column: str, default: str) -> datetime:
     return target.agg(F.coalesce(F.max(column), floor).alias("mark")).first()["mark"]
 
 
-def merged(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
+def merged(target: DataFrame, updates: DataFrame, key: str, match_null: bool = False) -> DataFrame:
     """Target rows whose key is not updated, plus all updates, in the updates' columns.
 
     Columns new in the updates are NULL in kept rows; columns the updates no longer have
     disappear. Rows with a NULL key never match: they stay out of the join, which would
-    gather them in one task, and are kept as they are.
+    gather them in one task, and are kept as they are. With ``match_null``, for tables with at
+    most one such row, NULL is a key like any other.
     """
-    keyed = target.filter(F.col(key).isNotNull())
-    kept = keyed.join(updates.select(key), key, "left_anti")
-    keyless = target.filter(F.col(key).isNull())
-    return (
-        kept.unionByName(keyless, allowMissingColumns=True)
-        .unionByName(updates, allowMissingColumns=True)
-        .select(*updates.columns)
-    )
+    if match_null:
+        keys = updates.select(F.col(key).alias("__key"))
+        kept = target.join(keys, F.col(key).eqNullSafe(F.col("__key")), "left_anti")
+    else:
+        keyed = target.filter(F.col(key).isNotNull())
+        kept = keyed.join(updates.select(key), key, "left_anti")
+        kept = kept.unionByName(target.filter(F.col(key).isNull()), allowMissingColumns=True)
+    return kept.unionByName(updates, allowMissingColumns=True).select(*updates.columns)
 
 
 def upsert(
@@ -102,6 +115,9 @@ def upsert(
     key: str,
     keys_per_range: int = KEYS_PER_RANGE,
     known_unique: bool = False,
+    match_null: bool = False,
+    grace: timedelta = GRACE,
+    choose: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Replace rows with a matching key and insert the others.
 
@@ -109,6 +125,9 @@ def upsert(
     key; without it a repeated key fails before anything is written. The batch is computed
     once, into the shared scratch folder, and deleted there after the commit; the merge reads
     it as a table of known size.
+
+    ``choose`` decides between stored and new rows of the batch's keys: it gets both together
+    and returns one row for each key. Without it the new row wins.
     """
     spark = updates.sparkSession
     number, entries = read_manifest(spark, path)
@@ -117,47 +136,81 @@ def upsert(
     if entries or not known_unique:
         staging = scratch_dir(spark, "upsert")
         ranged.write.parquet(staging)
-        ranged = spark.read.parquet(staging)
+        ranged = spark.read.schema(ranged.schema).parquet(staging)
     if not known_unique:
         _require_unique(ranged, key)
-    rows, kept = ranged, entries
+    for _ in range(MOST_TRIES):
+        affected, new = _rewrite(ranged, path, key, keys_per_range, entries, match_null, choose)
+        done, number, entries = _commit(spark, path, number, entries, affected, new)
+        if done:
+            break
+    else:
+        raise TooManyConflicts(path)
+    _forget(spark, path, number, set(entries.values()), grace)
+    if staging:
+        remove(spark, staging)
+
+
+def _rewrite(ranged: DataFrame, path: str, key: str, keys_per_range: int, entries: Manifest, match_null: bool, choose) -> tuple[Manifest, Manifest]:
+    """Write the ranges of a batch anew: the entries that were read for it, and the new ones."""
+    spark, rows, affected = ranged.sparkSession, ranged, {}
     if entries:
         affected = entries
-        if _same_columns(_read(spark, path, entries), updates):
+        if _same_columns(_read(spark, path, entries), ranged.drop(RANGE)):
             # Ranges of the batch are no more than the table has afterwards.
             touched = {r[RANGE] for r in ranged.select(RANGE).distinct().collect()}
             affected = {r: v for r, v in entries.items() if r in touched}
-        kept = {r: v for r, v in entries.items() if r not in affected}
         stored = _read(spark, path, affected)
         if stored is not None:
             target = stored.withColumn(RANGE, range_of(F.col(key), keys_per_range))
-            rows = merged(target, ranged, key)
+            if choose:
+                keys = ranged.select(F.col(key).alias("__key"))
+                match = F.col(key).eqNullSafe(F.col("__key")) if match_null else F.col(key) == F.col("__key")
+                rivals = target.join(keys, match, "left_semi")
+                ranged = choose(rivals.unionByName(ranged, allowMissingColumns=True)).select(*ranged.columns)
+            rows = merged(target, ranged, key, match_null)
     version = f"v{uuid.uuid4().hex}"
     _write(rows, f"{path}/data/{VERSION}={version}")
     written = stored_table(spark, f"{path}/data/{VERSION}={version}")
     new = [] if written is None else [r[RANGE] for r in written.select(F.col(RANGE).cast("bigint")).distinct().collect()]
-    publish(spark, path, number + 1, {**kept, **dict.fromkeys(new, version)})
-    _forget(spark, path, number, {version, *entries.values()})
-    if staging:
-        remove(spark, staging)
-
+    return affected, dict.fromkeys(new, version)
 
-def publish(spark: SparkSession, path: str, number: int, entries: Manifest) -> None:
-    """Write a manifest: one file, which appears whole or not at all."""
-    # The first row stands for the manifest itself, so one without ranges can be seen as well.
-    rows = [(None, None), *entries.items()]
-    listed = spark.createDataFrame(rows, f"{RANGE} bigint, {VERSION} string").coalesce(1)
-    listed.write.mode("overwrite").parquet(f"{path}/manifests/{NUMBER}={number}")
 
+def _commit(spark: SparkSession, path: str, number: int, entries: Manifest, affected: Manifest, new: Manifest) -> tuple[bool, int, Manifest]:
+    """Publish the new ranges over the newest manifest; False if a range of theirs was changed meanwhile.
 
-def _forget(spark: SparkSession, path: str, previous: int, versions: Iterable[str]) -> None:
-    """Delete what neither the newest manifest nor the one before it names."""
+    Returns the newest manifest's number and the entries that readers may still follow.
+    """
+    ours = affected.keys() | new.keys()
+    for _ in range(MOST_TRIES):
+        after = {**{r: v for r, v in entries.items() if r not in affected}, **new}
+        if publish(spark, path, number + 1, after):
+            return True, number, {f"previous {r}": v for r, v in entries.items()} | {f"new {r}": v for r, v in after.items()}
+        before, (number, entries) = entries, read_manifest(spark, path)
+        changed = {r for r in before.keys() | entries.keys() if before.get(r) != entries.get(r)}
+        # A change of columns rewrites all ranges, so it is one of these, too.
+        if changed & ours:
+            return False, number, entries
+    raise TooManyConflicts(path)
+
+
+def publish(spark: SparkSession, path: str, number: int, entries: Manifest) -> bool:
+    """Write a manifest: one file, which appears whole or not at all; False if the number is taken."""
+    rows = [{RANGE: r, VERSION: v} for r, v in entries.items()]
+    return create_file(spark, f"{path}/manifests/{NUMBER}={number}", json.dumps(rows).encode())
+
+
+def _forget(spark: SparkSession, path: str, previous: int, versions: Iterable[str], grace: timedelta) -> None:
+    """Delete what neither the newest manifest nor the one before it names, past the grace period."""
+    until = time.time() - grace.total_seconds()
     named = {f"{VERSION}={v}" for v in versions}
-    for name in children(spark, f"{path}/data"):
-        if name.startswith(f"{VERSION}=") and name not in named:
+    number, newest = read_manifest(spark, path)
+    named |= {f"{VERSION}={v}" for v in newest.values()}
+    for name, changed in listing(spark, f"{path}/data"):
+        if name.startswith(f"{VERSION}=") and name not in named and changed <= until:
             remove(spark, f"{path}/data/{name}")
-    for name in children(spark, f"{path}/manifests"):
-        if name.startswith(f"{NUMBER}=") and int(name.split("=")[1]) < previous:
+    for name, changed in listing(spark, f"{path}/manifests"):
+        if name.startswith(f"{NUMBER}=") and int(name.split("=")[1]) < min(previous, number) and changed <= until:
             remove(spark, f"{path}/manifests/{name}")
 
 

@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Applied by build_session; a cluster's own spark-defaults win for anything not listed here.
@@ -54,7 +55,52 @@ def remove(spark: SparkSession, path: str) -> None:
 
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder; none if it does not exist."""
+    return [name for name, _ in listing(spark, path)]
+
+
+def listing(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """Names in a folder and when each was last changed, in seconds; none if it does not exist."""
     context = spark.sparkContext
     target = context._jvm.org.apache.hadoop.fs.Path(path)
     files = target.getFileSystem(context._jsc.hadoopConfiguration())
-    return [status.getPath().getName() for status in files.listStatus(target)] if files.exists(target) else []
+    found = files.listStatus(target) if files.exists(target) else []
+    return [(status.getPath().getName(), status.getModificationTime() / 1000) for status in found]
+
+
+def read_bytes(spark: SparkSession, path: str) -> bytes:
+    """A small file of any store that Spark reads."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(context._jsc.hadoopConfiguration()).open(target)
+    try:
+        return bytes(context._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    finally:
+        stream.close()
+
+
+def create_file(spark: SparkSession, path: str, content: bytes) -> bool:
+    """Write a small file unless there is one of that name; False says that there was.
+
+    It is written under another name first, so it appears whole. The renaming fails where the
+    name is taken; HDFS does both in one step.
+    """
+    context = spark.sparkContext
+    jvm, conf = context._jvm, context._jsc.hadoopConfiguration()
+    folder, _, name = path.rpartition("/")
+    waiting, target = (jvm.org.apache.hadoop.fs.Path(f"{folder}/{n}") for n in (f"_{name}-{uuid.uuid4().hex}", name))
+    files = target.getFileSystem(conf)
+    out = files.create(waiting)
+    try:
+        out.write(content)
+    finally:
+        out.close()
+    options = context._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    store = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), conf)
+    try:
+        store.rename(files.makeQualified(waiting), files.makeQualified(target), options)
+    except Py4JJavaError as error:
+        files.delete(waiting, False)
+        if "FileAlreadyExistsException" in error.java_exception.getClass().getName() or files.exists(target):
+            return False
+        raise
+    return True

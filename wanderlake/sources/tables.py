@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wanderlake.functions.text import upper_names
+from wanderlake.session import children
 
 LOAD = "load_id"
 
@@ -68,6 +69,19 @@ def read_loads(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path).drop(LOAD)
 
 
+def loads_after(spark: SparkSession, path: str, load_id: str = "") -> tuple[DataFrame | None, str]:
+    """The loads that came after one, and the newest load's id; only their folders are listed and read.
+
+    Load ids are compared as text, as the extracts' times sort.
+    """
+    ids = sorted(n.split("=", 1)[1] for n in children(spark, path) if n.startswith(f"{LOAD}="))
+    new = [i for i in ids if i > load_id]
+    if not new:
+        return None, load_id
+    read = spark.read.option("mergeSchema", True).option("basePath", path)
+    return read.parquet(*(f"{path}/{LOAD}={i}" for i in new)).drop(LOAD), new[-1]
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per table with its row count, by table name."""
     counted = None
