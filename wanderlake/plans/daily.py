@@ -9,7 +9,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from wanderlake import schemas
-from wanderlake.plans import bronze, monitor, quality, reconcile, star
+from wanderlake.plans import bronze, latest_store, monitor, quality, reconcile, star
 from wanderlake.sources.broker_files import load_newest_drop
 from wanderlake.sources.extract import run_extract
 from wanderlake.sources.tables import create_if_missing, read_loads, write_table
@@ -108,7 +108,11 @@ def _clean(spark: SparkSession, landing: str, root: str, as_of: datetime, archiv
 
 
 def _gold(spark: SparkSession, root: str, as_of: datetime) -> str:
-    star.build_star(read_bronze(spark, root), f"{root}/gold", as_of)
+    """Only brokers are read whole; of the other tables, the loads since the last run."""
+    path = f"{root}/bronze/raw_broker_commissions"
+    bronze_tables = {"raw_broker_commissions": lower_names(read_loads(spark, path))}
+    loads = {name: f"{root}/bronze/{name}" for name in latest_store.KEYS}
+    star.build_star(bronze_tables, f"{root}/gold", as_of, loads)
     return ""
 
 

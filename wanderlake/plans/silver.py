@@ -36,9 +36,12 @@ def changed_since(raw: DataFrame, created_after: datetime | None) -> DataFrame:
 
 
 def _newest(raw: DataFrame, key: str, created_after: datetime | None) -> DataFrame:
+    return latest_rows(changed_since(raw, created_after), key)
+
+
+def latest_rows(raw: DataFrame, key: str) -> DataFrame:
     """Latest row per key by creation time, unknown times first."""
-    changed = changed_since(raw, created_after)
-    return latest_per_key(changed, [key], ["created_at"], unknown_first=True)
+    return latest_per_key(raw, [key], ["created_at"], unknown_first=True)
 
 
 def after(df: DataFrame, created_after: datetime | None) -> DataFrame:
@@ -49,7 +52,11 @@ def after(df: DataFrame, created_after: datetime | None) -> DataFrame:
 
 
 def customers(raw: DataFrame) -> DataFrame:
-    latest = _newest(raw, "customer_id", None)
+    return standard_customers(_newest(raw, "customer_id", None))
+
+
+def standard_customers(latest: DataFrame) -> DataFrame:
+    """SILVER form of the latest rows of RAW customers."""
     country = F.col("country_of_residence")
     return latest.select(
         "customer_id",
@@ -60,7 +67,7 @@ def customers(raw: DataFrame) -> DataFrame:
         F.trim(country).alias("country_of_residence"),
         mapped(tidy_upper(country), ISO_CODE_BY_COUNTRY, UNKNOWN_ISO_CODE).alias("country_iso_code"),
         F.trim("phone").alias("phone"),
-        timestamp_of(raw, "created_at").alias("created_at"),
+        timestamp_of(latest, "created_at").alias("created_at"),
         full_name(F.col("first_name"), F.col("last_name")).alias("full_name"),
     )
 
@@ -72,10 +79,14 @@ def policies(raw: DataFrame, created_after: datetime | None = None) -> DataFrame
     unknown status and no premium it is neither true nor false, and the row goes too.
     Columns that the source has got since pass through as they are.
     """
-    latest = _newest(raw, "policy_id", created_after)
+    return after(standard_policies(_newest(raw, "policy_id", created_after)), created_after)
+
+
+def standard_policies(latest: DataFrame) -> DataFrame:
+    """SILVER form of the latest rows of RAW policies."""
     status = tidy_lower(F.col("status"))
     kept = latest.filter(~((status == "cancelled") & F.col("premium_amount").isNull()))
-    return after(
+    return (
         kept.select(
             "policy_id",
             "customer_id",
@@ -87,21 +98,24 @@ def policies(raw: DataFrame, created_after: datetime | None = None) -> DataFrame
             decimal_or_null(F.col("premium_amount"), 10, 2).alias("premium_amount"),
             status.alias("policy_status"),
             "broker_id",
-            timestamp_of(raw, "created_at").alias("created_at"),
+            timestamp_of(latest, "created_at").alias("created_at"),
             days_between(F.col("trip_start_date"), F.col("trip_end_date")).alias(
                 "trip_duration_days"
             ),
-            *(c for c in raw.columns if c not in schemas.POLICIES),
-        ),
-        created_after,
+            *(F.col(f"`{c}`") for c in latest.columns if c not in schemas.POLICIES),
+        )
     )
 
 
 def claims(raw: DataFrame, created_after: datetime | None = None) -> DataFrame:
-    latest = _newest(raw, "claim_id", created_after)
+    return after(standard_claims(_newest(raw, "claim_id", created_after)), created_after)
+
+
+def standard_claims(latest: DataFrame) -> DataFrame:
+    """SILVER form of the latest rows of RAW claims."""
     status = tidy_lower(F.col("status"))
-    processed = timestamp_of(raw, "processed_at")
-    return after(
+    processed = timestamp_of(latest, "processed_at")
+    return (
         latest.select(
             "claim_id",
             "policy_id",
@@ -111,13 +125,12 @@ def claims(raw: DataFrame, created_after: datetime | None = None) -> DataFrame:
             status.alias("claim_status"),
             "description",
             processed.alias("processed_at"),
-            timestamp_of(raw, "created_at").alias("created_at"),
+            timestamp_of(latest, "created_at").alias("created_at"),
             days_to_process(F.col("claim_date"), F.col("processed_at"), processed).alias(
                 "days_to_process"
             ),
             F.coalesce(status == "approved", F.lit(False)).alias("is_approved"),
-        ),
-        created_after,
+        )
     )
 
 

@@ -12,7 +12,7 @@ from wanderlake import schemas
 from wanderlake.fixed_values import WATERMARK_DEFAULT
 from wanderlake.operators.lookup import NO_HOT_KEYS, small_enough
 from wanderlake.operators.upsert import range_of, read_keyed, upsert, watermark
-from wanderlake.plans import gold, silver
+from wanderlake.plans import gold, latest_store, silver
 from wanderlake.session import remove, scratch_dir
 from wanderlake.sources.extract import load_state, save_state
 
@@ -41,13 +41,18 @@ def read_gold(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def build_dimensions(
-    bronze: Mapping[str, DataFrame], root: str, as_of: datetime, policies: DataFrame | None = None
+    bronze: Mapping[str, DataFrame],
+    root: str,
+    as_of: datetime,
+    policies: DataFrame | None = None,
+    customers: DataFrame | None = None,
 ) -> None:
-    """Rebuild every dimension from BRONZE; ``policies`` are the SILVER ones, if already there."""
+    """Rebuild every dimension; ``policies`` and ``customers`` are the SILVER ones, if already there."""
     policies = silver.policies(bronze["raw_policies"]) if policies is None else policies
-    spark = bronze["raw_customers"].sparkSession
+    customers = silver.customers(bronze["raw_customers"]) if customers is None else customers
+    spark = policies.sparkSession
     tables = {
-        "dim_customers": gold.dim_customers(silver.customers(bronze["raw_customers"]), as_of),
+        "dim_customers": gold.dim_customers(customers, as_of),
         "dim_destinations": gold.dim_destinations(policies),
         "dim_brokers": gold.dim_brokers(silver.brokers(bronze["raw_broker_commissions"])),
         "dim_date": gold.dim_date(spark),
@@ -88,10 +93,16 @@ def update_policies(
     _update(raw_policies, standardise, resolve, root, "fact_policies", "policy_id", lookback)
 
 
-def update_claims(raw_claims: DataFrame, root: str, lookback: timedelta = timedelta(0)) -> None:
+def update_claims(
+    raw_claims: DataFrame,
+    root: str,
+    lookback: timedelta = timedelta(0),
+    claims: DataFrame | None = None,
+) -> None:
     """Upsert the claims created after the newest one already in the fact.
 
     A claim that comes before its policy keeps NULL keys until the claim itself is sent again.
+    ``claims`` are the stored SILVER claims, if there are any.
     """
     spark = raw_claims.sparkSession
     policies = read_gold_table(spark, root, "fact_policies")
@@ -106,7 +117,10 @@ def update_claims(raw_claims: DataFrame, root: str, lookback: timedelta = timede
         hot = NO_HOT_KEYS if small or few else gold.claim_hot_keys(keys)
         return gold.fact_claims(batch, parents, hot, small, few)
 
-    _update(raw_claims, silver.claims, resolve, root, "fact_claims", "claim_id", lookback)
+    def standardise(raw: DataFrame, since: datetime | None) -> DataFrame:
+        return silver.claims(raw, since) if claims is None else silver.after(claims, since)
+
+    _update(raw_claims, standardise, resolve, root, "fact_claims", "claim_id", lookback)
 
 
 def _update(
@@ -154,12 +168,32 @@ def _newest(spark: SparkSession, path: str, marks: str, name: str) -> datetime |
     return noted or watermark(stored, "created_at", WATERMARK_DEFAULT)
 
 
-def build_star(bronze: Mapping[str, DataFrame], root: str, as_of: datetime) -> None:
+def build_star(
+    bronze: Mapping[str, DataFrame],
+    root: str,
+    as_of: datetime,
+    loads: Mapping[str, str] | None = None,
+) -> None:
     """One GOLD run: dimensions in full, facts as far as they are new.
 
-    SILVER policies are stored once; the destinations and the fact both read them.
+    ``loads`` names the folders of loads of customers, policies and claims. Then their latest
+    rows are stored (``latest_store``), a run reads only the loads that came since the last
+    one, and everything else reads the stored rows. Without it SILVER policies are made from all
+    RAW rows and stored once for this run; the destinations and the fact both read them.
     """
-    spark = bronze["raw_policies"].sparkSession
+    spark = bronze["raw_broker_commissions"].sparkSession
+    if loads:
+        for name in latest_store.KEYS:
+            latest_store.refresh(spark, loads[name], root, name)
+        raw = {name: latest_store.latest(spark, root, name) for name in latest_store.KEYS}
+        missing = [name for name, rows in raw.items() if rows is None]
+        if missing:
+            raise ValueError(f"no loads of {', '.join(missing)}")
+        ready = {name: latest_store.STANDARD[name](rows) for name, rows in raw.items()}
+        build_dimensions(bronze, root, as_of, ready["raw_policies"], ready["raw_customers"])
+        update_policies(raw["raw_policies"], root, policies=ready["raw_policies"])
+        update_claims(raw["raw_claims"], root, claims=ready["raw_claims"])
+        return
     staging = scratch_dir(spark, "silver-policies")
     silver.policies(bronze["raw_policies"]).write.parquet(staging)
     policies = spark.read.parquet(staging)

@@ -743,6 +743,9 @@ ORACLE: dict[str, str] = {
     "stg_customers": _all("stg_customers"),
     "stg_policies": _all("stg_policies"),
     "stg_claims": _all("stg_claims"),
+    "silver_customers_incremental": _all("stg_customers"),
+    "silver_policies_incremental": _all("stg_policies"),
+    "silver_claims_incremental": _all("stg_claims"),
     "stg_brokers": _all("stg_brokers"),
     "stg_flights": _all("stg_flights"),
     "stg_flight_stats": _with(
