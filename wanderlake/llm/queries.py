@@ -46,20 +46,19 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The old layout has one shard for each hash of the source; its bytes are levelled over 24 shards."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    old = F.pmod(F.crc32(F.coalesce("source", F.lit("")).cast("binary")), F.lit(SHARDS)).cast("int")
-    assigned = sharding.reshard(docs, old, SHARDS).drop("source")
-    folder = scratch_dir(spark, "shards")
-    sharding.write_shards(assigned, folder, only_rewritten=False)
-    rows = sharding.read_shards(spark, folder, ["doc_id", "text"])
-    return rows.select(
+    """The old layout has a shard for each hash of the text; its bytes are levelled over as many shards."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    old = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(SHARDS))
+    layout = sharding.lay_out(docs, old, scratch_dir(spark, "shards"), SHARDS)
+    plan = sharding.plan_transfers(layout, SHARDS)
+    sharding.rewrite(spark, layout, plan)
+    return sharding.read_shards(spark, layout, plan).select(
         "doc_id",
         sharding.text_bytes().alias("size"),
         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
         F.lit("bytes").alias("law"),
-        F.col("shard").cast("int"),
-        F.col("slot").cast("long"),
+        F.col("_wl_shard").alias("shard"),
+        F.col("_wl_slot").cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
 

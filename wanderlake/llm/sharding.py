@@ -2,21 +2,30 @@
 
 Old shards have sizes, new shards have capacities. A flow from old to new that ships every
 byte at least cost, where staying is free and moving costs one a byte, says how many bytes
-each old shard hands to which new one. Every old shard is laid out in a fixed order, large
-documents first, and cut into consecutive blocks of those sizes; what stays comes first. Cuts
-fall between documents, mostly small ones, so a shard misses its capacity by less than one
-such document for each cut.
+each old shard hands to which new one. Every old shard is laid out in a fixed order and cut
+into consecutive blocks of those sizes; what stays comes first. Only shards that hand rows away
+are written anew; the others keep their files, and get files of the rows that come to them.
+
+Equal texts stand side by side, and a cut falls before or after all of them. Groups of equal
+texts with a large share of the bytes or rows come first, where the part that stays is; when a
+cut still falls inside one, it is split, as equal sizes come before whole groups. Large documents
+come next and small ones last, so a shard misses its capacity by few bytes.
 """
 
 from __future__ import annotations
 
 from collections import deque
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 ROWS_OF_A_BLOCK = 8_192
+BYTES_OF_A_BLOCK = 32 << 20
+PARTS_OF_A_SHARD = 64  # a group of a larger share of a shard may be split
+MOST_GROUPS = 100_000
 OVERHEAD = 8
 
 
@@ -83,77 +92,145 @@ def min_cost_flow(sizes: dict[int, int], capacities: list[int]) -> dict[tuple[in
     return out
 
 
-def reshard(docs: DataFrame, old_shard: Column, shards: int, text: str = "text", doc_id: str = "doc_id", capacities: list[int] | None = None) -> DataFrame:
-    """Add ``old_shard``, ``shard``, ``moved``, ``rewritten`` and the place ``block``, ``row`` to every row.
+@dataclass(frozen=True)
+class Layout:
+    """Shards as written: where, the columns of the documents, and rows and bytes of each old shard."""
 
-    ``shard`` comes from the flow between the old shards' bytes and the capacities (equal ones
-    if none are given). ``moved`` rows change their shard; ``rewritten`` rows are those and the
-    ones that stay in a shard that hands rows away, whose file has to be written anew. Rows of
-    ``(old_shard, block)`` stand in one task, at most about ``ROWS_OF_A_BLOCK`` of them, and
-    ``row`` counts them from 1. A null text has no bytes, a null id sorts first; repeated rows
-    are rows of their own, so equal texts may go to different shards. An empty table gives an
-    empty one. Columns with the added names are replaced.
+    folder: str
+    columns: list[str]
+    schema: StructType
+    old: dict[int, tuple[int, int]]
+
+
+@dataclass(frozen=True)
+class Plan:
+    """Block transfers: for each old shard its ends of blocks in bytes, with the new shard of each."""
+
+    shards: int
+    cuts: dict[int, list[tuple[int, int]]]
+
+    @property
+    def rewritten(self) -> list[int]:
+        """Old shards that hand rows away."""
+        return sorted(i for i, own in self.cuts.items() if any(j != i for _, j in own))
+
+    @property
+    def moved_bytes(self) -> int:
+        return sum(end - start for i, own in self.cuts.items() for start, (end, j) in zip([0, *(e for e, _ in own)], own) if j != i)
+
+
+def lay_out(docs: DataFrame, old_shard: Column, folder: str, shards: int, text: str = "text", doc_id: str = "doc_id") -> Layout:
+    """Write documents as shards (``old_shard``, a whole number), each in its fixed order.
+
+    ``shards`` is how many there will be; it sets which groups of equal texts count as large.
+    Tasks hold blocks of about ``ROWS_OF_A_BLOCK`` rows and ``BYTES_OF_A_BLOCK`` bytes at most, or
+    one group of equal texts; a larger group is dealt over blocks by its ids. A null text has no
+    bytes and goes with the empty ones, a null id sorts first, repeated rows are rows of their
+    own, a null shard is shard 0, and an empty table gives empty shards.
     """
-    added = ("old_shard", "shard", "moved", "rewritten", "block", "row")
-    sized = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in added), old_shard.alias("old_shard"))
-    sized = sized.withColumns({"_wl_size": text_bytes(text), "_wl_crc": F.crc32(F.coalesce(text, F.lit("")).cast("binary"))})
-    sized = sized.withColumn("_wl_hash", F.xxhash64(doc_id, "_wl_crc"))
-    sized = sized.withColumn("_wl_class", (63 - F.floor(F.log2("_wl_size"))).cast("int"))  # large documents first
-    totals = sized.groupBy("old_shard", "_wl_class").agg(F.sum("_wl_size"), F.count(F.lit(1))).collect()
-    sizes: dict[int, int] = {}
-    layout, blocks_of = {}, {}  # by shard and class: first block and number of blocks
-    for i, kind, n_bytes, n in sorted(map(tuple, totals)):
-        sizes[i] = sizes.get(i, 0) + n_bytes
-        layout[i, kind] = blocks_of.get(i, 0), -(-n // ROWS_OF_A_BLOCK)
-        blocks_of[i] = sum(layout[i, kind])
+    spark = docs.sparkSession
+    text_of = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    rows = docs.select(
+        *(F.col(f"`{c}`") for c in docs.columns),
+        F.coalesce(old_shard.cast("int"), F.lit(0)).alias("_wl_old"),
+        text_bytes(f"`{text}`").alias("_wl_size"),
+        F.xxhash64(text_of).alias("_wl_text"),
+        F.xxhash64(f"`{doc_id}`").alias("_wl_id"),
+    )
+    groups = rows.groupBy("_wl_old", "_wl_text").agg(F.sum("_wl_size").alias("size"), F.count(F.lit(1)).alias("n"))
+    total = rows.agg(F.coalesce(F.sum("_wl_size"), F.lit(0)), F.count(F.lit(1))).first()
+    # At most PARTS_OF_A_SHARD * shards groups by bytes and MOST_GROUPS by rows.
+    many = max(ROWS_OF_A_BLOCK, total[1] // MOST_GROUPS)
+    large = groups.filter((F.col("n") > 1) & ((F.col("size") * PARTS_OF_A_SHARD * shards > total[0]) | (F.col("n") > many))).collect()
+    large.sort(key=lambda r: (-r["size"], r["_wl_old"], r["_wl_text"]))
+    kinds = spark.createDataFrame([(r["_wl_old"], r["_wl_text"], n - len(large)) for n, r in enumerate(large)], "_wl_old int, _wl_text long, _wl_large int")
+    rows = rows.join(F.broadcast(kinds), ["_wl_old", "_wl_text"], "left")
+    rows = rows.withColumn("_wl_kind", F.coalesce("_wl_large", (63 - F.floor(F.log2("_wl_size"))).cast("int")))
+    totals = rows.groupBy("_wl_old", "_wl_kind").agg(F.sum("_wl_size").alias("size"), F.count(F.lit(1)).alias("n")).collect()
+    old: dict[int, tuple[int, int]] = {}
+    spans, blocks_of = [], {}
+    for r in sorted(totals):
+        i, n_rows, n_bytes = r["_wl_old"], *old.get(r["_wl_old"], (0, 0))
+        old[i] = n_rows + r["n"], n_bytes + r["size"]
+        blocks = max(-(-r["n"] // ROWS_OF_A_BLOCK), -(-r["size"] // BYTES_OF_A_BLOCK))
+        spans.append((i, r["_wl_kind"], blocks_of.get(i, 0), blocks))
+        blocks_of[i] = blocks_of.get(i, 0) + blocks
+    rows = rows.join(F.broadcast(spark.createDataFrame(spans, "_wl_old int, _wl_kind int, _wl_base int, _wl_blocks int")), ["_wl_old", "_wl_kind"])
+    place = F.when(F.col("_wl_large").isNull(), F.col("_wl_text")).otherwise(F.col("_wl_id")) / F.lit(2.0**64) + 0.5
+    inner = F.least(F.floor(place * F.col("_wl_blocks")), F.col("_wl_blocks") - 1)
+    rows = rows.withColumn("_wl_block", (F.col("_wl_base") + inner).cast("int"))
+    starts = rows.groupBy("_wl_old", "_wl_block").agg(F.sum("_wl_size").alias("size"), F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("_wl_old").orderBy("_wl_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = starts.select("_wl_old", "_wl_block", *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_wl_first_{c}") for c in ("size", "n")))
+    order = Window.partitionBy("_wl_old", "_wl_block").orderBy("_wl_text", f"`{doc_id}`", "_wl_id")
+    until = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.join(starts, ["_wl_old", "_wl_block"]).withColumns(
+        {
+            "_wl_at": F.col("_wl_first_size") + F.sum("_wl_size").over(until) - F.col("_wl_size"),
+            "_wl_slot": F.col("_wl_first_n") + F.row_number().over(order) - 1,
+        }
+    )
+    group = Window.partitionBy("_wl_old", "_wl_block", "_wl_text")
+    cut_at = F.when(F.col("_wl_large").isNull(), F.min("_wl_at").over(group)).otherwise(F.col("_wl_at"))
+    kept = [*docs.columns, "_wl_slot", "_wl_at"]
+    rows = rows.withColumn("_wl_at", cut_at).select(*(F.col(f"`{c}`") for c in kept), "_wl_old")
+    rows.write.partitionBy("_wl_old").parquet(f"{folder}/old")
+    return Layout(folder, docs.columns, rows.schema, old)
+
+
+def plan_transfers(layout: Layout, shards: int, capacities: list[int] | None = None) -> Plan:
+    """Cuts of the old shards by the cheapest flow into capacities (equal ones if none are given)."""
+    sizes = {i: size for i, (_, size) in layout.old.items()}
     flows = min_cost_flow(sizes, capacities or even_capacities(sum(sizes.values()), shards))
     cuts: dict[int, list[tuple[int, int]]] = {}
     for (i, j), amount in sorted(flows.items(), key=lambda f: (f[0][0], f[0][0] != f[0][1], f[0][1])):
-        start = cuts.setdefault(i, [])
-        start.append(((start[-1][0] if start else 0) + amount, j))
-    if not cuts:
-        return sized.drop("_wl_size", "_wl_crc", "_wl_hash", "_wl_class").withColumns({"shard": F.lit(0), "moved": F.lit(False), "rewritten": F.lit(False), "block": F.lit(0), "row": F.lit(0)})
-
-    def by_shard(values: dict[int, Column]) -> Column:
-        return F.create_map(*[x for i, v in values.items() for x in (F.lit(i), v)])[F.col("old_shard")]
-
-    spans = F.create_map(*[x for (i, kind), (base, n) in layout.items() for x in (F.lit(i * 64 + kind), F.struct(F.lit(base).alias("base"), F.lit(n).alias("n")))])
-    span = spans[F.col("old_shard") * 64 + F.col("_wl_class")]
-    inner = F.least(F.floor((F.col("_wl_hash") / F.lit(2.0**64) + 0.5) * span["n"]), span["n"] - 1)
-    sized = sized.withColumn("block", (span["base"] + inner).cast("int"))
-    starts = sized.groupBy("old_shard", "block").agg(F.sum("_wl_size").alias("own"))
-    before = F.sum("own").over(Window.partitionBy("old_shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
-    starts = starts.select("old_shard", "block", F.coalesce(before, F.lit(0)).alias("_wl_start"))
-    order = Window.partitionBy("old_shard", "block").orderBy("_wl_hash", doc_id, "_wl_crc", "_wl_size")
-    inside = F.sum("_wl_size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_wl_size")
-    laid = sized.join(starts, ["old_shard", "block"]).withColumns({"_wl_at": F.col("_wl_start") + inside, "row": F.row_number().over(order)})
-    until = by_shard({i: F.array(*[F.struct(F.lit(end).cast("long").alias("until"), F.lit(j).alias("shard")) for end, j in own]) for i, own in cuts.items()})
-    laid = laid.withColumn("shard", F.filter(until, lambda cut: F.col("_wl_at") < cut["until"])[0]["shard"])
-    losing = F.col("old_shard").isin(sorted({i for i, j in flows if i != j})) if any(i != j for i, j in flows) else F.lit(False)
-    moved = F.col("shard") != F.col("old_shard")
-    return laid.withColumns({"moved": moved, "rewritten": moved | losing}).drop("_wl_size", "_wl_crc", "_wl_hash", "_wl_class", "_wl_start", "_wl_at")
-
-
-def write_shards(assigned: DataFrame, folder: str, only_rewritten: bool = True) -> None:
-    """Write one folder of files for each shard (``shard=N``).
-
-    With ``only_rewritten`` just the rows that ``reshard`` marks are written: the rest stands
-    in files that need no change. Without it every row is written, for data that had no files
-    of the old layout yet.
+        own = cuts.setdefault(i, [])
+        own.append(((own[-1][0] if own else 0) + amount, j))
+    return Plan(shards, cuts)
+
+
+def _old_rows(spark: SparkSession, layout: Layout) -> DataFrame:
+    return spark.read.schema(layout.schema).parquet(f"{layout.folder}/old")
+
+
+def rewrite(spark: SparkSession, layout: Layout, plan: Plan) -> None:
+    """Write the files that the transfers change: all rows of the shards that hand some away.
+
+    Rows that move go to files of their new shard, rows that stay to a new file of theirs. No
+    row crosses a shuffle: its place in the old order says where it goes.
     """
-    rows = assigned.filter("rewritten") if only_rewritten else assigned
-    rows.write.partitionBy("shard").parquet(folder)
+    if not plan.rewritten:
+        return
+    rows = _old_rows(spark, layout).filter(F.col("_wl_old").isin(plan.rewritten))
+    ends = [(i, [{"until": end, "shard": j} for end, j in plan.cuts[i]]) for i in plan.rewritten]
+    blocks = spark.createDataFrame(ends, "_wl_old int, _wl_ends array<struct<until:long,shard:int>>")  # one entry a transfer
+    rows = rows.join(F.broadcast(blocks), "_wl_old")
+    to = F.filter("_wl_ends", lambda e: F.col("_wl_at") < e["until"])[0]["shard"]
+    rows.withColumn("_wl_new", to).drop("_wl_ends", "_wl_at").withColumnRenamed("_wl_old", "_wl_from").write.partitionBy("_wl_new").parquet(f"{layout.folder}/new")
 
 
-def read_shards(spark, folder: str, columns: list[str]) -> DataFrame:
-    """Rows of a written layout with their ``slot``, gapless from 0 in every shard.
+def read_shards(spark: SparkSession, layout: Layout, plan: Plan) -> DataFrame:
+    """The documents' columns with ``_wl_shard`` and ``_wl_slot``, gapless from 0 in every shard.
 
-    A slot is the row's place in its block plus all rows of the shard's earlier blocks; only
-    the blocks' counts are summed up, rows are not sorted again.
+    Shards that hand nothing away are read from their old files, all else from the new ones.
+    What stays keeps its slot; rows that come take the slots after, old shard by old shard.
     """
-    rows = spark.read.parquet(folder).select(*columns, "shard", "old_shard", "block", "row")
-    place = ["shard", "old_shard", "block"]
-    counts = rows.groupBy(*place).agg(F.min("row").alias("low"), F.count(F.lit(1)).alias("own"))
-    before = F.sum("own").over(Window.partitionBy("shard").orderBy("old_shard", "block").rowsBetween(Window.unboundedPreceding, -1))
-    counts = counts.select(*place, (F.coalesce(before, F.lit(0)) - F.col("low")).alias("shift"))
-    return rows.join(counts, place).withColumn("slot", F.col("row") + F.col("shift")).select(*columns, "shard", "slot")
+    columns = [F.col(f"`{c}`") for c in layout.columns]
+    old = _old_rows(spark, layout)
+    if not plan.rewritten:
+        return old.select(*columns, F.col("_wl_old").alias("_wl_shard"), "_wl_slot")
+    untouched = old.filter(~F.col("_wl_old").isin(plan.rewritten)).select(*columns, F.col("_wl_old").alias("_wl_shard"), "_wl_slot")
+    new = spark.read.parquet(f"{layout.folder}/new").withColumn("_wl_new", F.col("_wl_new").cast("int"))
+    # Rows that go from one shard to another stand side by side; one row for each transfer.
+    counts = new.groupBy("_wl_new", "_wl_from").agg(F.min("_wl_slot").alias("first"), F.count(F.lit(1)).alias("n")).collect()
+    next_ = {i: rows for i, (rows, _) in layout.old.items() if i not in plan.rewritten}
+    next_ |= {r["_wl_new"]: r["n"] for r in counts if r["_wl_new"] == r["_wl_from"]}
+    shifts = []
+    for r in sorted(counts):
+        i, j = r["_wl_from"], r["_wl_new"]
+        shift = 0 if i == j else next_.get(j, 0) - r["first"]
+        shifts.append((j, i, shift))
+        if i != j:
+            next_[j] = next_.get(j, 0) + r["n"]
+    moved = new.join(F.broadcast(spark.createDataFrame(shifts, "_wl_new int, _wl_from int, _wl_shift long")), ["_wl_new", "_wl_from"])
+    return untouched.unionByName(moved.select(*columns, F.col("_wl_new").alias("_wl_shard"), (F.col("_wl_slot") + F.col("_wl_shift")).alias("_wl_slot")))
