@@ -240,3 +240,87 @@ def test_a_taken_number_is_not_overwritten(spark, folder):
     assert module.publish(spark, f"{folder}/t", 1, {0: "va"})
     assert not module.publish(spark, f"{folder}/t", 1, {0: "vb"})
     assert read_manifest(spark, f"{folder}/t") == (1, {0: "va"})
+
+
+def written_rows(spark, path, before):
+    """Rows in the files that came after ``before``."""
+    new = [str(f) for f in Path(path, "data").rglob("*.parquet") if f not in before]
+    return spark.read.parquet(*new).count()
+
+
+def test_a_delta_writes_only_its_batch(spark, folder):
+    path = f"{folder}/t"
+    rows = spark.range(2_000).select("id", F.lit("old").alias("v"), F.lit(T1).cast("timestamp_ntz").alias("created_at"))
+    upsert(rows, path, "id", keys_per_range=100)
+    table = {i: "old" for i in range(2_000)}
+    for number, step in enumerate((97, 89, 83)):
+        before = set(Path(path, "data").rglob("*.parquet"))
+        batch = spark.range(number, 2_100, step).select("id", F.lit(f"d{number}").alias("v"), F.lit(T2).cast("timestamp_ntz").alias("created_at"))
+        upsert(batch, path, "id", keys_per_range=100, deltas=True)
+        table |= {i: f"d{number}" for i in range(number, 2_100, step)}
+        assert before <= set(Path(path, "data").rglob("*.parquet"))
+        assert written_rows(spark, path, before) == batch.count()
+        stored = read_keyed(spark, path)
+        assert stored.columns == ["id", "v", "created_at"]
+        assert sorted((r["id"], r["v"]) for r in stored.collect()) == sorted(table.items())
+    assert module.compact(spark, path, most_deltas=3) == 0
+    # A rewrite merges the layers of what it touches, and a compaction those of the rest.
+    upsert(frame(spark, [(150, "w", T2)]), path, "id", keys_per_range=100)
+    table[150] = "w"
+    assert isinstance(read_manifest(spark, path)[1][1], str)
+    assert module.compact(spark, path, grace=timedelta(0)) > 10
+    assert all(isinstance(e, str) for e in read_manifest(spark, path)[1].values())
+    assert sorted((r["id"], r["v"]) for r in read_keyed(spark, path).collect()) == sorted(table.items())
+    assert module.compact(spark, path) == 0
+
+
+def test_deltas_of_null_keys_add_up(spark, folder):
+    path = f"{folder}/t"
+    upsert(frame(spark, [(None, "a", T1), (1, "x", T1)]), path, "id")
+    upsert(frame(spark, [(None, "b", T2), (1, "y", T2)]), path, "id", deltas=True)
+    expected = rows_of(frame(spark, [(None, "a", T1), (None, "b", T2), (1, "y", T2)]))
+    assert rows_of(read_keyed(spark, path)) == expected
+    module.compact(spark, path)
+    assert rows_of(read_keyed(spark, path)) == expected
+
+
+def test_a_delta_with_other_columns_rewrites(spark, folder):
+    path = f"{folder}/t"
+    upsert(frame(spark, [(1, "a", T1), (15, "b", T1)]), path, "id", keys_per_range=10)
+    upsert(frame(spark, [(1, "A", T2)]), path, "id", keys_per_range=10, deltas=True)
+    upsert(frame(spark, [(15, "B", T2, 7)], f"{DDL}, extra int"), path, "id", keys_per_range=10, deltas=True)
+    expected = frame(spark, [(1, "A", T2, None), (15, "B", T2, 7)], f"{DDL}, extra int")
+    assert rows_of(read_keyed(spark, path)) == rows_of(expected)
+    assert all(isinstance(e, str) for e in read_manifest(spark, path)[1].values())
+
+
+def test_two_writers_of_deltas(spark, folder, monkeypatch):
+    path = f"{folder}/t"
+    upsert(frame(spark, [(1, "a", T1), (2, "b", T1)]), path, "id")
+    with monkeypatch.context() as patch:
+        interleaved(module, patch, lambda: upsert(frame(spark, [(2, "under", T2), (3, "c", T2)]), path, "id", deltas=True))
+        upsert(frame(spark, [(2, "top", T2), (4, "d", T2)]), path, "id", deltas=True)
+    expected = rows_of(frame(spark, [(1, "a", T1), (2, "top", T2), (3, "c", T2), (4, "d", T2)]))
+    assert rows_of(read_keyed(spark, path)) == expected
+    # A delta that comes while the table is compacted stays on top of the new files.
+    with monkeypatch.context() as patch:
+        interleaved(module, patch, lambda: upsert(frame(spark, [(1, "late", T2)]), path, "id", deltas=True))
+        assert module.compact(spark, path) == 1
+    assert len(read_manifest(spark, path)[1][0].deltas) == 1
+    expected = rows_of(frame(spark, [(1, "late", T2), (2, "top", T2), (3, "c", T2), (4, "d", T2)]))
+    assert rows_of(read_keyed(spark, path)) == expected
+
+
+def test_a_compaction_starts_again_after_a_rewrite(spark, folder, monkeypatch):
+    path = f"{folder}/t"
+    upsert(frame(spark, [(1, "a", T1), (2, "b", T1)]), path, "id")
+    upsert(frame(spark, [(2, "B", T2)]), path, "id", deltas=True)
+    with monkeypatch.context() as patch:
+        interleaved(module, patch, lambda: upsert(frame(spark, [(1, "A", T2)]), path, "id"))
+        assert module.compact(spark, path) == 0
+    assert rows_of(read_keyed(spark, path)) == rows_of(frame(spark, [(1, "A", T2), (2, "B", T2)]))
+
+
+def test_deltas_do_not_look_at_stored_rows(spark, folder):
+    with pytest.raises(ValueError, match="without looking"):
+        upsert(frame(spark, [(1, "a", T1)]), f"{folder}/t", "id", match_null=True, deltas=True)

@@ -13,6 +13,11 @@ older than a grace period, which has to be longer than any run.
 
 Serial keys grow with time, so a daily batch lands in few ranges. A change of columns
 rewrites every range. Running the same batch again gives the same table.
+
+A batch scattered over all ranges would rewrite the whole table. It can be written as a delta
+instead: one more layer of just its own rows over the files of each range it touches. Readers
+take a key's row from its newest layer. ``compact`` merges the layers of a range into new files.
+Deltas of two writers never conflict; the later one lies on top.
 """
 
 from __future__ import annotations
@@ -22,12 +27,14 @@ import time
 import uuid
 from collections.abc import Callable, Iterable
 from datetime import datetime, timedelta
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wanderlake.operators.latest import latest_per_key
 from wanderlake.session import children, create_file, listing, read_bytes, remove, scratch_dir
-from wanderlake.sources.tables import stored_table
 
 RANGE = "key_range"
 VERSION = "version"
@@ -35,9 +42,22 @@ NUMBER = "manifest"
 GRACE = timedelta(days=1)
 MOST_TRIES = 50
 KEYS_PER_RANGE = 1_000_000
+DELTAS = "deltas"
+KEY = "key"
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+_ORDER = "__order"
+
+
+class Layers(NamedTuple):
+    """A range with deltas: its base version, and number and version of each delta, oldest first."""
 
-Manifest = dict[int | None, str]
+    base: str
+    deltas: tuple[tuple[int, str], ...]
+    key: str
+
+
+# The version of each range, or its layers.
+Manifest = dict[int | None, str | Layers]
 
 
 class DuplicateKeys(ValueError):
@@ -58,7 +78,24 @@ def read_manifest(spark: SparkSession, path: str) -> tuple[int, Manifest]:
     if not number:
         return 0, {}
     entries = json.loads(read_bytes(spark, f"{path}/manifests/{NUMBER}={number}"))
-    return number, {entry[RANGE]: entry[VERSION] for entry in entries}
+    return number, {entry[RANGE]: _entry(entry) for entry in entries}
+
+
+def _entry(row: dict) -> str | Layers:
+    if DELTAS not in row:
+        return row[VERSION]
+    return Layers(row[VERSION], tuple((n, v) for n, v in row[DELTAS]), row[KEY])
+
+
+def _row(key_range: int | None, entry: str | Layers) -> dict:
+    if isinstance(entry, str):
+        return {RANGE: key_range, VERSION: entry}
+    return {RANGE: key_range, VERSION: entry.base, DELTAS: entry.deltas, KEY: entry.key}
+
+
+def versions_of(entry: str | Layers) -> list[str]:
+    """All versions that make up a range, oldest first."""
+    return [entry] if isinstance(entry, str) else [entry.base, *(v for _, v in entry.deltas)]
 
 
 def read_keyed(spark: SparkSession, path: str, ranges: DataFrame | None = None) -> DataFrame | None:
@@ -77,12 +114,42 @@ def read_keyed(spark: SparkSession, path: str, ranges: DataFrame | None = None)
     return _read(spark, path, entries)
 
 
-def _read(spark: SparkSession, path: str, entries: Manifest) -> DataFrame | None:
+def read_ranges(spark: SparkSession, path: str, entries: Manifest) -> DataFrame | None:
+    """The rows of some ranges of a manifest, with their range; None if there are none.
+
+    Ranges without deltas are plain scans. In the others, base rows whose key a delta holds are
+    left out by an anti join, which Spark broadcasts as long as the deltas' files are small, and
+    a key in several deltas is taken from the newest. Rows with a NULL key never replace each
+    other, so their layers are simply added up.
+    """
     if not entries:
         return None
+    layered = {r: e for r, e in entries.items() if isinstance(e, Layers) and r is not None}
+    plain = [(r, v) for r, e in entries.items() if r not in layered for v in versions_of(e)]
+    parts = [_scan(spark, path, plain).drop(VERSION)] if plain else []
+    if layered:
+        key = next(iter(layered.values())).key
+        numbers = {v: n for e in layered.values() for n, v in e.deltas}
+        deltas = _scan(spark, path, [(r, v) for r, e in layered.items() for _, v in e.deltas])
+        base = _scan(spark, path, [(r, e.base) for r, e in layered.items()]).drop(VERSION)
+        parts.append(base.join(deltas.select(key), key, "left_anti").select(*base.columns))
+        if any(len(e.deltas) > 1 for e in layered.values()):
+            order = spark.createDataFrame(list(numbers.items()), f"{VERSION} string, {_ORDER} bigint")
+            deltas = latest_per_key(deltas.join(F.broadcast(order), VERSION), [key], [_ORDER]).drop(_ORDER)
+        parts.append(deltas.drop(VERSION))
+    return reduce(lambda one, other: one.unionByName(other), parts)
+
+
+def _read(spark: SparkSession, path: str, entries: Manifest) -> DataFrame | None:
+    rows = read_ranges(spark, path, entries)
+    return None if rows is None else rows.drop(RANGE)
+
+
+def _scan(spark: SparkSession, path: str, places: Iterable[tuple[int | None, str]]) -> DataFrame:
     data = f"{path}/data"
-    folders = [f"{data}/{VERSION}={v}/{RANGE}={_NULL_FOLDER if r is None else r}" for r, v in entries.items()]
-    return spark.read.option("basePath", data).parquet(*folders).drop(VERSION, RANGE)
+    folders = [f"{data}/{VERSION}={v}/{RANGE}={_NULL_FOLDER if r is None else r}" for r, v in places]
+    rows = spark.read.option("basePath", data).parquet(*folders)
+    return rows.withColumn(RANGE, F.col(RANGE).cast("bigint"))
 
 
 def watermark(target: DataFrame, column: str, default: str) -> datetime:
@@ -118,6 +185,7 @@ def upsert(
     match_null: bool = False,
     grace: timedelta = GRACE,
     choose: Callable[[DataFrame], DataFrame] | None = None,
+    deltas: bool = False,
 ) -> None:
     """Replace rows with a matching key and insert the others.
 
@@ -128,7 +196,13 @@ def upsert(
 
     ``choose`` decides between stored and new rows of the batch's keys: it gets both together
     and returns one row for each key. Without it the new row wins.
+
+    ``deltas`` writes the batch alone, as a layer over the ranges it touches, whose files stay as
+    they are. It cannot be combined with ``choose`` or ``match_null``, which look at stored rows.
+    A batch with other columns than the table still rewrites every range.
     """
+    if deltas and (choose or match_null):
+        raise ValueError("deltas are written without looking at stored rows")
     spark = updates.sparkSession
     number, entries = read_manifest(spark, path)
     ranged = updates.withColumn(RANGE, range_of(F.col(key), keys_per_range))
@@ -140,19 +214,84 @@ def upsert(
     if not known_unique:
         _require_unique(ranged, key)
     for _ in range(MOST_TRIES):
-        affected, new = _rewrite(ranged, path, key, keys_per_range, entries, match_null, choose)
-        done, number, entries = _commit(spark, path, number, entries, affected, new)
+        if deltas and entries and _same_columns(_read(spark, path, entries), ranged.drop(RANGE)):
+            change = _append(ranged, path, key, entries)
+        else:
+            change = _rewrite(ranged, path, key, keys_per_range, entries, match_null, choose)
+        done, number, entries, named = _commit(spark, path, number, entries, change)
         if done:
             break
     else:
         raise TooManyConflicts(path)
-    _forget(spark, path, number, set(entries.values()), grace)
+    _forget(spark, path, number, named, grace)
     if staging:
         remove(spark, staging)
 
 
-def _rewrite(ranged: DataFrame, path: str, key: str, keys_per_range: int, entries: Manifest, match_null: bool, choose) -> tuple[Manifest, Manifest]:
-    """Write the ranges of a batch anew: the entries that were read for it, and the new ones."""
+def compact(spark: SparkSession, path: str, most_deltas: int = 0, grace: timedelta = GRACE) -> int:
+    """Merge the layers of every range that has more than ``most_deltas`` deltas; returns how many.
+
+    Other ranges are neither read nor written. Deltas that another writer adds meanwhile stay on
+    top of the new files; only a rewrite of the same ranges makes it start again.
+    """
+    number, entries = read_manifest(spark, path)
+    for _ in range(MOST_TRIES):
+        crowded = {r: e for r, e in entries.items() if isinstance(e, Layers) and len(e.deltas) > most_deltas}
+        if not crowded:
+            return 0
+        version = _new_version()
+        _write(read_ranges(spark, path, crowded), f"{path}/data/{VERSION}={version}")
+        change = _replace_layers(crowded, version)
+        done, number, entries, named = _commit(spark, path, number, entries, change)
+        if done:
+            _forget(spark, path, number, named, grace)
+            return len(crowded)
+    raise TooManyConflicts(path)
+
+
+# What a writer makes of the newest manifest, given the number of the next one; None if it
+# conflicts with what happened since the writer read the table.
+Change = Callable[[int, Manifest], Manifest | None]
+
+
+def _append(ranged: DataFrame, path: str, key: str, entries: Manifest) -> Change:
+    """Write a batch as a delta, whatever ranges it touches."""
+    spark, version = ranged.sparkSession, _new_version()
+    _write(ranged, f"{path}/data/{VERSION}={version}")
+    touched = _ranges_in(spark, path, version)
+
+    def change(number: int, newest: Manifest) -> Manifest | None:
+        if newest != entries and not _same_columns(_read(spark, path, newest), ranged.drop(RANGE)):
+            return None
+        after = dict(newest)
+        for r in touched:
+            old = newest.get(r)
+            if old is None:
+                after[r] = version
+            else:
+                base, before = (old.base, old.deltas) if isinstance(old, Layers) else (old, ())
+                after[r] = Layers(base, (*before, (number, version)), key)
+        return after
+
+    return change
+
+
+def _replace_layers(crowded: Manifest, version: str) -> Change:
+    def change(number: int, newest: Manifest) -> Manifest | None:
+        after = dict(newest)
+        for r, old in crowded.items():
+            now = newest.get(r)
+            if not isinstance(now, Layers) or now.base != old.base or now.deltas[: len(old.deltas)] != old.deltas:
+                return None
+            rest = now.deltas[len(old.deltas) :]
+            after[r] = Layers(version, rest, now.key) if rest else version
+        return after
+
+    return change
+
+
+def _rewrite(ranged: DataFrame, path: str, key: str, keys_per_range: int, entries: Manifest, match_null: bool, choose) -> Change:
+    """Write the ranges of a batch anew."""
     spark, rows, affected = ranged.sparkSession, ranged, {}
     if entries:
         affected = entries
@@ -169,34 +308,48 @@ def _rewrite(ranged: DataFrame, path: str, key: str, keys_per_range: int, entrie
                 rivals = target.join(keys, match, "left_semi")
                 ranged = choose(rivals.unionByName(ranged, allowMissingColumns=True)).select(*ranged.columns)
             rows = merged(target, ranged, key, match_null)
-    version = f"v{uuid.uuid4().hex}"
+    version = _new_version()
     _write(rows, f"{path}/data/{VERSION}={version}")
-    written = stored_table(spark, f"{path}/data/{VERSION}={version}")
-    new = [] if written is None else [r[RANGE] for r in written.select(F.col(RANGE).cast("bigint")).distinct().collect()]
-    return affected, dict.fromkeys(new, version)
+    new = dict.fromkeys(_ranges_in(spark, path, version), version)
+
+    def change(number: int, newest: Manifest) -> Manifest | None:
+        # A change of columns rewrites all ranges, so it is found here, too.
+        if any(entries.get(r) != newest.get(r) for r in affected.keys() | new.keys()):
+            return None
+        return {**{r: v for r, v in newest.items() if r not in affected}, **new}
+
+    return change
+
+
+def _new_version() -> str:
+    return f"v{uuid.uuid4().hex}"
+
+
+def _ranges_in(spark: SparkSession, path: str, version: str) -> list[int | None]:
+    names = children(spark, f"{path}/data/{VERSION}={version}")
+    values = [n.split("=")[1] for n in names if n.startswith(f"{RANGE}=")]
+    return [None if v == _NULL_FOLDER else int(v) for v in values]
 
 
-def _commit(spark: SparkSession, path: str, number: int, entries: Manifest, affected: Manifest, new: Manifest) -> tuple[bool, int, Manifest]:
-    """Publish the new ranges over the newest manifest; False if a range of theirs was changed meanwhile.
+def _commit(spark: SparkSession, path: str, number: int, entries: Manifest, change: Change) -> tuple[bool, int, Manifest, set[str]]:
+    """Publish a change of the newest manifest; False if another writer's change conflicts with it.
 
-    Returns the newest manifest's number and the entries that readers may still follow.
+    Also returns the newest manifest and the versions that readers may still follow.
     """
-    ours = affected.keys() | new.keys()
     for _ in range(MOST_TRIES):
-        after = {**{r: v for r, v in entries.items() if r not in affected}, **new}
+        after = change(number + 1, entries)
+        if after is None:
+            return False, number, entries, set()
         if publish(spark, path, number + 1, after):
-            return True, number, {f"previous {r}": v for r, v in entries.items()} | {f"new {r}": v for r, v in after.items()}
-        before, (number, entries) = entries, read_manifest(spark, path)
-        changed = {r for r in before.keys() | entries.keys() if before.get(r) != entries.get(r)}
-        # A change of columns rewrites all ranges, so it is one of these, too.
-        if changed & ours:
-            return False, number, entries
+            named = {v for known in (entries, after) for e in known.values() for v in versions_of(e)}
+            return True, number, after, named
+        number, entries = read_manifest(spark, path)
     raise TooManyConflicts(path)
 
 
 def publish(spark: SparkSession, path: str, number: int, entries: Manifest) -> bool:
     """Write a manifest: one file, which appears whole or not at all; False if the number is taken."""
-    rows = [{RANGE: r, VERSION: v} for r, v in entries.items()]
+    rows = [_row(r, e) for r, e in entries.items()]
     return create_file(spark, f"{path}/manifests/{NUMBER}={number}", json.dumps(rows).encode())
 
 
@@ -205,7 +358,7 @@ def _forget(spark: SparkSession, path: str, previous: int, versions: Iterable[st
     until = time.time() - grace.total_seconds()
     named = {f"{VERSION}={v}" for v in versions}
     number, newest = read_manifest(spark, path)
-    named |= {f"{VERSION}={v}" for v in newest.values()}
+    named |= {f"{VERSION}={v}" for e in newest.values() for v in versions_of(e)}
     for name, changed in listing(spark, f"{path}/data"):
         if name.startswith(f"{VERSION}=") and name not in named and changed <= until:
             remove(spark, f"{path}/data/{name}")
