@@ -9,7 +9,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from wanderlake import schemas
-from wanderlake.plans import bronze, latest_store, monitor, quality, reconcile, star
+from wanderlake.plans import bronze, check_store, latest_store, monitor, reconcile, star
 from wanderlake.sources.broker_files import load_newest_drop
 from wanderlake.sources.extract import run_extract
 from wanderlake.sources.tables import create_if_missing, read_loads, write_table
@@ -117,7 +117,7 @@ def _gold(spark: SparkSession, root: str, as_of: datetime) -> str:
 
 
 def _quality(spark: SparkSession, root: str) -> str:
-    report = quality.gold_report(star.read_gold(spark, f"{root}/gold"))
+    report = check_store.gold_report(spark, f"{root}/gold")
     path = f"{root}/reports/quality"
     report.write.mode("overwrite").json(path)
     failed = spark.read.schema(report.schema).json(path).filter("status = 'fail'").collect()

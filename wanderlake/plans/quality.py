@@ -86,6 +86,10 @@ class Relationship:
         return missing.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("failures"))
 
 
+def status() -> Column:
+    return F.when(F.col("failures") == 0, "pass").otherwise("fail").alias("status")
+
+
 def run_checks(table_name: str, df: DataFrame, checks: Sequence) -> DataFrame:
     """One row per check with its number of failures.
 
@@ -116,50 +120,43 @@ def run_checks(table_name: str, df: DataFrame, checks: Sequence) -> DataFrame:
                     "failures",
                 )
             )
-    return _union(reports).select(
-        F.lit(table_name).alias("table_name"),
-        "check_name",
-        "column_name",
-        "failures",
-        F.when(F.col("failures") == 0, "pass").otherwise("fail").alias("status"),
-    )
+    return _union(reports).select(F.lit(table_name).alias("table_name"), "check_name", "column_name", "failures", status())
+
+
+DIMENSION_KEYS = {
+    "dim_customers": "customer_sk",
+    "dim_destinations": "destination_sk",
+    "dim_brokers": "broker_sk",
+    "dim_date": "date_sk",
+}
+
+
+def dimension_report(gold: Mapping[str, DataFrame]) -> DataFrame:
+    """The declared tests of the dimensions."""
+    return _union([run_checks(name, gold[name], [NotNull(key), Unique(key)]) for name, key in DIMENSION_KEYS.items()])
+
+
+def fact_checks(policies: DataFrame) -> dict[str, list]:
+    """The declared tests of each fact; claims are tested against the given policies."""
+    return {
+        "fact_policies": [
+            NotNull("policy_id"),
+            Unique("policy_id"),
+            AcceptedValues("policy_status", POLICY_STATUSES),
+        ],
+        "fact_claims": [
+            NotNull("claim_id"),
+            Unique("claim_id"),
+            Relationship("policy_id", policies, "policy_id"),
+            ExpressionIsTrue("claim_amount", "> 0"),
+        ],
+    }
 
 
 def gold_report(gold: Mapping[str, DataFrame]) -> DataFrame:
     """The declared tests of the star schema."""
-    parts = [
-        run_checks(name, gold[name], [NotNull(key), Unique(key)])
-        for name, key in (
-            ("dim_customers", "customer_sk"),
-            ("dim_destinations", "destination_sk"),
-            ("dim_brokers", "broker_sk"),
-            ("dim_date", "date_sk"),
-        )
-    ]
-    parts.append(
-        run_checks(
-            "fact_policies",
-            gold["fact_policies"],
-            [
-                NotNull("policy_id"),
-                Unique("policy_id"),
-                AcceptedValues("policy_status", POLICY_STATUSES),
-            ],
-        )
-    )
-    parts.append(
-        run_checks(
-            "fact_claims",
-            gold["fact_claims"],
-            [
-                NotNull("claim_id"),
-                Unique("claim_id"),
-                Relationship("policy_id", gold["fact_policies"], "policy_id"),
-                ExpressionIsTrue("claim_amount", "> 0"),
-            ],
-        )
-    )
-    return _union(parts)
+    facts = [run_checks(name, gold[name], checks) for name, checks in fact_checks(gold["fact_policies"]).items()]
+    return _union([dimension_report(gold), *facts])
 
 
 def source_report(customers: DataFrame, policies: DataFrame, claims: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from wanderlake import schemas
 from wanderlake.fixed_values import WATERMARK_DEFAULT
 from wanderlake.operators.lookup import NO_HOT_KEYS, small_enough
-from wanderlake.operators.upsert import range_of, read_keyed, upsert, watermark
+from wanderlake.operators.upsert import compact, range_of, read_keyed, upsert, watermark
 from wanderlake.plans import gold, latest_store, silver
 from wanderlake.session import remove, scratch_dir
 from wanderlake.sources.extract import load_state, save_state
@@ -66,12 +66,13 @@ def update_policies(
     root: str,
     lookback: timedelta = timedelta(0),
     policies: DataFrame | None = None,
+    most_deltas: int = 0,
 ) -> None:
     """Upsert the policies created after the newest one already in the fact.
 
     ``lookback`` reads that much further back, for rows that arrived late. ``policies`` are the
     stored SILVER policies of this run, if there are any; they are filtered instead of being
-    made again.
+    made again. ``most_deltas``: see ``build_star``.
     """
     spark = raw_policies.sparkSession
     tables = {name: spark.read.parquet(f"{root}/{name}") for name in DIMENSIONS}
@@ -90,7 +91,7 @@ def update_policies(
     def standardise(raw: DataFrame, since: datetime | None) -> DataFrame:
         return silver.policies(raw, since) if policies is None else silver.after(policies, since)
 
-    _update(raw_policies, standardise, resolve, root, "fact_policies", "policy_id", lookback)
+    _update(raw_policies, standardise, resolve, root, "fact_policies", "policy_id", lookback, most_deltas)
 
 
 def update_claims(
@@ -98,11 +99,12 @@ def update_claims(
     root: str,
     lookback: timedelta = timedelta(0),
     claims: DataFrame | None = None,
+    most_deltas: int = 0,
 ) -> None:
     """Upsert the claims created after the newest one already in the fact.
 
     A claim that comes before its policy keeps NULL keys until the claim itself is sent again.
-    ``claims`` are the stored SILVER claims, if there are any.
+    ``claims`` are the stored SILVER claims, if there are any. ``most_deltas``: see ``build_star``.
     """
     spark = raw_claims.sparkSession
     policies = read_gold_table(spark, root, "fact_policies")
@@ -120,7 +122,7 @@ def update_claims(
     def standardise(raw: DataFrame, since: datetime | None) -> DataFrame:
         return silver.claims(raw, since) if claims is None else silver.after(claims, since)
 
-    _update(raw_claims, standardise, resolve, root, "fact_claims", "claim_id", lookback)
+    _update(raw_claims, standardise, resolve, root, "fact_claims", "claim_id", lookback, most_deltas)
 
 
 def _update(
@@ -131,6 +133,7 @@ def _update(
     name: str,
     key: str,
     lookback: timedelta,
+    most_deltas: int,
 ) -> None:
     """Bring one fact up to date.
 
@@ -149,7 +152,9 @@ def _update(
         staging = scratch_dir(spark, name)
         standardise(raw, since - lookback).write.parquet(staging)
         batch = spark.read.parquet(staging)
-        upsert(resolve(batch, small_enough(batch), batch), path, key, known_unique=True)
+        rows = resolve(batch, small_enough(batch), batch)
+        upsert(rows, path, key, known_unique=True, deltas=most_deltas > 0)
+        compact(spark, path, most_deltas)
         mark = max(since, watermark(batch, "created_at", WATERMARK_DEFAULT))
         remove(spark, staging)
     save_state(spark, marks, {name: mark})
@@ -173,6 +178,7 @@ def build_star(
     root: str,
     as_of: datetime,
     loads: Mapping[str, str] | None = None,
+    most_deltas: int = 0,
 ) -> None:
     """One GOLD run: dimensions in full, facts as far as they are new.
 
@@ -180,6 +186,10 @@ def build_star(
     rows are stored (``latest_store``), a run reads only the loads that came since the last
     one, and everything else reads the stored rows. Without it SILVER policies are made from all
     RAW rows and stored once for this run; the destinations and the fact both read them.
+
+    With ``most_deltas`` a run writes its batch as deltas over the fact, and rewrites only ranges
+    that have gathered more than so many. That suits batches scattered over the whole fact; serial
+    keys, whose batches land in few ranges, read faster without.
     """
     spark = bronze["raw_broker_commissions"].sparkSession
     if loads:
@@ -191,13 +201,13 @@ def build_star(
             raise ValueError(f"no loads of {', '.join(missing)}")
         ready = {name: latest_store.STANDARD[name](rows) for name, rows in raw.items()}
         build_dimensions(bronze, root, as_of, ready["raw_policies"], ready["raw_customers"])
-        update_policies(raw["raw_policies"], root, policies=ready["raw_policies"])
-        update_claims(raw["raw_claims"], root, claims=ready["raw_claims"])
+        update_policies(raw["raw_policies"], root, policies=ready["raw_policies"], most_deltas=most_deltas)
+        update_claims(raw["raw_claims"], root, claims=ready["raw_claims"], most_deltas=most_deltas)
         return
     staging = scratch_dir(spark, "silver-policies")
     silver.policies(bronze["raw_policies"]).write.parquet(staging)
     policies = spark.read.parquet(staging)
     build_dimensions(bronze, root, as_of, policies)
-    update_policies(bronze["raw_policies"], root, policies=policies)
-    update_claims(bronze["raw_claims"], root)
+    update_policies(bronze["raw_policies"], root, policies=policies, most_deltas=most_deltas)
+    update_claims(bronze["raw_claims"], root, most_deltas=most_deltas)
     remove(spark, staging)

@@ -759,6 +759,8 @@ ORACLE: dict[str, str] = {
         "AS policies_starting FROM dim_date d", "dim_date", "stg_policies",
     ),
     "fact_policies": _all("fact_policies"),
+    "fact_policies_deltas": _all("policies_twice"),
+    "fact_policies_compacted": _all("policies_twice"),
     "fact_claims": _all("fact_claims"),
     "fact_policies_incremental": _all("policies_twice"),
     "fact_claims_incremental": _all("claims_twice"),
@@ -821,6 +823,7 @@ ORACLE: dict[str, str] = {
         "count(date_sk) AS dated_policies FROM fact_policies GROUP BY 1, 2", "fact_policies",
     ),
     "quality_report": _with(_quality_checks(), "fact_policies", "fact_claims"),
+    "quality_report_incremental": _with(_quality_checks(), "fact_policies", "fact_claims"),
     "source_constraints": _constraints(),
     "non_positive_claims": _with(
         "SELECT claim_id, claim_amount FROM fact_claims WHERE claim_amount <= 0", "fact_claims"

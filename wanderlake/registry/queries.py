@@ -17,8 +17,8 @@ from wanderlake import schemas
 from wanderlake.functions import numbers, times
 from wanderlake.functions.text import trim_strings
 from wanderlake.operators.lookup import NO_HOT_KEYS, missing_parents, small_enough
-from wanderlake.operators.upsert import read_keyed
-from wanderlake.plans import bronze, daily, gold, latest_store, metrics, monitor, quality, reconcile, silver, star
+from wanderlake.operators.upsert import compact, read_keyed
+from wanderlake.plans import bronze, check_store, daily, gold, latest_store, metrics, monitor, quality, reconcile, silver, star
 from wanderlake.session import scratch_dir
 from wanderlake.sources import broker_files, extract, fixtures, messages, tables
 from wanderlake.streaming import flights as flight_stream
@@ -341,6 +341,28 @@ def fact_policies_incremental(spark, sf):
     return read_keyed(spark, f"{root}/fact_policies")
 
 
+def fact_policies_deltas(spark, sf):
+    """Later runs write deltas, the last one again with rows that came before; nothing is compacted."""
+    return read_keyed(spark, f"{policies_in_deltas(spark, sf)}/fact_policies")
+
+
+def fact_policies_compacted(spark, sf):
+    """The same after the deltas were merged into new files."""
+    path = f"{policies_in_deltas(spark, sf)}/fact_policies"
+    compact(spark, path)
+    return read_keyed(spark, path)
+
+
+def policies_in_deltas(spark, sf):
+    root = scratch_dir(spark, "policies-in-deltas")
+    raw = bronze_tables(spark, sf)
+    star.build_dimensions(raw, root, AS_OF)
+    star.update_policies(raw["raw_policies"].filter(F.col("created_at") <= times.moment(CUT)), root)
+    for lookback in (timedelta(days=60), timedelta(days=365)):
+        star.update_policies(raw["raw_policies"], root, lookback, most_deltas=5)
+    return root
+
+
 def fact_policies_new_column(spark, sf):
     """The second load brings a column that the first did not have; it reaches the fact."""
     root = scratch_dir(spark, "new-column")
@@ -463,6 +485,17 @@ def quality_report(spark, sf):
     return quality.gold_report(star.read_gold(spark, star_root(spark, sf)))
 
 
+def quality_report_incremental(spark, sf):
+    """The report after a second load; it scans only the ranges that load wrote."""
+    root = scratch_dir(spark, "incremental-checks")
+    raw = bronze_tables(spark, sf)
+    early = {name: raw[name].filter(F.col("created_at") <= times.moment(CUT)) for name in ("raw_policies", "raw_claims")}
+    star.build_star({**raw, **early}, root, AS_OF)
+    check_store.gold_report(spark, root).collect()
+    star.build_star(raw, root, AS_OF)
+    return check_store.gold_report(spark, root)
+
+
 def source_constraints(spark, sf):
     raw = bronze_tables(spark, sf)
     return quality.source_report(raw["raw_customers"], raw["raw_policies"], raw["raw_claims"])
@@ -741,6 +774,7 @@ QUERIES: dict[str, Query] = {
         average_claim_by_destination, approval_by_type, recent_claims, broker_leaderboard,
         broker_leaderboard_country, top_brokers, broker_points, broker_countries,
         flights_by_country, total_flights, top_countries, latest_flights, ad_hoc_query,
+        fact_policies_deltas, fact_policies_compacted, quality_report_incremental,
         quality_report, source_constraints, non_positive_claims, orphan_claims,
         freshness_report, reconciliation, reconciliation_verdict, freshness_gate,
         partition_lag, stream_lag, landing_freshness, calendar_parts, commissions,
