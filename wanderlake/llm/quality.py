@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wanderlake.llm.common import scored, ship
+from wanderlake.session import remove, scratch_dir
 
 SYMBOLS = "#*$%&|<>"
 CLASSES = ("lower", "upper", "digit", "blank", "line", "mark", "symbol", "beyond")
@@ -148,7 +149,10 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", common_s
     ship(docs.sparkSession)
     named = docs.select(F.col(text).alias("text"), F.coalesce(F.col(lang), F.lit("")).alias("lang")).filter(F.col("text").isNotNull())
     counts = named.mapInArrow(run, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    marked = counts.withColumn("is_class", F.substring("word", 1, 1) == F.lit(b" "))
+    # Read twice below, so the texts are counted once and the counts stored.
+    staging = scratch_dir(docs.sparkSession, "word-counts")
+    counts.write.parquet(staging)
+    marked = docs.sparkSession.read.schema(counts.schema).parquet(staging).withColumn("is_class", F.substring("word", 1, 1) == F.lit(b" "))
     totals = marked.filter(~F.col("is_class")).groupBy("lang").agg(F.sum("n").alias("total"))
     kept = marked.join(F.broadcast(totals), "lang", "left").filter(F.col("is_class") | (F.col("n") >= common_share * F.col("total")))
     out: dict[str, Reference] = {}
@@ -158,6 +162,7 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", common_s
             own.classes[int(bytes(r["word"]))] = r["n"]
         else:
             own.words[bytes(r["word"])] = r["n"]
+    remove(docs.sparkSession, staging)
     return out
 
 
