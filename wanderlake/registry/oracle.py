@@ -822,6 +822,10 @@ ORACLE: dict[str, str] = {
         "SELECT coverage_type, policy_status, count(*) AS policy_count, "
         "count(date_sk) AS dated_policies FROM fact_policies GROUP BY 1, 2", "fact_policies",
     ),
+    "ad_hoc_query_reused": _with(
+        "SELECT d.destination_country, count(*) AS policy_count, sum(f.premium_amount) AS total_premium FROM fact_policies f "
+        "LEFT JOIN dim_destinations d ON f.destination_sk = d.destination_sk GROUP BY 1", "fact_policies",
+    ),
     "quality_report": _with(_quality_checks(), "fact_policies", "fact_claims"),
     "quality_report_incremental": _with(_quality_checks(), "fact_policies", "fact_claims"),
     "source_constraints": _constraints(),

@@ -18,7 +18,7 @@ from wanderlake.functions import numbers, times
 from wanderlake.functions.text import trim_strings
 from wanderlake.operators.lookup import NO_HOT_KEYS, missing_parents, small_enough
 from wanderlake.operators.upsert import compact, read_keyed
-from wanderlake.plans import bronze, check_store, daily, gold, latest_store, metrics, monitor, quality, reconcile, silver, star
+from wanderlake.plans import bronze, check_store, daily, gold, latest_store, metrics, monitor, quality, reconcile, result_store, silver, star
 from wanderlake.session import scratch_dir
 from wanderlake.sources import broker_files, extract, fixtures, messages, tables
 from wanderlake.streaming import flights as flight_stream
@@ -478,6 +478,19 @@ def ad_hoc_query(spark, sf):
     return tables.run_query(spark, text, {"policies": stored(spark, sf, "fact_policies")})
 
 
+def ad_hoc_query_reused(spark, sf):
+    """A query asked twice over the stored facts; the second answer is the stored result."""
+    text = """
+        SELECT d.destination_country, count(*) AS policy_count, sum(f.premium_amount) AS total_premium
+        FROM {fact_policies} f LEFT JOIN {dim_destinations} d ON f.destination_sk = d.destination_sk
+        GROUP BY d.destination_country ORDER BY policy_count DESC, d.destination_country
+    """
+    results, names = scratch_dir(spark, "results"), ("fact_policies", "dim_destinations")
+    for _ in range(2):
+        answer = result_store.query(spark, text, star_root(spark, sf), names, results, AS_OF)
+    return answer
+
+
 # --- quality, reconciliation, monitoring ------------------------------------------------
 
 
@@ -773,7 +786,7 @@ QUERIES: dict[str, Query] = {
         premium_by_destination, revenue_kpis, claim_kpis, claims_by_type,
         average_claim_by_destination, approval_by_type, recent_claims, broker_leaderboard,
         broker_leaderboard_country, top_brokers, broker_points, broker_countries,
-        flights_by_country, total_flights, top_countries, latest_flights, ad_hoc_query,
+        flights_by_country, total_flights, top_countries, latest_flights, ad_hoc_query, ad_hoc_query_reused,
         fact_policies_deltas, fact_policies_compacted, quality_report_incremental,
         quality_report, source_constraints, non_positive_claims, orphan_claims,
         freshness_report, reconciliation, reconciliation_verdict, freshness_gate,
