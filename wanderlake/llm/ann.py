@@ -324,10 +324,10 @@ def nearest(table: DataFrame, is_query, vec_id: str = "vec_id", embedding: str =
         def run(batches):
             for batch in batches:
                 out = []
-                for query, width, packed, cell, floor in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for query, width, packed, cell, deal, floor in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     space = shared.value[width]
                     if home:
-                        out.append((query, width, packed, cell, query % int(space.blocks[cell]), -np.inf))
+                        out.append((query, width, packed, cell, deal % int(space.blocks[cell]), -np.inf))
                         continue
                     q = _matrix([packed], width)
                     near = box_distance2(space.project_query(q), space.low, space.high)[0]
@@ -343,15 +343,16 @@ def nearest(table: DataFrame, is_query, vec_id: str = "vec_id", embedding: str =
 
     routed_shape = "query_id long, width int, vec binary, cell int, block int, floor double"
     asked = placed.filter(is_query).groupBy(F.col("vec_id").alias("query_id")).agg(F.min(F.struct("width", "vec", "cell")).alias("own"))
-    asked = asked.select("query_id", "own.*")
+    # Rows are dealt by a hash of id and vector: ids in steps, such as those of the queries, spread evenly.
+    asked = asked.select("query_id", "own.*").withColumn("deal", F.xxhash64("query_id", "vec"))
     blocks = F.create_map(*[x for w, s in spaces.items() for x in (F.lit(w), F.array(*[F.lit(int(b)) for b in s.blocks]))]) if spaces else None
     if blocks is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     # A query starts in the cell where it lies as a row.
-    index = placed.withColumn("block", F.pmod(F.col("vec_id"), blocks[F.col("width")][F.col("cell")]).cast("int"))
+    index = placed.withColumn("block", F.pmod(F.xxhash64("vec_id", "vec"), blocks[F.col("width")][F.col("cell")]).cast("int"))
     first = _search(index, asked.select("*", F.lit(None).cast("double").alias("floor")).mapInArrow(cells_of(True), routed_shape), spaces, settings)
     worst = first.groupBy("query_id").agg(F.min("score").alias("floor"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= settings.k)
-    bounded = written(spark, asked.join(worst.drop("n"), "query_id", "left").select("query_id", "width", "vec", "cell", "floor"), "bounded")
+    bounded = written(spark, asked.join(worst.drop("n"), "query_id", "left").select("query_id", "width", "vec", "cell", "deal", "floor"), "bounded")
     found = _search(index, bounded.mapInArrow(cells_of(False), routed_shape), spaces, settings)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= settings.k).select("query_id", "rank", "vec_id", "score")
