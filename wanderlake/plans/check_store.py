@@ -74,7 +74,7 @@ def fact_report(
     known = {r[STATE] for r in current.join(found.select(STATE).distinct(), STATE, "left_semi").collect()}
     fresh: Manifest = {r: entries[r] for s, r in states.items() if s not in known}
     if fresh:
-        rows = _with_state(spark, f"{root}/{name}", fresh)
+        rows = rows_by_state(spark, f"{root}/{name}", fresh)
         kept = [part.join(current, STATE, "left_semi") for part in (found, orphans)]
         _store(spark, store, kept, _scan(rows, key, checks), _orphans(rows, checks, parents_path, keys_per_parent_range))
         found, orphans = _stored(spark, store)
@@ -97,7 +97,7 @@ def state_of(key_range: int | None, entry) -> str:
     return ":".join([str(key_range), *versions_of(entry)])
 
 
-def _with_state(spark: SparkSession, path: str, entries: Manifest) -> DataFrame:
+def rows_by_state(spark: SparkSession, path: str, entries: Manifest) -> DataFrame:
     """Rows of the given ranges with the state of their range."""
     names = spark.createDataFrame([(r, state_of(r, e)) for r, e in entries.items()], f"__range bigint, {STATE} string")
     rows = read_ranges(spark, path, entries)

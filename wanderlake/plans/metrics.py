@@ -25,7 +25,13 @@ def revenue_by_month(fact_policies: DataFrame) -> DataFrame:
 
 def premium_by_destination(fact_policies: DataFrame, destinations: DataFrame) -> DataFrame:
     """Premiums are summed per key first: the label join then sees one row per destination."""
-    per_key = fact_policies.groupBy("destination_sk").agg(F.sum("premium_amount").alias("premium"))
+    return premiums_labelled(
+        fact_policies.groupBy("destination_sk").agg(F.sum("premium_amount").alias("premium")), destinations
+    )
+
+
+def premiums_labelled(per_key: DataFrame, destinations: DataFrame) -> DataFrame:
+    """Total premium per destination label, from one ``premium`` per key."""
     return (
         _labelled(per_key, destinations)
         .groupBy("destination_country")
@@ -58,6 +64,10 @@ def claim_kpis(fact_claims: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_claims"),
         F.sum(F.when(F.col("is_approved"), 1).otherwise(0)).alias("approved_claims"),
     )
+    return approval_rate(counted)
+
+
+def approval_rate(counted: DataFrame) -> DataFrame:
     return counted.withColumn(
         "approval_rate", percent_of(F.col("approved_claims"), F.col("total_claims"))
     )
@@ -76,6 +86,11 @@ def average_claim_by_destination(fact_claims: DataFrame, destinations: DataFrame
     per_key = fact_claims.groupBy("destination_sk").agg(
         F.sum("claim_amount").alias("amount"), F.count("claim_amount").alias("claims")
     )
+    return averages_labelled(per_key, destinations)
+
+
+def averages_labelled(per_key: DataFrame, destinations: DataFrame) -> DataFrame:
+    """Average claim per destination label, from one ``amount`` and number of ``claims`` per key."""
     average = F.try_divide(F.sum("amount").cast("decimal(28,2)"), F.sum("claims"))
     return (
         _labelled(per_key, destinations)
