@@ -642,16 +642,51 @@ WHERE time_bucket(INTERVAL 30 SECOND, event_timestamp) + INTERVAL 30 SECOND
       <= (SELECT max(event_timestamp) - INTERVAL 1 HOUR FROM raw_flights)
 """
 
-KPIS = """
+def _kpis(policies: str) -> str:
+    return f"""
 SELECT coalesce(CAST(sum(CASE WHEN year(trip_start_date) = 2025 THEN premium_amount END) AS DOUBLE), 0)
            AS total_revenue_this_year,
        count(*) AS total_policies,
        CASE WHEN count(*) > 0
             THEN coalesce(CAST(sum(CASE WHEN year(trip_start_date) = 2025 THEN premium_amount END) AS DOUBLE), 0)
                  / count(*) ELSE 0.0 END AS average_premium
-FROM fact_policies
+FROM {policies}
 """
 
+
+def _summed_reports(policies: str, claims: str) -> dict[str, str]:
+    """Reports that are sums over the facts, for any state of these."""
+    return {
+        "revenue_by_month": _with(
+            "SELECT CAST(date_trunc('month', trip_start_date) AS DATE) AS month, "
+            "CAST(sum(premium_amount) AS DECIMAL(20, 2)) AS total_premium, count(*) AS policy_count "
+            f"FROM {policies} GROUP BY 1", policies,
+        ),
+        "premium_by_destination": _with(
+            f"SELECT d.destination_country, sum(f.premium_amount) AS total_premium FROM {policies} f "
+            "LEFT JOIN dim_destinations d ON f.destination_sk = d.destination_sk GROUP BY 1", policies,
+        ),
+        "revenue_kpis": _with(_kpis(policies), policies),
+        "claim_kpis": _with(
+            "SELECT count(*) AS total_claims, CAST(sum(CASE WHEN is_approved THEN 1 ELSE 0 END) AS BIGINT) "
+            "AS approved_claims, round(CAST(sum(CASE WHEN is_approved THEN 1 ELSE 0 END) AS DOUBLE) "
+            f"/ nullif(count(*), 0) * 100, 2) AS approval_rate FROM {claims}", claims,
+        ),
+        "claims_by_type": _with(
+            f"SELECT claim_type, count(*) AS claim_count FROM {claims} GROUP BY 1", claims
+        ),
+        "average_claim_by_destination": _with(
+            "SELECT d.destination_country, CAST(CAST(sum(f.claim_amount) AS DOUBLE) / count(f.claim_amount) "
+            f"AS DECIMAL(16, 6)) AS avg_claim_amount FROM {claims} f LEFT JOIN dim_destinations d "
+            "ON f.destination_sk = d.destination_sk GROUP BY 1", claims,
+        ),
+        "approval_by_type": _with(
+            f"SELECT claim_type, claim_status, count(*) AS claim_count FROM {claims} "
+            "WHERE claim_status IN ('approved', 'rejected') GROUP BY 1, 2", claims,
+        ),
+    }
+
+
 LEADERBOARD = """
 SELECT broker_id, broker_name, broker_company, country, policies_sold_today, total_premium_value,
        commission_rate, commission_percentage, commission_earned, report_date FROM dim_brokers
@@ -664,6 +699,22 @@ SELECT origin_country, count(*) AS flight_count, round(avg(altitude), 9) AS avg_
 FROM stg_flights GROUP BY origin_country
 """
 
+CHANGED_COPY = """, ours AS (
+    SELECT policy_id, customer_id, destination_country, premium_amount, policy_status FROM fact_policies
+), theirs AS (
+    SELECT CASE WHEN policy_id % 1009 = 7 THEN policy_id + 100000000 ELSE policy_id END AS policy_id, customer_id,
+           destination_country, CASE WHEN policy_id % 997 = 5 THEN premium_amount + 1 ELSE premium_amount END AS premium_amount,
+           policy_status
+    FROM ours
+), differing AS (
+    SELECT coalesce(s.policy_id, t.policy_id) AS policy_id,
+           CASE WHEN t.policy_id IS NULL THEN 'missing' WHEN s.policy_id IS NULL THEN 'unexpected' ELSE 'changed' END AS status,
+           CAST(s.policy_id IS NOT NULL AS BIGINT) AS source_rows, CAST(t.policy_id IS NOT NULL AS BIGINT) AS target_rows,
+           CASE WHEN s.policy_id IS NOT NULL AND t.policy_id IS NOT NULL THEN 'premium_amount' ELSE '' END AS differing_columns
+    FROM ours s FULL JOIN theirs t ON s.policy_id = t.policy_id
+    WHERE s.policy_id IS NULL OR t.policy_id IS NULL OR s.premium_amount IS DISTINCT FROM t.premium_amount
+)"""
+
 LAG = """
 SELECT partition, CAST(greatest(high - CASE WHEN committed < 0 THEN 0 ELSE committed END, 0) AS BIGINT) AS lag
 FROM (SELECT partition, high, CASE partition WHEN 3 THEN -1 WHEN 5 THEN high + 10 ELSE done END AS committed
@@ -764,33 +815,7 @@ ORACLE: dict[str, str] = {
     "fact_claims": _all("fact_claims"),
     "fact_policies_incremental": _all("policies_twice"),
     "fact_claims_incremental": _all("claims_twice"),
-    "revenue_by_month": _with(
-        "SELECT CAST(date_trunc('month', trip_start_date) AS DATE) AS month, "
-        "CAST(sum(premium_amount) AS DECIMAL(20, 2)) AS total_premium, count(*) AS policy_count "
-        "FROM fact_policies GROUP BY 1", "fact_policies",
-    ),
-    "premium_by_destination": _with(
-        "SELECT d.destination_country, sum(f.premium_amount) AS total_premium FROM fact_policies f "
-        "LEFT JOIN dim_destinations d ON f.destination_sk = d.destination_sk GROUP BY 1", "fact_policies",
-    ),
-    "revenue_kpis": _with(KPIS, "fact_policies"),
-    "claim_kpis": _with(
-        "SELECT count(*) AS total_claims, CAST(sum(CASE WHEN is_approved THEN 1 ELSE 0 END) AS BIGINT) "
-        "AS approved_claims, round(CAST(sum(CASE WHEN is_approved THEN 1 ELSE 0 END) AS DOUBLE) "
-        "/ nullif(count(*), 0) * 100, 2) AS approval_rate FROM fact_claims", "fact_claims",
-    ),
-    "claims_by_type": _with(
-        "SELECT claim_type, count(*) AS claim_count FROM fact_claims GROUP BY 1", "fact_claims"
-    ),
-    "average_claim_by_destination": _with(
-        "SELECT d.destination_country, CAST(CAST(sum(f.claim_amount) AS DOUBLE) / count(f.claim_amount) "
-        "AS DECIMAL(16, 6)) AS avg_claim_amount FROM fact_claims f LEFT JOIN dim_destinations d "
-        "ON f.destination_sk = d.destination_sk GROUP BY 1", "fact_claims",
-    ),
-    "approval_by_type": _with(
-        "SELECT claim_type, claim_status, count(*) AS claim_count FROM fact_claims "
-        "WHERE claim_status IN ('approved', 'rejected') GROUP BY 1, 2", "fact_claims",
-    ),
+    **_summed_reports("fact_policies", "fact_claims"),
     "recent_claims": _with(
         "SELECT claim_date, destination_country, claim_type, claim_amount, claim_status AS status "
         "FROM fact_claims ORDER BY claim_date DESC NULLS FIRST, claim_id LIMIT 20", "fact_claims",
@@ -907,4 +932,14 @@ ORACLE: dict[str, str] = {
         f"{_iso('(o_orderdate + to_days(10227) + to_seconds(o_orderkey % 86400))')} AS created_at, "
         "'policy_purchase' AS event_type FROM orders"
     ),
+    "differing_policy_ranges": _with(
+        f"{CHANGED_COPY} SELECT CAST(floor(policy_id / 100) * 100 AS BIGINT) AS range_start, "
+        "CAST(floor(policy_id / 100) * 100 + 100 AS BIGINT) AS range_end, count(*) FILTER (side = 's') AS source_rows, "
+        "count(*) FILTER (side = 't') AS target_rows FROM (SELECT policy_id, 's' AS side FROM ours "
+        "UNION ALL SELECT policy_id, 't' FROM theirs) WHERE floor(policy_id / 100) IN "
+        "(SELECT floor(policy_id / 100) FROM differing) GROUP BY 1, 2", "fact_policies",
+    ),
+    "differing_policies": _with(f"{CHANGED_COPY} SELECT * FROM differing", "fact_policies"),
+    # A claim that came before its policy keeps NULL keys.
+    **{f"{name}_maintained": sql for name, sql in _summed_reports("policies_twice", "claims_twice").items()},
 }

@@ -18,7 +18,7 @@ from wanderlake.functions import numbers, times
 from wanderlake.functions.text import trim_strings
 from wanderlake.operators.lookup import NO_HOT_KEYS, missing_parents, small_enough
 from wanderlake.operators.upsert import compact, read_keyed
-from wanderlake.plans import bronze, check_store, daily, gold, latest_store, metrics, monitor, quality, reconcile, result_store, silver, star
+from wanderlake.plans import bronze, check_store, daily, gold, latest_store, metrics, monitor, quality, reconcile, report_store, result_store, silver, star
 from wanderlake.session import scratch_dir
 from wanderlake.sources import broker_files, extract, fixtures, messages, tables
 from wanderlake.streaming import flights as flight_stream
@@ -37,6 +37,7 @@ PURCHASE_FILES = (datetime(1990, 1, 1), datetime(2025, 1, 1), datetime(2027, 6,
 STREAM_DELAY = "1 hour"
 
 _star_roots: dict[tuple[str, str], str] = {}
+_summed_roots: dict[tuple[str, str], str] = {}
 _daily_roots: dict[tuple[str, str], str] = {}
 
 
@@ -404,6 +405,50 @@ def revenue_by_month(spark, sf):
     return metrics.revenue_by_month(stored(spark, sf, "fact_policies"))
 
 
+def revenue_by_month_maintained(spark, sf):
+    """Reports named so read the sums of key ranges, of which the last load changed some."""
+    return report_store.revenue_by_month(spark, summed_root(spark, sf))
+
+
+def premium_by_destination_maintained(spark, sf):
+    return report_store.premium_by_destination(spark, summed_root(spark, sf))
+
+
+def revenue_kpis_maintained(spark, sf):
+    return report_store.revenue_kpis(spark, summed_root(spark, sf), AS_OF)
+
+
+def claim_kpis_maintained(spark, sf):
+    return report_store.claim_kpis(spark, summed_root(spark, sf))
+
+
+def claims_by_type_maintained(spark, sf):
+    return report_store.claims_by_type(spark, summed_root(spark, sf))
+
+
+def average_claim_by_destination_maintained(spark, sf):
+    return report_store.average_claim_by_destination(spark, summed_root(spark, sf))
+
+
+def approval_by_type_maintained(spark, sf):
+    return report_store.approval_by_type(spark, summed_root(spark, sf))
+
+
+def summed_root(spark: SparkSession, sf: str) -> str:
+    """GOLD tables after two loads, with sums taken between them; built on first use in a session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _summed_roots:
+        root = scratch_dir(spark, "summed")
+        raw = bronze_tables(spark, sf)
+        early = {name: raw[name].filter(F.col("created_at") <= times.moment(CUT)) for name in ("raw_policies", "raw_claims")}
+        star.build_star({**raw, **early}, root, AS_OF)
+        for name in star.FACTS:
+            report_store.current_cells(spark, root, name)
+        star.build_star(raw, root, AS_OF, most_deltas=5)
+        _summed_roots[key] = root
+    return _summed_roots[key]
+
+
 def premium_by_destination(spark, sf):
     return metrics.premium_by_destination(stored(spark, sf, "fact_policies"), stored(spark, sf, "dim_destinations"))
 
@@ -509,6 +554,26 @@ def quality_report_incremental(spark, sf):
     return check_store.gold_report(spark, root)
 
 
+def differing_policy_ranges(spark, sf):
+    """Ranges of 100 keys in which the changed copy differs; both have equally many rows."""
+    return reconcile.differing_ranges(*policies_and_changed_copy(spark, sf), "policy_id", spans=(10_000, 100))
+
+
+def differing_policies(spark, sf):
+    rows = reconcile.differing_rows(*policies_and_changed_copy(spark, sf), "policy_id", spans=(10_000, 100))
+    return rows.withColumn("differing_columns", F.concat_ws(",", "differing_columns"))
+
+
+def policies_and_changed_copy(spark, sf):
+    """The policy fact, and a copy with other premiums and other keys by a fixed rule."""
+    columns = ("policy_id", "customer_id", "destination_country", "premium_amount", "policy_status")
+    rows = stored(spark, sf, "fact_policies").select(*columns)
+    key, premium = F.col("policy_id"), F.col("premium_amount")
+    raised = F.when(key % 997 == 5, premium + 1).otherwise(premium).cast("decimal(12,2)")
+    moved = F.when(key % 1009 == 7, key + 100_000_000).otherwise(key)
+    return rows, rows.withColumns({"premium_amount": raised, "policy_id": moved})
+
+
 def source_constraints(spark, sf):
     raw = bronze_tables(spark, sf)
     return quality.source_report(raw["raw_customers"], raw["raw_policies"], raw["raw_claims"])
@@ -794,6 +859,9 @@ QUERIES: dict[str, Query] = {
         parsed_timestamps, stream_flight_ingest, stream_flight_restart, stream_flight_rejects, stream_flight_dedup,
         stream_flight_states, stream_policy_events, daily_run,
         daily_run_summary, daily_run_policies, daily_run_flight_stats, daily_run_quality,
-        daily_run_flights,
+        daily_run_flights, revenue_by_month_maintained, premium_by_destination_maintained,
+        revenue_kpis_maintained, claim_kpis_maintained, claims_by_type_maintained,
+        average_claim_by_destination_maintained, approval_by_type_maintained,
+        differing_policy_ranges, differing_policies,
     )
 }
