@@ -71,6 +71,7 @@ def lookup(
     salt_by: Sequence[str] = (),
     small: bool = False,
     few_facts: bool = False,
+    colocated: bool = False,
 ) -> DataFrame:
     """Left join to a table that holds each key once; a NULL key never matches.
 
@@ -80,6 +81,9 @@ def lookup(
     shuffles, hot fact keys (and NULLs, when they are many) are spread over ``hot.spread``
     partitions by a hash of ``salt_by``, while the table repeats the rows of those few keys
     once per salt.
+
+    A ``colocated`` table is bucketed by its key and stays where it is: facts without a key are
+    spread, and so are those of hot keys, whose few rows of the table are broadcast.
     """
     kept = [c for c in table.columns if c != table_key]
     right = table.select(F.col(table_key).alias("__key"), *kept)
@@ -92,6 +96,8 @@ def lookup(
         wanted = left.select(F.col("__fact_key").alias("__wanted")).distinct()
         right = right.join(F.broadcast(wanted), F.col("__key") == F.col("__wanted"), "left_semi")
         right = F.broadcast(right)
+    elif colocated:
+        return _beside(left, right, kept, values, salt_by)
     elif values or name in hot.nulls:
         spread = F.pmod(F.xxhash64(*salt_by), F.lit(hot.spread)).cast("int")
         is_hot = F.lit(False)
@@ -109,6 +115,23 @@ def lookup(
     return joined.drop("__fact_key", "__key", "__salt", "__table_salt")
 
 
+def _beside(left: DataFrame, right: DataFrame, kept: Sequence[str], values: list, salt_by: Sequence[str]) -> DataFrame:
+    """Join facts to a table bucketed by ``__key`` in one shuffle of the facts alone."""
+    key = F.col("__fact_key")
+    is_hot = F.coalesce(key.isin(values), F.lit(False)) if values else F.lit(False)
+    apart = is_hot | key.isNull()
+    # Facts set apart go anywhere; should that place be another key's, the last condition holds.
+    spread = F.xxhash64(*salt_by).cast(left.schema["__fact_key"].dataType)
+    moved = left.withColumns({"__place": F.when(apart, spread).otherwise(key), "__apart": apart})
+    joined = moved.join(right, (F.col("__place") == F.col("__key")) & ~F.col("__apart"), "left")
+    if values:
+        # At most one row for each hot key, of which there are no more than a sketch lists.
+        few = right.filter(F.col("__key").isin(values)).select(F.col("__key").alias("__hot"), *[F.col(c).alias(f"__hot_{c}") for c in kept])
+        joined = joined.join(F.broadcast(few), key == F.col("__hot"), "left")
+        joined = joined.withColumns({c: F.when(F.col("__apart"), F.col(f"__hot_{c}")).otherwise(F.col(c)) for c in kept})
+    return joined.drop("__fact_key", "__key", "__place", "__apart", "__hot", *[f"__hot_{c}" for c in kept])
+
+
 def missing_parents(
     children: DataFrame, child_key: str, parents: DataFrame, parent_key: str
 ) -> DataFrame:

@@ -166,11 +166,12 @@ def fact_claims(
     hot: HotKeys = NO_HOT_KEYS,
     small: bool = False,
     few: bool = False,
+    colocated: bool = False,
 ) -> DataFrame:
     """Claims with the keys of their policy; NULL keys when the policy is not there (yet)."""
     table = policies.select(F.col("policy_id").alias("__natural"), *INHERITED)
     joined = lookup(
-        claims, table, F.col("policy_id"), "__natural", "policy", hot, ["claim_id"], small, few
+        claims, table, F.col("policy_id"), "__natural", "policy", hot, ["claim_id"], small, few, colocated
     )
     return joined.select(
         "claim_id",

@@ -12,7 +12,7 @@ from wanderlake import schemas
 from wanderlake.fixed_values import WATERMARK_DEFAULT
 from wanderlake.operators.lookup import NO_HOT_KEYS, small_enough
 from wanderlake.operators.upsert import compact, range_of, read_keyed, upsert, watermark
-from wanderlake.plans import gold, latest_store, silver
+from wanderlake.plans import gold, latest_store, link_store, silver
 from wanderlake.session import remove, scratch_dir
 from wanderlake.sources.extract import load_state, save_state
 
@@ -100,11 +100,13 @@ def update_claims(
     lookback: timedelta = timedelta(0),
     claims: DataFrame | None = None,
     most_deltas: int = 0,
+    link_buckets: int = 0,
 ) -> None:
     """Upsert the claims created after the newest one already in the fact.
 
     A claim that comes before its policy keeps NULL keys until the claim itself is sent again.
-    ``claims`` are the stored SILVER claims, if there are any. ``most_deltas``: see ``build_star``.
+    ``claims`` are the stored SILVER claims, if there are any. ``most_deltas`` and ``link_buckets``: see
+    ``build_star``.
     """
     spark = raw_claims.sparkSession
     policies = read_gold_table(spark, root, "fact_policies")
@@ -117,6 +119,10 @@ def update_claims(
             wanted = batch.select(range_of(F.col("policy_id")))
             parents = _fact(spark, f"{root}/fact_policies", "fact_policies", wanted)
         hot = NO_HOT_KEYS if small or few else gold.claim_hot_keys(keys)
+        if link_buckets and not (small or few):
+            links = link_store.policy_links(spark, root, link_buckets)
+            if links is not None:
+                return gold.fact_claims(batch, links, hot, colocated=True)
         return gold.fact_claims(batch, parents, hot, small, few)
 
     def standardise(raw: DataFrame, since: datetime | None) -> DataFrame:
@@ -179,6 +185,7 @@ def build_star(
     as_of: datetime,
     loads: Mapping[str, str] | None = None,
     most_deltas: int = 0,
+    link_buckets: int = 0,
 ) -> None:
     """One GOLD run: dimensions in full, facts as far as they are new.
 
@@ -190,6 +197,10 @@ def build_star(
     With ``most_deltas`` a run writes its batch as deltas over the fact, and rewrites only ranges
     that have gathered more than so many. That suits batches scattered over the whole fact; serial
     keys, whose batches land in few ranges, read faster without.
+
+    With ``link_buckets`` claims in large batches find their policies in a narrow copy that is
+    bucketed by ``policy_id`` (``link_store``), so only the claims are shuffled. That pays if large
+    batches come again and again, as after corrections of a source.
     """
     spark = bronze["raw_broker_commissions"].sparkSession
     if loads:
@@ -202,12 +213,12 @@ def build_star(
         ready = {name: latest_store.STANDARD[name](rows) for name, rows in raw.items()}
         build_dimensions(bronze, root, as_of, ready["raw_policies"], ready["raw_customers"])
         update_policies(raw["raw_policies"], root, policies=ready["raw_policies"], most_deltas=most_deltas)
-        update_claims(raw["raw_claims"], root, claims=ready["raw_claims"], most_deltas=most_deltas)
+        update_claims(raw["raw_claims"], root, claims=ready["raw_claims"], most_deltas=most_deltas, link_buckets=link_buckets)
         return
     staging = scratch_dir(spark, "silver-policies")
     silver.policies(bronze["raw_policies"]).write.parquet(staging)
     policies = spark.read.parquet(staging)
     build_dimensions(bronze, root, as_of, policies)
     update_policies(bronze["raw_policies"], root, policies=policies, most_deltas=most_deltas)
-    update_claims(bronze["raw_claims"], root, most_deltas=most_deltas)
+    update_claims(bronze["raw_claims"], root, most_deltas=most_deltas, link_buckets=link_buckets)
     remove(spark, staging)

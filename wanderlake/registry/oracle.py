@@ -815,6 +815,7 @@ ORACLE: dict[str, str] = {
     "fact_claims": _all("fact_claims"),
     "fact_policies_incremental": _all("policies_twice"),
     "fact_claims_incremental": _all("claims_twice"),
+    "fact_claims_colocated": _all("claims_full"),
     **_summed_reports("fact_policies", "fact_claims"),
     "recent_claims": _with(
         "SELECT claim_date, destination_country, claim_type, claim_amount, claim_status AS status "

@@ -18,7 +18,7 @@ from wanderlake.functions import numbers, times
 from wanderlake.functions.text import trim_strings
 from wanderlake.operators.lookup import NO_HOT_KEYS, missing_parents, small_enough
 from wanderlake.operators.upsert import compact, read_keyed
-from wanderlake.plans import bronze, check_store, daily, gold, latest_store, metrics, monitor, quality, reconcile, report_store, result_store, silver, star
+from wanderlake.plans import bronze, check_store, daily, gold, latest_store, link_store, metrics, monitor, quality, reconcile, report_store, result_store, silver, star
 from wanderlake.session import scratch_dir
 from wanderlake.sources import broker_files, extract, fixtures, messages, tables
 from wanderlake.streaming import flights as flight_stream
@@ -34,6 +34,7 @@ CUT = datetime(2026, 1, 1)  # first and second run of incremental jobs
 PUBLISHED_CUT = datetime(2029, 1, 30)
 LANDED_CUT = datetime(2024, 1, 15, 12)
 PURCHASE_FILES = (datetime(1990, 1, 1), datetime(2025, 1, 1), datetime(2027, 6, 1), datetime(2099, 1, 1))
+LINK_BUCKETS = 16
 STREAM_DELAY = "1 hour"
 
 _star_roots: dict[tuple[str, str], str] = {}
@@ -398,6 +399,19 @@ def fact_claims_incremental(spark, sf):
     return read_keyed(spark, f"{root}/fact_claims")
 
 
+def fact_claims_colocated(spark, sf):
+    """All claims join the bucketed copy of policies, whose second load lies over the first."""
+    root = scratch_dir(spark, "colocated")
+    raw = bronze_tables(spark, sf)
+    star.build_dimensions(raw, root, AS_OF)
+    star.update_policies(raw["raw_policies"].filter(F.col("created_at") <= times.moment(CUT)), root)
+    link_store.policy_links(spark, root, LINK_BUCKETS)
+    star.update_policies(raw["raw_policies"], root, most_deltas=5)
+    links = link_store.policy_links(spark, root, LINK_BUCKETS)
+    hot = gold.claim_hot_keys(raw["raw_claims"])
+    return gold.fact_claims(silver.claims(raw["raw_claims"]), links, hot, colocated=True)
+
+
 # --- reports --------------------------------------------------------------------------
 
 
@@ -862,6 +876,6 @@ QUERIES: dict[str, Query] = {
         daily_run_flights, revenue_by_month_maintained, premium_by_destination_maintained,
         revenue_kpis_maintained, claim_kpis_maintained, claims_by_type_maintained,
         average_claim_by_destination_maintained, approval_by_type_maintained,
-        differing_policy_ranges, differing_policies,
+        differing_policy_ranges, differing_policies, fact_claims_colocated,
     )
 }
