@@ -98,6 +98,11 @@ def versions_of(entry: str | Layers) -> list[str]:
     return [entry] if isinstance(entry, str) else [entry.base, *(v for _, v in entry.deltas)]
 
 
+def state_of(key_range: int | None, entry: str | Layers) -> str:
+    """Name of a range with exactly these layers of files."""
+    return ":".join([str(key_range), *versions_of(entry)])
+
+
 def read_keyed(spark: SparkSession, path: str, ranges: DataFrame | None = None) -> DataFrame | None:
     """The table at ``path`` without its layout columns, or None before its first rows.
 

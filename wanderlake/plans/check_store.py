@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wanderlake.operators.lookup import missing_parents
-from wanderlake.operators.upsert import RANGE, KEYS_PER_RANGE, Manifest, range_of, read_keyed, read_manifest, read_ranges, versions_of
+from wanderlake.operators.upsert import RANGE, KEYS_PER_RANGE, Manifest, range_of, read_keyed, read_manifest, read_ranges, state_of
 from wanderlake.plans import quality, star
 from wanderlake.session import children, remove
 
@@ -92,11 +92,6 @@ def fact_report(
     return lines.select(F.lit(name).alias("table_name"), "check_name", "column_name", "failures", quality.status())
 
 
-def state_of(key_range: int | None, entry) -> str:
-    """Name of a range with exactly these layers of files."""
-    return ":".join([str(key_range), *versions_of(entry)])
-
-
 def rows_by_state(spark: SparkSession, path: str, entries: Manifest) -> DataFrame:
     """Rows of the given ranges with the state of their range."""
     names = spark.createDataFrame([(r, state_of(r, e)) for r, e in entries.items()], f"__range bigint, {STATE} string")

@@ -12,8 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wanderlake.operators import colocated
-from wanderlake.operators.upsert import read_manifest, read_ranges
-from wanderlake.plans.check_store import state_of
+from wanderlake.operators.upsert import read_manifest, read_ranges, state_of
 from wanderlake.plans.gold import INHERITED
 
 KEY = "policy_id"

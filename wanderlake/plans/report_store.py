@@ -24,9 +24,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wanderlake.functions.times import month_start
-from wanderlake.operators.upsert import Manifest, read_manifest
+from wanderlake.operators.upsert import Manifest, read_manifest, state_of
 from wanderlake.plans import metrics, star
-from wanderlake.plans.check_store import STATE, rows_by_state, state_of
+from wanderlake.plans.check_store import STATE, rows_by_state
 from wanderlake.session import children, remove
 
 
