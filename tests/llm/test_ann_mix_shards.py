@@ -101,6 +101,29 @@ def test_masks_of_very_long_documents_stay_bounded(monkeypatch):
     assert copies == 0 and (sizes * extra).sum() == 710_000
 
 
+@pytest.mark.parametrize("bits", [1 << 10, 1 << 13, 1 << 16])
+def test_units_of_several_words_miss_by_a_bounded_number(monkeypatch, bits):
+    """A document is off by less than a unit in either choice, and the target by half a unit."""
+    rng = np.random.default_rng(bits)
+    for _ in range(30):
+        lengths = np.unique(rng.integers(1, 4_000, 12))
+        unused = rng.integers(1, 4, len(lengths))
+        gap = int(rng.integers(2_000, 15_000))
+        monkeypatch.setattr(mixing, "MASK_BITS", 1 << 28)
+        exact = mixing.refill(lengths, unused, gap)
+        monkeypatch.setattr(mixing, "MASK_BITS", bits)
+        coarse = mixing.refill(lengths, unused, gap)
+        assert (0 <= coarse).all() and (coarse <= unused).all()
+        able = (lengths <= 2 * gap) & (unused > 0)
+        items = sum(int(min(n, 2 * gap // size)).bit_length() for n, size in zip(unused[able], lengths[able], strict=True))
+        unit = -(-2 * gap * items // bits)
+        nearest, found = (abs(gap - int((lengths * taken).sum())) for taken in (exact, coarse))
+        assert nearest <= found
+        if unit == 1:
+            assert found == nearest
+        assert found <= nearest + unit * (int(exact.sum()) + int(coarse.sum()) + 1)
+
+
 def water_filled(sizes: dict) -> dict:
     """Targets by repeated resharing."""
     order = sorted(sizes, key=lambda s: (s is None, s))
