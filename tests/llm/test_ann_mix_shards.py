@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tests.conftest import plan_of
 from tests.llm.conftest import DOCS, doc, prose
 from wanderlake.llm import ann, mixing, sharding
 from wanderlake.session import scratch_dir
@@ -162,6 +163,27 @@ def test_mix_meets_its_targets(spark, monkeypatch):
     assert mixing.repeated(mixing.mix(df, mixing.word_count("text")), ["doc_id"]).count() == sum(r["copies"] for r in out)
 
 
+def test_mix_orders_ids_and_leaves_texts_in_place(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "ROWS_OF_A_BUCKET", 20)
+    rows = [(i, "w " * (1 + i % 3), "abc"[i % 5 % 3]) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    mixed = mixing.mix(df, mixing.word_count("text"))
+    plan = plan_of(mixed)
+    assert "Window" not in plan and "Exchange hashpartitioning" not in plan
+    # Ids that many rows share, null among them, are cut within their rows.
+    shared = spark.createDataFrame([(None if i % 4 == 0 else i % 3, *r[1:]) for i, r in enumerate(rows)], df.schema).repartition(7)
+    for docs in (mixed, mixing.mix(shared, mixing.word_count("text"))):
+        out = docs.collect()
+        assert len(out) == 900
+        for source in "abc":
+            own = [r for r in out if r["source"] == source]
+            assert abs(sum(r["size"] * r["copies"] for r in own) - own[0]["target"]) <= 1
+        lengths = {}
+        for r in out:
+            lengths.setdefault((r["source"], r["size"]), set()).add(r["copies"])
+        assert all(max(c) - min(c) <= 1 for c in lengths.values())
+
+
 def test_mix_edges(spark, edge_docs, no_docs):
     out = mixing.mix(edge_docs, mixing.word_count("text")).collect()
     assert len(out) == edge_docs.count() and all(r["copies"] == 0 for r in out if not r["size"])

@@ -147,8 +147,8 @@ def mix(docs: DataFrame, size: Column, source: str = "source", doc_id: str = "do
     one. Reruns agree: the choice depends on ids and the seed alone. Columns with the added
     names are replaced.
 
-    A hot source or length is counted before the shuffle, and its rows are ranked in buckets of
-    bounded size.
+    A hot source or length is counted before the shuffle. Only hashes and ids are ordered, in
+    buckets of bounded size; whole rows stay where they are.
     """
     ship(docs.sparkSession)
     added = ("size", "source_size", "target", "copies")
@@ -173,22 +173,23 @@ def mix(docs: DataFrame, size: Column, source: str = "source", doc_id: str = "do
     plan = written(docs.sparkSession, by_length.groupBy("_wl_source").applyInPandas(choose, shape), "plan")
 
     place = ["_wl_source", "_wl_size"]
-    bucket = F.least(F.floor((F.col("_wl_hash") / F.lit(2.0**64) + 0.5) * F.col("buckets")), F.col("buckets") - 1).alias("_wl_bucket")
-    many = plan.filter("buckets > 1").select(*place, "buckets")
-    filled = rows.select(*place, "_wl_hash").join(many, place).groupBy(*place, bucket).agg(F.count(F.lit(1)).alias("own"))
-    before = F.sum("own").over(Window.partitionBy(*place).orderBy("_wl_bucket").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = filled.select(*place, "_wl_bucket", F.coalesce(before, F.lit(0)).alias("_wl_before"))
-
     plan = plan.select(*place, *(F.col(c).alias(f"_wl_{c}") for c in ("source_size", "target", "n", "copies", "extra", "buckets")))
-    placed = rows.join(plan, place).withColumn("_wl_bucket", F.least(F.floor((F.col("_wl_hash") / F.lit(2.0**64) + 0.5) * F.col("_wl_buckets")), F.col("_wl_buckets") - 1))
-    placed = placed.join(offsets, [*place, "_wl_bucket"], "left")
-    # Groups taken wholly or not at all need no rank; their rows are spread by hash instead.
     ranked = (F.col("_wl_extra") > 0) & (F.col("_wl_extra") < F.col("_wl_n"))
-    spread = F.when(ranked, F.lit(0)).otherwise(F.pmod("_wl_hash", F.ceil(F.col("_wl_n") / ROWS_OF_A_BUCKET)))
-    order = Window.partitionBy(*place, "_wl_bucket", spread).orderBy("_wl_hash", doc_id)
-    rank = F.coalesce("_wl_before", F.lit(0)) + F.row_number().over(order)
-    more = F.when(ranked, (rank <= F.col("_wl_extra")).cast("long")).otherwise((F.col("_wl_extra") > 0).cast("long"))
-    more = F.when(F.col("_wl_size") > 0, F.col("_wl_copies") + more).otherwise(F.lit(0))
+    cuts = written(docs.sparkSession, _cuts(rows.select(*place, "_wl_hash", F.col(doc_id).alias("_wl_id")).join(plan.filter(ranked), place)), "cuts")
+    placed = rows.join(plan, place).join(cuts, place, "left")
+    at_cut = (F.col("_wl_hash") == F.col("_wl_cut_hash")) & F.col(doc_id).eqNullSafe(F.col("_wl_cut_id"))
+    torn = F.coalesce(at_cut & (F.col("_wl_cut_take") < F.col("_wl_cut_same")), F.lit(False))
+    lower = F.coalesce(F.col(doc_id) < F.col("_wl_cut_id"), F.col(doc_id).isNull() & F.col("_wl_cut_id").isNotNull())
+    before = (F.col("_wl_hash") < F.col("_wl_cut_hash")) | ((F.col("_wl_hash") == F.col("_wl_cut_hash")) & lower)
+    more = F.when(ranked, before | at_cut).otherwise(F.col("_wl_extra") > 0)
+    if cuts.filter("_wl_cut_take < _wl_cut_same").isEmpty():
+        placed = placed.withColumn("_wl_more", more.cast("long"))
+    else:
+        # Only rows that share their id with others at a cut need a number of their own.
+        number = F.row_number().over(Window.partitionBy(*place).orderBy("_wl_hash", doc_id))
+        apart = placed.filter(torn).withColumn("_wl_more", (number <= F.col("_wl_cut_take")).cast("long"))
+        placed = placed.filter(~torn).withColumn("_wl_more", more.cast("long")).unionByName(apart)
+    more = F.when(F.col("_wl_size") > 0, F.col("_wl_copies") + F.col("_wl_more")).otherwise(F.lit(0))
     return placed.select(
         *(F.col(f"`{c}`") for c in kept),
         F.col("_wl_size").alias("size"),
@@ -198,6 +199,26 @@ def mix(docs: DataFrame, size: Column, source: str = "source", doc_id: str = "do
     )
 
 
+def _cuts(rows: DataFrame) -> DataFrame:
+    """Where to cut each length of which only some documents are taken, in the order of hash and id.
+
+    ``rows`` has hash and id of those documents, with their plan. All before ``_wl_cut_hash, _wl_cut_id``
+    are taken, and ``_wl_cut_take`` of the ``_wl_cut_same`` rows that have this hash and id. Buckets
+    follow the order of the hashes, so no task orders more than one of them.
+    """
+    place = ["_wl_source", "_wl_size"]
+    bucket = F.least(F.floor((F.col("_wl_hash") / F.lit(2.0**64) + 0.5) * F.col("_wl_buckets")), F.col("_wl_buckets") - 1)
+    same = rows.groupBy(*place, "_wl_hash", "_wl_id").agg(F.count(F.lit(1)).alias("_wl_cut_same"), F.first("_wl_extra").alias("_wl_extra"), F.first(bucket).alias("_wl_bucket"))
+    same = written(rows.sparkSession, same, "ids")
+    own = same.groupBy(*place, "_wl_bucket").agg(F.sum("_wl_cut_same").alias("_wl_own"))
+    earlier = F.sum("_wl_own").over(Window.partitionBy(*place).orderBy("_wl_bucket").rowsBetween(Window.unboundedPreceding, -1))
+    same = same.join(own.select(*place, "_wl_bucket", F.coalesce(earlier, F.lit(0)).alias("_wl_earlier")), [*place, "_wl_bucket"])
+    order = Window.partitionBy(*place, "_wl_bucket").orderBy("_wl_hash", "_wl_id").rowsBetween(Window.unboundedPreceding, -1)
+    take = F.col("_wl_extra") - F.col("_wl_earlier") - F.coalesce(F.sum("_wl_cut_same").over(order), F.lit(0))
+    same = same.withColumn("_wl_cut_take", take).filter((F.col("_wl_cut_take") > 0) & (F.col("_wl_cut_take") <= F.col("_wl_cut_same")))
+    return same.select(*place, F.col("_wl_hash").alias("_wl_cut_hash"), F.col("_wl_id").alias("_wl_cut_id"), "_wl_cut_take", "_wl_cut_same")
+
+
 def repeated(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """The mix itself: every row of ``mix`` as often as it is taken, with the columns asked for."""
     return mixed.withColumn("_wl_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies")))).select(*(F.col(f"`{c}`") for c in columns))
