@@ -185,3 +185,24 @@ def test_a_late_event_after_retention_keeps_its_day(spark, folder):
     # A second copy of the days does not lose what the live table has forgotten.
     flights.compact_days(spark, f"{live}2", datetime(2024, 3, 1), archive)
     assert sorted(r["icao24"] for r in flights.landed_flights(spark, archive).collect()) == ["a", "b", "c"]
+
+
+def test_drops_of_a_stream_are_written_by_many_tasks(spark, folder, monkeypatch):
+    from wanderlake.registry import queries
+
+    spark.read.parquet("/root/testdata/sf0.001/orders.parquet").repartition(6).write.parquet(f"{folder}/orders.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").repartition(6).write.parquet(f"{folder}/events.parquet")
+    monkeypatch.setattr(queries, "scratch_dir", lambda spark, purpose: f"{folder}/{purpose}")
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        events = queries.stream_policy_events(spark, folder).collect()
+        landed = queries.stream_flight_restart(spark, folder).collect()
+        drops = {"purchase-files": spark.read.parquet(f"{folder}/purchase-files/in"), "restart": spark.read.json(f"{folder}/restart/in")}
+        sizes = {name: [r["count"] for r in rows.groupBy(F.input_file_name()).count().collect()] for name, rows in drops.items()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    assert len(events) == spark.read.parquet(f"{folder}/orders.parquet").count() == len({r["key"] for r in events})
+    assert len(landed) == queries.flight_messages_accepted(spark, folder).count()
+    assert max(sizes["purchase-files"]) < 0.3 * sum(sizes["purchase-files"])
+    assert max(sizes["restart"]) < 0.15 * sum(sizes["restart"])
