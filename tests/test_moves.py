@@ -4,10 +4,22 @@ from __future__ import annotations
 
 import pytest
 
-from wanderlake.plans import quality
+from wanderlake.plans import quality, star
 from wanderlake.registry import queries as registry
 
 
+def test_claims_are_built_for_those_who_read_them(spark, monkeypatch):
+    built = []
+    monkeypatch.setattr(registry, "bronze_tables", lambda *_: {})
+    monkeypatch.setattr(registry.fixtures, "raw_claims", lambda *_: None)
+    monkeypatch.setattr(star, "build_policies", lambda *_: built.append("policies"))
+    monkeypatch.setattr(star, "update_claims", lambda *_: built.append("claims"))
+    root = registry.star_root(spark, "/nowhere/star", ["fact_policies"])
+    assert built == ["policies"]
+    assert registry.star_root(spark, "/nowhere/star") == registry.star_root(spark, "/nowhere/star", ["fact_claims"]) == root
+    assert built == ["policies", "claims"]
+
+
 def test_the_stored_quality_report_is_read_without_another_build(spark, folder, monkeypatch):
     line = [("fact_claims", "unique", "claim_id", 2, "fail")]
     spark.createDataFrame(line, quality.REPORT_SCHEMA).write.json(f"{folder}/lake/reports/quality")
