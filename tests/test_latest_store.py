@@ -113,3 +113,21 @@ def test_second_build_reads_new_raw_rows_only_and_equals_a_full_one(spark, folde
         if name.startswith("fact"):
             found, full = (df.drop("customer_sk", "destination_sk", "broker_sk") for df in (found, full))
         assert found.exceptAll(full.select(*found.columns)).isEmpty() and found.count() == full.count(), name
+
+
+def test_many_narrow_ranges_are_widened(spark, folder, monkeypatch):
+    """At the first load and, where it gets more ranges, at a later one; rows and later merges stay right."""
+    monkeypatch.setattr(latest_store, "MOST_RANGES", 8)
+    path, loads, folders = f"{folder}/t", [], []
+    null = (None, "n", T[1], "1")
+    for keys, day, status in ((range(0, 40, 10), 1, "a"), (range(0, 400, 10), 2, "b"), (range(200, 4000, 40), 3, "c"), ([5, 395], 4, "d")):
+        loads.append([(k, status, T[day], "1") for k in keys] + [null])
+        latest_store.merge_latest(spark.createDataFrame(loads[-1], DDL), path, "policy_id", 10)
+        everything = spark.createDataFrame([r for rows in loads for r in rows], DDL)
+        assert rows_of(latest_store.read_keyed(spark, path)) == rows_of(silver.latest_rows(everything, "policy_id"))
+        folders.append(set(read_manifest(spark, path)[1]))
+    assert folders[0] == {None, 0, 1, 2, 3}  # of 10 keys
+    assert folders[1] == {None, *range(5)}  # of 80
+    assert folders[2] == folders[3] == {None, *range(7)}  # of 640
+    merged(spark, f"{folder}/u", loads[1:2])
+    assert set(read_manifest(spark, f"{folder}/u")[1]) == {None, *range(5)}
