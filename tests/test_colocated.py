@@ -179,3 +179,29 @@ def test_claims_of_a_large_batch_find_their_policies_in_the_links(spark, folder,
     found = star.read_gold_table(spark, folder, "fact_claims")
     expected = registry.fact_claims(spark, SF)
     assert found.exceptAll(expected).isEmpty() and found.count() == expected.count()
+
+
+def test_of_a_range_with_new_deltas_only_these_are_copied(spark, folder, monkeypatch):
+    copied = []
+    append = colocated.append
+
+    def noting(rows, *rest):
+        copied.append({(r["policy_id"], r["customer_sk"]) for r in rows.collect()})
+        append(rows, *rest)
+
+    monkeypatch.setattr(colocated, "append", noting)
+
+    def load(rows):
+        upsert(policies(spark, rows), f"{folder}/fact_policies", "policy_id", keys_per_range=10, deltas=True)
+
+    def linked():
+        return {r["policy_id"]: r["customer_sk"] for r in link_store.policy_links(spark, folder, 4).collect()}
+
+    load([(1, "a"), (2, "b"), (12, "c"), (None, "n")])
+    assert linked() == {1: "a", 2: "b", 12: "c"}
+    load([(1, "A"), (3, "d"), (None, "m")])
+    assert linked() == {1: "A", 2: "b", 3: "d", 12: "c"}
+    load([(1, "B"), (4, "e")])
+    load([(4, "E"), (13, "f")])
+    assert linked() == {1: "B", 2: "b", 3: "d", 4: "E", 12: "c", 13: "f"}
+    assert copied[1:] == [{(1, "A"), (3, "d")}, {(1, "B"), (4, "E"), (13, "f")}]

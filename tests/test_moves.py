@@ -38,6 +38,11 @@ def test_every_text_survives_packing_and_keys_take_sixteen_bytes(spark):
     assert [r["n"] for r in found if r["size"] == 16] == [0]
 
 
+def test_packing_decodes_a_key_once_and_encodes_nothing(spark):
+    plan = spark.createDataFrame([("a",)], "t string").select(packed_key(F.col("t")).alias("p"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("unhex(") == 1 and plan.replace("unhex(", "").count("hex(") == 0
+
+
 def test_surrogate_keys_are_moved_as_bytes(spark):
     facts = spark.createDataFrame([(1, "x"), (2, "y"), (None, "z")], "id bigint, v string")
     table = spark.createDataFrame([(1, key_of(1)), (2, "odd")], "natural bigint, customer_sk string")
